@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from . import mixing, quality_rules
+from . import chat_format, decontaminate, mixing, quality_rules, token_counts, warc
 
-QUERIES = {"op1_mix_sources": mixing.query, "op10_quality_rules": quality_rules.query}
-SQL = {"op1_mix_sources": mixing.SQL, "op10_quality_rules": quality_rules.SQL}
+QUERIES = {
+    "op1_mix_sources": mixing.query,
+    "op5_decontaminate": decontaminate.query,
+    "op6_chat_format": chat_format.query,
+    "op8_warc": warc.query,
+    "op9_token_counts": token_counts.query,
+    "op10_quality_rules": quality_rules.query,
+}
+SQL = {
+    "op1_mix_sources": mixing.SQL,
+    "op6_chat_format": chat_format.SQL,
+    "op8_warc": warc.SQL,
+    "op10_quality_rules": quality_rules.SQL,
+}

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, mixing, quality_rules, token_counts, warc
+from . import chat_format, decontaminate, mixing, quality_rules, token_counts, url_filter, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.query,
+    "op4_url_filter": url_filter.query,
     "op5_decontaminate": decontaminate.query,
     "op6_chat_format": chat_format.query,
     "op8_warc": warc.query,
@@ -14,6 +15,7 @@ QUERIES = {
 }
 SQL = {
     "op1_mix_sources": mixing.SQL,
+    "op4_url_filter": url_filter.SQL,
     "op6_chat_format": chat_format.SQL,
     "op8_warc": warc.SQL,
     "op10_quality_rules": quality_rules.SQL,

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, mixing, quality_rules, token_counts, url_filter, warc
+from . import chat_format, decontaminate, language_id, mixing, quality_rules, token_counts, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.query,
+    "op2_language_id": language_id.query,
+    "op3_toxicity": toxicity.query,
     "op4_url_filter": url_filter.query,
     "op5_decontaminate": decontaminate.query,
     "op6_chat_format": chat_format.query,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, language_id, mixing, quality_rules, token_counts, toxicity, url_filter, warc
+from . import chat_format, decontaminate, language_id, mixing, ngram_join, quality_rules, token_counts, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_url_filter": url_filter.query,
     "op5_decontaminate": decontaminate.query,
     "op6_chat_format": chat_format.query,
+    "op7_ngram_join": ngram_join.query,
     "op8_warc": warc.query,
     "op9_token_counts": token_counts.query,
     "op10_quality_rules": quality_rules.query,
@@ -19,6 +20,7 @@ SQL = {
     "op1_mix_sources": mixing.SQL,
     "op4_url_filter": url_filter.SQL,
     "op6_chat_format": chat_format.SQL,
+    "op7_ngram_join": ngram_join.SQL,
     "op8_warc": warc.SQL,
     "op10_quality_rules": quality_rules.SQL,
 }

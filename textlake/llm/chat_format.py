@@ -24,7 +24,7 @@ from .scratch import table
 from .token_counts import small_batches
 
 CONTROL = ("###", "</turn>")
-TO_ESCAPE = re.compile(r"\\|" + "|".join(map(re.escape, CONTROL)))
+TO_ESCAPE = re.compile(r"\\|" + "|".join(f"{re.escape(c[0])}(?={re.escape(c[1:])})" for c in CONTROL))
 ESCAPED = re.compile(r"\\(.)", re.S)
 #: Reserved ids follow the file's ranks, 50,256 of them, and the id that the file leaves free.
 OPEN, MIDDLE, CLOSE = 50257, 50258, 50259
@@ -139,7 +139,9 @@ SQL = r"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations
   UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok'))),
-e AS (SELECT *, length(replace(replace(replace(r, '\', '\\'), '###', '\###'), '</turn>', '\</turn>')) + length(replace(replace(replace(x, '\', '\\'), '###', '\###'), '</turn>', '\</turn>')) + 15 AS f FROM t)
+e AS (SELECT *, 15 + length(r) + length(x) + list_sum(list_transform([r, x], lambda s:
+        length(s) - length(replace(s, '\', '')) + (length(s) - length(replace(s, '</turn>', ''))) // 7
+        + coalesce(list_sum(list_transform(regexp_extract_all(s, '#{3,}'), lambda h: length(h) - 2)), 0))) AS f FROM t)
 SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
        sha256(string_agg(r || chr(10) || x || chr(10), '' ORDER BY turn NULLS FIRST, r, x)) AS turns_sha256,
        CAST(coalesce(sum(length(x)) FILTER (r = 'assistant'), 0) AS BIGINT) AS loss_chars,

@@ -16,10 +16,10 @@ from .scratch import table, written
 SPACE = r"[\x20\x09-\x0D]+"
 #: Figures: name, numerator, denominator, scale, least slack in scaled units, whether low values fail too.
 RATIOS = (
-    ("word_len", "word_chars", "n_words", 100, 150, True),
+    ("word_len", "word_chars", "n_words", 100, 250, True),
     ("symbol", "n_symbols", "n_words", 1000, 100, False),
-    ("dup_line", "n_dup_lines", "n_lines", 1000, 200, False),
-    ("repeat", "n_repeat_words", "n_words", 1000, 100, False),
+    ("dup_line", "n_dup_lines", "n_lines", 1000, 350, False),
+    ("repeat", "n_repeat_words", "n_words", 1000, 180, False),
 )
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -181,8 +181,8 @@ q0 AS (SELECT lang, src, k, any_value(n0) AS n, min(b) FILTER (u0 * 4 >= n0) AS
 q AS (SELECT q0.lang, src, q0.k, CASE WHEN q0.n >= 50 THEN q0.a WHEN q1.n >= 50 THEN q1.a ELSE q2.a END AS a, CASE WHEN q0.n >= 50 THEN q0.c WHEN q1.n >= 50 THEN q1.c ELSE q2.c END AS c
       FROM q0 JOIN q1 ON q0.lang = q1.lang AND q0.k = q1.k JOIN q2 ON q0.k = q2.k),
 y AS (SELECT lang, src, k, CASE WHEN a < 128 THEN a ELSE (a % 64 + 64) << CAST(a // 64 - 1 AS INT) END AS a, CASE WHEN c < 128 THEN c ELSE (c % 64 + 64) << CAST(c // 64 - 1 AS INT) END AS c FROM q),
-z AS (SELECT lang, src, max(c + greatest(4 * (c - a), 150)) FILTER (k = 1) AS h1, max(a - greatest(4 * (c - a), 150)) FILTER (k = 1) AS l1,
-             max(c + greatest(4 * (c - a), 100)) FILTER (k = 2) AS h2, max(c + greatest(4 * (c - a), 200)) FILTER (k = 3) AS h3, max(c + greatest(4 * (c - a), 100)) FILTER (k = 4) AS h4
+z AS (SELECT lang, src, max(c + greatest(4 * (c - a), 250)) FILTER (k = 1) AS h1, max(a - greatest(4 * (c - a), 250)) FILTER (k = 1) AS l1,
+             max(c + greatest(4 * (c - a), 100)) FILTER (k = 2) AS h2, max(c + greatest(4 * (c - a), 350)) FILTER (k = 3) AS h3, max(c + greatest(4 * (c - a), 180)) FILTER (k = 4) AS h4
       FROM y GROUP BY lang, src)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,

@@ -1,4 +1,9 @@
 """Queries over the driver's tables, and their SQL."""
 
+from . import ingest
+
 QUERIES: dict = {}
 SQL: dict = {}
+for _module in (ingest,):
+    QUERIES |= _module.QUERIES
+    SQL |= _module.SQL

@@ -8,11 +8,11 @@ import unicodedata
 import zlib
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 
 def _text_udf(function):
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def run(texts: pd.Series) -> pd.Series:
         return texts.map(function, na_action="ignore")
 
@@ -41,7 +41,7 @@ def html_unescape(text: Column) -> Column:
     return _unless_ascii(_unescape, text, r"\A[^&]*\z")
 
 
-@F.pandas_udf("dominant double, savings double")
+@F.pandas_udf(T.StructType([T.StructField("dominant", T.DoubleType()), T.StructField("savings", T.DoubleType())]))
 def _repetition(texts: pd.Series) -> pd.DataFrame:
     def of(t):
         if t is None or not t:

@@ -1,9 +1,9 @@
 """Queries over the driver's tables, and their SQL."""
 
-from . import ingest
+from . import analysis, ingest
 
 QUERIES: dict = {}
 SQL: dict = {}
-for _module in (ingest,):
+for _module in (ingest, analysis):
     QUERIES |= _module.QUERIES
     SQL |= _module.SQL

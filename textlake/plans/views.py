@@ -151,3 +151,80 @@ def routed_sql() -> str:
     """CTEs that end in ``routed``: every message with its errors, reason and output_route."""
     return f"""{MESSAGES_SQL}, {quality_sql("con", "CASE WHEN len(errors) = 0 THEN text END")},
 routed AS (SELECT *, CASE WHEN len(errors) > 0 THEN 'contract_rejected' WHEN reason IN ('SOURCE_TOMBSTONE', 'EMPTY_AFTER_NORMALIZATION') THEN 'quality_rejected' WHEN reason IS NOT NULL THEN 'quarantine' ELSE 'processed' END AS output_route FROM q)"""
+
+
+def analyses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Analyses from the ids of ``documents``: three prompt versions, tones, topics, labels with faults."""
+    d = load(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.expr("CAST(doc_id % 11 AS DOUBLE) / 20").alias("p"), F.expr("CAST(doc_id % 7 AS DOUBLE) / 20").alias("n"))
+    tone = lambda a, b, s: f"named_struct('tone', '{a}', 'share', CAST({s} AS DOUBLE), 'drivers', array('{b}', concat(' ', source, ' ')))"
+    return d.selectExpr(
+        "doc_id",
+        "sha2(concat('reddit:', CAST(doc_id AS STRING)), 256) AS event_id",
+        "concat('req-', CAST(doc_id AS STRING)) AS custom_id",
+        "element_at(array('daily-v1', 'group-daily-v2-x', 'news-comment-analysis-v3-emotional-tones'), CAST(doc_id % 3 + 1 AS INT)) AS prompt_version",
+        "CAST(doc_id % 3 + 1 AS INT) AS schema_version",
+        "CASE WHEN doc_id % 3 = 0 AND doc_id % 5 = 0 THEN 'mixed' WHEN p > n THEN 'positive' WHEN p < n THEN 'negative' ELSE 'neutral' END AS sentiment",
+        "round(p - n, 6) AS sentiment_score",
+        "named_struct('positive', p, 'neutral', CASE WHEN doc_id % 29 = 0 THEN 0.9D ELSE round(1 - p - n, 4) END, 'negative', n) AS dist",
+        "CASE WHEN doc_id % 3 > 0 THEN element_at(array('low', 'medium', 'high', 'extreme'), CAST(doc_id % 7 % 4 + 1 AS INT)) END AS polarization",
+        "CASE WHEN doc_id % 3 > 0 THEN CAST(doc_id % 12 AS DOUBLE) / 10 END AS polarization_score",
+        "array(lang, CASE WHEN doc_id % 9 = 0 THEN '  ' WHEN doc_id % 2 = 0 THEN ' Economy ' ELSE 'economy' END, source) AS topics",
+        f"CASE WHEN doc_id % 4 = 0 THEN array() WHEN doc_id % 13 = 0 THEN array({tone('hope', 'x', 0.5)}, {tone('hope', 'y', 0.5)}) ELSE array({tone('hope', 'jobs', '(doc_id % 5 + 1) / 10.0')}, {tone('trust', 'rates', 0.3)}, {tone('relief', '', '(doc_id % 3) / 10.0')}) END AS positive_tones",
+        f"CASE WHEN doc_id % 6 = 0 THEN array() WHEN doc_id % 17 = 0 THEN array({tone('envy', 'x', 1)}) ELSE array({tone('anger', 'prices', 0.625)}, {tone('sadness', 'rent', 0.375)}) END AS negative_tones",
+        r"array(source, upper(source), CASE doc_id % 8 WHEN 0 THEN 'Return only this' WHEN 1 THEN repeat('ab1', 10) WHEN 2 THEN 'rates – up' WHEN 3 THEN 'café' WHEN 4 THEN 'a b c d e f g' WHEN 5 THEN '  two   blanks ' WHEN 6 THEN '#tag' ELSE ' ' END) AS keywords",
+        "date_format(TIMESTAMP'2024-02-01 00:00:00' + make_dt_interval(0, 0, CAST(doc_id * 13 % 9973 AS INT)), 'yyyy-MM-dd HH:mm:ss') AS analyzed_at",
+    )
+
+
+def _duck_tone(a: str, b: str, s: str | float) -> str:
+    return f"{{'tone': '{a}', 'share': CAST({s} AS DOUBLE), 'drivers': ['{b}', ' ' || source || ' ']}}"
+
+
+ANALYSES_SQL = f"""an0 AS (SELECT doc_id, lang, source, CAST(doc_id % 11 AS DOUBLE) / 20 AS p, CAST(doc_id % 7 AS DOUBLE) / 20 AS n FROM documents),
+an AS (SELECT doc_id, sha256('reddit:' || doc_id) AS event_id, 'req-' || doc_id AS custom_id, p, n,
+  ['daily-v1', 'group-daily-v2-x', 'news-comment-analysis-v3-emotional-tones'][doc_id % 3 + 1] AS prompt_version, CAST(doc_id % 3 + 1 AS INT) AS schema_version,
+  CASE WHEN doc_id % 3 = 0 AND doc_id % 5 = 0 THEN 'mixed' WHEN p > n THEN 'positive' WHEN p < n THEN 'negative' ELSE 'neutral' END AS sentiment, round(p - n, 6) AS sentiment_score,
+  CASE WHEN doc_id % 29 = 0 THEN 0.9 ELSE round(1 - p - n, 4) END AS u,
+  CASE WHEN doc_id % 3 > 0 THEN ['low', 'medium', 'high', 'extreme'][doc_id % 7 % 4 + 1] END AS polarization, CASE WHEN doc_id % 3 > 0 THEN CAST(doc_id % 12 AS DOUBLE) / 10 END AS polarization_score,
+  [lang, CASE WHEN doc_id % 9 = 0 THEN '  ' WHEN doc_id % 2 = 0 THEN ' Economy ' ELSE 'economy' END, source] AS topics,
+  CASE WHEN doc_id % 4 = 0 THEN [] WHEN doc_id % 13 = 0 THEN [{_duck_tone('hope', 'x', 0.5)}, {_duck_tone('hope', 'y', 0.5)}]
+    ELSE [{_duck_tone('hope', 'jobs', '(doc_id % 5 + 1) / 10.0')}, {_duck_tone('trust', 'rates', 0.3)}, {_duck_tone('relief', '', '(doc_id % 3) / 10.0')}] END AS positive_tones,
+  CASE WHEN doc_id % 6 = 0 THEN [] WHEN doc_id % 17 = 0 THEN [{_duck_tone('envy', 'x', 1)}] ELSE [{_duck_tone('anger', 'prices', 0.625)}, {_duck_tone('sadness', 'rent', 0.375)}] END AS negative_tones,
+  [source, upper(source), CASE doc_id % 8 WHEN 0 THEN 'Return only this' WHEN 1 THEN repeat('ab1', 10) WHEN 2 THEN 'rates – up' WHEN 3 THEN 'café' WHEN 4 THEN 'a b c d e f g' WHEN 5 THEN '  two   blanks ' WHEN 6 THEN '#tag' ELSE ' ' END] AS keywords,
+  strftime(TIMESTAMP '2024-02-01 00:00:00' + to_minutes(doc_id * 13 % 9973), '%Y-%m-%d %H:%M:%S') AS analyzed_at FROM an0)"""
+
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest: a request for each document but every thirteenth."""
+    d = load(spark, sf_dir, "documents").where("doc_id % 13 <> 0")
+    return d.selectExpr("concat('req-', CAST(doc_id AS STRING)) AS custom_id", "concat('batch-', CAST(doc_id % 20 AS STRING)) AS llm_batch_id", "doc_id")
+
+
+def results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results: none for every eleventh document, two for every seventeenth."""
+    d = load(spark, sf_dir, "documents").where("doc_id % 11 <> 0")
+    return d.selectExpr("doc_id", "concat('req-', CAST(doc_id AS STRING)) AS custom_id", "explode(sequence(0, CASE WHEN doc_id % 17 = 0 THEN 1 ELSE 0 END)) AS turn", "CASE WHEN doc_id % 19 > 0 THEN doc_id % 500 + 100 END AS input_tokens", "CASE WHEN doc_id % 19 > 0 THEN doc_id % 50 + 10 END AS output_tokens", "concat('batch-', CAST(doc_id % 20 AS STRING)) AS batch_id")
+
+
+def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty batch jobs."""
+    return spark.range(20).selectExpr(
+        "concat('batch-', CAST(id AS STRING)) AS llm_batch_id",
+        "element_at(array('daily-v1', 'daily-v2', 'daily-v3'), CAST(id % 3 + 1 AS INT)) AS prompt_version",
+        "CASE WHEN id % 4 = 0 THEN 'submitted' ELSE 'completed' END AS status",
+        "id * 10 + 5 AS requested_count",
+        "date_format(TIMESTAMP'2024-03-01 00:00:00' + make_dt_interval(0, CAST(id * 7 % 20 AS INT)), 'yyyy-MM-dd HH:mm:ss') AS created_at",
+        "CASE WHEN id % 5 > 0 THEN date_format(TIMESTAMP'2024-03-01 06:00:00' + make_dt_interval(0, CAST(id * 3 % 20 AS INT)), 'yyyy-MM-dd HH:mm:ss') END AS submitted_at",
+        "CASE WHEN id % 4 > 0 THEN date_format(TIMESTAMP'2024-03-02 00:00:00' + make_dt_interval(0, CAST(id AS INT)), 'yyyy-MM-dd HH:mm:ss') END AS completed_at",
+        "id * 100000 AS input_tokens",
+        "id * 2000 AS output_tokens",
+    )
+
+
+RESULTS_SQL = """man AS (SELECT doc_id, 'req-' || doc_id AS custom_id, 'batch-' || (doc_id % 20) AS llm_batch_id FROM documents WHERE doc_id % 13 <> 0),
+res AS (SELECT doc_id, 'req-' || doc_id AS custom_id, unnest(range(0, CASE WHEN doc_id % 17 = 0 THEN 2 ELSE 1 END)) AS turn, CASE WHEN doc_id % 19 > 0 THEN doc_id % 500 + 100 END AS input_tokens,
+  CASE WHEN doc_id % 19 > 0 THEN doc_id % 50 + 10 END AS output_tokens, 'batch-' || (doc_id % 20) AS batch_id FROM documents WHERE doc_id % 11 <> 0)"""
+JOBS_SQL = """job AS (SELECT 'batch-' || i AS llm_batch_id, ['daily-v1', 'daily-v2', 'daily-v3'][i % 3 + 1] AS prompt_version, CASE WHEN i % 4 = 0 THEN 'submitted' ELSE 'completed' END AS status, i * 10 + 5 AS requested_count,
+  strftime(TIMESTAMP '2024-03-01 00:00:00' + to_hours(i * 7 % 20), '%Y-%m-%d %H:%M:%S') AS created_at,
+  CASE WHEN i % 5 > 0 THEN strftime(TIMESTAMP '2024-03-01 06:00:00' + to_hours(i * 3 % 20), '%Y-%m-%d %H:%M:%S') END AS submitted_at,
+  CASE WHEN i % 4 > 0 THEN strftime(TIMESTAMP '2024-03-02 00:00:00' + to_hours(i), '%Y-%m-%d %H:%M:%S') END AS completed_at, i * 100000 AS input_tokens, i * 2000 AS output_tokens FROM range(20) AS r(i))"""

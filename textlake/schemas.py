@@ -11,11 +11,11 @@ _TYPES = {"engagement": T.LongType(), "schema_version": T.IntegerType(), "metada
 EVENT = T.StructType([T.StructField(f, _TYPES.get(f, T.StringType())) for f in EVENT_FIELDS])
 RAW_EVENT = T.StructType([*EVENT.fields, T.StructField("_corrupt_record", T.StringType())])
 
-MESSAGE = T._parse_datatype_string("key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp")
+MESSAGE = "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp"
 ARCHIVE_COLUMNS = ("id", "body", "created_utc", "subreddit", "score", "link_id", "controversiality")
 
 TONES = "array<struct<tone:string,share:double,drivers:array<string>>>"
-ANALYSIS = T._parse_datatype_string(
+ANALYSIS = (
     "event_id string, custom_id string, model string, prompt_version string, schema_version int, dominant_sentiment string, sentiment_score double, "
     "estimated_sentiment_distribution struct<positive:double,neutral:double,negative:double>, polarization string, polarization_score double, "
     f"positive_tones {TONES}, negative_tones {TONES}, topics array<string>, keywords array<string>, summary string, "

@@ -1,9 +1,9 @@
 """Queries over the driver's tables, and their SQL."""
 
-from . import analysis, ingest
+from . import analysis, ingest, periods, streams
 
 QUERIES: dict = {}
 SQL: dict = {}
-for _module in (ingest, analysis):
+for _module in (ingest, analysis, periods, streams):
     QUERIES |= _module.QUERIES
     SQL |= _module.SQL

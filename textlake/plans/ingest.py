@@ -111,22 +111,23 @@ def q_row_accounting(spark, d):
     return accounting.checked(accounting.account(contract.add_contract(raw(spark, d))))
 
 
-ORDER = [F.col("collected_at"), F.col("doc_id")]
+def order():
+    return [F.col("collected_at"), F.col("doc_id")]
 
 
 @query(f"{EV} SELECT event_id, doc_id, engagement, language FROM ev QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY collected_at, doc_id) = 1")
 def q_dedup_first(spark, d):
-    return dedup.first_wins(views.events(spark, d), ["event_id"], ORDER).select("event_id", "doc_id", "engagement", "language")
+    return dedup.first_wins(views.events(spark, d), ["event_id"], order()).select("event_id", "doc_id", "engagement", "language")
 
 
 @query(f"{EV} SELECT event_id, doc_id, engagement, language FROM ev QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY collected_at DESC, doc_id DESC) = 1")
 def q_dedup_latest(spark, d):
-    return dedup.latest_wins(views.events(spark, d), ["event_id"], ORDER).select("event_id", "doc_id", "engagement", "language")
+    return dedup.latest_wins(views.events(spark, d), ["event_id"], order()).select("event_id", "doc_id", "engagement", "language")
 
 
 @query(f"{EV} SELECT event_id, doc_id FROM ev QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY collected_at, doc_id) > 1")
 def q_dedup_dropped(spark, d):
-    return dedup.duplicates(views.events(spark, d), ["event_id"], ORDER).select("event_id", "doc_id")
+    return dedup.duplicates(views.events(spark, d), ["event_id"], order()).select("event_id", "doc_id")
 
 
 @query(f"{EV} SELECT event_id, arg_min(coalesce(community, '-'), doc_id) AS community, arg_min(md5(text), doc_id) AS text_md5, arg_max(collected_at, doc_id) AS collected_at, arg_max(engagement, doc_id) AS engagement FROM ev GROUP BY event_id")

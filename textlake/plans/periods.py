@@ -180,7 +180,7 @@ def q_keyword_hits(spark, d):
     return views.load(spark, d, "pages").select("page_id", F.array_join(X.keyword_hits(title, ("the", "ING", "straße")), ",").alias("hits"))
 
 
-@query(r"SELECT page_id, trim(regexp_replace(nfc_normalize(replace(replace(replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '""'), '&amp;', '&')), '\s+', ' ', 'g')) AS title FROM pages")
+@query(r"""SELECT page_id, trim(regexp_replace(nfc_normalize(replace(replace(replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&')), '\s+', ' ', 'g')) AS title FROM pages""")
 def q_title_normalize(spark, d):
     return views.load(spark, d, "pages").select("page_id", X.normalize_title(F.regexp_extract("html", "<title>([^<]*)</title>", 1)).alias("title"))
 

@@ -192,3 +192,17 @@ def test_entry_works_without_the_optional_subpackage(spark, monkeypatch):
     assert set(entry.oracle_sql()) <= set(entry.queries()) and entry.entry(spark).columns
     monkeypatch.undo()
     sys.modules.pop("__spark_entry__", None)
+
+
+def test_command_line(spark, sf, tmp_path, capsys):
+    from textlake.__main__ import main
+
+    (tmp_path / "in.jsonl").write_text("\n".join(r.v for r in S.generate(spark, 60).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("v")).collect()) + "\nno\n")
+    main(["batch", "--input", f"{tmp_path}/in.jsonl", "--output", f"{tmp_path}/batch", "--expected-rows", "61"])
+    assert json.loads(capsys.readouterr().out)["unique_rows"] == 59 == spark.read.parquet(f"{tmp_path}/batch/valid").count()
+    views.messages(spark, sf).write.parquet(f"file://{tmp_path}/topic")
+    main(["stream", "--input", f"file://{tmp_path}/topic", "--output", f"file://{tmp_path}/out", "--checkpoint", f"file://{tmp_path}/check", "--watermark", "3650 days"])
+    main(["verify", "--output", f"file://{tmp_path}/out"])
+    main(["bounded", "--input", f"file://{tmp_path}/topic", "--output", f"file://{tmp_path}/run", "--ranges", '[["events", 0, 0, 40]]', "--run-id", "run-0", "--analysis-date", "2024-01-01"])
+    last = json.loads(capsys.readouterr().out.splitlines()[-1])
+    assert last["read_rows"] == 40 and last["run_rows"] + last["foreign_rows"] == 40

@@ -225,3 +225,12 @@ def q_analysis_upsert(spark, d):
 @query(f"{JOB} SELECT min(created_at) AS first_created, max(created_at) AS last_created, string_agg(DISTINCT status, ',' ORDER BY status) AS statuses FROM job")
 def q_batch_context(spark, d):
     return views.jobs(spark, d).agg(F.min("created_at").alias("first_created"), F.max("created_at").alias("last_created"), F.array_join(F.array_sort(F.collect_set("status")), ",").alias("statuses"))
+
+
+@query(f"{AN} SELECT 'run-1' AS run_id, count(*) AS input_rows, count(*) FILTER (sentiment = 'mixed') AS mixed_rows FROM an")
+def q_snapshot_latest(spark, d):
+    """The latest of two runs' snapshots, each a nested row."""
+    an = views.analyses(spark, d)
+    accounts = an.agg(F.count("*").alias("input_rows"), F.count("*").alias("unique_rows"), F.lit(0).cast("long").alias("duplicate_rows"), F.lit(0).cast("long").alias("rejected_rows"))
+    runs = [serving.snapshot(f"run-{i}", accounts, serving.summary(an, "all"), f"2024-01-0{i + 1}") for i in range(2)]
+    return serving.latest(runs[0].unionByName(runs[1]), 1).select("run_id", "accounting.input_rows", "summary.mixed_rows")

@@ -296,3 +296,16 @@ def q_day_group_requests(spark, d):
     pairs = day.withColumn("group_name", F.explode(F.array(*map(F.lit, ("g0", "g1", "g2")))))
     start = F.to_utc_timestamp(F.col("day").cast("timestamp"), "Asia/Seoul")
     return pairs.select(F.col("day").cast("string").alias("day"), "group_name", F.dayofmonth(F.last_day("day")).alias("days_in_month"), F.date_format(start, "yyyy-MM-dd HH:mm:ss").alias("day_start_utc"))
+
+
+@query("WITH a AS (SELECT CASE WHEN url LIKE '%example.com%' THEN 'news-raw' WHEN url LIKE '%example.net%' THEN 'news-llm' END AS bucket, strlen(html) AS b FROM pages WHERE page_id % 10 <> 0) SELECT bucket, count(*) AS artifacts, CAST(sum(b) AS BIGINT) AS bytes FROM a WHERE bucket IS NOT NULL GROUP BY bucket")
+def q_storage_totals(spark, d):
+    folder = F.when(F.col("url").contains("example.com"), "raw").when(F.col("url").contains("example.net"), "llm").otherwise("other")
+    paths = views.load(spark, d, "pages").select(F.octet_length("html").alias("b"), F.concat_ws("/", F.lit("data"), folder, F.concat(F.col("page_id").cast("string"), F.when(F.col("page_id") % 10 == 0, ".tmp").otherwise(".html"))).alias("path"))
+    return S.artifact_routes(paths, "path").where("bucket IS NOT NULL").groupBy("bucket").agg(F.count("*").alias("artifacts"), F.sum("b").alias("bytes"))
+
+
+@query("SELECT month, bytes, round(bytes / 1073741824.0::DOUBLE, 4) AS gib, round(bytes / day(last_day(CAST(month || '-01' AS DATE))) / 1048576.0::DOUBLE, 4) AS average_daily_mib FROM (SELECT '2024-0' || (doc_id % 9 + 1) AS month, CAST(sum(n_chars) * 100000 AS BIGINT) AS bytes FROM documents GROUP BY ALL)")
+def q_month_sizes(spark, d):
+    files = views.load(spark, d, "documents").groupBy(F.concat(F.lit("RC_2024-0"), F.col("doc_id") % 9 + 1, F.lit(".parquet")).alias("name")).agg((F.sum("n_chars") * 100000).alias("bytes"))
+    return S.month_sizes(files)

@@ -100,12 +100,21 @@ def test_large_bucket_path():
     root[rng.random(k) < 0.02] = 0
     pos = rng.integers(0, 9, k)
     gid = [i.to_bytes(4, "big") for i in range(k)]
-    batch = pa.RecordBatch.from_pydict({"token": np.full(k, 3), "gid": pa.array(gid, pa.binary()), "n": n, "pos": pos, "root": root})
+    batch = pa.RecordBatch.from_pydict({"token": np.full(k, 3), "gid": pa.array(gid, pa.binary()), "n": n, "pos": pos, "root": root, "sk": pa.array([None if i % 2 else bytes(J.SKETCH) for i in range(k)], pa.binary())})
     got = sorted(x for b in J.bucket_pairs(90, False)(iter([batch])) for x in zip(b["ga"].to_pylist(), b["gb"].to_pylist()))
     want = sorted((gid[j], gid[i]) for i in range(k) for j in range(i) if n[j] * 100 >= 90 * n[i] and min(n[i] - pos[i], n[j] - pos[j]) >= J.least_overlap(n[i], n[j], 90) and (root[i] != root[j] or root[i] == 0))
     assert got == want
 
 
+def test_small_blocks_and_ranges_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(J, "BLOCK_ENTRIES", 200)
+    monkeypatch.setattr(J, "RANGE_ENTRIES", 64)
+    rows = corpus(4, 250)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in J.near_duplicates(df, 5, 80).collect()), key=repr)
+    assert got == brute(rows, 5, 80)
+
+
 def test_bitmaps_never_exceed_difference():
     rng = np.random.default_rng(1)
     for _ in range(200):

@@ -1,33 +1,44 @@
 """N-gram Jaccard join: a grouped prefix join over sets of word shingles.
 
-Documents with equal sets are one class. A class's prefix is its first shingles in one global order,
-frequent ones last; two sets that are similar enough share a shingle of their prefixes. Classes with
-identical prefix and size are one group; groups that share a prefix shingle are filtered by size and
-place, expanded to classes, filtered by parity bitmaps, and verified on whole sets, which are made
-again for the classes concerned only. Links that a first, linear round finds (neighbours in size
-among groups that share one of their four first shingles) join classes before the main round, which
-then passes over pairs that are connected: a large group of near copies costs no pair of each two.
+Documents with equal sets are one class. A class that has a link misses fewer of its shingles in the
+other set than its prefix is long, so a class of which that many shingles occur in no other set has
+no link and leaves. Of the others, the prefix is the first shingles in one global order, frequent ones
+last; two sets that are similar enough share a shingle of their prefixes. Classes with
+identical prefix and size are one group; groups that share a prefix shingle are filtered by size,
+place and parity sketch, expanded to classes, filtered by larger sketches, and verified on whole
+sets, which are made again for the classes concerned only. Links that a first, linear round finds (neighbours in size
+among classes that share two of the least or two of the largest hashes of their sets) join classes
+before the main round, which then passes over pairs that are connected: a large group of near copies
+costs no pair of each two.
 """
 
 from __future__ import annotations
 
+import collections
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.window import Window
 
 from .components import components
-from .scratch import table, written
+from .scratch import scope, table, written
 from .token_counts import small_batches
 
 #: Documents that a frequency segment holds, and the least count in one for a shingle to be told of.
 SEGMENT, LOCAL = 4096, 3
 #: Shingles in more than one of so many documents are ordered by frequency; at most so many of them.
 SHARE, HEAVY = 2000, 500_000
-FIRST = 4
+#: Keys of the first round from either end of a set's hashes, and rows that it looks back.
+ENDS, BACK = 4, 32
+#: Shingles looked up for ``lonely``, as a multiple of the prefix; of them each block and range has about so many.
+LOOKED_UP, BLOCK_ENTRIES, RANGE_ENTRIES = 1.6, 1 << 19, 1 << 20
+#: Bytes of the sketch that goes with each prefix shingle.
+SKETCH = 64
 
 
 def shingles(text: str | None, n: int) -> np.ndarray:
@@ -58,16 +69,19 @@ def prefix_length(n: int, percent: int) -> int:
 
 def bitmap(s: np.ndarray) -> bytes:
     """Parity of the set's members by hash in 2n bits or more; bits that differ between two sets are members that differ."""
-    bits = max(64, 1 << int(2 * len(s) - 1).bit_length())
+    bits = max(8 * SKETCH, 1 << int(2 * len(s) - 1).bit_length())
     return np.packbits((np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
 
 
-def bits_apart(a: bytes, b: bytes) -> int:
-    while len(a) > len(b):
+def folded(a: bytes, size: int) -> bytes:
+    while len(a) > size:
         half = len(a) // 2
         a = (int.from_bytes(a[:half], "little") ^ int.from_bytes(a[half:], "little")).to_bytes(half, "little")
-    if len(b) > len(a):
-        return bits_apart(b, a)
+    return a
+
+
+def bits_apart(a: bytes, b: bytes) -> int:
+    a, b = folded(a, len(b)), folded(b, len(a))
     return (int.from_bytes(a, "little") ^ int.from_bytes(b, "little")).bit_count()
 
 
@@ -124,11 +138,21 @@ def prefix(s: np.ndarray, length: int, heavy: np.ndarray, rank: np.ndarray) -> n
     return np.concatenate((rare, common[np.argsort(rank[places], kind="stable")][: length - len(rare)]))
 
 
+def first_keys(s: np.ndarray) -> np.ndarray:
+    """Keys under which near copies meet in the first round: neighbours among the least and the largest hashes."""
+    ends = [s] if len(s) <= 2 * ENDS + 2 else [s[: ENDS + 1], s[-ENDS - 1 :]]
+    keys = [x[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ x[1:] if len(x) > 1 else x for x in ends]
+    return np.unique(np.concatenate(keys)).view(np.int64)
+
+
 def described(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, tkey, n, sig, gid, prefix, bits) of ``docs`` (doc_id, tkey, t); sig is null for empty sets."""
+    """(doc_id, tkey, n, sig, gid, ext, bits, first) of ``docs`` (doc_id, tkey, t); sig is null for empty sets.
+
+    ext is the prefix and what follows it in the order, LOOKED_UP times as long.
+    """
     heavy, rank = frequent(docs, n)
     held = docs.sparkSession.sparkContext.broadcast((heavy, rank))
-    types = pa.schema([("doc_id", pa.int64()), ("tkey", pa.binary()), ("n", pa.int64()), ("sig", pa.binary()), ("gid", pa.binary()), ("prefix", pa.list_(pa.int64())), ("bits", pa.binary())])
+    types = pa.schema([("doc_id", pa.int64()), ("tkey", pa.binary()), ("n", pa.int64()), ("sig", pa.binary()), ("gid", pa.binary()), ("ext", pa.list_(pa.int64())), ("bits", pa.binary()), ("first", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -136,21 +160,95 @@ def described(docs: DataFrame, n: int, percent: int) -> DataFrame:
             for t in b["t"].to_pylist():
                 s = shingles(t, n)
                 if not len(s):
-                    rows.append((0, None, None, None, None))
+                    rows.append((0, None, None, None, None, None))
                     continue
-                p = prefix(s, prefix_length(len(s), percent), *held.value)
-                rows.append((len(s), xxhash.xxh3_128_digest(s.tobytes()), xxhash.xxh3_128_digest(p.tobytes() + len(s).to_bytes(8, "little")), p.view(np.int64), bitmap(s)))
-            cols = list(zip(*rows)) or [[]] * 5
+                k = prefix_length(len(s), percent)
+                p = prefix(s, min(len(s), int(LOOKED_UP * k) + 1), *held.value)
+                rows.append((len(s), xxhash.xxh3_128_digest(s.tobytes()), xxhash.xxh3_128_digest(p[:k].tobytes() + len(s).to_bytes(8, "little")), p.view(np.int64), bitmap(s), first_keys(s)))
+            cols = list(zip(*rows)) or [[]] * 6
             yield pa.RecordBatch.from_arrays([b["doc_id"], b["tkey"], *(pa.array(list(c), t) for c, t in zip(cols, types.types[2:]))], schema=types)
 
-    return docs.mapInArrow(run, "doc_id long, tkey binary, n long, sig binary, gid binary, prefix array<long>, bits binary")
+    return docs.mapInArrow(run, "doc_id long, tkey binary, n long, sig binary, gid binary, ext array<long>, bits binary, first array<long>")
+
+
+def lonely(classes: DataFrame, percent: int) -> DataFrame:
+    """sig of the ``classes`` (sig, n, ext) that have no link, as enough of their looked-up shingles are in no other class's.
+
+    Shingles go to ranges of their hashes as packed arrays, six bytes each: 32 bits of the hash and
+    the class's place in its block. What is equal in those bits counts as shared, so no class leaves
+    wrongly. A range answers with the places of shingles that it saw once; a block adds them up. The
+    number of ranges follows the number of shingles, so what a task holds doesn't.
+    """
+    total = classes.agg(F.coalesce(F.sum(F.size("ext")), F.lit(0)).alias("k")).first().k
+    ranges = 1 << max(4, int(total // RANGE_ENTRIES).bit_length())
+    shift = np.uint64(64 - (ranges.bit_length() - 1))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, count = TaskContext.get().partitionId(), 0
+        sigs, need, tokens = [], [], []
+
+        def block() -> pa.RecordBatch:
+            h = np.concatenate(tokens)
+            place = np.repeat(np.arange(len(tokens), dtype=np.uint16), [len(t) for t in tokens])
+            r = (h >> shift).astype(np.int64)
+            order = np.argsort(r, kind="stable")
+            low, place, r = ((h >> (shift - np.uint64(32))) & np.uint64(0xFFFFFFFF)).astype(np.uint32)[order], place[order], r[order]
+            at = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
+            name = part << 32 | count
+            toks = [x.tobytes() for x in np.split(low, at[1:])] + [None]
+            places = [x.tobytes() for x in np.split(place, at[1:])] + [None]
+            none = [None] * len(at)
+            return pa.RecordBatch.from_pydict({"rng": pa.array([*r[at], name % ranges], pa.int64()), "blk": pa.array([name] * (len(at) + 1), pa.int64()), "toks": pa.array(toks, pa.binary()), "places": pa.array(places, pa.binary()), "sigs": pa.array([*none, b"".join(sigs)], pa.binary()), "need": pa.array([*none, np.array(need, np.uint32).tobytes()], pa.binary())})
+
+        for b in batches:
+            for sig, n, ext in zip(b["sig"].to_pylist(), b["n"].to_pylist(), b["ext"]):
+                sigs.append(sig)
+                need.append(prefix_length(n, percent))
+                tokens.append(ext.values.to_numpy().view(np.uint64))
+                if len(sigs) == 65535 or sum(need) > BLOCK_ENTRIES:
+                    yield block()
+                    sigs, need, tokens, count = [], [], [], count + 1
+        if sigs:
+            yield block()
+
+    def once(t: pa.Table) -> pa.Table:
+        blk, toks, places, sigs, need = (t[c].to_pylist() for c in ("blk", "toks", "places", "sigs", "need"))
+        told = [i for i, x in enumerate(toks) if x is not None]
+        rest = [i for i, x in enumerate(toks) if x is None]
+        out = {"blk": [blk[i] for i in rest], "places": [None] * len(rest), "sigs": [sigs[i] for i in rest], "need": [need[i] for i in rest]}
+        if told:
+            each = [np.frombuffer(toks[i], np.uint32) for i in told]
+            every = np.concatenate(each)
+            order = np.argsort(every, kind="stable")
+            new = np.concatenate(([True], every[order][1:] != every[order][:-1], [True]))
+            single = np.empty(len(every), bool)
+            single[order] = new[1:] & new[:-1]
+            for i, mask in zip(told, np.split(single, np.cumsum([len(x) for x in each])[:-1])):
+                out["blk"].append(blk[i])
+                out["places"].append(np.frombuffer(places[i], np.uint16)[mask].tobytes())
+                out["sigs"].append(None)
+                out["need"].append(None)
+        return pa.table({"blk": pa.array(out["blk"], pa.int64()), **{c: pa.array(out[c], pa.binary()) for c in ("places", "sigs", "need")}})
+
+    def add(t: pa.Table) -> pa.Table:
+        sigs, need = (next(x for x in t[c].to_pylist() if x is not None) for c in ("sigs", "need"))
+        need = np.frombuffer(need, np.uint32)
+        seen = np.zeros(len(need), np.int64)
+        for x in t["places"].to_pylist():
+            if x:
+                seen += np.bincount(np.frombuffer(x, np.uint16), minlength=len(need))
+        return pa.table({"sig": pa.array([sigs[16 * i : 16 * i + 16] for i in np.flatnonzero(seen >= need)], pa.binary())})
+
+    packed = classes.select("sig", "n", "ext").mapInArrow(pack, "rng long, blk long, toks binary, places binary, sigs binary, need binary")
+    answered = packed.groupBy("rng").applyInArrow(once, "blk long, places binary, sigs binary, need binary")
+    return answered.groupBy("blk").applyInArrow(add, "sig binary")
 
 
 def bucket_pairs(percent: int, first_round: bool):
-    """For rows (token, gid, n, pos, root) sorted by token and n: candidate pairs of groups.
+    """For rows (token, gid, n, pos, root, sk) sorted by token and n: candidate pairs of groups.
 
-    First round: a row with the one before it and with the first of its bucket that is large enough,
-    held one row at a time. Main round: all rows of a bucket whose sizes fit, except those of one
+    First round: a row with the nearest two of the BACK rows before it whose sketches allow a link.
+    Main round: all rows of a bucket whose sizes, places and sketches allow one, except those of one
     known component; buckets pass through memory one after the other.
     """
 
@@ -158,23 +256,31 @@ def bucket_pairs(percent: int, first_round: bool):
         return pa.RecordBatch.from_pydict({"ga": pa.array(a, pa.binary()), "gb": pa.array(b, pa.binary())})
 
     def linear(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = before = first = None
+        token, back = None, collections.deque(maxlen=BACK)
         for b in batches:
             a, c = [], []
-            for t, g, n in zip(*(b[x].to_pylist() for x in ("token", "gid", "n"))):
-                if t == token:
-                    for o in {before, first}:
-                        if o[1] * 100 >= percent * n:
-                            a.append(o[0])
-                            c.append(g)
-                    first = first if first[1] * 100 >= percent * n else (g, n)
-                else:
-                    token, first = t, (g, n)
-                before = (g, n)
+            for t, g, n, sk in zip(*(b[x].to_pylist() for x in ("token", "gid", "n", "sk"))):
+                sk, found = int.from_bytes(sk, "little"), 0
+                if t != token:
+                    token = t
+                    back.clear()
+                for g2, n2, sk2 in reversed(back):
+                    if n2 * 100 < percent * n or found == 2:
+                        break
+                    if (sk ^ sk2).bit_count() <= n + n2 - 2 * least_overlap(n, n2, percent):
+                        a.append(g2)
+                        c.append(g)
+                        found += 1
+                back.append((g, n, sk))
             yield emit(a, c)
 
-    def fits(n, pos, i, j):
-        return (n[j] * 100 >= percent * n[i]) & (1 + np.minimum(n[i] - pos[i], n[j] - pos[j]) - 1 >= least_overlap(n[i], n[j], percent))
+    def fits(n, pos, root, sk, many, i, j):
+        need = least_overlap(n[i], n[j], percent)
+        ok = (n[j] * 100 >= percent * n[i]) & (np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need) & ((root[i] != root[j]) | (root[i] == 0))
+        at = np.flatnonzero(ok)
+        apart = np.bitwise_count(sk[i[at]] ^ sk[j[at]]).sum(axis=1, dtype=np.int64)
+        ok[at] = many[i[at]] | many[j[at]] | (apart <= n[i[at]] + n[j[at]] - 2 * need[at])
+        return ok
 
     def all_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[pa.RecordBatch] = []
@@ -197,6 +303,9 @@ def bucket_pairs(percent: int, first_round: bool):
         token, n, pos = (rows[x].to_numpy() for x in ("token", "n", "pos"))
         root = rows["root"].to_numpy(zero_copy_only=False)  # NaN-free: 0 stands for a group of several components
         gid = rows["gid"]
+        blank = bytes(SKETCH)
+        sk = np.frombuffer(b"".join([x or blank for x in rows["sk"].to_pylist()]), np.uint64).reshape(len(token), SKETCH // 8)
+        many = ~rows["sk"].is_valid().to_numpy(zero_copy_only=False)  # groups of several classes have no sketch
         starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
         ends = np.append(starts[1:], len(token))
         large = np.flatnonzero(ends - starts > 256)
@@ -211,7 +320,7 @@ def bucket_pairs(percent: int, first_round: bool):
             j = active - d
             ok = n[j] * 100 >= percent * n[active]
             active, j = active[ok], j[ok]
-            good = fits(n, pos, active, j) & ((root[active] != root[j]) | (root[active] == 0))
+            good = fits(n, pos, root, sk, many, active, j)
             if good.any():
                 yield emit(gid.take(pa.array(j[good])), gid.take(pa.array(active[good])))
             d += 1
@@ -228,7 +337,7 @@ def bucket_pairs(percent: int, first_round: bool):
                 j = np.arange(lo, hi)
                 j = j[(j < i) | ((j > i) & ~is_odd[j - a])]
                 s, t = np.minimum(i, j), np.maximum(i, j)
-                good = fits(n, pos, t, s) & ((root[s] != root[t]) | (root[s] == 0))
+                good = fits(n, pos, root, sk, many, t, s)
                 if good.any():
                     yield emit(gid.take(pa.array(s[good])), gid.take(pa.array(t[good])))
 
@@ -236,9 +345,9 @@ def bucket_pairs(percent: int, first_round: bool):
 
 
 def group_pairs(groups: DataFrame, percent: int, first_round: bool) -> DataFrame:
-    """Distinct candidate pairs (ga, gb) of ``groups`` (gid, n, prefix, root)."""
-    tokens = F.slice("prefix", 1, FIRST) if first_round else F.col("prefix")
-    entries = groups.select("gid", "n", "root", F.posexplode(tokens).alias("pos", "token")).select("token", "gid", "n", F.col("pos").cast("long").alias("pos"), "root")
+    """Distinct candidate pairs (ga, gb) of ``groups`` (gid, n, root, and first or prefix and sk)."""
+    tokens = F.col("first" if first_round else "prefix")
+    entries = groups.select("gid", "n", "root", "sk", F.posexplode(tokens).alias("pos", "token")).select("token", "gid", "n", F.col("pos").cast("long").alias("pos"), "root", "sk")
     dealt = entries.repartition("token").sortWithinPartitions("token", "n", "gid")
     found = dealt.mapInArrow(bucket_pairs(percent, first_round), "ga binary, gb binary")
     return found.select(F.least("ga", "gb").alias("ga"), F.greatest("ga", "gb").alias("gb")).distinct()
@@ -261,10 +370,9 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, perc
 
     left = written(both.mapInArrow(sift, "a binary, b binary"), "pairs")
     wanted = left.select(F.col("a").alias("sig")).unionByName(left.select(F.col("b").alias("sig"))).distinct()
-    wanted = written(classes.join(wanted, "sig", "left_semi").select("sig", "tkey"), "wanted")
+    wanted = written(classes.join(wanted, "sig", "left_semi").select(F.col("least").alias("w_id"), F.col("tkey").alias("w_key")).distinct(), "wanted")
     few = wanted.count() <= broadcast_ids
-    keys = wanted.select("tkey").distinct()
-    texts = docs.join(F.broadcast(keys) if few else keys, "tkey", "left_semi").select("t")
+    texts = docs.join(F.broadcast(wanted) if few else wanted, (docs["tkey"] == F.col("w_key")) & docs["doc_id"].eqNullSafe(F.col("w_id")), "left_semi").select("t")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in batches:
@@ -286,6 +394,11 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, perc
     return written(full.select("a", "b", "sa", "sb").mapInArrow(test, "a binary, b binary"), "links")
 
 
+@F.pandas_udf(T.BinaryType())
+def sketch(bits: pd.Series) -> pd.Series:
+    return bits.map(lambda b: folded(b, SKETCH))
+
+
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, tkey (md5 of the text), n_shingles, component_id of each row of ``docs``.
 
@@ -295,33 +408,37 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     """
     small_batches(docs.sparkSession)
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), F.unhex(F.md5(F.coalesce(docs[text_col], F.lit("")).cast("binary"))).alias("tkey"), docs[text_col].alias("t"))
-    every = written(described(rows, n, percent), "shingle-sets")
-    classes = every.where("sig IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("least"), F.count("*").alias("members"), *[F.first(c).alias(c) for c in ("n", "gid", "prefix", "bits", "tkey")])
-    classes = written(classes, "shingle-classes")
-
-    def grouped(rooted: DataFrame) -> DataFrame:
-        return rooted.groupBy("gid").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.min("sig").alias("rep"), F.when(F.min("root") == F.max("root"), F.xxhash64(F.min("root"))).otherwise(F.lit(0).cast("long")).alias("root"))
-
-    skinny = classes.select("gid", "sig", "n", "prefix", F.col("sig").alias("root"))
-    groups = grouped(skinny)
-    rep = lambda x: groups.select(F.col("gid").alias(f"g{x}"), F.col("rep").alias(x))
-    pairs = group_pairs(groups, percent, True).join(rep("a"), "ga").join(rep("b"), "gb").select("a", "b")
-    within = skinny.join(groups.select("gid", "rep"), "gid").where("sig <> rep").select(F.col("rep").alias("a"), F.col("sig").alias("b"))
-    first = verified(pairs.unionByName(within), classes, rows, n, percent)
+    with scope(docs.sparkSession):
+        every = written(described(rows, n, percent), "shingle-sets")
+        known = linked_classes(every, rows, n, percent)
+        out = every.select("doc_id", "tkey", "n", "sig").join(known, "sig", "left")
+        return written(out.select("doc_id", "tkey", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")), "near-copies", keep=True)
+
+
+def linked_classes(every: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame:
+    """(sig, component) of the classes of several rows or with a link; the others are their own component."""
+    one = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("d"), F.col("tkey").alias("t")))
+    classes = every.where("sig IS NOT NULL").groupBy("sig").agg(one.alias("one"), F.count("*").alias("members"), *[F.first(c).alias(c) for c in ("n", "gid", "ext", "bits", "first")])
+    every_class = written(classes.withColumns({"least": F.col("one.d"), "tkey": F.col("one.t")}).drop("one"), "shingle-classes")
+    left = written(every_class.join(lonely(every_class, percent), "sig", "left_anti").withColumn("sk", sketch(F.col("bits"))), "shingle-suspects")
+    classes = left.withColumn("prefix", F.slice("ext", F.lit(1), (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))).drop("ext")
+
+    met = group_pairs(classes.select(F.col("sig").alias("gid"), "n", "first", "sk", F.lit(0).cast("long").alias("root")), percent, True)
+    groups = classes.groupBy("gid").agg(F.min("sig").alias("rep"))
+    within = classes.join(groups, "gid").where("sig <> rep").select(F.col("rep").alias("a"), F.col("sig").alias("b"))
+    first = verified(met.select(F.col("ga").alias("a"), F.col("gb").alias("b")).unionByName(within).distinct(), classes, rows, n, percent)
     roots = written(components(first), "roots")
-    rooted = written(classes.select("gid", "sig", "n", "prefix").join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig")), "rooted")
-    groups = grouped(rooted)
+    rooted = written(classes.select("gid", "sig", "n", "prefix", "sk").join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig")), "rooted")
+    one_root = F.when(F.min("root") == F.max("root"), F.xxhash64(F.min("root"))).otherwise(F.lit(0).cast("long"))
+    groups = rooted.groupBy("gid").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.when(F.count("*") == 1, F.first("sk")).alias("sk"), one_root.alias("root"))
     met = group_pairs(groups, percent, False).unionByName(groups.where("root = 0").select(F.col("gid").alias("ga"), F.col("gid").alias("gb")))
     member = lambda x: rooted.select(F.col("gid").alias(f"g{x}"), F.col("sig").alias(x), F.col("root").alias(f"r{x}"))
     pairs = met.join(member("a"), "ga").join(member("b"), "gb").where("ra <> rb AND (ga <> gb OR a < b)").select("a", "b").distinct()
     second = verified(pairs, classes, rows, n, percent)
     roots = components(first.unionByName(second))
-    linked = classes.select("sig", "least", "members").join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+    linked = every_class.select("sig", "least", "members").join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     smallest = linked.groupBy("root").agg(F.min("least").alias("component"), F.count("*").alias("k"))
-    # classes of one row that link with nothing need no join: their component is their own id
-    known = written(linked.join(smallest, "root").where("k > 1 OR members > 1").select("sig", "component"), "near-components")
-    out = every.select("doc_id", "tkey", "n", "sig").join(known, "sig", "left")
-    return out.select("doc_id", "tkey", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    return written(linked.join(smallest, "root").where("k > 1 OR members > 1").select("sig", "component"), "near-components")
 
 
 def query(spark, sf_dir) -> DataFrame:

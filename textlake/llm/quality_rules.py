@@ -8,10 +8,12 @@ takes its language's sketch, or that of all. Fences from the quartiles then join
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from .scratch import table, written
+from .scratch import scope, table, written
 
 SPACE = r"[\x20\x09-\x0D]+"
 #: Figures: name, numerator, denominator, scale, least slack in scaled units, whether low values fail too.
@@ -150,10 +152,19 @@ def query(spark, sf_dir) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"), ["doc_id"]).select("doc_id", *BASE, "base_failed", "kept")
 
 
-def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules keep."""
+def stage(spark, docs: DataFrame, sf_dir: str, broadcast_rows: int = 1_000_000) -> DataFrame:
+    """Documents that the rules keep.
+
+    The verdicts are a small table; the rows that go are joined away by id, text, language and
+    source, broadcast where their counted number is at most ``broadcast_rows``.
+    """
     cols = ["doc_id", "text", "lang", "source", "n_chars"]
-    return judge(docs, cols).where("kept").select(*cols)
+    keyed = docs.select(*cols).withColumn("tkey", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
+    keys = ["doc_id", "tkey", "lang", "source"]
+    with scope(spark):
+        gone = written(judge(keyed, keys).where("NOT kept").select(*[F.col(k).alias(f"g_{k}") for k in keys]).distinct(), "quality-gone", keep=True)
+    same = [keyed[k].eqNullSafe(gone[f"g_{k}"]) for k in keys]
+    return keyed.join(F.broadcast(gone) if gone.count() <= broadcast_rows else gone, functools.reduce(Column.__and__, same), "left_anti").select(*cols)
 
 
 SQL = r"""

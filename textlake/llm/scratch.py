@@ -6,9 +6,11 @@ Everything that is needed twice is written as Parquet below the folder that the
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,10 +25,32 @@ def fresh(spark: SparkSession, name: str) -> str:
     return f"{root(spark).rstrip('/')}/textlake/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+#: Paths that each open scope removes at its end, innermost last.
+_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables written within when it ends, except those written with ``keep``.
+
+    For operators that read their tables many times and return only a last, small one; what they
+    return must not read the others.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """``df`` as a table in the shared folder: lineage is cut, and no executor holds the only copy."""
     spark = df.sparkSession
     path = fresh(spark, name)
+    if _scopes and not keep:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

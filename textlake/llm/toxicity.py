@@ -312,7 +312,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 3000, windows_e
             yield pa.RecordBatch.from_pydict({"y": pa.array(labels, pa.int32()), "w": pa.array(windows, pa.list_(pa.string()))})
 
     got = picked.select("t", "y").mapInArrow(cut, "y int, w array<string>").toPandas()
-    sample = sorted((int(y), [w.split(" ") for w in ws]) for y, ws in zip(got.y, got.w))
+    pool: dict[str, str] = {}  # one object a distinct word
+    sample = sorted((int(y), [[pool.setdefault(x, x) for x in w.split(" ")] for w in ws]) for y, ws in zip(got.y, got.w))
+    del got
     return fit(sample)
 
 

@@ -61,14 +61,16 @@ def add_quality(events: DataFrame, text: str = "text", when: str | None = None)
     t = F.when(F.col(when), F.col(text)) if when else F.col(text)
     df = events.withColumn("_q", t)
     q = F.col("_q")
-    sanitized = F.regexp_replace(q, f"{CONTROL}|[{ZERO_WIDTH}]", "")
-    df = df.withColumn("text_clean", strip(kernels.nfc(sanitized)))
-    clean = F.col("text_clean")
-    compact = F.regexp_replace(clean, WHITE, "")
+    # each step that several others read is a column of its own, so no pattern runs twice
+    df = df.withColumn("_safe", F.regexp_replace(q, f"{CONTROL}|[{ZERO_WIDTH}]", ""))
+    df = df.withColumn("_nfc", kernels.nfc(F.col("_safe")))
+    df = df.withColumn("text_clean", strip(F.col("_nfc")))
+    clean, compact, urls = F.col("text_clean"), F.col("_compact"), F.col("_urls")
+    df = df.withColumns({"_compact": F.regexp_replace(clean, WHITE, ""), "_urls": matches(clean, URL)})
     df = df.withColumn("_r", kernels.repetition(F.when(F.length(compact) >= REPETITION_CHARACTERS, compact)))
-    urls = matches(clean, URL)
     covered = F.aggregate(urls, F.lit(0), lambda a, u: a + F.length(u))
-    marks = matches(clean, f"{combining_class()}+")
+    # no character under U+0300 combines, so most texts need only one cheap test
+    marks = F.when(clean.rlike(r"[\x{300}-\x{10ffff}]"), matches(clean, f"{combining_class()}+"))
     four = lambda x: F.round(x, 4)
     some = lambda c: F.when(q.isNotNull(), c)
     df = df.withColumns(
@@ -108,4 +110,4 @@ def add_quality(events: DataFrame, text: str = "text", when: str | None = None)
     df = df.withColumn("exclusion_reason", reason)
     rejected = F.col("exclusion_reason").isin("SOURCE_TOMBSTONE", "EMPTY_AFTER_NORMALIZATION")
     status = F.when(rejected, "reject").when(F.col("exclusion_reason").isNotNull(), "quarantine").when(F.size("quality_flags") > 0, "flag").otherwise("accept")
-    return df.withColumn("quality_status", some(status)).drop("_q", "_r")
+    return df.withColumn("quality_status", some(status)).drop("_q", "_safe", "_nfc", "_compact", "_urls", "_r")

@@ -206,3 +206,17 @@ def test_command_line(spark, sf, tmp_path, capsys):
     main(["bounded", "--input", f"file://{tmp_path}/topic", "--output", f"file://{tmp_path}/run", "--ranges", '[["events", 0, 0, 40]]', "--run-id", "run-0", "--analysis-date", "2024-01-01"])
     last = json.loads(capsys.readouterr().out.splitlines()[-1])
     assert last["read_rows"] == 40 and last["run_rows"] + last["foreign_rows"] == 40
+
+
+def test_dates(spark):
+    from textlake.functions import dates
+
+    days = lambda *a, **k: [str(r.day) for r in dates.analysis_days(spark, *a, **k).collect()]
+    assert days("2024-03-01T14:59:00Z") == ["2024-02-29"] and days("2024-03-01T15:00:00+00:00", "2024-01-01", "2024-01-02", scheduled=True) == ["2024-03-01"]
+    assert days("2024-03-01T00:00:00Z", "2024-02-28", "2024-03-01") == ["2024-02-28", "2024-02-29", "2024-03-01"]
+    for bad in (("2024-03-01T00:00:00",), ("2024-03-01T00:00:00Z", "2024-01-01"), ("2024-03-01T00:00:00Z", "2024-01-02", "2024-01-01")):
+        with pytest.raises(ValueError):
+            days(*bad)
+    a, z = dates.day_bounds(F.lit("2024-01-02").cast("date"))
+    r = spark.range(1).select(a.alias("a"), z.alias("z"), *[c.alias(f"e{i}") for i, c in enumerate(dates.epoch_bounds(F.to_date(F.lit("1970-01-02")), F.to_date(F.lit("1970-01-03"))))]).first()
+    assert (str(r.a), str(r.z), r.e0, r.e1) == ("2024-01-01 15:00:00", "2024-01-02 15:00:00", 86400, 259200)

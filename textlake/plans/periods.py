@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import kernels, text as X
+from ..functions import dates, text as X
 from ..operators import groups as G
 from ..operators import intervals, logs, sampling
 from ..sources import events as S
@@ -309,3 +309,10 @@ def q_storage_totals(spark, d):
 def q_month_sizes(spark, d):
     files = views.load(spark, d, "documents").groupBy(F.concat(F.lit("RC_2024-0"), F.col("doc_id") % 9 + 1, F.lit(".parquet")).alias("name")).agg((F.sum("n_chars") * 100000).alias("bytes"))
     return S.month_sizes(files)
+
+
+@query("SELECT CAST(CAST(ts + INTERVAL 9 HOUR AS DATE) AS VARCHAR) AS local_day, count(*) AS row_count, min(epoch(CAST(ts AS DATE))::BIGINT) AS first_epoch FROM events GROUP BY ALL")
+def q_local_days(spark, d):
+    t = F.col("ts").cast("timestamp")
+    rows = views.load(spark, d, "events").select(dates.local_day(t).cast("string").alias("local_day"), dates.epoch_bounds(F.to_date("ts"), F.to_date("ts"))[0].alias("e"))
+    return rows.groupBy("local_day").agg(F.count("*").alias("row_count"), F.min("e").alias("first_epoch"))

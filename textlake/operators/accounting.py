@@ -38,8 +38,12 @@ def length_summary(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def frequency(df: DataFrame, items: str, name: str) -> DataFrame:
-    """Rows by item of the array column ``items``."""
-    return df.select(F.explode(items).alias(name)).groupBy(name).agg(F.count("*").alias("row_count"))
+    """Rows by item of the array column ``items``; null items and arrays count nowhere.
+
+    The outer explode keeps the optimizer from testing the array's size below it, which would make
+    the array twice.
+    """
+    return df.select(F.explode_outer(items).alias(name)).where(F.col(name).isNotNull()).groupBy(name).agg(F.count("*").alias("row_count"))
 
 
 def label_counts(df: DataFrame, *by: str) -> DataFrame:

@@ -2,11 +2,12 @@
 
 Documents with equal sets are one class. A class that has a link misses fewer of its shingles in the
 other set than its prefix is long, so a class of which that many shingles occur in no other set has
-no link and leaves. Of the others, the prefix is the first shingles in one global order, frequent ones
+no link and leaves: first by some shingles of each class, then by all shingles of those that are
+left, among each other. Of the others, the prefix is the first shingles in one global order, frequent ones
 last; two sets that are similar enough share a shingle of their prefixes. Classes with
 identical prefix and size are one group; groups that share a prefix shingle are filtered by size,
 place and parity sketch, expanded to classes, filtered by larger sketches, and verified on whole
-sets, which are made again for the classes concerned only. Links that a first, linear round finds (neighbours in size
+sets. Links that a first, linear round finds (neighbours in size
 among classes that share two of the least or two of the largest hashes of their sets) join classes
 before the main round, which then passes over pairs that are connected: a large group of near copies
 costs no pair of each two.
@@ -172,20 +173,22 @@ def described(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 def lonely(classes: DataFrame, percent: int) -> DataFrame:
-    """sig of the ``classes`` (sig, n, ext) that have no link, as enough of their looked-up shingles are in no other class's.
+    """sig of the ``classes`` (sig, n, ext or all: s) that have no link, as enough of these shingles are in no other class's.
 
     Shingles go to ranges of their hashes as packed arrays, six bytes each: 32 bits of the hash and
     the class's place in its block. What is equal in those bits counts as shared, so no class leaves
     wrongly. A range answers with the places of shingles that it saw once; a block adds them up. The
     number of ranges follows the number of shingles, so what a task holds doesn't.
     """
-    total = classes.agg(F.coalesce(F.sum(F.size("ext")), F.lit(0)).alias("k")).first().k
+    whole = "s" in classes.columns
+    size = F.octet_length("s") / 8 if whole else F.size("ext")
+    total = classes.agg(F.coalesce(F.sum(size), F.lit(0)).alias("k")).first().k
     ranges = 1 << max(4, int(total // RANGE_ENTRIES).bit_length())
     shift = np.uint64(64 - (ranges.bit_length() - 1))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, count = TaskContext.get().partitionId(), 0
-        sigs, need, tokens = [], [], []
+        sigs, need, tokens, held = [], [], [], 0
 
         def block() -> pa.RecordBatch:
             h = np.concatenate(tokens)
@@ -201,13 +204,14 @@ def lonely(classes: DataFrame, percent: int) -> DataFrame:
             return pa.RecordBatch.from_pydict({"rng": pa.array([*r[at], name % ranges], pa.int64()), "blk": pa.array([name] * (len(at) + 1), pa.int64()), "toks": pa.array(toks, pa.binary()), "places": pa.array(places, pa.binary()), "sigs": pa.array([*none, b"".join(sigs)], pa.binary()), "need": pa.array([*none, np.array(need, np.uint32).tobytes()], pa.binary())})
 
         for b in batches:
-            for sig, n, ext in zip(b["sig"].to_pylist(), b["n"].to_pylist(), b["ext"]):
+            for sig, n, x in zip(b["sig"].to_pylist(), b["n"].to_pylist(), b[2]):
                 sigs.append(sig)
                 need.append(prefix_length(n, percent))
-                tokens.append(ext.values.to_numpy().view(np.uint64))
-                if len(sigs) == 65535 or sum(need) > BLOCK_ENTRIES:
+                tokens.append(np.frombuffer(x.as_buffer(), np.uint64) if whole else x.values.to_numpy().view(np.uint64))
+                held += len(tokens[-1])
+                if len(sigs) == 65535 or held > BLOCK_ENTRIES:
                     yield block()
-                    sigs, need, tokens, count = [], [], [], count + 1
+                    sigs, need, tokens, held, count = [], [], [], 0, count + 1
         if sigs:
             yield block()
 
@@ -239,7 +243,7 @@ def lonely(classes: DataFrame, percent: int) -> DataFrame:
                 seen += np.bincount(np.frombuffer(x, np.uint16), minlength=len(need))
         return pa.table({"sig": pa.array([sigs[16 * i : 16 * i + 16] for i in np.flatnonzero(seen >= need)], pa.binary())})
 
-    packed = classes.select("sig", "n", "ext").mapInArrow(pack, "rng long, blk long, toks binary, places binary, sigs binary, need binary")
+    packed = classes.select("sig", "n", "s" if whole else "ext").mapInArrow(pack, "rng long, blk long, toks binary, places binary, sigs binary, need binary")
     answered = packed.groupBy("rng").applyInArrow(once, "blk long, places binary, sigs binary, need binary")
     return answered.groupBy("blk").applyInArrow(add, "sig binary")
 
@@ -353,12 +357,25 @@ def group_pairs(groups: DataFrame, percent: int, first_round: bool) -> DataFrame
     return found.select(F.least("ga", "gb").alias("ga"), F.greatest("ga", "gb").alias("gb")).distinct()
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int, broadcast_ids: int = 1_000_000) -> DataFrame:
-    """The links (a, b) among ``pairs`` (a, b: sig) of classes.
+def whole_sets(classes: DataFrame, docs: DataFrame, n: int, broadcast_ids: int = 1_000_000) -> DataFrame:
+    """(sig, n, s) of ``classes``: all shingles, made again from one text of each.
 
-    Pairs that the bitmaps rule out go first. Whole sets are then made from one text of each class
-    concerned; the texts' ids are broadcast where their counted number is at most ``broadcast_ids``.
+    The texts' ids are broadcast where their counted number is at most ``broadcast_ids``.
     """
+    wanted = written(classes.select(F.col("least").alias("w_id"), F.col("tkey").alias("w_key")).distinct(), "wanted")
+    few = wanted.count() <= broadcast_ids
+    texts = docs.join(F.broadcast(wanted) if few else wanted, (docs["tkey"] == F.col("w_key")) & docs["doc_id"].eqNullSafe(F.col("w_id")), "left_semi").select("t")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r in batches:
+            made = [shingles(t, n).tobytes() for t in r["t"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(x) for x in made], pa.binary()), pa.array([len(x) // 8 for x in made], pa.int64()), pa.array(made, pa.binary())], ["sig", "n", "s"])
+
+    return written(texts.mapInArrow(sets, "sig binary, n long, s binary").groupBy("sig").agg(F.first("n").alias("n"), F.first("s").alias("s")), "sets")
+
+
+def verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The links (a, b) among ``pairs`` (a, b: sig) of classes; pairs that the bitmaps rule out go before ``sets`` are read."""
     side = lambda x: classes.select(F.col("sig").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"bits{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
 
@@ -370,16 +387,7 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, n: int, perc
 
     left = written(both.mapInArrow(sift, "a binary, b binary"), "pairs")
     wanted = left.select(F.col("a").alias("sig")).unionByName(left.select(F.col("b").alias("sig"))).distinct()
-    wanted = written(classes.join(wanted, "sig", "left_semi").select(F.col("least").alias("w_id"), F.col("tkey").alias("w_key")).distinct(), "wanted")
-    few = wanted.count() <= broadcast_ids
-    texts = docs.join(F.broadcast(wanted) if few else wanted, (docs["tkey"] == F.col("w_key")) & docs["doc_id"].eqNullSafe(F.col("w_id")), "left_semi").select("t")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for r in batches:
-            made = [shingles(t, n).tobytes() for t in r["t"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(x) for x in made], pa.binary()), pa.array(made, pa.binary())], ["sig", "s"])
-
-    one = written(texts.mapInArrow(sets, "sig binary, s binary").groupBy("sig").agg(F.first("s").alias("s")), "sets")
+    one = sets.join(wanted, "sig", "left_semi")
     full = left.join(one.select(F.col("sig").alias("a"), F.col("s").alias("sa")), "a").join(one.select(F.col("sig").alias("b"), F.col("s").alias("sb")), "b")
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -420,13 +428,15 @@ def linked_classes(every: DataFrame, rows: DataFrame, n: int, percent: int) -> D
     one = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("d"), F.col("tkey").alias("t")))
     classes = every.where("sig IS NOT NULL").groupBy("sig").agg(one.alias("one"), F.count("*").alias("members"), *[F.first(c).alias(c) for c in ("n", "gid", "ext", "bits", "first")])
     every_class = written(classes.withColumns({"least": F.col("one.d"), "tkey": F.col("one.t")}).drop("one"), "shingle-classes")
-    left = written(every_class.join(lonely(every_class, percent), "sig", "left_anti").withColumn("sk", sketch(F.col("bits"))), "shingle-suspects")
+    left = written(every_class.join(lonely(every_class, percent), "sig", "left_anti"), "shingle-suspects")
+    sets = whole_sets(left, rows, n)
+    left = written(left.join(lonely(sets, percent), "sig", "left_anti").withColumn("sk", sketch(F.col("bits"))), "shingle-suspects")
     classes = left.withColumn("prefix", F.slice("ext", F.lit(1), (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))).drop("ext")
 
     met = group_pairs(classes.select(F.col("sig").alias("gid"), "n", "first", "sk", F.lit(0).cast("long").alias("root")), percent, True)
     groups = classes.groupBy("gid").agg(F.min("sig").alias("rep"))
     within = classes.join(groups, "gid").where("sig <> rep").select(F.col("rep").alias("a"), F.col("sig").alias("b"))
-    first = verified(met.select(F.col("ga").alias("a"), F.col("gb").alias("b")).unionByName(within).distinct(), classes, rows, n, percent)
+    first = verified(met.select(F.col("ga").alias("a"), F.col("gb").alias("b")).unionByName(within).distinct(), classes, sets, percent)
     roots = written(components(first), "roots")
     rooted = written(classes.select("gid", "sig", "n", "prefix", "sk").join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig")), "rooted")
     one_root = F.when(F.min("root") == F.max("root"), F.xxhash64(F.min("root"))).otherwise(F.lit(0).cast("long"))
@@ -434,7 +444,7 @@ def linked_classes(every: DataFrame, rows: DataFrame, n: int, percent: int) -> D
     met = group_pairs(groups, percent, False).unionByName(groups.where("root = 0").select(F.col("gid").alias("ga"), F.col("gid").alias("gb")))
     member = lambda x: rooted.select(F.col("gid").alias(f"g{x}"), F.col("sig").alias(x), F.col("root").alias(f"r{x}"))
     pairs = met.join(member("a"), "ga").join(member("b"), "gb").where("ra <> rb AND (ga <> gb OR a < b)").select("a", "b").distinct()
-    second = verified(pairs, classes, rows, n, percent)
+    second = verified(pairs, classes, sets, percent)
     roots = components(first.unionByName(second))
     linked = every_class.select("sig", "least", "members").join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     smallest = linked.groupBy("root").agg(F.min("least").alias("component"), F.count("*").alias("k"))

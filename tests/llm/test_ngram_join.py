@@ -78,6 +78,20 @@ def test_against_brute_force(spark, n, percent):
     assert got == brute(rows, n, percent)
 
 
+@pytest.mark.parametrize("n, percent", [(3, 90), (5, 80), (3, 95)])
+def test_all_sizes_that_just_reach_the_threshold(spark, n, percent):
+    rows = []
+    for a in range(1, 51):
+        for b in range(-(-percent * a // 100), a + 1):
+            if (o := J.least_overlap(a, b, percent)) <= b:
+                word = lambda kind, k: [f"{kind}{len(rows)}x{j}" for j in range(k)]  # noqa: E731, B023
+                both = word("s", o + n - 1)
+                rows += [(len(rows), " ".join(word("a", a - o) + both)), (len(rows) + 1, " ".join(both + word("b", b - o)))]
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in J.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), n, percent).collect()), key=repr)
+    assert got == brute(rows, n, percent)
+    assert all(c == d - d % 2 for d, _, c in got)
+
+
 def test_frequent_order_gives_the_same(spark, monkeypatch):
     monkeypatch.setattr(J, "SHARE", 30)
     monkeypatch.setattr(J, "SEGMENT", 100)

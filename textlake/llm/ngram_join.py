@@ -2,7 +2,8 @@
 
 Documents with equal sets are one class. A class that has a link misses fewer of its shingles in the
 other set than its prefix is long, so a class of which that many shingles occur in no other set has
-no link and leaves: first by some shingles of each class, then by all shingles of those that are
+no link and leaves: first by some shingles of each class (in a few small sizes one more has to be
+alone, as the other class's looked-up part can be shorter), then by all shingles of those that are
 left, among each other. Of the others, the prefix is the first shingles in one global order, frequent ones
 last; two sets that are similar enough share a shingle of their prefixes. Classes with
 identical prefix and size are one group; groups that share a prefix shingle are filtered by size,
@@ -16,6 +17,7 @@ costs no pair of each two.
 from __future__ import annotations
 
 import collections
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -68,6 +70,26 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def looked_up(n, percent: int):
+    """Length of ``ext`` of sets of ``n``."""
+    return np.minimum(n, (LOOKED_UP * prefix_length(n, percent)).astype(np.int64) + 1)
+
+
+@functools.lru_cache(1 << 16)
+def least_alone(n: int, percent: int) -> int:
+    """Shingles of ``ext`` of a set of ``n`` that have to be in no other ``ext`` for the set to have no link.
+
+    A set of b that links misses at most b - o and n - o shingles, o the least overlap. The common
+    shingles of both exts are the first in one order, so of x and y looked up at most
+    max(n - o, x - y + b - o) of the x aren't among the y. For most sizes that is the prefix's length
+    less one; in small sets rounding makes it more.
+    """
+    b = np.arange(-(-percent * n // 100), 100 * n // percent + 1)
+    o = least_overlap(n, b, percent)
+    most = np.maximum(n - o, looked_up(np.array(n), percent) - looked_up(b, percent) + b - o)
+    return int(most[o <= np.minimum(n, b)].max()) + 1
+
+
 def bitmap(s: np.ndarray) -> bytes:
     """Parity of the set's members by hash in 2n bits or more; bits that differ between two sets are members that differ."""
     bits = max(8 * SKETCH, 1 << int(2 * len(s) - 1).bit_length())
@@ -164,7 +186,7 @@ def described(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     rows.append((0, None, None, None, None, None))
                     continue
                 k = prefix_length(len(s), percent)
-                p = prefix(s, min(len(s), int(LOOKED_UP * k) + 1), *held.value)
+                p = prefix(s, int(looked_up(np.array(len(s)), percent)), *held.value)
                 rows.append((len(s), xxhash.xxh3_128_digest(s.tobytes()), xxhash.xxh3_128_digest(p[:k].tobytes() + len(s).to_bytes(8, "little")), p.view(np.int64), bitmap(s), first_keys(s)))
             cols = list(zip(*rows)) or [[]] * 6
             yield pa.RecordBatch.from_arrays([b["doc_id"], b["tkey"], *(pa.array(list(c), t) for c, t in zip(cols, types.types[2:]))], schema=types)
@@ -206,7 +228,7 @@ def lonely(classes: DataFrame, percent: int) -> DataFrame:
         for b in batches:
             for sig, n, x in zip(b["sig"].to_pylist(), b["n"].to_pylist(), b[2]):
                 sigs.append(sig)
-                need.append(prefix_length(n, percent))
+                need.append(prefix_length(n, percent) if whole else least_alone(n, percent))
                 tokens.append(np.frombuffer(x.as_buffer(), np.uint64) if whole else x.values.to_numpy().view(np.uint64))
                 held += len(tokens[-1])
                 if len(sigs) == 65535 or held > BLOCK_ENTRIES:

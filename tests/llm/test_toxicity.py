@@ -34,6 +34,19 @@ def test_windows_cover_every_word():
         assert all(any(a <= k < a + T.WINDOW for a in s) for k in range(n))
 
 
+def test_long_words_count_whole():
+    net = T.Network(T.new_parameters())
+    for n in (65, 96, 97, 300, 10_000):
+        w = "".join(chr(0x4E00 + i) for i in range(n))
+        pieces = T.words_of("a " + w + " b")[1:-1]
+        assert pieces[0] == w[:64] and pieces[-1] == w[32 * (len(pieces) - 1) :] and all(32 < len(x) <= 64 for x in pieces)
+        assert pieces[0] + "".join(x[32:] for x in pieces[1:]) == w
+        middle = w[: n // 2 - 3] + "insult" + w[n // 2 + 3 :]
+        one, other = net.logits([T.words_of(w), T.words_of(middle)])
+        assert T.words_of(middle) != pieces and (n > 1000 or one != other)
+    assert T.words_of("x" * 64 + " y") == ["x" * 64, "y"]
+
+
 def make(rng, n, bad):
     words = ["".join(rng.choice(["ka", "lo", "mi", "tre"]) for _ in range(3)) for _ in range(n)]
     if bad:

@@ -1,7 +1,7 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
-A word's input is a hashed word vector next to the mean of its hashed character 3- and 4-gram
-vectors. Windows of 64 words that overlap by half cover a text from its first word to its last; a
+Words over 64 characters (text without spaces) are cut into overlapping pieces, each a word. A word's
+input is a hashed word vector next to the mean of its hashed character 3- and 4-gram vectors. Windows of 64 words that overlap by half cover a text from its first word to its last; a
 forward and a backward GRU read each, attention pools the states, and a linear layer gives a logit.
 A text's logit is its highest window's; a logistic fit on sample rows kept apart makes it a score.
 """
@@ -23,7 +23,7 @@ from .token_counts import small_batches
 WORDS = re.compile(r"\w+")
 WINDOW, STRIDE = 64, 32
 HASHED, CHARS, WORD_DIM, HIDDEN, ATTEND = 1 << 14, 16, 8, 12, 12
-#: Words whose gate inputs one Python worker keeps, windows that run at once, characters of a word that count.
+#: Words whose gate inputs one Python worker keeps, windows that run at once, most characters of a word.
 CACHED, BLOCK, WORD_CHARS = 150_000, 1024, 64
 
 
@@ -32,7 +32,12 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORDS.findall(text.lower()) if text else []
+    """Words of ``text``, lower-cased; those over WORD_CHARS as pieces of so many that overlap by half, to the end."""
+    words = WORDS.findall(text.lower()) if text else []
+    if not words or max(map(len, words)) <= WORD_CHARS:
+        return words
+    half = WORD_CHARS // 2
+    return [w[s : s + WORD_CHARS] for w in words for s in (range(0, len(w) - half, half) if len(w) > WORD_CHARS else (0,))]
 
 
 def starts(n: int) -> range:
@@ -44,7 +49,6 @@ class Inputs:
     """Hashes of distinct words: one word hash each, and the hashes of all character n-grams in a row."""
 
     def __init__(self, words: list[str]):
-        words = [w if len(w) <= WORD_CHARS else w[: WORD_CHARS // 2] + w[-WORD_CHARS // 2 :] for w in words]
         self.word = np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) % HASHED for w in words], np.int64)
         c = np.frombuffer((" " + " ".join(words) + " ").encode("utf-32-le", "surrogatepass"), np.uint32)
         inner, owner = c != 32, np.cumsum(c == 32) - 1

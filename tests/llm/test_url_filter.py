@@ -41,6 +41,15 @@ def test_mined_rules_and_listed_rules(spark):
     ]
 
 
+def test_all_parts_make_rules(spark):
+    bad = [("http://1xbet.example%d.org/a%d" % (i, i), True) for i in range(30)] + [("http://b%d.org/en/shop/casino/x/%d" % (i, i), True) for i in range(30)] + [("http://c%d.org/?id=%d&kind=pills" % (i, i), True) for i in range(30)]
+    long = [("http://d.org/" + "/".join(f"deep{k}" for k in range(40)), True)] * 30  # 2 ** 40 sets of tokens
+    good = [("http://e%d.org/en/shop/books/x/%d?id=%d&kind=books" % (i, i, i), False) for i in range(300)]
+    pages = [(1, "http://www.1xbet.com/"), (2, "http://z.com/de/q/casino"), (3, "http://z.com/?kind=pills#x"), (4, "http://z.com/deep7"), (5, "http://z.com/en/shop/1?id=2&kind=books"), (6, "http://xbet.com/2/3.4")]
+    out = judge(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(bad + long + good, "url string, bad boolean"), ["page_id"], rules=())
+    assert {r.page_id: r.verdict for r in out.collect()} == {1: "block", 2: "block", 3: "block", 4: "block", 5: "allow", 6: "allow"}
+
+
 def test_shuffled_join_gives_the_same(spark):
     labels, pages = spark.createDataFrame(LABELS, "url string, bad boolean"), rows(spark, [(i, u, None, None) for i, (u, _) in enumerate(LABELS)])
     a = judge(pages, labels, ["page_id"], least_rows=20).collect()

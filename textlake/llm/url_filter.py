@@ -2,7 +2,8 @@
 
 A URL becomes a set of tokens. FP-growth over labelled URLs finds token sets that come with the bad
 label; those with enough support, confidence and lift are rules, less the ones that a shorter rule
-covers. A rule is filed under its rarest token, so a URL meets only rules that share it, and
+covers. Tokens that are in the same labelled URLs are mined as one, so that deep paths of which many
+are alike don't make a rule of each subset. A rule is filed under its rarest token, so a URL meets only rules that share it, and
 distinct token sets meet them, not URLs. Listed host and path rules come first.
 """
 
@@ -27,14 +28,16 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 
 def tokens(host: Column, path: Column, url: Column) -> Column:
-    """Distinct tokens: parts of the host, first two parts of the path, names in the query; none has only digits."""
+    """Distinct tokens: parts of the host, parts of the path, names and values in the query; none has only digits and dots."""
     mark = lambda a, m: F.transform(a, lambda x: F.concat(F.lit(m), x))
+    asked = F.regexp_extract(url, r"[?]([^#]*)", 1)
     parts = F.concat(
         mark(F.split(host, "[.-]"), "h:"),
-        mark(F.slice(F.split(F.regexp_replace(path, "^/", ""), "/"), 1, 2), "p:"),
-        mark(F.regexp_extract_all(F.regexp_extract(url, r"[?]([^#]*)", 1), F.lit(r"(?:^|&)([^=&]+)"), 1), "q:"),
+        mark(F.split(F.regexp_replace(path, "^/", ""), "/"), "p:"),
+        mark(F.regexp_extract_all(asked, F.lit(r"(?:^|&)([^=&]+)"), 1), "q:"),
+        mark(F.regexp_extract_all(asked, F.lit(r"(?:^|&)[^=&]*=([^&]+)"), 1), "v:"),
     )
-    return F.array_sort(F.array_distinct(F.filter(F.coalesce(parts, F.array()), lambda x: x.rlike(r"^..\D*[^\d.]"))))
+    return F.array_sort(F.array_distinct(F.filter(F.coalesce(parts, F.array()), lambda x: x.rlike(r"(?s)^...*[^\d.]"))))
 
 
 def listed_rule(host: Column, path: Column, rules=LISTED) -> Column:
@@ -46,8 +49,11 @@ def listed_rule(host: Column, path: Column, rules=LISTED) -> Column:
     return out
 
 
-def mine(labelled: DataFrame, support: float = 0.002, confidence: float = 0.8, lift: float = 1.5, least_rows: int = 30) -> DataFrame:
-    """Rules (antecedent, rare: its rarest token, confidence, support) from ``labelled`` (tokens, bad).
+def mine(labelled: DataFrame, support: float = 0.002, confidence: float = 0.8, lift: float = 1.5, least_rows: int = 30) -> tuple[DataFrame, DataFrame]:
+    """Rules (antecedent, rare: its rarest token, confidence, support) from ``labelled`` (tokens, bad), and (token, rep).
+
+    Rules speak of rep, the least of the tokens that are in the same labelled rows; any of these
+    stands for it, as each would make the same rule. Tokens without a rep are in no rule.
 
     FP-growth spreads its conditional trees over partitions; an item set needs ``support`` of all
     labelled rows and ``least_rows`` of them, so their number doesn't follow the input. No labelled
@@ -55,11 +61,16 @@ def mine(labelled: DataFrame, support: float = 0.002, confidence: float = 0.8, l
     """
     spark = labelled.sparkSession
     empty = "antecedent array<string>, rare string, confidence double, support double"
-    rows = labelled.select(F.array_append("tokens", F.when(F.col("bad"), F.lit(BAD)).otherwise(F.lit(GOOD))).alias("items"))
-    rows = written(rows, "url-labelled")
+    rows = written(labelled.select("tokens", "bad"), "url-labelled")
     n = rows.count()
     if n < least_rows:
-        return spark.createDataFrame([], empty)
+        return spark.createDataFrame([], empty), spark.createDataFrame([], "token string, rep string")
+    each = rows.withColumn("row", F.monotonically_increasing_id()).select("row", "bad", F.explode_outer("tokens").alias("token"))
+    where = each.where("token IS NOT NULL").groupBy("token").agg(F.count("*").alias("k"), F.sum(F.xxhash64("row").cast("decimal(38,0)")).alias("h"), F.min("row").alias("r"))
+    alike = where.where(F.col("k") >= max(support * n, least_rows - 0.5)).groupBy("k", "h", "r").agg(F.min("token").alias("rep"), F.collect_list("token").alias("tokens"))
+    same = written(alike.select(F.explode("tokens").alias("token"), "rep"), "url-tokens")  # as many as tokens can have the support
+    items = F.array_append(F.collect_set("rep"), F.when(F.col("bad"), F.lit(BAD)).otherwise(F.lit(GOOD)))
+    rows = written(each.join(F.broadcast(same), "token", "left").groupBy("row", "bad").agg(items.alias("items")), "url-items")
     model = FPGrowth(itemsCol="items", minSupport=max(support, (least_rows - 0.5) / n), minConfidence=confidence).fit(rows)
     frequent = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
     found = model.associationRules.where((F.col("consequent")[0] == BAD) & (F.col("lift") >= lift) & ~F.array_contains("antecedent", GOOD))
@@ -69,7 +80,7 @@ def mine(labelled: DataFrame, support: float = 0.002, confidence: float = 0.8, l
     covered = found.withColumn("token", F.explode("antecedent")).join(shorter, "token").where((F.size("s") < F.size("antecedent")) & (F.size(F.array_except("s", "antecedent")) == 0))
     found = found.join(covered.select("antecedent").distinct(), "antecedent", "left_anti")
     rare = found.select("*", F.explode("antecedent").alias("token")).join(frequent, "token").groupBy("antecedent", "confidence", "support").agg(F.min_by("token", F.struct("freq", "token")).alias("rare"))
-    return written(rare.select("antecedent", "rare", "confidence", "support"), "url-index")
+    return written(rare.select("antecedent", "rare", "confidence", "support"), "url-index"), same
 
 
 def judge(pages: DataFrame, labels: DataFrame, carry: list[str], url_col: str = "url", rules=LISTED, broadcast_sets: int = 100_000, **mining) -> DataFrame:
@@ -86,13 +97,14 @@ def judge(pages: DataFrame, labels: DataFrame, carry: list[str], url_col: str =
         return df.select(*keep, df[url].alias("uf_url"), host.alias("uf_host"), path.alias("uf_path")).withColumn("uf_tokens", tokens(F.col("uf_host"), F.col("uf_path"), F.col("uf_url")))
 
     known = parsed(labels, "url", [labels["bad"].alias("bad")]).where("bad IS NOT NULL").select(F.col("uf_tokens").alias("tokens"), "bad")
-    index = mine(known, **mining)
+    index, same = mine(known, **mining)
     rows = parsed(pages, url_col, [pages[c].alias(f"uf_c{i}") for i, c in enumerate(carry)])
     rows = rows.withColumns({"uf_rule": listed_rule(F.col("uf_host"), F.col("uf_path"), rules), "uf_key": F.array_join("uf_tokens", " ")})
     if index.isEmpty():
         rows = rows.withColumn("uf_bad", F.lit(False))
     else:
         sets = rows.where("uf_rule IS NULL").select("uf_key", "uf_tokens").distinct()
+        sets = sets.select("uf_key", F.explode("uf_tokens").alias("token")).join(F.broadcast(same), "token").groupBy("uf_key").agg(F.collect_set("rep").alias("uf_tokens"))
         met = sets.select("uf_key", "uf_tokens", F.explode("uf_tokens").alias("rare")).join(index, "rare")
         bad = written(met.where(F.size(F.array_except("antecedent", "uf_tokens")) == 0).select("uf_key").distinct().withColumn("uf_hit", F.lit(True)), "url-blocked")
         rows = rows.join(F.broadcast(bad) if bad.count() <= broadcast_sets else bad, "uf_key", "left").withColumn("uf_bad", F.coalesce("uf_hit", F.lit(False)))

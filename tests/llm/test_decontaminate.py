@@ -1,5 +1,6 @@
 import random
 
+from textlake.llm import decontaminate as D
 from textlake.llm.decontaminate import Matcher, leaks, masks_of, nearest, normal, pieces
 
 
@@ -56,3 +57,11 @@ def test_rows_and_blocks(spark):
         assert got == [(1, 1, 1), (1, 1, 1), (4, 4, 2), (5, 1, 0)]
     assert leaks(df.limit(0), items, ["doc_id"]).count() == 0
     assert leaks(df, items.limit(0), ["doc_id"]).count() == 0
+
+
+def test_stage_finds_items_without_id(spark, tmp_path):
+    items = [(1, "one two three four five six"), (None, "seven eight nine ten eleven"), (None, None), (None, "...")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = [(1, "so: seven eight nine ten eleven."), (2, "one two three four five six"), (3, "neither"), (4, None)]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in docs], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.doc_id for r in D.stage(spark, df, str(tmp_path)).collect()) == [3, 4]

@@ -134,11 +134,11 @@ def find_items(docs: DataFrame, items: DataFrame, rate: float = 0.1, block_bytes
 
     Items are a stated query set that meets every document: their bytes are summed first, and they
     are sent to the executors in blocks of ``block_bytes`` at most (plus one item), one column a
-    block. Null and empty texts hold nothing; null and empty items (after normalizing) are nowhere;
-    repeated items are one; an item under 1 / rate characters has to occur exactly.
+    block. Null and empty texts hold nothing; null and empty texts of items (after normalizing) are nowhere;
+    items without an id are found like others; repeated items are one; an item under 1 / rate characters has to occur exactly.
     """
     small_batches(docs.sparkSession)
-    items = items.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t")).where("i IS NOT NULL AND t IS NOT NULL").distinct()
+    items = items.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t")).where("t IS NOT NULL").distinct()
     total = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0)).alias("b")).first().b
     n = -(-total // block_bytes) or 1
     columns = []
@@ -149,8 +149,8 @@ def find_items(docs: DataFrame, items: DataFrame, rate: float = 0.1, block_bytes
 
 
 def leaks(docs: DataFrame, items: DataFrame, carry: list[str], rate: float = 0.1, **names) -> DataFrame:
-    """``carry`` columns, item_id, distance, item_chars: one row for each row of ``docs`` and item found in it."""
-    hits = find_items(docs, items, rate, **names)
+    """``carry`` columns, item_id, distance, item_chars: one row for each row of ``docs`` and item with an id found in it."""
+    hits = find_items(docs, items.where(F.col(names.get("item_id", "item_id")).isNotNull()), rate, **names)
     rows = docs.select(*[docs[c].alias(f"dc_{i}") for i, c in enumerate(carry)], hits.alias("dc_hits"))
     return rows.select(*[F.col(f"dc_{i}").alias(c) for i, c in enumerate(carry)], F.inline("dc_hits"))
 
@@ -160,6 +160,6 @@ def query(spark, sf_dir) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item, whether it has an id or not."""
     cols = ["doc_id", "text", "lang", "source", "n_chars"]
     return docs.select(*cols).where(F.size(find_items(docs, table(spark, sf_dir, "benchmark"))) == 0)

@@ -103,21 +103,43 @@ def test_frequent_order_gives_the_same(spark, monkeypatch):
     assert got == brute(rows, 3, 90)
 
 
-def test_large_bucket_path():
-    """Buckets over 256 rows give the pairs that all pairs would."""
-    import pyarrow as pa
-
-    rng = np.random.default_rng(2)
-    k = 600
-    n = np.sort(rng.integers(90, 130, k))
-    root = np.where(rng.random(k) < 0.7, 5, rng.integers(6, 9, k))
+def bucket(k, seed, roots):
+    rng = np.random.default_rng(seed)
+    n, pos, root = rng.integers(90, 130, k), rng.integers(0, 9, k), np.where(rng.random(k) < 0.7, 5, rng.integers(6, 6 + roots, k))
     root[rng.random(k) < 0.02] = 0
-    pos = rng.integers(0, 9, k)
-    gid = [i.to_bytes(4, "big") for i in range(k)]
-    batch = pa.RecordBatch.from_pydict({"token": np.full(k, 3), "gid": pa.array(gid, pa.binary()), "n": n, "pos": pos, "root": root, "sk": pa.array([None if i % 2 else bytes(J.SKETCH) for i in range(k)], pa.binary())})
-    got = sorted(x for b in J.bucket_pairs(90, False)(iter([batch])) for x in zip(b["ga"].to_pylist(), b["gb"].to_pylist()))
-    want = sorted((gid[j], gid[i]) for i in range(k) for j in range(i) if n[j] * 100 >= 90 * n[i] and min(n[i] - pos[i], n[j] - pos[j]) >= J.least_overlap(n[i], n[j], 90) and (root[i] != root[j] or root[i] == 0))
-    assert got == want
+    return [(3, i.to_bytes(4, "big"), int(n[i]), int(pos[i]), int(root[i]), None if i % 2 else bytes(J.SKETCH)) for i in range(k)]
+
+
+@pytest.mark.parametrize("k, roots, cell", [(600, 3, 256), (600, 3, 40), (500, 400, 64), (200, 3, 256), (300, 1, 10)])
+def test_cells_give_all_pairs_of_a_bucket(spark, monkeypatch, k, roots, cell):
+    """A bucket dealt to cells gives every pair that its rows, sizes, places and components ask for, and no cell is large."""
+    monkeypatch.setattr(J, "CELL", cell)
+    rows = bucket(k, 2, roots)
+    entries = spark.createDataFrame(rows + [(7, *r[1:]) for r in rows[:9]], "token long, gid binary, n long, pos long, root long, sk binary")
+    dealt = J.dealt(entries, False).cache()
+    sizes = [r["count"] for r in dealt.groupBy("cell").count().collect()]
+    assert k <= cell or max(sizes) <= 3 * cell + 30
+    found = dealt.repartition("cell").sortWithinPartitions("cell", "n", "gid").mapInArrow(J.bucket_pairs(90, False), "ga binary, gb binary")
+    got = {tuple(sorted((bytes(r.ga), bytes(r.gb)))) for r in found.collect()}
+    fits = lambda a, b: 100 * min(a[2], b[2]) >= 90 * max(a[2], b[2]) and min(a[2] - a[3], b[2] - b[3]) >= J.least_overlap(a[2], b[2], 90) and (a[4] != b[4] or a[4] == 0)
+    assert got == {tuple(sorted((a[1], b[1]))) for i, a in enumerate(rows) for b in rows[:i] if fits(a, b)}
+
+
+def test_first_round_connects_a_crowded_bucket(spark):
+    rows = [(3, i.to_bytes(4, "big"), 100 + i % 5, 0, 0, bytes(J.SKETCH)) for i in range(5000)]
+    dealt = J.dealt(spark.createDataFrame(rows, "token long, gid binary, n long, pos long, root long, sk binary"), True).cache()
+    assert max(r["count"] for r in dealt.groupBy("cell").count().collect()) < 2 * J.CELL
+    found = dealt.repartition("cell").sortWithinPartitions("cell", "n", "gid").mapInArrow(J.bucket_pairs(90, True), "ga binary, gb binary").collect()
+    root = {r[1]: r[1] for r in rows}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for r in found:
+        root[find(bytes(r.ga))] = find(bytes(r.gb))
+    assert len(found) < 15_000 and len({find(x) for x in root}) == 1
 
 
 def test_small_blocks_and_ranges_give_the_same(spark, monkeypatch):

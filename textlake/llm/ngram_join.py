@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.window import Window
 
 from .components import components
-from .scratch import scope, table, written
+from .scratch import if_small, scope, table, written
 from .token_counts import small_batches
 
 #: Documents that a frequency segment holds, and the least count in one for a shingle to be told of.
@@ -42,6 +42,10 @@ ENDS, BACK = 4, 32
 LOOKED_UP, BLOCK_ENTRIES, RANGE_ENTRIES = 1.6, 1 << 19, 1 << 20
 #: Bytes of the sketch that goes with each prefix shingle.
 SKETCH = 64
+#: Rows of a bucket that meet in one cell, and the share (one in so many) that also meet other cells' rows in the first round.
+CELL, DELEGATES = 256, 16
+#: Sides of rows in a cell: those of the two facing sides meet, and those without a side meet each other.
+FACING, ALONE = (0, 1), 2
 
 
 def shingles(text: str | None, n: int) -> np.ndarray:
@@ -271,24 +275,24 @@ def lonely(classes: DataFrame, percent: int) -> DataFrame:
 
 
 def bucket_pairs(percent: int, first_round: bool):
-    """For rows (token, gid, n, pos, root, sk) sorted by token and n: candidate pairs of groups.
+    """For rows (cell, side, gid, n, pos, root, sk) sorted by cell and n: candidate pairs of groups.
 
     First round: a row with the nearest two of the BACK rows before it whose sketches allow a link.
-    Main round: all rows of a bucket whose sizes, places and sketches allow one, except those of one
-    known component; buckets pass through memory one after the other.
+    Main round: all rows of a cell whose sides, sizes, places and sketches allow one, except those of
+    one known component. A worker holds some cells at a time, and a cell has about 2 * CELL rows at most.
     """
 
     def emit(a, b) -> pa.RecordBatch:
         return pa.RecordBatch.from_pydict({"ga": pa.array(a, pa.binary()), "gb": pa.array(b, pa.binary())})
 
     def linear(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token, back = None, collections.deque(maxlen=BACK)
+        cell, back = None, collections.deque(maxlen=BACK)
         for b in batches:
             a, c = [], []
-            for t, g, n, sk in zip(*(b[x].to_pylist() for x in ("token", "gid", "n", "sk"))):
+            for t, g, n, sk in zip(*(b[x].to_pylist() for x in ("cell", "gid", "n", "sk"))):
                 sk, found = int.from_bytes(sk, "little"), 0
-                if t != token:
-                    token = t
+                if t != cell:
+                    cell = t
                     back.clear()
                 for g2, n2, sk2 in reversed(back):
                     if n2 * 100 < percent * n or found == 2:
@@ -300,93 +304,100 @@ def bucket_pairs(percent: int, first_round: bool):
                 back.append((g, n, sk))
             yield emit(a, c)
 
-    def fits(n, pos, root, sk, many, i, j):
-        need = least_overlap(n[i], n[j], percent)
-        ok = (n[j] * 100 >= percent * n[i]) & (np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need) & ((root[i] != root[j]) | (root[i] == 0))
-        at = np.flatnonzero(ok)
-        apart = np.bitwise_count(sk[i[at]] ^ sk[j[at]]).sum(axis=1, dtype=np.int64)
-        ok[at] = many[i[at]] | many[j[at]] | (apart <= n[i[at]] + n[j[at]] - 2 * need[at])
-        return ok
-
     def all_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: list[pa.RecordBatch] = []
+        rest, held = [], 0
         for b in batches:
             if not b.num_rows:
                 continue
             rest.append(b)
-            if sum(x.num_rows for x in rest) < 20_000:
+            held += b.num_rows
+            if held < 20_000:
                 continue
             whole = pa.Table.from_batches(rest).combine_chunks().to_batches()[0]
-            tokens = whole["token"].to_numpy()
-            last = int(np.searchsorted(tokens, tokens[-1]))  # the last bucket may go on
+            cells = whole["cell"].to_numpy()
+            last = int(np.searchsorted(cells, cells[-1]))  # the last cell may go on
             if last:
                 yield from of(whole.slice(0, last))
-            rest = [whole.slice(last)]
+            rest, held = [whole.slice(last)], whole.num_rows - last
         if rest:
             yield from of(pa.Table.from_batches(rest).combine_chunks().to_batches()[0])
 
     def of(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        token, n, pos = (rows[x].to_numpy() for x in ("token", "n", "pos"))
-        root = rows["root"].to_numpy(zero_copy_only=False)  # NaN-free: 0 stands for a group of several components
-        gid = rows["gid"]
-        blank = bytes(SKETCH)
-        sk = np.frombuffer(b"".join([x or blank for x in rows["sk"].to_pylist()]), np.uint64).reshape(len(token), SKETCH // 8)
+        cell, side, n, pos, root = (rows[x].to_numpy(zero_copy_only=False) for x in ("cell", "side", "n", "pos", "root"))
+        gid, blank = rows["gid"], bytes(SKETCH)
+        sk = np.frombuffer(b"".join([x or blank for x in rows["sk"].to_pylist()]), np.uint64).reshape(len(cell), SKETCH // 8)
         many = ~rows["sk"].is_valid().to_numpy(zero_copy_only=False)  # groups of several classes have no sketch
-        starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
-        ends = np.append(starts[1:], len(token))
-        large = np.flatnonzero(ends - starts > 256)
-        active = np.arange(len(token))
-        for k in large:
-            active = active[(active < starts[k]) | (active >= ends[k])]
-        d = 1
+        active, d = np.arange(1, len(cell)), 1
         while len(active):
             j = active - d
-            ok = (j >= 0) & (token[j] == token[active])
-            active = active[ok]
-            j = active - d
-            ok = n[j] * 100 >= percent * n[active]
-            active, j = active[ok], j[ok]
-            good = fits(n, pos, root, sk, many, active, j)
-            if good.any():
-                yield emit(gid.take(pa.array(j[good])), gid.take(pa.array(active[good])))
+            go_on = (cell[j] == cell[active]) & (n[j] * 100 >= percent * n[active])
+            i, j = active[go_on], j[go_on]
+            need = least_overlap(n[i], n[j], percent)
+            meet = (side[i] + side[j] == FACING[0] + FACING[1]) | (side[i] == ALONE) & (side[j] == ALONE)
+            ok = meet & (np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need) & ((root[i] != root[j]) | (root[i] == 0))
+            at = np.flatnonzero(ok)
+            apart = np.bitwise_count(sk[i[at]] ^ sk[j[at]]).sum(axis=1, dtype=np.int64)
+            at = at[many[i[at]] | many[j[at]] | (apart <= n[i[at]] + n[j[at]] - 2 * need[at])]
+            if len(at):
+                yield emit(gid.take(pa.array(j[at])), gid.take(pa.array(i[at])))
             d += 1
-        for k in large:
-            a, z = int(starts[k]), int(ends[k])
-            names, counts = np.unique(root[a:z], return_counts=True)
-            main = names[counts.argmax()]
-            odd = np.flatnonzero((root[a:z] != main) | (root[a:z] == 0)) + a  # pairs within ``main`` are connected
-            is_odd = np.zeros(z - a, bool)
-            is_odd[odd - a] = True
-            for i in odd:
-                lo = a + int(np.searchsorted(n[a:z] * 100, percent * n[i]))
-                hi = a + int(np.searchsorted(n[a:z], n[i] * 100 // percent, side="right"))
-                j = np.arange(lo, hi)
-                j = j[(j < i) | ((j > i) & ~is_odd[j - a])]
-                s, t = np.minimum(i, j), np.maximum(i, j)
-                good = fits(n, pos, root, sk, many, t, s)
-                if good.any():
-                    yield emit(gid.take(pa.array(s[good])), gid.take(pa.array(t[good])))
+            active = i[i >= d]
 
     return linear if first_round else all_pairs
 
 
+def crowded(entries: DataFrame) -> DataFrame:
+    """(token, k, main, m) of buckets over CELL rows: their rows, the component that most of these have, and rows that have it."""
+    counts = entries.groupBy("token", "root").agg(F.count("*").alias("c"))
+    largest = F.max(F.when(F.col("root") != 0, F.struct("c", "root")))
+    sums = counts.groupBy("token").agg(F.sum("c").alias("k"), largest.alias("top")).where(F.col("k") > CELL)
+    return sums.select("token", "k", F.coalesce("top.root", F.lit(0).cast("long")).alias("main"), F.coalesce("top.c", F.lit(0).cast("long")).alias("m"))
+
+
+#: Cells of a crowded bucket's row in the first round: its own, and one with other cells' rows for one row in DELEGATES ** level.
+LEVELS = f"""transform(filter(sequence(0, CAST(ceil(log({{d}}, k / {{c}})) AS INT)), l -> pmod(xxhash64(token, gid), CAST(power({{d}}, l) AS BIGINT)) = 0),
+  l -> struct(xxhash64(token, l, pmod(xxhash64(gid, l), CAST(ceil(k / ({{c}} * power({{d}}, l))) AS BIGINT))) AS cell, {ALONE} AS side))"""
+#: In the main round: rows of the main component in blocks against the others in blocks, and these blocks against each other.
+GRID = f"""CASE WHEN root = main AND main <> 0 THEN CASE WHEN ko = 0 THEN array() ELSE transform(sequence(0, ko - 1), p -> struct(xxhash64(token, 0, p, pmod(h, km)) AS cell, {FACING[1]} AS side)) END
+  ELSE concat(CASE WHEN km = 0 THEN array() ELSE transform(sequence(0, km - 1), q -> struct(xxhash64(token, 0, pmod(h, ko), q) AS cell, {FACING[0]} AS side)) END,
+    transform(sequence(0, ko - 1), j -> struct(xxhash64(token, 1, least(pmod(h, ko), j), greatest(pmod(h, ko), j)) AS cell,
+      CASE WHEN pmod(h, ko) = j THEN {ALONE} WHEN pmod(h, ko) < j THEN {FACING[0]} ELSE {FACING[1]} END AS side))) END"""
+
+
+def dealt(entries: DataFrame, first_round: bool) -> DataFrame:
+    """``entries`` (token, gid, n, pos, root, sk) in cells of bounded size: (cell, side, gid, n, pos, root, sk).
+
+    A bucket of up to CELL rows is a cell. In the first round a crowded one is dealt by hash, and ever
+    fewer delegates of its cells meet at further levels, so near copies of one bucket still connect.
+    In the main round every pair that isn't in the main component meets in one cell: of blocks of the
+    other rows with blocks of the main component's, and of the others among each other. Cells that
+    share a hash only make pairs that needn't be.
+    """
+    big = if_small(written(crowded(entries), "crowded"))
+    rows = entries.join(big, "token", "left").withColumn("h", F.xxhash64("gid"))
+    if first_round:
+        cells = F.expr(LEVELS.format(d=DELEGATES, c=CELL))
+    else:
+        blocks = lambda c: F.ceil(c / CELL).cast("long")
+        rows = rows.withColumns({"km": blocks(F.col("m")), "ko": blocks(F.col("k") - F.col("m"))})
+        cells = F.expr(GRID)
+    cells = F.when(F.col("k").isNull(), F.array(F.struct(F.col("token").alias("cell"), F.lit(ALONE).alias("side")))).otherwise(cells)
+    return rows.select(F.inline(cells), "gid", "n", "pos", "root", "sk")
+
+
 def group_pairs(groups: DataFrame, percent: int, first_round: bool) -> DataFrame:
     """Distinct candidate pairs (ga, gb) of ``groups`` (gid, n, root, and first or prefix and sk)."""
     tokens = F.col("first" if first_round else "prefix")
     entries = groups.select("gid", "n", "root", "sk", F.posexplode(tokens).alias("pos", "token")).select("token", "gid", "n", F.col("pos").cast("long").alias("pos"), "root", "sk")
-    dealt = entries.repartition("token").sortWithinPartitions("token", "n", "gid")
-    found = dealt.mapInArrow(bucket_pairs(percent, first_round), "ga binary, gb binary")
+    rows = dealt(entries, first_round).repartition("cell").sortWithinPartitions("cell", "n", "gid")
+    found = rows.mapInArrow(bucket_pairs(percent, first_round), "ga binary, gb binary")
     return found.select(F.least("ga", "gb").alias("ga"), F.greatest("ga", "gb").alias("gb")).distinct()
 
 
-def whole_sets(classes: DataFrame, docs: DataFrame, n: int, broadcast_ids: int = 1_000_000) -> DataFrame:
-    """(sig, n, s) of ``classes``: all shingles, made again from one text of each.
-
-    The texts' ids are broadcast where their counted number is at most ``broadcast_ids``.
-    """
+def whole_sets(classes: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+    """(sig, n, s) of ``classes``: all shingles, made again from one text of each."""
     wanted = written(classes.select(F.col("least").alias("w_id"), F.col("tkey").alias("w_key")).distinct(), "wanted")
-    few = wanted.count() <= broadcast_ids
-    texts = docs.join(F.broadcast(wanted) if few else wanted, (docs["tkey"] == F.col("w_key")) & docs["doc_id"].eqNullSafe(F.col("w_id")), "left_semi").select("t")
+    texts = docs.join(if_small(wanted), (docs["tkey"] == F.col("w_key")) & docs["doc_id"].eqNullSafe(F.col("w_id")), "left_semi").select("t")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in batches:
@@ -462,7 +473,7 @@ def linked_classes(every: DataFrame, rows: DataFrame, n: int, percent: int) -> D
     roots = written(components(first), "roots")
     rooted = written(classes.select("gid", "sig", "n", "prefix", "sk").join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig")), "rooted")
     one_root = F.when(F.min("root") == F.max("root"), F.xxhash64(F.min("root"))).otherwise(F.lit(0).cast("long"))
-    groups = rooted.groupBy("gid").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.when(F.count("*") == 1, F.first("sk")).alias("sk"), one_root.alias("root"))
+    groups = written(rooted.groupBy("gid").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.when(F.count("*") == 1, F.first("sk")).alias("sk"), one_root.alias("root")), "prefix-groups")
     met = group_pairs(groups, percent, False).unionByName(groups.where("root = 0").select(F.col("gid").alias("ga"), F.col("gid").alias("gb")))
     member = lambda x: rooted.select(F.col("gid").alias(f"g{x}"), F.col("sig").alias(x), F.col("root").alias(f"r{x}"))
     pairs = met.join(member("a"), "ga").join(member("b"), "gb").where("ra <> rb AND (ga <> gb OR a < b)").select("a", "b").distinct()
@@ -477,11 +488,11 @@ def query(spark, sf_dir) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), 3, 90).select("doc_id", "n_shingles", "component_id")
 
 
-def stage(spark, docs: DataFrame, sf_dir: str, broadcast_rows: int = 1_000_000) -> DataFrame:
+def stage(spark, docs: DataFrame, sf_dir: str, broadcast_bytes: int = 32 << 20) -> DataFrame:
     """One document of each group of near copies (five words, 0.8): the one with the smallest id.
 
-    Rows that repeat id and text are one document. What goes is joined away, broadcast where its
-    counted number is at most ``broadcast_rows``.
+    Rows that repeat id and text are one document. What goes is joined away, broadcast where it takes
+    at most ``broadcast_bytes``, else by key.
     """
     cols = ["doc_id", "text", "lang", "source", "n_chars"]
     found = near_duplicates(docs, 5, 80)
@@ -490,8 +501,7 @@ def stage(spark, docs: DataFrame, sf_dir: str, broadcast_rows: int = 1_000_000)
     keyed = docs.select(*cols).withColumn("tkey", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
 
     def join(rows: DataFrame, other: DataFrame, how: str) -> DataFrame:
-        o = other.select(F.col("doc_id").alias("o_id"), F.col("tkey").alias("o_key"))
-        o = F.broadcast(o) if other.count() <= broadcast_rows else o
+        o = if_small(other.select(F.col("doc_id").alias("o_id"), F.col("tkey").alias("o_key")), broadcast_bytes)
         return rows.join(o, F.col("doc_id").eqNullSafe(F.col("o_id")) & (F.col("tkey") == F.col("o_key")), how)
 
     kept = join(keyed, gone, "left_anti")

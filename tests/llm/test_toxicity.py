@@ -27,6 +27,68 @@ def test_gradients_against_differences():
             assert abs((up - down) / 2e-3 - g.ravel()[i]) < 2e-3 * max(1, abs(g.ravel()[i])), (k, i)
 
 
+def plain(p):
+    """Hashes of a word, and states over a window in one direction, in loops over characters, gates and states."""
+    import math
+    import zlib
+
+    m, H = 0xFFFFFFFF, T.HIDDEN
+    sig = lambda x: 1 / (1 + math.exp(-x))
+
+    def hashes(w):
+        c, grams = [32, *map(ord, w), 32], []
+        for i in range(len(c) - 2):
+            h3 = ((c[i] * 2654435761 + c[i + 1] * 2246822519) * 3266489917 + c[i + 2]) & m
+            grams.append((h3 * 0x9E3779B1 & m) >> 18)
+            if i + 3 < len(c):
+                grams.append(((((h3 ^ 0x5BD1E995) * 668265263 + c[i + 3]) & m) * 0x9E3779B1 & m) >> 18)
+        return zlib.crc32(w.encode()) % T.HASHED, grams
+
+    def states(inputs, d):
+        h, out = np.zeros(H), []
+        for x in inputs:
+            g, u = x @ p["in"][d] + p["bias"][d, 0], h @ p["rec"][d]
+            new = np.zeros(H)
+            for k in range(H):
+                z, r = sig(g[k] + u[k]), sig(g[H + k] + u[H + k])
+                c = math.tanh(g[2 * H + k] + r * u[2 * H + k])
+                new[k] = (1 - z) * c + z * h[k]
+            h = new
+            out.append(h)
+        return out
+
+    return hashes, states
+
+
+def test_network_against_plain_arithmetic():
+    p = {k: v.astype(np.float64) for k, v in T.new_parameters(3).items()}
+    rng = np.random.default_rng(1)
+    p["bias"], p["pad"] = rng.standard_normal(p["bias"].shape) * 0.3, rng.standard_normal(p["pad"].shape)
+    net = T.Network(p)
+    words = "the quick brown fox jumps over the lazy dog again and again".split()
+    hashes, states = plain(p)
+    x = {w: np.concatenate((np.mean(p["char"][grams], axis=0), p["word"][word])) for w in set(words) for word, grams in [hashes(w)]}
+    window = [x[w] for w in words] + [p["pad"]] * (T.WINDOW - len(words))
+    forward, backward = states(window, 0), states(window[::-1], 1)[::-1]
+    both = [np.concatenate(s) for s in zip(forward, backward)]
+    e = [np.exp(np.tanh(s @ p["att"]) @ p["query"]) for s in both[: len(words)]]
+    want = sum(a / sum(e) * s for a, s in zip(e, both)) @ p["out"] + p["b"][0]
+    assert abs(float(net.logits([words])[0]) - want) < 1e-4
+
+
+def test_windows_of_a_text_in_parts(monkeypatch):
+    """However a text is cut into parts for the look-up, its windows are those of the whole."""
+    net = T.Network(T.new_parameters(2))
+    rng = random.Random(5)
+    for n in (63, 64, 65, 100, 160, 161, 200, 1000):
+        words = ["".join(rng.choice("abcdef") for _ in range(5)) for _ in range(n)]
+        monkeypatch.setattr(T, "GROUP", 1 << 15)
+        want = max(net.logits([words[s : s + T.WINDOW]])[0] for s in T.starts(n))
+        for group in (32, 64, 96):
+            monkeypatch.setattr(T, "GROUP", group)
+            assert abs(net.logits([words])[0] - want) < 1e-5
+
+
 def test_windows_cover_every_word():
     for n in (1, 31, 32, 33, 63, 64, 65, 96, 97, 128, 129, 1000):
         s = list(T.starts(n))

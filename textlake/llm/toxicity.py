@@ -25,6 +25,8 @@ WINDOW, STRIDE = 64, 32
 HASHED, CHARS, WORD_DIM, HIDDEN, ATTEND = 1 << 14, 16, 8, 12, 12
 #: Words whose gate inputs one Python worker keeps, windows that run at once, most characters of a word.
 CACHED, BLOCK, WORD_CHARS = 150_000, 1024, 64
+#: Words that are looked up together; with a part's last stride twice of it at most, so they always fit the cache.
+GROUP = 1 << 15
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -118,6 +120,17 @@ def run(p: dict, g: np.ndarray, ids: np.ndarray, keep: bool = False):
     return (logit, (saved, both, a, w, pooled)) if keep else logit
 
 
+def summed(values: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
+    """(size, ...) sums of ``values`` by ``rows``, of the same leading shape; -1 is the last row."""
+    rows, values = rows.ravel(), values.reshape(rows.size, -1)
+    order = np.argsort(rows, kind="stable")
+    at = np.flatnonzero(np.diff(rows[order], prepend=-2))
+    out = np.zeros((size, values.shape[1]), values.dtype)
+    if len(at):
+        out[rows[order[at]]] = np.add.reduceat(values[order], at, axis=0)
+    return out
+
+
 def gradients(p: dict, inputs: Inputs, ids: np.ndarray, truth: np.ndarray, keep_word: np.ndarray | None = None) -> tuple[float, dict[str, np.ndarray]]:
     """Mean log loss of windows and its gradients, by backpropagation through time."""
     H, (n, t) = HIDDEN, ids.shape
@@ -135,7 +148,7 @@ def gradients(p: dict, inputs: Inputs, ids: np.ndarray, truth: np.ndarray, keep_
     out["query"], out["att"] = (de[..., None] * a).sum(axis=(0, 1)), np.einsum("tni,tnj->ij", both, da)
     dboth = w[..., None] * dpool + da @ p["att"].T
     dstates = np.stack((dboth[..., :H], dboth[::-1, :, H:]), axis=1)
-    dg, drec, dh = np.zeros_like(g), np.zeros_like(p["rec"]), np.zeros((2, n, H), np.float32)
+    drec, dh, dsteps = np.zeros_like(p["rec"]), np.zeros((2, n, H), np.float32), np.empty((t, 2, n, 3 * H), np.float32)
     for s in range(t - 1, -1, -1):
         h, z, r, c, uc = saved[s]
         dh = dh + dstates[s]
@@ -143,19 +156,17 @@ def gradients(p: dict, inputs: Inputs, ids: np.ndarray, truth: np.ndarray, keep_
         dz = dh * (h - c) * z * (1 - z)
         dr = dc * uc * r * (1 - r)
         du = np.concatenate((dz, dr, dc * r), axis=2)
-        dx = np.concatenate((dz, dr, dc), axis=2)
-        np.add.at(dg[0], ids[:, s], dx[0])
-        np.add.at(dg[1], ids[:, t - 1 - s], dx[1])
+        dsteps[s] = np.concatenate((dz, dr, dc), axis=2)
         drec += np.matmul(h.transpose(0, 2, 1), du)
         dh = dh * z + np.matmul(du, p["rec"].transpose(0, 2, 1))
+    dg = np.stack((summed(dsteps[:, 0], ids.T, g.shape[1]), summed(dsteps[::-1, 1], ids.T, g.shape[1])))
     full = np.concatenate((x, p["pad"][None]))
     out["rec"], out["bias"] = drec, dg.sum(axis=1, keepdims=True)
     out["in"] = np.matmul(full.T, dg)
     dfull = np.matmul(dg, p["in"].transpose(0, 2, 1)).sum(axis=0)
     out["pad"], dvec = dfull[-1], dfull[:-1]
-    out["char"], out["word"] = np.zeros_like(p["char"]), np.zeros_like(p["word"])
-    np.add.at(out["char"], inputs.gram, (dvec[:, :CHARS] / inputs.size[:, None])[inputs.of])
-    np.add.at(out["word"], inputs.word, dvec[:, CHARS:] * (1 if keep_word is None else keep_word[:, None]))
+    out["char"] = summed((dvec[:, :CHARS] / inputs.size[:, None])[inputs.of], inputs.gram, HASHED)
+    out["word"] = summed(dvec[:, CHARS:] * (1 if keep_word is None else keep_word[:, None]), inputs.word, HASHED)
     return loss, out
 
 
@@ -198,24 +209,26 @@ class Network:
     def logits(self, texts: list[list[str]]) -> np.ndarray:
         """Highest window logit of each word list; -inf where there are no words."""
         best = np.full(len(texts), -np.inf, np.float32)
-        windows, of, held = [], [], 0
+        held, size = [], 0
         for i, words in enumerate(texts):
-            for at in range(0, len(words), 1 << 16):  # so that a text's new words always fit the cache
-                part = words[at : at + (1 << 16) + STRIDE]
-                if held and len(self.ids) + len(part) > CACHED:
-                    self.flush(windows, of, best)
-                    windows, of, held = [], [], 0
-                rows = self.rows(part)
-                for s in starts(len(rows)):
-                    windows.append(rows[s : s + WINDOW])
-                    of.append(i)
-                held += 1
-                if len(windows) >= BLOCK:
-                    self.flush(windows, of, best)
-                    windows, of, held = [], [], 0
-        self.flush(windows, of, best)
+            for at in range(0, max(1, len(words) - STRIDE) if words else 0, GROUP):  # parts that overlap by a stride, so their windows are the text's
+                held.append((i, words[at : at + GROUP + STRIDE]))
+                size += len(held[-1][1])
+                if size >= GROUP:
+                    self.group(held, best)
+                    held, size = [], 0
+        self.group(held, best)
         return best
 
+    def group(self, parts: list[tuple[int, list[str]]], best: np.ndarray) -> None:
+        """Raises ``best`` by the windows of ``parts`` (text's place, words), whose new words are looked up together."""
+        rows, at, windows, of = self.rows([w for _, words in parts for w in words]), 0, [], []
+        for i, words in parts:
+            windows += [rows[at + s : at + min(s + WINDOW, len(words))] for s in starts(len(words))]
+            of += [i] * (len(windows) - len(of))
+            at += len(words)
+        self.flush(windows, of, best)
+
     def flush(self, windows: list[np.ndarray], of: list[int], best: np.ndarray) -> None:
         for a in range(0, len(windows), BLOCK):
             part = windows[a : a + BLOCK]
@@ -257,7 +270,7 @@ def fit(sample: list[tuple[int, list[list[str]]]], epochs: int = 9, batch: int =
                 chosen += [(windows[k], label) for k in top]
                 at += len(windows)
         lr = rate * (1 - epoch / epochs) + rate * 0.05
-        for some in np.array_split(rng.permutation(len(chosen)), max(1, len(chosen) // batch)):
+        for some in np.array_split(rng.permutation(len(chosen)), max(1, len(chosen) // batch)) if chosen else ():
             part = [chosen[i] for i in some]
             distinct = {w: k for k, w in enumerate(sorted({w for ws, _ in part for w in ws}))}
             ids = np.full((len(part), WINDOW), -1, np.int64)
@@ -287,12 +300,12 @@ def fit(sample: list[tuple[int, list[list[str]]]], epochs: int = 9, batch: int =
     return net
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 3000, windows_each: int = 64, text_col: str = "text", label_col: str = "toxic", id_col: str = "doc_id") -> Network:
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 3000, windows_each: int = 1024, text_col: str = "text", label_col: str = "toxic", id_col: str = "doc_id") -> Network:
     """A network from about ``sample_rows`` labelled rows, two fifths of them toxic where there are enough.
 
     Ids are picked from ``labels`` by a hash, so only that many are broadcast to meet the texts. A
-    text gives at most ``windows_each`` windows, spread evenly, which are cut on the executors: what
-    the driver gets is bounded whatever the texts' lengths. Null labels and texts without words are
+    text gives all its windows, of over about 32,800 words ``windows_each``, spread evenly. They are
+    cut on the executors: what the driver gets is bounded whatever the texts' lengths. Null labels and texts without words are
     passed over, an id labelled both ways is toxic; no rows at all give a network that scores near 0.
     """
     small_batches(docs.sparkSession)

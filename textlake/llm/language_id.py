@@ -22,7 +22,7 @@ from .token_counts import small_batches
 
 BITS = 15
 SIZE = 1 << BITS
-#: Characters handled at once; longer texts are counted in such parts, which overlap.
+#: Characters handled at once; longer texts are counted in such parts, the last two characters carried over.
 PART = 1 << 20
 
 
@@ -31,23 +31,39 @@ def letters() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(sys.maxunicode + 1)), bool, sys.maxunicode + 1)
 
 
-def ngram_counts(text: str | None) -> np.ndarray | None:
-    """Counts by feature; None if the text is null or has no letter."""
-    total = None
-    for at in range(0, len(text or ""), PART):
-        codes = np.frombuffer(text[at : at + PART].lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+def ngram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
+    """(feature indexes, counts); None if the text is null or has no letter. The same whatever PART is."""
+    text, total = (text or "").lower(), None
+    carry, after_letter, some = np.array([32], np.uint32), False, False
+    for at in range(0, len(text), PART):
+        codes = np.frombuffer(text[at : at + PART].encode("utf-32-le", "surrogatepass"), np.uint32)
         is_letter = letters()[codes]
-        if not is_letter.any():
-            continue
-        keep = is_letter.copy()
+        some |= bool(is_letter.any())
+        keep = is_letter.copy()  # of a run of other characters the first stays, as a space
         keep[1:] |= is_letter[:-1]
-        c = np.concatenate(([32], np.where(is_letter, codes, 32)[keep], [32])).astype(np.uint32)
+        keep[0] |= after_letter
+        after_letter = bool(is_letter[-1])
+        c = np.concatenate((carry, np.where(is_letter, codes, 32)[keep], [32] if at + PART >= len(text) else [])).astype(np.uint32)
         one = c * np.uint32(2654435761)
         two = (one[:-1] ^ np.uint32(0x5BD1E995)) + c[1:] * np.uint32(2246822519)
         three = (two[:-1] ^ np.uint32(0x27D4EB2F)) * np.uint32(3266489917) + c[2:] * np.uint32(668265263)
-        n = sum(np.bincount((h * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS), minlength=SIZE) for h in (one, two, three))
-        total = n if total is None else total + n
-    return total
+        # the characters carried over have been counted, but for the first space
+        seen = len(carry) if at else 0
+        grams = np.concatenate((one[seen:], two[max(0, seen - 1) :], three[max(0, seen - 2) :]))
+        features = (grams * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)
+        if len(text) <= PART and len(features) < SIZE // 4:
+            return np.unique(features.astype(np.int64), return_counts=True) if some else None
+        found = np.bincount(features, minlength=SIZE)
+        total = found if total is None else total + found
+        carry = c[-2:]
+    if not some:
+        return None
+    index = np.flatnonzero(total)
+    return index, total[index]
+
+
+def tf(counts: np.ndarray) -> np.ndarray:
+    return (1 + np.log(counts)).astype(np.float32)
 
 
 class Model:
@@ -65,11 +81,10 @@ class Model:
         return self.features(index, tf) @ self.weights[index] + self.bias
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        n = ngram_counts(text) if self.langs else None
-        if n is None:
+        counted = ngram_counts(text) if self.langs else None
+        if counted is None:
             return "und", 0.0
-        index = np.flatnonzero(n)
-        p = softmax(self.logits(index, (1 + np.log(n[index])).astype(np.float32)) / self.temperature)
+        p = softmax(self.logits(counted[0], tf(counted[1])) / self.temperature)
         best = int(p.argmax())
         return self.langs[best], float(p[best])
 
@@ -111,17 +126,21 @@ def fit(langs: list[str], idf: np.ndarray, sample: list[tuple[str, np.ndarray, n
     return model
 
 
-def train(known: DataFrame, sample_rows: int = 2000, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> Model:
+def train(known: DataFrame, sample_rows: int = 2000, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", most_languages: int = 500) -> Model:
     """A model from ``known`` rows with text and language.
 
     Two aggregates cover all rows: rows by language, and document frequencies (at most SIZE + 1 sums
     reach the driver). Weights are fitted on about ``sample_rows`` rows, an equal share for each
     language, picked by a hash of the id; their features are made on the executors, so what the
-    driver gets is bounded whatever the texts' lengths. Languages are taken to be few (a literal map).
+    driver gets is bounded whatever the texts' lengths. Over ``most_languages`` languages are an
+    error, since the model's size and the literal map of shares grow with them. Repeated rows count
+    each time; a table without rows gives a model that answers ``und``.
     """
     small_batches(known.sparkSession)
     rows = known.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("l")).where("t IS NOT NULL AND l IS NOT NULL")
-    by_lang = {r.l: r.n for r in rows.groupBy("l").agg(F.count("*").alias("n")).collect()}
+    by_lang = {r.l: r.n for r in rows.groupBy("l").agg(F.count("*").alias("n")).limit(most_languages + 1).collect()}
+    if len(by_lang) > most_languages:
+        raise ValueError(f"over {most_languages} languages")
     if not by_lang:
         return Model([], np.zeros(SIZE))
     langs = sorted(by_lang)
@@ -130,16 +149,16 @@ def train(known: DataFrame, sample_rows: int = 2000, text_col: str = "text", lan
         df, docs = np.zeros(SIZE, np.int64), 0
         for b in batches:
             for t in b["t"].to_pylist():
-                if (n := ngram_counts(t)) is not None:
-                    df += n > 0
+                if (counted := ngram_counts(t)) is not None:
+                    df[counted[0]] += 1
                     docs += 1
         index = np.flatnonzero(df)
         yield pa.RecordBatch.from_pydict({"f": pa.array([*index, -1], pa.int32()), "n": pa.array([*df[index], docs], pa.int64())})
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            made = [(lang, np.flatnonzero(n), n) for lang, n in ((lang, ngram_counts(t)) for lang, t in zip(b["l"].to_pylist(), b["t"].to_pylist())) if n is not None]
-            yield pa.RecordBatch.from_pydict({"l": pa.array([x for x, _, _ in made], pa.string()), "f": pa.array([i.astype(np.uint16).tobytes() for _, i, _ in made], pa.binary()), "v": pa.array([(1 + np.log(n[i])).astype(np.float32).tobytes() for _, i, n in made], pa.binary())})
+            made = [(lang, *n) for lang, n in ((lang, ngram_counts(t)) for lang, t in zip(b["l"].to_pylist(), b["t"].to_pylist())) if n is not None]
+            yield pa.RecordBatch.from_pydict({"l": pa.array([x for x, _, _ in made], pa.string()), "f": pa.array([i.astype(np.uint16).tobytes() for _, i, _ in made], pa.binary()), "v": pa.array([tf(n).tobytes() for _, _, n in made], pa.binary())})
 
     sums = {r.f: r.n for r in rows.select("t").mapInArrow(frequencies, "f int, n long").groupBy("f").agg(F.sum("n").alias("n")).collect()}
     df = np.zeros(SIZE)
@@ -152,7 +171,10 @@ def train(known: DataFrame, sample_rows: int = 2000, text_col: str = "text", lan
 
 
 def identify(text: Column, model: Model, spark) -> Column:
-    """struct(lang_pred, score) for ``text``, whole: ``und`` and 0 where it is null or has no letter."""
+    """struct(lang_pred, score) for ``text``, whole: ``und`` and 0 where it is null or has no letter.
+
+    Of languages with equal scores the first by name is taken. Each row has its own result, repeated ones too.
+    """
     small_batches(spark)
     held = spark.sparkContext.broadcast(model)
 

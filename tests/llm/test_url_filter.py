@@ -53,7 +53,7 @@ def test_all_parts_make_rules(spark):
 def test_shuffled_join_gives_the_same(spark):
     labels, pages = spark.createDataFrame(LABELS, "url string, bad boolean"), rows(spark, [(i, u, None, None) for i, (u, _) in enumerate(LABELS)])
     a = judge(pages, labels, ["page_id"], least_rows=20).collect()
-    b = judge(pages, labels, ["page_id"], least_rows=20, broadcast_sets=0).collect()
+    b = judge(pages, labels, ["page_id"], least_rows=20, broadcast_bytes=0).collect()
     assert sorted(a) == sorted(b) and {r.verdict for r in a} == {"allow", "block"}
 
 
@@ -61,3 +61,21 @@ def test_empty(spark):
     none = spark.createDataFrame([], "url string, bad boolean")
     assert [r.verdict for r in judge(rows(spark, [(1, "http://a.b/c", None, None)]), none, ["page_id"]).collect()] == ["allow"]
     assert judge(rows(spark, []), none, ["page_id"]).count() == 0
+
+
+def test_query_with_mined_rules_equals_sql(spark, tmp_path):
+    """Tables whose listed and labelled URLs give rules, which then decide unlisted URLs; against SQL that tries all token sets."""
+    import duckdb
+
+    from textlake.llm import url_filter as U
+
+    urls = [(i, f"http://{'m.' * (i % 2)}a{i % 4}.example.{('net', 'com', 'org')[i % 3]}/{('de', 'en', 'fr', 'es')[i // 3 % 4]}/x{i % 5}/{i}{('', '?ref=x&page=2', '?kind=pills')[i % 7 % 3]}") for i in range(600)] + [(600, None), (601, "x"), (600, None), (602, "http://b.org/q/w/e/shop?kind=pills&z=1#top")]
+    labels = [(i, 0 if "pills" in u else 1, 0) for i, u in urls[:500] if u and i % 3] + [(3, None, None), (9999, 0, 1)]
+    spark.createDataFrame(urls, "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = sorted(map(repr, map(tuple, U.query(spark, str(tmp_path)).collect())))
+    c = duckdb.connect()
+    for t in ("pages", "labels"):
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    assert got == sorted(map(repr, c.sql(U.SQL).fetchall()))
+    assert "'http" not in got[0] and sum(r.endswith("None, 'block')") for r in got) > 20 and any(r.startswith("(602,") and r.endswith("'block')") for r in got)

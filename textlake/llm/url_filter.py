@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .scratch import table, written
+from .scratch import if_small, scope, table, written
 
 #: (verdict, host and path) of the listed rules; the longest that fits a URL decides.
 LISTED = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -49,7 +49,15 @@ def listed_rule(host: Column, path: Column, rules=LISTED) -> Column:
     return out
 
 
-def mine(labelled: DataFrame, support: float = 0.002, confidence: float = 0.8, lift: float = 1.5, least_rows: int = 30) -> tuple[DataFrame, DataFrame]:
+def listed_bad(rule: Column, rules=LISTED) -> Column:
+    """Whether a listed rule blocks; null where there is none."""
+    out = F.lit(None).cast("boolean")
+    for what, name in rules:
+        out = F.when(rule == name, F.lit(what == "block")).otherwise(out)
+    return out
+
+
+def mine(labelled: DataFrame, support: float = 0.002, confidence: float = 0.8, lift: float = 1.5, least_rows: int = 20) -> tuple[DataFrame, DataFrame]:
     """Rules (antecedent, rare: its rarest token, confidence, support) from ``labelled`` (tokens, bad), and (token, rep).
 
     Rules speak of rep, the least of the tokens that are in the same labelled rows; any of these
@@ -74,22 +82,39 @@ def mine(labelled: DataFrame, support: float = 0.002, confidence: float = 0.8, l
     model = FPGrowth(itemsCol="items", minSupport=max(support, (least_rows - 0.5) / n), minConfidence=confidence).fit(rows)
     frequent = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
     found = model.associationRules.where((F.col("consequent")[0] == BAD) & (F.col("lift") >= lift) & ~F.array_contains("antecedent", GOOD))
-    found = written(found.select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support"), "url-rules")
-    # a rule with a part of its tokens removed that is a rule too adds nothing
-    shorter = found.select(F.col("antecedent").alias("s"), F.explode("antecedent").alias("token"))
-    covered = found.withColumn("token", F.explode("antecedent")).join(shorter, "token").where((F.size("s") < F.size("antecedent")) & (F.size(F.array_except("s", "antecedent")) == 0))
-    found = found.join(covered.select("antecedent").distinct(), "antecedent", "left_anti")
+    found = found.select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support")
     rare = found.select("*", F.explode("antecedent").alias("token")).join(frequent, "token").groupBy("antecedent", "confidence", "support").agg(F.min_by("token", F.struct("freq", "token")).alias("rare"))
-    return written(rare.select("antecedent", "rare", "confidence", "support"), "url-index"), same
+    rare = written(rare, "url-rules")
+    # a rule with a part of its tokens removed that is a rule too adds nothing; the shorter's rarest token is in the longer
+    shorter = rare.select(F.col("antecedent").alias("s"), F.col("rare").alias("token"))
+    covered = rare.select("antecedent", F.explode("antecedent").alias("token")).join(shorter, "token").where((F.size("s") < F.size("antecedent")) & (F.size(F.array_except("s", "antecedent")) == 0))
+    found = rare.join(covered.select("antecedent").distinct(), "antecedent", "left_anti")
+    return written(found.select("antecedent", "rare", "confidence", "support"), "url-index"), same
 
 
-def judge(pages: DataFrame, labels: DataFrame, carry: list[str], url_col: str = "url", rules=LISTED, broadcast_sets: int = 100_000, **mining) -> DataFrame:
+def blocked(keyed: DataFrame, known: DataFrame, **mining) -> DataFrame | None:
+    """(uf_key, uf_hit) of the token sets of ``keyed`` (uf_key, uf_tokens) that a rule mined from ``known`` blocks; None without rules.
+
+    A set meets the rules filed under its tokens, and those whose tokens it has all decide.
+    """
+    index, same = mine(known, **mining)
+    if index.isEmpty():
+        return None
+    sets = keyed.distinct().select("uf_key", F.explode("uf_tokens").alias("token")).join(F.broadcast(same), "token").groupBy("uf_key").agg(F.collect_set("rep").alias("uf_tokens"))
+    met = sets.select("uf_key", "uf_tokens", F.explode("uf_tokens").alias("rare")).join(index, "rare")
+    hit = met.where(F.size(F.array_except("antecedent", "uf_tokens")) == 0).select("uf_key").distinct().withColumn("uf_hit", F.lit(True))
+    return written(hit, "url-blocked", keep=True)
+
+
+def judge(pages: DataFrame, labels: DataFrame, carry: list[str], url_col: str = "url", rules=LISTED, broadcast_bytes: int = 32 << 20, **mining) -> DataFrame:
     """``carry`` columns, host, path, rule and verdict of each row of ``pages``.
 
     ``labels`` has url and bad (boolean, null rows are passed over). verdict is the listed rule's,
     else block where a mined rule's tokens are all in the URL, else allow. Null URLs and such without
-    ``://`` have no tokens and are allowed. Token sets that rules block are joined back broadcast
-    where their counted number is at most ``broadcast_sets``, else by key.
+    ``://`` have no tokens and are allowed. Repeated rows give a row each, URLs are read whole
+    whatever their length, and an empty table of pages or labels gives no rows or no mined rules.
+    Token sets that rules block are joined back broadcast where they take at most ``broadcast_bytes``,
+    else by key. Tables that only this needs are removed at its end.
     """
 
     def parsed(df: DataFrame, url: str, keep: list[Column]) -> DataFrame:
@@ -97,48 +122,50 @@ def judge(pages: DataFrame, labels: DataFrame, carry: list[str], url_col: str =
         return df.select(*keep, df[url].alias("uf_url"), host.alias("uf_host"), path.alias("uf_path")).withColumn("uf_tokens", tokens(F.col("uf_host"), F.col("uf_path"), F.col("uf_url")))
 
     known = parsed(labels, "url", [labels["bad"].alias("bad")]).where("bad IS NOT NULL").select(F.col("uf_tokens").alias("tokens"), "bad")
-    index, same = mine(known, **mining)
     rows = parsed(pages, url_col, [pages[c].alias(f"uf_c{i}") for i, c in enumerate(carry)])
     rows = rows.withColumns({"uf_rule": listed_rule(F.col("uf_host"), F.col("uf_path"), rules), "uf_key": F.array_join("uf_tokens", " ")})
-    if index.isEmpty():
+    with scope(pages.sparkSession):
+        bad = blocked(rows.where("uf_rule IS NULL").select("uf_key", "uf_tokens"), known, **mining)
+    if bad is None:
         rows = rows.withColumn("uf_bad", F.lit(False))
     else:
-        sets = rows.where("uf_rule IS NULL").select("uf_key", "uf_tokens").distinct()
-        sets = sets.select("uf_key", F.explode("uf_tokens").alias("token")).join(F.broadcast(same), "token").groupBy("uf_key").agg(F.collect_set("rep").alias("uf_tokens"))
-        met = sets.select("uf_key", "uf_tokens", F.explode("uf_tokens").alias("rare")).join(index, "rare")
-        bad = written(met.where(F.size(F.array_except("antecedent", "uf_tokens")) == 0).select("uf_key").distinct().withColumn("uf_hit", F.lit(True)), "url-blocked")
-        rows = rows.join(F.broadcast(bad) if bad.count() <= broadcast_sets else bad, "uf_key", "left").withColumn("uf_bad", F.coalesce("uf_hit", F.lit(False)))
-    verdict = F.when(F.col("uf_bad"), F.lit("block")).otherwise(F.lit("allow"))
-    for what, rule in rules:
-        verdict = F.when(F.col("uf_rule") == rule, F.lit(what)).otherwise(verdict)
+        rows = rows.join(if_small(bad, broadcast_bytes), "uf_key", "left").withColumn("uf_bad", F.coalesce("uf_hit", F.lit(False)))
+    verdict = F.when(F.coalesce(listed_bad(F.col("uf_rule"), rules), F.col("uf_bad")), F.lit("block")).otherwise(F.lit("allow"))
     return rows.select(*[F.col(f"uf_c{i}").alias(c) for i, c in enumerate(carry)], F.col("uf_host").alias("host"), F.col("uf_path").alias("path"), F.col("uf_rule").alias("rule"), verdict.alias("verdict"))
 
 
 def query(spark, sf_dir) -> DataFrame:
-    """Labels: a page's row in ``labels`` (page_id = doc_id) is bad if toxic or of low quality."""
+    """Labels: what a listed rule says of a page's URL; where none fits, its row in ``labels`` (page_id = doc_id), bad if toxic or of low quality."""
     pages, labels = table(spark, sf_dir, "pages").select("page_id", "url"), table(spark, sf_dir, "labels")
-    bad = labels.select(F.col("doc_id").alias("page_id"), ((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("bad"))
-    return judge(pages, pages.join(bad, "page_id").select("url", "bad"), ["page_id"])
+    said = labels.select(F.col("doc_id").alias("page_id"), ((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("said"))
+    listed = listed_bad(listed_rule(*host_and_path(F.col("url"))))
+    return judge(pages, pages.join(said, "page_id", "left").select("url", F.coalesce(listed, F.col("said")).alias("bad")), ["page_id"])
 
 
 #: Mining as SQL tries every subset of a URL's tokens, so it is for small tables.
 SQL = r"""
 WITH a AS (SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
-b AS (SELECT page_id, url, translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM a),
-c AS (SELECT *, CASE WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
-                     WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
-                     WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
-                     WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule,
-             list_sort(list_distinct(list_filter(
+b AS (SELECT page_id, url, translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(url, '[?]([^#]*)', 1) AS asked FROM a),
+c AS (SELECT row_number() OVER () AS rid, *,
+             CASE WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+                  WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+                  WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+                  WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule,
+             list_distinct(list_filter(
                list_transform(string_split_regex(host, '[.-]'), lambda x: 'h:' || x)
-               || list_transform(string_split(regexp_replace(path, '^/', ''), '/')[1:2], lambda x: 'p:' || x)
-               || list_transform(coalesce(regexp_extract_all(regexp_extract(url, '[?]([^#]*)', 1), '(?:^|&)([^=&]+)', 1), []), lambda x: 'q:' || x),
-               lambda x: regexp_matches(x, '^..[^0-9]*[^0-9.]')))) AS tokens FROM b),
-s AS (SELECT page_id, rule, list_filter(tokens, lambda x, i: (m >> (i - 1)) & 1 = 1) AS sub FROM (SELECT page_id, rule, tokens, unnest(range(1, 1 << len(tokens))) AS m FROM c)),
-l AS (SELECT page_id, toxic = 1 OR quality = 0 AS bad FROM c JOIN labels ON doc_id = page_id WHERE (toxic = 1 OR quality = 0) IS NOT NULL),
+               || list_transform(string_split(regexp_replace(path, '^/', ''), '/'), lambda x: 'p:' || x)
+               || list_transform(coalesce(regexp_extract_all(asked, '(?:^|&)([^=&]+)', 1), []), lambda x: 'q:' || x)
+               || list_transform(coalesce(regexp_extract_all(asked, '(?:^|&)[^=&]*=([^&]+)', 1), []), lambda x: 'v:' || x),
+               lambda x: regexp_matches(x, '(?s)^...*[^0-9.]'))) AS tokens FROM b),
+l AS (SELECT row_number() OVER () AS lid, rid, tokens, bad FROM (
+        SELECT rid, tokens, CASE WHEN rule IS NULL THEN toxic = 1 OR quality = 0 ELSE rule IN ('net/', 'example.com/de/') END AS bad FROM c LEFT JOIN labels ON doc_id = page_id) WHERE bad IS NOT NULL),
 t AS (SELECT count(*) AS n, count(*) FILTER (bad) AS nb FROM l),
-f AS (SELECT sub, count(*) AS ns, count(*) FILTER (bad) AS nsb FROM s JOIN l USING (page_id) GROUP BY sub),
-g AS (SELECT sub FROM f, t WHERE n >= 30 AND nsb >= ceil(greatest(0.002, 29.5 / n) * n) AND nsb >= 0.8 * ns AND (nsb / ns) / (nb / n) >= 1.5),
-h AS (SELECT DISTINCT page_id FROM s JOIN g USING (sub))
-SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') OR rule IS NULL AND page_id IN (SELECT page_id FROM h) THEN 'block' ELSE 'allow' END AS verdict FROM c
+w AS (SELECT token, list(lid ORDER BY lid) AS lids FROM (SELECT lid, unnest(tokens) AS token FROM l) GROUP BY token),
+k AS (SELECT unnest(list(token)) AS token, min(token) AS rep FROM w, t WHERE len(lids) >= greatest(0.002 * n, 19.5) GROUP BY lids),
+s AS (SELECT rid, list_filter(reps, lambda x, i: (m >> (i - 1)) & 1 = 1) AS sub
+      FROM (SELECT rid, reps, unnest(range(1, 1 << len(reps))) AS m FROM (SELECT rid, list(DISTINCT rep ORDER BY rep) AS reps FROM (SELECT rid, unnest(tokens) AS token FROM c) JOIN k USING (token) GROUP BY rid))),
+f AS (SELECT sub, count(*) AS ns, count(*) FILTER (bad) AS nsb FROM s JOIN l USING (rid) GROUP BY sub),
+g AS (SELECT sub FROM f, t WHERE n >= 20 AND nsb >= ceil(greatest(0.002, 19.5 / n) * n) AND nsb >= 0.8 * ns AND (nsb / ns) / (nb / n) >= 1.5),
+h AS (SELECT DISTINCT rid FROM s JOIN g USING (sub))
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') OR rule IS NULL AND rid IN (SELECT rid FROM h) THEN 'block' ELSE 'allow' END AS verdict FROM c
 """

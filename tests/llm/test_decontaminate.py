@@ -44,7 +44,7 @@ def test_finds_all_within_budget():
             s[at : at + 1] = [] if what < 0.3 else [rng.choice("abcxyz")] if what < 0.6 else [s[at], rng.choice("xyz")]
             s = s or ["a"]
         text = " ".join(word() for _ in range(rng.randint(0, 15))) + " " + "".join(s).upper() + ". " + word()
-        want = {(i, brute(t, normal(text)), len(t)) for i, t in items if brute(t, normal(text)) <= int(0.1 * len(t))}
+        want = {(i, brute(normal(t), normal(text)), len(t)) for i, t in items if brute(normal(t), normal(text)) <= int(0.1 * len(t))}
         assert set(m.find(text)) == want
 
 
@@ -57,6 +57,45 @@ def test_rows_and_blocks(spark):
         assert got == [(1, 1, 1), (1, 1, 1), (4, 4, 2), (5, 1, 0)]
     assert leaks(df.limit(0), items, ["doc_id"]).count() == 0
     assert leaks(df, items.limit(0), ["doc_id"]).count() == 0
+    clash = leaks(df.withColumnRenamed("distance_", "item_id"), items, ["item_id", "doc_id"])
+    assert clash.columns == ["item_id_", "doc_id", "item_id", "distance", "item_chars"] and clash.count() == 4
+
+
+def test_short_items_need_whole_words(spark):
+    items = [(1, "cat"), (2, "a b"), (3, "twelve is it")]
+    found = lambda t: sorted(Matcher(items, 0.1).find(t))
+    assert found("We concatenate cats; an a bee, a ba b's") == [] and found("a b's") == [(2, 0, 3)]
+    assert found("Cat!") == [(1, 0, 3)] and found("(cat)") == [(1, 0, 3)]
+    assert found("x twelve is itx") == [(3, 1, 12)] and found("xtwelve is itx") == []
+
+
+def test_many_blocks_against_brute_force(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdeiou") for _ in range(rng.randint(2, 7)))
+    items = [(i if i % 5 else None, " ".join(word() for _ in range(rng.randint(3, 20)))) for i in range(30)]
+    docs = []
+    for i in range(60):
+        s = list(rng.choice(items)[1])
+        for _ in range(rng.randint(0, int(0.12 * len(s)))):
+            s[rng.randrange(len(s))] = rng.choice("xyz ")
+        docs.append((i, " ".join(word() for _ in range(rng.randint(0, 30))) + " " + "".join(s) + " " + word()))
+    edits = {(d, k): brute(normal(t), normal(text)) for d, text in docs for k, (_, t) in enumerate(items)}
+    hit = {(d, k) for (d, k), n in edits.items() if n <= int(0.1 * len(items[k][1]))}
+    df, it = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for block in (100, 1 << 20):
+        got = sorted((r.doc_id, r.item_id, r.distance) for r in leaks(df, it, ["doc_id"], block_bytes=block).collect())
+        assert got == sorted((d, items[k][0], edits[d, k]) for d, k in hit if items[k][0] is not None)
+
+
+def test_stage_of_many_blocks(spark, tmp_path):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdeiou") for _ in range(rng.randint(2, 7)))
+    items = [" ".join(word() for _ in range(12)) for _ in range(9)]
+    spark.createDataFrame([(i, t) for i, t in enumerate(items)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = [(i, word() + " " + (items[i % 9] if i % 3 == 0 else items[i % 9][:-4] + "zz" + items[i % 9][-3:] if i % 3 == 1 else word())) for i in range(45)]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in docs], "doc_id long, text string, lang string, source string, n_chars long")
+    want = [d for d, t in docs if all(brute(normal(x), normal(t)) > int(0.1 * len(x)) for x in items)]
+    assert sorted(r.doc_id for r in D.stage(spark, df, str(tmp_path), block_bytes=120).collect()) == want and len(want) == 15
 
 
 def test_stage_finds_items_without_id(spark, tmp_path):

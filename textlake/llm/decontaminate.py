@@ -1,21 +1,24 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
 Text and items are lower-cased and every run of other characters than letters and digits becomes a
-space. An item of m characters may differ by k = floor(rate * m) edits; cut into k + 1 pieces, one
-piece of any match is untouched. One automaton finds every piece in a text; each hit names the place
-where the item would lie, and Myers' bit-parallel search measures the edits there.
+space; a space goes before and behind. An item of m characters may differ by k = floor(rate * m)
+edits, the spaces around it counted, so an item under 1 / rate characters has to occur exactly and
+as whole words. Cut into k + 1 pieces, one piece of any match is untouched. One automaton finds every
+piece in a text; each hit names the place where the item would lie, and Myers' bit-parallel search
+measures the edits there.
 """
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
 import ahocorasick
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .scratch import table
+from .scratch import apart, table, written
 from .token_counts import small_batches
 
 OTHER = re.compile(r"[\W_]+")
@@ -23,7 +26,9 @@ PAIRS = "array<struct<item_id:long,distance:int,item_chars:int>>"
 
 
 def normal(text: str | None) -> str:
-    return OTHER.sub(" ", text.lower()).strip() if text else ""
+    """``text`` in words of letters and digits, one space before, between and behind them; empty if it has none."""
+    words = OTHER.sub(" ", text.lower()).strip() if text else ""
+    return f" {words} " if words else ""
 
 
 def masks_of(item: str) -> dict[str, int]:
@@ -82,7 +87,7 @@ class Matcher:
         self.items, self.automaton, places = [], ahocorasick.Automaton(), {}
         for ident, raw in items:
             if item := normal(raw):
-                k = int(rate * len(item))
+                k = int(rate * (len(item) - 2))
                 for at, piece, above in pieces(item, k):
                     places.setdefault(piece, []).append((len(self.items), at, above))
                 self.items.append((ident, item, k))
@@ -114,52 +119,76 @@ class Matcher:
                 else:
                     if above:
                         best[i] = min(n, best.get(i, n))
-        return [(self.items[i][0], n, len(self.items[i][1])) for i, n in best.items()]
+        return [(self.items[i][0], n, len(self.items[i][1]) - 2) for i, n in best.items()]
 
 
-def finder(held, rate: float):
-    """A pandas UDF that finds the items of the broadcast block ``held``."""
+class Block:
+    """Items that one worker searches for at a time; the matcher is built once a worker and kept while the block is."""
+
+    def __init__(self, items: list[tuple[int, str]], rate: float):
+        self.items, self.rate = items, rate
+
+    @functools.cached_property
+    def matcher(self) -> Matcher:
+        return Matcher(self.items, self.rate)
+
+
+def finder(held):
+    """A pandas UDF that finds the items of the broadcast ``Block``."""
 
     @F.pandas_udf(PAIRS)
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        matcher = Matcher(held.value, rate)
+        matcher = held.value.matcher
         for texts in batches:
             yield pd.Series([[{"item_id": i, "distance": d, "item_chars": m} for i, d, m in matcher.find(t)] for t in texts], dtype=object)
 
     return found
 
 
-def find_items(docs: DataFrame, items: DataFrame, rate: float = 0.1, block_bytes: int = 8_000_000, text_col: str = "text", item_id: str = "item_id", item_text: str = "text"):
-    """A column for ``docs``: array of (item_id, distance, item_chars), the items that the text holds.
+def finders(spark: SparkSession, items: DataFrame, rate: float = 0.1, block_bytes: int = 1 << 20, item_id: str = "item_id", item_text: str = "text") -> Iterator:
+    """For each block of ``items`` a function of a text column: array of (item_id, distance, item_chars) that the text holds.
 
-    Items are a stated query set that meets every document: their bytes are summed first, and they
-    are sent to the executors in blocks of ``block_bytes`` at most (plus one item), one column a
-    block. Null and empty texts hold nothing; null and empty texts of items (after normalizing) are nowhere;
-    items without an id are found like others; repeated items are one; an item under 1 / rate characters has to occur exactly.
+    Items are a stated query set that meets every document. Their bytes are summed first, and they
+    are dealt by hash to blocks of about ``block_bytes``; the driver holds a block at a time, and so
+    does a worker, since callers give each block a scan of its own. Null texts and texts without
+    letters or digits hold nothing, and such items are nowhere; repeated items are one. No items give
+    no blocks.
     """
-    small_batches(docs.sparkSession)
+    small_batches(spark)
     items = items.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t")).where("t IS NOT NULL").distinct()
     total = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0)).alias("b")).first().b
-    n = -(-total // block_bytes) or 1
-    columns = []
+    n = -(-total // block_bytes)
     for block in range(n):
-        held = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == block).orderBy("i", "t").collect()])
-        columns.append(finder(held, rate)(docs[text_col]))
-    return columns[0] if n == 1 else F.flatten(F.array(*columns))
+        rows = [tuple(r) for r in items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == block).orderBy("i", "t").collect()]
+        yield finder(spark.sparkContext.broadcast(Block(rows, rate)))
 
 
-def leaks(docs: DataFrame, items: DataFrame, carry: list[str], rate: float = 0.1, **names) -> DataFrame:
-    """``carry`` columns, item_id, distance, item_chars: one row for each row of ``docs`` and item with an id found in it."""
-    hits = find_items(docs, items.where(F.col(names.get("item_id", "item_id")).isNotNull()), rate, **names)
-    rows = docs.select(*[docs[c].alias(f"dc_{i}") for i, c in enumerate(carry)], hits.alias("dc_hits"))
-    return rows.select(*[F.col(f"dc_{i}").alias(c) for i, c in enumerate(carry)], F.inline("dc_hits"))
+def leaks(docs: DataFrame, items: DataFrame, carry: list[str], rate: float = 0.1, text_col: str = "text", item_id: str = "item_id", **names) -> DataFrame:
+    """``carry`` columns, item_id, distance, item_chars: one row for each row of ``docs`` and item with an id found in it.
+
+    A carried column that has a result's name gets an underscore behind it. Each block of items
+    scans the documents anew; of most benchmarks there is one. Items of equal id and different text
+    give a row each.
+    """
+    rows = docs.select(*[docs[c].alias(f"dc_{i}") for i, c in enumerate(carry)], docs[text_col].alias("dc_text"))
+    named = [F.col(f"dc_{i}").alias(c) for i, c in enumerate(apart(carry, ("item_id", "distance", "item_chars")))]
+    found = [
+        rows.withColumn("dc_hits", find("dc_text")).select(*named, F.inline("dc_hits"))
+        for find in finders(docs.sparkSession, items.where(F.col(item_id).isNotNull()), rate, item_id=item_id, **names)
+    ]
+    return functools.reduce(DataFrame.unionAll, found) if found else rows.where("false").select(*named, F.inline(F.lit(None).cast(PAIRS)))
 
 
 def query(spark, sf_dir) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
 
 
-def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item, whether it has an id or not."""
-    cols = ["doc_id", "text", "lang", "source", "n_chars"]
-    return docs.select(*cols).where(F.size(find_items(docs, table(spark, sf_dir, "benchmark"))) == 0)
+def stage(spark, docs: DataFrame, sf_dir: str, **names) -> DataFrame:
+    """Documents that hold no benchmark item, whether it has an id or not.
+
+    Of several blocks, each searches what the one before left, which is written in between.
+    """
+    left = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    for k, find in enumerate(finders(spark, table(spark, sf_dir, "benchmark"), **names)):
+        left = (written(left, "clean") if k else left).where(F.size(find("text")) == 0)
+    return left

@@ -1,5 +1,4 @@
 import hashlib
-import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -40,14 +39,22 @@ def test_round_trip(spark, archive):
 
 
 def test_pushdown_and_unread_payloads(spark, archive):
-    df = load(spark, archive).where("record_type = 'revisit'")
-    assert "PushedFilters: [EqualTo" in df._jdf.queryExecution().toString() or df.count() == 3
+    df = W.load_warc(spark, archive, pushdown="true").where("record_type = 'revisit'")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BatchScan" in plan and "revisit" not in plan  # the predicate is the reader's alone
     assert {r.record_id for r in df.collect()} == {"<urn:page:5>", "<urn:page:9>", "<urn:page:none>"}
-    some = load(spark, archive, where=json.dumps({"WARC-Target-URI": ["http://d/"]})).where(F.col("record_type").isin("response", "x"))
+    some = W.load_warc(spark, archive, {"WARC-Target-URI": ["http://d/"]}).where(F.col("record_type").isin("response", "x"))
     assert sorted(r.record_id for r in some.collect()) == ["<urn:page:1>", "<urn:page:2>"]
     assert all(r.payload is None and r.content_length >= 0 for r in load(spark, archive, payload="false").collect())
 
 
+def test_one_frame_with_several_predicates(spark, archive):
+    """A loaded frame can be used again and again, also within one query."""
+    df = W.load_warc(spark, archive)
+    a, b = df.where("record_type = 'revisit'"), df.where("record_type = 'response'")
+    assert (df.count(), a.count(), df.count(), b.count(), a.union(b).count(), df.count()) == (11, 3, 11, 8, 11, 11)
+
+
 def test_damaged_archives_are_told(spark, tmp_path):
     ok = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
     for i, data in enumerate((ok[:-6], ok.replace(b"3", b"9"), b"nothing\r\n\r\n", ok + b"WARC/1.1\r\nWARC-Ty", ok.replace(b"Length: 3", b"Length: 2"))):
@@ -62,3 +69,35 @@ def test_no_rows(spark, tmp_path):
     path = f"file://{tmp_path}/none"
     W.write(spark.createDataFrame([], "page_id long, url string, html string"), path)
     assert load(spark, path).count() == 0
+
+
+def test_unread_payloads_are_not_decoded(spark, tmp_path):
+    """Payloads that aren't UTF-8 only hurt where they are asked for."""
+    one = lambda kind, ident, data: f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Record-ID: {ident}\r\nContent-Length: {len(data)}\r\n\r\n".encode() + data + b"\r\n\r\n"
+    (tmp_path / "a.warc").write_bytes(one("response", "a", b"good") + one("resource", "b", b"\xff\xfe") + one("response", "c", b""))
+    path, df = str(tmp_path / "a.warc"), load(spark, str(tmp_path / "a.warc"))
+    assert [(r.record_id, r.payload) for r in W.load_warc(spark, path, {"WARC-Type": ["response"]}).collect()] == [("a", "good"), ("c", "")]
+    assert W.load_warc(spark, path, pushdown="true").where("record_id IN ('a', 'c')").count() == 2
+    with pytest.raises(Exception, match="utf-8"):
+        df.collect()
+
+
+def test_stores_that_workers_cannot_open(spark, archive):
+    """The same records through Spark's file systems; the data source itself tells of the way."""
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.store.link./a", archive)
+    far = "viewfs://store/a"
+    with pytest.raises(Exception, match="load_warc"):
+        load(spark, far).collect()
+    key = lambda df: sorted(repr((r.record_id, r.record_type, r.payload, sorted(r.headers.items()))) for r in df.collect())
+    assert key(W.load_warc(spark, far, verify="true")) == key(W.load_warc(spark, archive))
+    some = W.load_warc(spark, far, {"WARC-Type": ["revisit"]})
+    assert some.count() == 3
+
+
+def test_paths_of_stores():
+    assert [W.located(p) for p in ("s3a://b/k", "/a/b", "file:/a", "file:///a", "dbfs:/x/y", "gs://b/k")] == ["s3://b/k", "/a/b", "file:///a", "file:///a", "file:///dbfs/x/y", "gs://b/k"]
+
+
+def test_joined_digests_give_the_same(spark):
+    df = spark.createDataFrame(ROWS, "page_id long, url string, html string")
+    assert sorted(W.records(df).collect()) == sorted(W.records(df, broadcast_bytes=0).collect())

@@ -18,7 +18,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
 
-from .scratch import fresh, table
+from .scratch import delete, fresh, if_small, table, written
 
 END = b"\r\n\r\n"
 SCHEMA = "record_type string, record_id string, target_uri string, payload_digest string, content_length long, headers map<string,string>, payload string"
@@ -33,9 +33,27 @@ class FilePartition(InputPartition):
         self.path = path
 
 
+#: What pyarrow calls the stores that Spark's paths name; a mount point for the last.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "file": "file", "dbfs": "file:///dbfs"}
+
+
+def located(path: str) -> str:
+    """``path`` as pyarrow takes it."""
+    scheme, colon, rest = path.partition(":")
+    if not colon or "/" in scheme:
+        return path
+    name = SCHEMES.get(scheme, scheme)
+    if "//" in name or name == "file":
+        return f"{name if '//' in name else 'file://'}/{rest.lstrip('/')}"
+    return f"{name}:{rest}"
+
+
 def opened(path: str):
-    system, at = fs.FileSystem.from_uri(path if "://" in path else path.replace("file:/", "file:///", 1))
-    return system, at
+    """pyarrow's file system of ``path``, and the path in it; an error that says what to do where there is none."""
+    try:
+        return fs.FileSystem.from_uri(located(path))
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError) as e:
+        raise ValueError(f"{path}: Python workers can't open this store ({e}); load_warc reads it through Spark's own file systems") from e
 
 
 class Stream:
@@ -83,73 +101,79 @@ class WarcReader(DataSourceReader):
         self.path, self.payload, self.verify = options["path"], options.get("payload", "true") == "true", options.get("verify", "false") == "true"
         self.tests: dict[str, set] = {h: set(v) for h, v in json.loads(options.get("where", "{}")).items()}
 
-    def pushFilters(self, filters):
-        for f in filters:
-            if isinstance(f, EqualTo | In) and len(f.attribute) == 1 and f.attribute[0] in HEADERS:
-                name, values = HEADERS[f.attribute[0]], {f.value} if isinstance(f, EqualTo) else set(f.value)
-                self.tests[name] = self.tests[name] & values if name in self.tests else values
-            else:
-                yield f
-
     def partitions(self):
         system, at = opened(self.path)
         info = system.get_file_info(at)
         found = [info] if info.type == fs.FileType.File else system.get_file_info(fs.FileSelector(at, recursive=True))
-        prefix = self.path.split("://")[0] + "://" if "://" in self.path else "file://"
-        host = self.path[len(prefix) :].split("/")[0] if prefix != "file://" and "://" in self.path else ""
         names = sorted(x.path for x in found if x.type == fs.FileType.File and x.size and not x.base_name.startswith(("_", ".")))
-        return [FilePartition(f"{prefix}{host}{n}") for n in names] or [FilePartition("")]
+        return [FilePartition(n) for n in names] or [FilePartition("")]
 
     def read(self, partition) -> Iterator[pa.RecordBatch]:
         rows, held = [], 0
-        for row in self.records(partition.path) if partition.path else ():
-            rows.append(row)
-            held += len(row[6] or "") + 200
-            if held > 4 << 20:
-                yield self.pack(rows)
-                rows, held = [], 0
+        if partition.path:
+            with opened(self.path)[0].open_input_stream(partition.path, compression="gzip" if partition.path.endswith(".gz") else None) as source:
+                for row in self.records(source, partition.path):
+                    rows.append(row)
+                    held += len(row[6] or "") + 200
+                    if held > 4 << 20:
+                        yield self.pack(rows)
+                        rows, held = [], 0
         yield self.pack(rows)
 
     def pack(self, rows: list) -> pa.RecordBatch:
         cols = list(zip(*rows)) or [[]] * len(ARROW)
         return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, ARROW.types)], schema=ARROW)
 
-    def records(self, path: str) -> Iterator[tuple]:
-        system, at = opened(path)
-        with system.open_input_stream(at, compression="gzip" if path.endswith(".gz") else None) as source:
-            stream = Stream(source, path)
-            while (block := stream.block()) is not None:
-                lines = block.decode("utf-8").split("\r\n")
-                if not lines[0].startswith("WARC/"):
-                    raise ValueError(f"{path}: a record begins with {lines[0][:20]!r}")
-                headers = {k: v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-                size = int(headers["Content-Length"])
-                wanted = all(headers.get(h) in values for h, values in self.tests.items())
-                check = hashlib.sha256() if wanted and self.verify and headers.get("WARC-Type") == "response" else None
-                keep: list[bytes] | None = [] if wanted and self.payload else None
-
-                def each(part: bytes, check=check, keep=keep) -> None:
-                    if check:
-                        check.update(part)
-                    if keep is not None:
-                        keep.append(part)
-
-                stream.bytes(size, each)
-                stream.ends()
-                if not wanted:
-                    continue
-                if check and headers.get("WARC-Payload-Digest") != f"sha256:{check.hexdigest()}":
-                    raise ValueError(f"{path}: {headers.get('WARC-Record-ID')}: the payload isn't what its digest says")
-                yield (*(headers.get(h) for h in HEADERS.values()), size, list(headers.items()), b"".join(keep).decode("utf-8") if keep is not None else None)
+    def records(self, source, path: str) -> Iterator[tuple]:
+        """Wanted records of the open file ``source``, in the order of ARROW; a payload that isn't wanted is passed over undecoded."""
+        stream = Stream(source, path)
+        while (block := stream.block()) is not None:
+            lines = block.decode("utf-8").split("\r\n")
+            if not lines[0].startswith("WARC/"):
+                raise ValueError(f"{path}: a record begins with {lines[0][:20]!r}")
+            headers = {k: v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
+            size = int(headers["Content-Length"])
+            wanted = all(headers.get(h) in values for h, values in self.tests.items())
+            check = hashlib.sha256() if wanted and self.verify and headers.get("WARC-Type") == "response" else None
+            keep: list[bytes] | None = [] if wanted and self.payload else None
+
+            def each(part: bytes, check=check, keep=keep) -> None:
+                if check:
+                    check.update(part)
+                if keep is not None:
+                    keep.append(part)
+
+            stream.bytes(size, each)
+            stream.ends()
+            if not wanted:
+                continue
+            if check and headers.get("WARC-Payload-Digest") != f"sha256:{check.hexdigest()}":
+                raise ValueError(f"{path}: {headers.get('WARC-Record-ID')}: the payload isn't what its digest says")
+            yield (*(headers.get(h) for h in HEADERS.values()), size, list(headers.items()), b"".join(keep).decode("utf-8") if keep is not None else None)
+
+
+class PushingReader(WarcReader):
+    """A reader that takes predicates on header columns from Spark."""
+
+    def pushFilters(self, filters):
+        for f in filters:
+            if isinstance(f, EqualTo | In) and len(f.attribute) == 1 and f.attribute[0] in HEADERS:
+                name, values = HEADERS[f.attribute[0]], {f.value} if isinstance(f, EqualTo) else set(f.value)
+                self.tests[name] = self.tests[name] & values if name in self.tests else values
+            else:
+                yield f
 
 
 class WarcSource(DataSource):
-    """``spark.read.format("warc").load(path)``.
-
-    Equality and IN predicates on record_type, record_id, target_uri and payload_digest are pushed
-    down (with spark.sql.python.filterPushdown.enabled). Options: ``where``, a JSON object of header
-    names and allowed values, for any other header; ``payload`` "false" to leave payloads unread
-    (null); ``verify`` "true" to hold responses' payloads against their digests.
+    """``spark.read.format("warc").load(path)``; see ``load_warc``.
+
+    Options: ``where``, a JSON object of header names and allowed values, which the reader tests before
+    it touches a payload; ``payload`` "false" to leave payloads unread (null); ``verify`` "true" to hold
+    responses' payloads against their digests; ``pushdown`` "true" to let Spark hand equality and IN
+    predicates on record_type, record_id, target_uri and payload_digest to the reader as well (with
+    spark.sql.python.filterPushdown.enabled). The last is for frames that are used with one predicate
+    only: Spark 4.1 keeps one read plan for each loaded frame, so a second use with other predicates
+    would lack rows. Without it any number of uses are right, and Spark tests the predicates itself.
     """
 
     @classmethod
@@ -160,22 +184,52 @@ class WarcSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> WarcReader:
-        return WarcReader(self.options)
+        return (PushingReader if self.options.get("pushdown") == "true" else WarcReader)(self.options)
 
 
-def register(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+def register(spark: SparkSession, pushdown: bool = False) -> None:
+    """Makes the source known; ``pushdown`` also turns on Spark's push-down to Python sources, for the session."""
+    if pushdown:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcSource)
 
 
-def records(pages: DataFrame, least: int = 100) -> DataFrame:
+def load_warc(spark: SparkSession, path: str, where: dict[str, list[str]] | None = None, **options: str) -> DataFrame:
+    """Records below ``path``, with the data source's columns and options, from any store that Spark reads.
+
+    ``where`` has header names and their allowed values, such as {"WARC-Type": ["response"]}.
+
+    Where Python workers can't open the store, files come as binary rows from Spark's own file
+    systems and are parsed on the executors: a file is then held in memory, and only ``where`` is
+    tested before payloads are decoded.
+    """
+    options |= {"where": json.dumps(where)} if where else {}
+    try:
+        opened(path)
+    except ValueError:
+        reader = WarcReader({"path": path, **options})
+
+        def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for name, content in zip(b["path"].to_pylist(), b["content"]):
+                    source = pa.BufferReader(content.as_buffer())
+                    yield reader.pack(list(reader.records(pa.CompressedInputStream(source, "gzip") if name.endswith(".gz") else source, name)))
+
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).where("length > 0").select("path", "content")
+        return files.mapInArrow(parse, SCHEMA)
+    register(spark, options.get("pushdown") == "true")
+    return spark.read.format("warc").options(**options).load(path)
+
+
+def records(pages: DataFrame, least: int = 100, broadcast_bytes: int = 32 << 20) -> DataFrame:
     """``pages`` (page_id, url, html) as records: wr_* columns and the text of each.
 
     Null html is an empty payload. Of rows with equal payloads of at least ``least`` bytes those with
     the smallest page_id (one, unless rows are repeated) are responses, the others revisits that refer
     to it; rows without an id never are the smallest unless all are. Smallest ids are aggregated before
-    they are dealt, and only digests that occur twice are joined back, so a payload shared by a third
-    of all rows is one row on the right; its rows on the left are dealt by digest and split by AQE.
+    they are dealt, and only digests that occur twice are joined back: broadcast where they take little
+    memory, so that payloads stay where they are, else by digest, where AQE splits a payload that a
+    third of all rows share. Repeated rows give a record each; an empty table gives none.
     """
     rows = pages.select(
         F.col("page_id").cast("long").alias("wr_id"),
@@ -183,7 +237,7 @@ def records(pages: DataFrame, least: int = 100) -> DataFrame:
         F.coalesce("html", F.lit("")).alias("wr_payload"),
     ).withColumns({"wr_bytes": F.octet_length("wr_payload").cast("long"), "wr_digest": F.sha2(F.col("wr_payload").cast("binary"), 256)})
     shared = rows.where(F.col("wr_bytes") >= least).groupBy("wr_digest").agg(F.min("wr_id").alias("wr_first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    rows = rows.join(shared, "wr_digest", "left").withColumn("wr_revisit", F.coalesce(F.col("wr_first") != F.coalesce("wr_id", F.col("wr_first") - 1), F.lit(False)))
+    rows = rows.join(if_small(written(shared, "warc-shared"), broadcast_bytes), "wr_digest", "left").withColumn("wr_revisit", F.coalesce(F.col("wr_first") != F.coalesce("wr_id", F.col("wr_first") - 1), F.lit(False)))
     line = lambda name, value: F.concat(F.lit(f"\r\n{name}: "), value)
     ident = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("none")), F.lit(">"))
     text = F.concat(
@@ -209,18 +263,21 @@ def write(pages: DataFrame, path: str, rows_per_file: int = 50_000) -> None:
 
 
 def query(spark, sf_dir) -> DataFrame:
-    register(spark)
+    """The archive is read back once, its small result is kept, and the archive goes."""
     path = fresh(spark, "warc")
     write(table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
-    read = spark.read.format("warc").option("payload", "false").option("verify", "true").load(path)
+    read = load_warc(spark, path, payload="false", verify="true")
     number = lambda c: F.expr(f"try_cast(regexp_extract({c}, 'page:(-?[0-9]+)>', 1) AS BIGINT)")
-    return read.select(
+    out = read.select(
         number("record_id").alias("page_id"),
         F.element_at("headers", "X-Payload-Bytes").cast("long").alias("payload_bytes"),
         F.substring_index("payload_digest", ":", -1).alias("payload_digest"),
         "record_type",
         number("headers['WARC-Refers-To']").alias("refers_to"),
     )
+    out = written(out, "warc-pages")
+    delete(spark, path)
+    return out
 
 
 SQL = """

@@ -43,8 +43,9 @@ def test_against_brute_force(spark):
     for case in range(3):
         rows = [(i, " ".join("w" * rng.randint(1, 3) for _ in range(rng.choice([0, 1, 7, 40, 900]))), rng.choice(["a", "a", "a", "b", "ü", "Z", "", None][: 2 + 3 * case])) for i in range(200)]
         rows += [(5, "same row", "a"), (5, "same row", "a"), (None, "no id \x0b here", "b"), (6, None, None), (7, "\t \n", "b"), (8, "x " * 50_000, "c")]
+        rows += [(9, "one row many times", "d")] * 30  # the cut of this source is within rows that are alike
         df = spark.createDataFrame([(d, t, s, 0) for d, t, s in rows], "doc_id long, text string, source string, size int")
-        got = [(r.doc_id, r.mx_size, r.mx_source_size, round(r.mx_target, 6), r.mx_taken) for r in mix_sources(df, ["doc_id", "size"], range_digits=1).collect()]
+        got = [(r.doc_id, r.mx_size, r.mx_source_size, round(r.mx_target, 6), r.mx_taken) for r in mix_sources(df, ["doc_id", "size"], range_rows=(1, 10, 1000)[case], broadcast_bytes=(1 << 20, 0, 1 << 20)[case]).collect()]
         assert sorted(got, key=repr) == brute(rows)
         by = {}
         for (d, n, total, target, taken) in got:
@@ -52,6 +53,14 @@ def test_against_brute_force(spark):
             by.setdefault((total, target), []).append(taken)
 
 
+def test_epochs_and_clashing_names(spark):
+    df = spark.createDataFrame([(i, "w " * (i % 9), "ab"[i > 50], i) for i in range(70)], "doc_id long, text string, source string, mx_size int")
+    out = mix_sources(df, ["doc_id", "mx_size"])
+    assert out.columns == ["doc_id", "mx_size_", "mx_size", "mx_source_size", "mx_target", "mx_taken", "mx_epochs"]
+    for r in out.collect():
+        assert r.mx_size == r.doc_id % 9 and r.mx_size_ == r.doc_id and sum(r.mx_epochs) == r.mx_taken and sorted(r.mx_epochs, reverse=True) == r.mx_epochs
+
+
 def test_no_rows_and_no_words(spark):
     schema = "doc_id long, text string, source string"
     assert mix_sources(spark.createDataFrame([], schema), ["doc_id"]).count() == 0

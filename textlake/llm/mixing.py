@@ -2,8 +2,9 @@
 
 Every document gets a hash-random key. Its leading digits are its range within its source, so the
 ranges of a source are even whatever the source's share of the rows is. Sums per range give
-distributed prefix sums in two steps: over the ranges of a source (a fixed number), then over the
-rows of one range. A source is cut at its exact budget; budgets above its size repeat it.
+distributed prefix sums in two steps: over the ranges of a source, then over the sorted rows of the
+one range that holds the source's cut. All rows before the cut are taken whole and none behind it, so
+no document is dealt anew. A source is cut at its exact budget; budgets above its size repeat it.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from .scratch import table, written
+from .scratch import apart, if_small, scope, table, written
 
 #: ASCII white space splits words; everything else belongs to one.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -48,33 +49,67 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap:
     )
 
 
-def mix_sources(docs: DataFrame, carry: list[str], weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, range_digits: int = 3, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "") -> DataFrame:
-    """One row a document: ``carry`` columns, then mx_size, mx_source_size, mx_target, mx_taken.
+def cut_points(base: DataFrame, digits: int, weights: tuple[int, ...], cap: int) -> DataFrame:
+    """A row a source of ``base`` (mx_source, mx_key, mx_text): its total, target and where its budget ends.
 
-    mx_taken counts the words that the mix takes of the document, repeats counted; a source's sum is
-    its target's whole part exactly, since the last document is cut at the budget. A null source is a
-    source of its own, after all others; a null or empty text has size 0 and nothing is taken of it.
-    The order is by md5 of id and text, so reruns agree; rows alike in both are interchangeable. An
-    empty table gives no rows. ``range_digits`` hexadecimal digits of the key make 16**n ranges of
-    each source; the largest window holds one range of one source, and its running sum streams.
+    mx_full epochs are taken whole. In the next one the rows before mx_cut in the order of keys are
+    taken whole, and those with that key take mx_left words together; they are mx_ties rows. Ranges
+    of keys give sums and prefix sums first. One range of a source holds the cut, so only its rows are
+    sorted, as sums by key; the largest window holds one range of one source.
     """
+    sized = base.withColumn("mx_size", word_count(F.col("mx_text")))
+    ranges = written(sized.groupBy("mx_source", F.substring("mx_key", 1, digits).alias("mx_range")).agg(F.sum("mx_size").alias("mx_sum")), "mix-ranges")
+    targets = source_targets(ranges.groupBy("mx_source").agg(F.sum("mx_sum").alias("mx_total")), weights, cap)
+    targets = targets.withColumn("mx_full", F.expr("CASE WHEN mx_total > 0 THEN mx_budget div mx_total ELSE 0 END"))
+    targets = written(targets.withColumn("mx_rest", F.expr("mx_budget - mx_full * mx_total")), "mix-targets")
+    before = lambda by, order: F.coalesce(F.sum("mx_sum").over(Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    holds = "mx_before <= mx_rest AND mx_rest < mx_before + mx_sum"
+    cut = ranges.withColumn("mx_before", before(["mx_source"], "mx_range")).join(targets.select("mx_source", "mx_rest"), "mx_source").where(holds)
+    cut = written(cut.select("mx_source", "mx_range", (F.col("mx_rest") - F.col("mx_before")).alias("mx_rest")), "mix-cut-ranges")
+    inside = base.withColumn("mx_range", F.substring("mx_key", 1, digits)).join(if_small(cut), ["mx_source", "mx_range"])
+    keys = inside.groupBy("mx_source", "mx_rest", "mx_key").agg(F.sum(word_count(F.col("mx_text"))).alias("mx_sum"), F.count("*").alias("mx_ties"))
+    at = keys.withColumn("mx_before", before(["mx_source"], "mx_key")).where(holds)
+    at = at.select("mx_source", F.col("mx_key").alias("mx_cut"), (F.col("mx_rest") - F.col("mx_before")).alias("mx_left"), "mx_ties")
+    return written(targets.drop("mx_rest").join(at, "mx_source", "left"), "mix-cuts", keep=True)
+
+
+def mix_sources(docs: DataFrame, carry: list[str], weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, range_rows: int = 50_000, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "", broadcast_bytes: int = 32 << 20) -> DataFrame:
+    """One row a document: ``carry`` columns, then mx_size, mx_source_size, mx_target, mx_taken and mx_epochs.
+
+    mx_taken counts the words that the mix takes of the document, repeats counted, and mx_epochs has
+    them by epoch; a source's sum is its target's whole part exactly, since the last document is cut
+    at the budget. A null source is a source of its own, after all others; a null or empty text has
+    size 0 and nothing is taken of it. The order is by md5 of id and text, so reruns agree; rows alike
+    in both are interchangeable. An empty table gives no rows. The ranges are so many that one of them
+    has about ``range_rows`` rows at most, whatever source they are of. A carried column of a
+    result's name gets an underscore behind it. Documents stay where they are:
+    they meet their source's cut, broadcast where these take at most ``broadcast_bytes``, else by key.
+    """
+    spark = docs.sparkSession
     src, ident, text = docs[source_col], docs[id_col], docs[text_col]
     key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(ident.cast("string"), F.lit("-")), F.md5(F.coalesce(text, F.lit("")).cast("binary"))).cast("binary"))
     base = docs.select(
-        *[docs[c] for c in carry],
+        *[docs[c].alias(f"mx_c{i}") for i, c in enumerate(carry)],
         F.when(src.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), src)).alias("mx_source"),
-        word_count(text).alias("mx_size"),
+        text.alias("mx_text"),
         key.alias("mx_key"),
-    ).withColumn("mx_range", F.substring("mx_key", 1, range_digits))
-    ranges = written(base.groupBy("mx_source", "mx_range").agg(F.sum("mx_size").alias("mx_rsize")), "mix-ranges")
-    targets = source_targets(ranges.groupBy("mx_source").agg(F.sum("mx_rsize").alias("mx_total")), weights, cap)
-    upto = Window.partitionBy("mx_source").orderBy("mx_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = ranges.withColumn("mx_start", F.coalesce(F.sum("mx_rsize").over(upto), F.lit(0))).join(targets, "mx_source").drop("mx_rsize")
-    inside = Window.partitionBy("mx_source", "mx_range").orderBy("mx_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = base.join(offsets, ["mx_source", "mx_range"]).withColumn("mx_at", F.col("mx_start") + F.sum("mx_size").over(inside) - F.col("mx_size"))
-    epochs = [F.greatest(F.lit(0).cast("long"), F.least(F.col("mx_size"), F.col("mx_budget") - F.col("mx_total") * e - F.col("mx_at"))) for e in range(cap)]
-    taken = F.array(*epochs)
-    return rows.select(*carry, "mx_size", F.col("mx_total").alias("mx_source_size"), "mx_target", F.aggregate(taken, F.lit(0).cast("long"), lambda a, x: a + x).alias("mx_taken"), taken.alias("mx_epochs"))
+    )
+    digits = next(d for d in range(1, 17) if docs.count() <= range_rows * 16**d)
+    with scope(spark):
+        cuts = cut_points(base.select("mx_source", "mx_text", "mx_key"), digits, weights, cap)
+    rows = base.join(if_small(cuts, broadcast_bytes), "mx_source").withColumn("mx_size", word_count(F.col("mx_text")))
+    size, left = F.col("mx_size"), F.col("mx_left")
+    if cuts.where("mx_ties > 1").isEmpty():
+        at_cut = F.least(size, left)
+    else:  # rows with a cut's key are alike, so any order of them will do
+        place = F.row_number().over(Window.partitionBy("mx_source").orderBy("mx_key"))
+        rows = rows.where("NOT mx_key <=> mx_cut").withColumn("mx_turn", F.lit(0)).unionByName(rows.where("mx_key = mx_cut").withColumn("mx_turn", place - 1))
+        at_cut = F.greatest(F.lit(0).cast("long"), F.least(size, left - F.col("mx_turn") * size))
+    part = F.when(F.col("mx_key") < F.col("mx_cut"), size).when(F.col("mx_key") == F.col("mx_cut"), at_cut).otherwise(F.lit(0).cast("long"))
+    epochs = F.array(*[F.when(F.lit(e) < F.col("mx_full"), size).when(F.lit(e) == F.col("mx_full"), part).otherwise(F.lit(0).cast("long")) for e in range(cap)])
+    taken = F.aggregate(epochs, F.lit(0).cast("long"), lambda a, x: a + x)
+    names = apart(carry, ("mx_size", "mx_source_size", "mx_target", "mx_taken", "mx_epochs"))
+    return rows.select(*[F.col(f"mx_c{i}").alias(c) for i, c in enumerate(names)], "mx_size", F.col("mx_total").alias("mx_source_size"), "mx_target", taken.alias("mx_taken"), epochs.alias("mx_epochs"))
 
 
 def query(spark, sf_dir) -> DataFrame:

@@ -17,11 +17,38 @@ def brute(text):
     return len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"), len(lines), len(lines) - len(set(lines)), len(covered)
 
 
+def brute_kept(rows):
+    """Verdict of each of ``rows`` (text, language, source), with quartiles from sorted lists."""
+    figures = []
+    for t, _, _ in rows:
+        n, chars, symbols, lines, dup, rep = brute(t)
+        ratios = [chars * 100 // max(n, 1), symbols * 1000 // max(n, 1), dup * 1000 // max(lines, 1), rep * 1000 // max(n, 1)]
+        figures.append((n, rep, ratios))
+    pools = {}
+    for (n, _, ratios), (_, lang, source) in zip(figures, rows):
+        if n:
+            for key in ((lang, source), (lang,), ()):
+                pools.setdefault(key, []).append([v >> max(0, v.bit_length() - 7) << max(0, v.bit_length() - 7) for v in ratios])
+    out = []
+    for (n, rep, ratios), (_, lang, source) in zip(figures, rows):
+        pool = next((pools[k] for k in ((lang, source), (lang,)) if len(pools.get(k, ())) >= 50), pools.get((), []))
+        ok = n >= 10 and 100 * rep <= 20 * n
+        for k, slack in enumerate((60, 100, 350, 180)):
+            if ok:
+                v = sorted(p[k] for p in pool)
+                low, high = v[-(-len(v) // 4) - 1], v[-(-3 * len(v) // 4) - 1]
+                width = max(6 * (high - low), slack)
+                ok = ratios[k] <= high + width and (k or ratios[k] >= low - width)
+        out.append(bool(ok))
+    return out
+
+
 def test_figures_against_brute_force(spark):
     rng = random.Random(6)
     bits = ["a", "b", "c", "dé", "😀", "#", "&&", " ", "  ", "\n", "\t", "\x0b", "a b c d e ", "line one\n", "\x85", "\xa0"]
     texts = ["".join(rng.choice(bits) + rng.choice(["", " "]) for _ in range(rng.randint(0, 60))) for _ in range(400)] + [None, "", " ", "\n\n", "a " * 30_000, "a b c d e f " * 3, "x\n" * 50]
-    df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, n_words_ int")
+    df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, n_words int")
+    assert "n_words_" in Q.base_figures(df).columns
     for r in Q.base_figures(df).collect():
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_lines, r.n_dup_lines, r.n_repeat_words) == brute(r.text), repr(r.text)[:80]
 
@@ -46,6 +73,8 @@ def test_verdicts(spark):
     assert len(out) == len(rows)
     assert {r.doc_id for r in out if not r.kept} == {1000, 1001, 1002, 1003}
     assert {r.doc_id for r in out if r.base_failed} == {1001, 1002}
-    salted = Q.judge(df, ["doc_id"], broadcast_groups=0).collect()
+    assert [r.kept for r in sorted(out, key=lambda r: (r.doc_id, r.kept))] == [k for _, k in sorted(zip([r[0] for r in rows], brute_kept([r[1:4] for r in rows])))]
+    assert Q.judge(df, ["kept", "doc_id"]).columns[:2] == ["kept_", "doc_id"]
+    salted = Q.judge(df, ["doc_id"], broadcast_bytes=0).collect()
     assert sorted((r.doc_id, r.kept) for r in salted) == sorted((r.doc_id, r.kept) for r in out)
     assert Q.judge(df.limit(0), ["doc_id"]).count() == 0

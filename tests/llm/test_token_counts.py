@@ -33,6 +33,7 @@ def test_long_word_and_ties(lib):
 
 def test_rows(spark, lib):
     rows = [(1, "Hello, World", "x"), (1, "Hello, World", "x"), (2, None, None), (3, "", "y"), (None, "a " * 3000, "z")]
-    out = count_tokens(spark.createDataFrame(rows, "doc_id long, text string, tokens string"), PATH).collect()
+    out = count_tokens(spark.createDataFrame(rows, "doc_id long, text string, n_tokens string"), PATH).collect()
+    assert sorted(r.n_tokens_ or "" for r in out) == ["", "x", "x", "y", "z"]
     assert sorted((r.n_bytes, r.n_tokens, r.over_limit) for r in out) == sorted((len((t or "").encode()), lib(t or ""), lib(t or "") > 2048) for _, t, _ in rows)
     assert count_tokens(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0

@@ -13,12 +13,12 @@ import functools
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from .scratch import scope, table, written
+from .scratch import apart, if_small, scope, table, written
 
 SPACE = r"[\x20\x09-\x0D]+"
 #: Figures: name, numerator, denominator, scale, least slack in scaled units, whether low values fail too.
 RATIOS = (
-    ("word_len", "word_chars", "n_words", 100, 250, True),
+    ("word_len", "word_chars", "n_words", 100, 60, True),
     ("symbol", "n_symbols", "n_words", 1000, 100, False),
     ("dup_line", "n_dup_lines", "n_lines", 1000, 350, False),
     ("repeat", "n_repeat_words", "n_words", 1000, 180, False),
@@ -57,9 +57,14 @@ def repeated_words(words: Column, n: int = 5) -> Column:
 
 
 def base_figures(docs: DataFrame, text_col: str = "text", prefix: str = "") -> DataFrame:
-    """``docs`` with n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words (names after ``prefix``)."""
-    raw = F.coalesce(docs[text_col], F.lit(""))
+    """``docs`` with n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words (names after ``prefix``).
+
+    Columns of ``docs`` of these names get an underscore behind them.
+    """
     p = prefix
+    kept = apart(docs.columns, tuple(p + c for c in (*BASE, "n_lines")))
+    docs = docs.select(*[docs[c].alias(k) for c, k in zip(docs.columns, kept)], docs[text_col].alias("qr_raw"))
+    raw = F.coalesce(F.col("qr_raw"), F.lit(""))
     df = docs.withColumn("qr_words", let(F.btrim(raw, F.lit(" \t\n\x0b\f\r")), lambda t: F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, SPACE))))
     df = df.withColumn("qr_lines", F.filter(F.split(raw, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     long = lambda c: c.cast("long")
@@ -72,7 +77,7 @@ def base_figures(docs: DataFrame, text_col: str = "text", prefix: str = "") -> D
             f"{p}n_dup_lines": long(F.size("qr_lines") - F.size(F.array_distinct("qr_lines"))),
             f"{p}n_repeat_words": repeated_words(F.col("qr_words")),
         }
-    ).drop("qr_words", "qr_lines")
+    ).drop("qr_words", "qr_lines", "qr_raw")
 
 
 def bin_of(v: Column, bits: int = 6) -> Column:
@@ -87,7 +92,7 @@ def bin_low(b: str, bits: int = 6) -> str:
     return f"CASE WHEN {b} < {2 * n} THEN {b} ELSE shiftleft({b} % {n} + {n}, CAST({b} div {n} - 1 AS INT)) END"
 
 
-def fences(figures: DataFrame, keys: tuple[str, str], min_rows: int = 50, factor: float = 4.0) -> DataFrame:
+def fences(figures: DataFrame, keys: tuple[str, str], min_rows: int = 50, factor: float = 6.0) -> DataFrame:
     """(keys, low and high fence of each ratio) from ``figures`` with those two columns.
 
     A fence is the quartile plus or minus ``factor`` times the quartile distance or a slack,
@@ -119,7 +124,7 @@ def fences(figures: DataFrame, keys: tuple[str, str], min_rows: int = 50, factor
     return groups.select(*cols)
 
 
-def judge(docs: DataFrame, carry: list[str], text_col: str = "text", lang_col: str = "lang", source_col: str = "source", broadcast_groups: int = 20_000, salts: int = 16) -> DataFrame:
+def judge(docs: DataFrame, carry: list[str], text_col: str = "text", lang_col: str = "lang", source_col: str = "source", broadcast_bytes: int = 32 << 20, salts: int = 16) -> DataFrame:
     """``carry`` columns, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, base_failed, kept.
 
     base_failed: under 10 words, or over a fifth of them in repeated 5-word windows. kept: not
@@ -127,15 +132,17 @@ def judge(docs: DataFrame, carry: list[str], text_col: str = "text", lang_col: s
     language or source of its own. Null and empty texts have no words and fail. Every row gives one
     row, repeated ids included. The text is read once: figures and ``carry`` are written to the
     shared folder, and sketches and verdicts come from there. The table of fences has a row for each
-    pair of language and source; it is broadcast where their number, counted first, is at most
-    ``broadcast_groups``, else joined by key with the rows of each key in ``salts`` parts.
+    pair of language and source; it is broadcast where it takes at most ``broadcast_bytes``, else
+    joined by key with the rows of each key in ``salts`` parts. Carried columns of a result's name get
+    an underscore behind them. An empty table gives no rows.
     """
     key = lambda c: F.when(docs[c].isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), docs[c].cast("string")))
     held = docs.select(*[docs[c].alias(f"qr_c{i}") for i, c in enumerate(carry)], key(lang_col).alias("qr_lang"), key(source_col).alias("qr_source"), docs[text_col].alias("qr_text"))
     figures = written(base_figures(held, "qr_text").drop("qr_text"), "quality-figures")
     limits = written(fences(figures, ("qr_lang", "qr_source")), "quality-fences")
-    if limits.count() <= broadcast_groups:
-        rows = figures.join(F.broadcast(limits), ["qr_lang", "qr_source"], "left")
+    small = if_small(limits, broadcast_bytes)
+    if small is not limits:
+        rows = figures.join(small, ["qr_lang", "qr_source"], "left")
     else:
         salted = limits.withColumn("qr_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         rows = figures.withColumn("qr_salt", F.pmod(F.xxhash64("n_words", "word_chars", "n_lines"), F.lit(salts)).cast("int")).join(salted, ["qr_lang", "qr_source", "qr_salt"], "left")
@@ -145,18 +152,19 @@ def judge(docs: DataFrame, carry: list[str], text_col: str = "text", lang_col: s
         ratio = f"({num} * {scale} div greatest({den}, 1))"
         ok.append(f"{ratio} <= {name}_high" + f" AND {ratio} >= {name}_low" * both)
     rows = rows.withColumns({"base_failed": F.expr(failed), "kept": F.expr(f"NOT ({failed}) AND coalesce({' AND '.join(ok)}, false)")})
-    return rows.select(*[F.col(f"qr_c{i}").alias(c) for i, c in enumerate(carry)], *BASE, "n_lines", "base_failed", "kept")
+    named = apart(carry, (*BASE, "n_lines", "base_failed", "kept"))
+    return rows.select(*[F.col(f"qr_c{i}").alias(c) for i, c in enumerate(named)], *BASE, "n_lines", "base_failed", "kept")
 
 
 def query(spark, sf_dir) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"), ["doc_id"]).select("doc_id", *BASE, "base_failed", "kept")
 
 
-def stage(spark, docs: DataFrame, sf_dir: str, broadcast_rows: int = 1_000_000) -> DataFrame:
+def stage(spark, docs: DataFrame, sf_dir: str, broadcast_bytes: int = 32 << 20) -> DataFrame:
     """Documents that the rules keep.
 
     The verdicts are a small table; the rows that go are joined away by id, text, language and
-    source, broadcast where their counted number is at most ``broadcast_rows``.
+    source, broadcast where they take at most ``broadcast_bytes``.
     """
     cols = ["doc_id", "text", "lang", "source", "n_chars"]
     keyed = docs.select(*cols).withColumn("tkey", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
@@ -164,7 +172,7 @@ def stage(spark, docs: DataFrame, sf_dir: str, broadcast_rows: int = 1_000_000)
     with scope(spark):
         gone = written(judge(keyed, keys).where("NOT kept").select(*[F.col(k).alias(f"g_{k}") for k in keys]).distinct(), "quality-gone", keep=True)
     same = [keyed[k].eqNullSafe(gone[f"g_{k}"]) for k in keys]
-    return keyed.join(F.broadcast(gone) if gone.count() <= broadcast_rows else gone, functools.reduce(Column.__and__, same), "left_anti").select(*cols)
+    return keyed.join(if_small(gone, broadcast_bytes), functools.reduce(Column.__and__, same), "left_anti").select(*cols)
 
 
 SQL = r"""
@@ -192,8 +200,8 @@ q0 AS (SELECT lang, src, k, any_value(n0) AS n, min(b) FILTER (u0 * 4 >= n0) AS
 q AS (SELECT q0.lang, src, q0.k, CASE WHEN q0.n >= 50 THEN q0.a WHEN q1.n >= 50 THEN q1.a ELSE q2.a END AS a, CASE WHEN q0.n >= 50 THEN q0.c WHEN q1.n >= 50 THEN q1.c ELSE q2.c END AS c
       FROM q0 JOIN q1 ON q0.lang = q1.lang AND q0.k = q1.k JOIN q2 ON q0.k = q2.k),
 y AS (SELECT lang, src, k, CASE WHEN a < 128 THEN a ELSE (a % 64 + 64) << CAST(a // 64 - 1 AS INT) END AS a, CASE WHEN c < 128 THEN c ELSE (c % 64 + 64) << CAST(c // 64 - 1 AS INT) END AS c FROM q),
-z AS (SELECT lang, src, max(c + greatest(4 * (c - a), 250)) FILTER (k = 1) AS h1, max(a - greatest(4 * (c - a), 250)) FILTER (k = 1) AS l1,
-             max(c + greatest(4 * (c - a), 100)) FILTER (k = 2) AS h2, max(c + greatest(4 * (c - a), 350)) FILTER (k = 3) AS h3, max(c + greatest(4 * (c - a), 180)) FILTER (k = 4) AS h4
+z AS (SELECT lang, src, max(c + greatest(6 * (c - a), 60)) FILTER (k = 1) AS h1, max(a - greatest(6 * (c - a), 60)) FILTER (k = 1) AS l1,
+             max(c + greatest(6 * (c - a), 100)) FILTER (k = 2) AS h2, max(c + greatest(6 * (c - a), 350)) FILTER (k = 3) AS h3, max(c + greatest(6 * (c - a), 180)) FILTER (k = 4) AS h4
       FROM y GROUP BY lang, src)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,

@@ -19,15 +19,18 @@ import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .scratch import table
+from .scratch import apart, table
 
 #: Words kept with their counts by one Python worker, and the longest of them in characters.
 CACHED_WORDS, CACHED_CHARS = 600_000, 40
 
 
 def small_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Arrow batches of few rows, as texts may be long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    """Arrow batches of at most ``rows`` rows, as texts may be long. A session setting, which is never raised."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > rows:
+        spark.conf.set(name, rows)
 
 
 def byte_chars() -> list[str]:
@@ -130,9 +133,14 @@ def token_count(text: Column, path: str) -> Column:
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 2048, text_col: str = "text") -> DataFrame:
-    """``docs`` with n_bytes, n_tokens and over_limit; one row for each row, repeated ones included."""
+    """``docs`` with n_bytes, n_tokens and over_limit; one row for each row, repeated ones included.
+
+    Columns of ``docs`` of these names get an underscore behind them. An empty table gives no rows.
+    """
     small_batches(docs.sparkSession)
-    df = docs.withColumns({"n_bytes": F.coalesce(F.octet_length(docs[text_col]), F.lit(0)).cast("long"), "n_tokens": token_count(docs[text_col], path)})
+    kept = apart(docs.columns, ("n_bytes", "n_tokens", "over_limit"))
+    size = F.coalesce(F.octet_length(docs[text_col]), F.lit(0)).cast("long")
+    df = docs.select(*[docs[c].alias(k) for c, k in zip(docs.columns, kept)], size.alias("n_bytes"), token_count(docs[text_col], path).alias("n_tokens"))
     return df.withColumn("over_limit", F.col("n_tokens") > limit)
 
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import collections
 import html
 import unicodedata
 import zlib
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
@@ -24,21 +24,25 @@ _nfkc = _text_udf(lambda t: unicodedata.normalize("NFKC", t))
 _unescape = _text_udf(html.unescape)
 
 
-def _unless_ascii(udf, text: Column, plain: str) -> Column:
-    """``udf`` of texts that don't match ``plain``; the others are sent as nulls and stay as they are."""
-    return F.when(text.rlike(plain), text).otherwise(udf(F.when(~text.rlike(plain), text)))
+def _where(udf, text: Column, needed: Column) -> Column:
+    """``udf`` of the texts that need it; the others are sent as nulls and stay as they are."""
+    return F.when(needed, udf(F.when(needed, text))).otherwise(text)
+
+
+def _not_ascii(text: Column) -> Column:
+    return F.octet_length(text) != F.length(text)
 
 
 def nfc(text: Column) -> Column:
-    return _unless_ascii(_nfc, text, r"\A\p{ASCII}*\z")
+    return _where(_nfc, text, _not_ascii(text))
 
 
 def nfkc(text: Column) -> Column:
-    return _unless_ascii(_nfkc, text, r"\A\p{ASCII}*\z")
+    return _where(_nfkc, text, _not_ascii(text))
 
 
 def html_unescape(text: Column) -> Column:
-    return _unless_ascii(_unescape, text, r"\A[^&]*\z")
+    return _where(_unescape, text, text.contains("&"))
 
 
 @F.pandas_udf(T.StructType([T.StructField("dominant", T.DoubleType()), T.StructField("savings", T.DoubleType())]))
@@ -47,7 +51,11 @@ def _repetition(texts: pd.Series) -> pd.DataFrame:
         if t is None or not t:
             return 0.0, 0.0
         data = t.encode("utf-8", "surrogatepass")
-        return max(collections.Counter(t).values()) / len(t), 1 - len(zlib.compress(data)) / len(data)
+        if len(data) == len(t):
+            most = np.bincount(np.frombuffer(data, np.uint8)).max()
+        else:
+            most = np.unique(np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32), return_counts=True)[1].max()
+        return most / len(t), 1 - len(zlib.compress(data)) / len(data)
 
     return pd.DataFrame([of(t) for t in texts], columns=["dominant", "savings"])
 

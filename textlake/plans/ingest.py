@@ -65,8 +65,7 @@ def q_quality_flags(spark, d):
 
 @query(f"WITH {views.quality_sql('documents')} SELECT doc_id, pii FROM q")
 def q_pii_flags(spark, d):
-    text = F.col("text")
-    return views.load(spark, d, "documents").select("doc_id", (text.rlike(quality.EMAIL) | text.rlike(quality.PHONE)).alias("pii"))
+    return views.load(spark, d, "documents").select("doc_id", quality.personal(F.col("text")).alias("pii"))
 
 
 @query(f"WITH {views.quality_sql('documents')}, n AS (SELECT doc_id, len(t) AS n, list_max(map_values(list_histogram(t))) AS m FROM (SELECT doc_id, string_split(compact, '') AS t FROM q)) SELECT doc_id, round(m / n, 4) AS dominant FROM n WHERE n >= 100")

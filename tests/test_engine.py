@@ -40,7 +40,7 @@ def test_stream_restart_and_ledger(spark, sf, tmp_path):
     msgs = views.messages(spark, sf)
     c = consumer.ConsumerConfig("t", "dead", f"file://{tmp_path}/out", f"file://{tmp_path}/check", watermark="3650 days")
     read = lambda: consumer.file_messages(spark, f"file://{tmp_path}/topic")
-    count = lambda: spark.read.option("recursiveFileLookup", "true").schema("row_count long").parquet(f"{tmp_path}/out/_ledger").agg(F.sum("row_count")).first()[0]
+    count = lambda: consumer.read_ledger(spark, f"{tmp_path}/out").agg(F.sum("row_count")).first()[0]
     msgs.where("offset < 30").write.parquet(f"file://{tmp_path}/topic")
     consumer.start(read(), c).awaitTermination()
     first = count()
@@ -60,9 +60,41 @@ def test_stream_plan_and_batch_is_repeatable(spark, sf, tmp_path):
     assert "DeduplicateWithinWatermark" in df._jdf.queryExecution().analyzed().toString()
     batch = consumer.routing.add_route(consumer.routing.transform(consumer.routing.parse_messages(views.messages(spark, sf))))
     for _ in range(2):
-        consumer.write_batch(batch, 7, f"file://{tmp_path}/out")
-    assert spark.read.option("recursiveFileLookup", "true").schema("row_count long").parquet(f"{tmp_path}/out/_ledger").first().row_count == batch.count()
-    assert sinks.batch_path("r", "processed", 7) == "r/processed/batch_id=00000000000000000007"
+        consumer.write_batch(batch, 7, f"file://{tmp_path}/out", "c", "s")
+    entry = consumer.read_ledger(spark, f"file://{tmp_path}/out").collect()
+    assert [(r.consumer_name, r.stream, r.batch_id, r.row_count) for r in entry] == [("c", "s", 7, batch.count())]
+    counts = {r.output_route: r["count"] for r in batch.groupBy("output_route").count().collect()}
+    assert json.loads(entry[0].route_counts) == counts
+    for route, n in counts.items():
+        assert consumer.read_written(spark, f"file://{tmp_path}/out", route, "event_id string").count() == n
+    stored = spark.read.parquet(f"{tmp_path}/out/events")
+    assert not set(sinks.INTERNAL) & set(stored.columns) and stored.where("letter IS NOT NULL").count() == counts["contract_rejected"]
+
+
+def test_consumers_and_checkpoints_lose_nothing(spark, sf, tmp_path):
+    """A second consumer on one root, and a new checkpoint in the place of a lost one, write their batches too."""
+    import shutil
+
+    root, msgs = f"file://{tmp_path}", views.messages(spark, sf)
+    msgs.where("offset < 20").write.parquet(f"{root}/a")
+    msgs.where("offset >= 20").write.parquet(f"{root}/b")
+    ids = lambda df: df.groupBy("consumer_name").agg(F.sum("row_count").alias("n"))
+
+    def consume(topic, name):
+        c = consumer.ConsumerConfig("t", "dead", f"{root}/out", f"{root}/check-{name}", watermark="3650 days", name=name)
+        consumer.start(consumer.file_messages(spark, f"{root}/{topic}"), c).awaitTermination()
+
+    consume("a", "one")
+    consume("b", "two")
+    got = {r.consumer_name: r.n for r in ids(consumer.read_ledger(spark, f"{root}/out")).collect()}
+    assert set(got) == {"one", "two"} and min(got.values()) > 20
+    shutil.rmtree(tmp_path / "check-one")
+    consume("b", "one")
+    again = {r.consumer_name: r.n for r in ids(consumer.read_ledger(spark, f"{root}/out")).collect()}
+    assert again == {"one": got["one"] + got["two"], "two": got["two"]}
+    assert consumer.read_ledger(spark, f"{root}/out").where("consumer_name = 'one'").select("stream").distinct().count() == 2
+    with pytest.raises(ValueError, match="name"):
+        consumer.ConsumerConfig("t", "d", "o", "c", name="a/b")
 
 
 @pytest.mark.parametrize("bad", [dict(dead_letter_topic="t"), dict(max_offsets_per_trigger=0), dict(starting_offsets="soon"), dict(starting_offsets="[1]")])

@@ -38,7 +38,7 @@ def bounded(spark: SparkSession, a: argparse.Namespace) -> dict:
 
 
 def stream(spark: SparkSession, a: argparse.Namespace) -> dict:
-    c = consumer.ConsumerConfig(a.topic, a.dead_letter_topic, a.output, a.checkpoint, a.starting_offsets, a.max_offsets, a.watermark, a.interval)
+    c = consumer.ConsumerConfig(a.topic, a.dead_letter_topic, a.output, a.checkpoint, a.starting_offsets, a.max_offsets, a.watermark, a.interval, a.name)
     source = consumer.kafka_messages(spark, a.servers, c) if a.servers else consumer.file_messages(spark, a.input)
     query = consumer.start(source, c)
     query.awaitTermination()
@@ -54,7 +54,7 @@ def archive(spark: SparkSession, a: argparse.Namespace) -> dict:
 
 def verify(spark: SparkSession, a: argparse.Namespace) -> dict:
     """Distinct ids and rows over the routes below a consumer's output; they must agree."""
-    r = events.read_route(spark, f"{a.output}/processed", "event_id string").agg(F.count("*").alias("rows"), F.count_distinct("event_id").alias("ids")).first()
+    r = consumer.read_written(spark, a.output, "processed", "event_id string").agg(F.count("*").alias("rows"), F.count_distinct("event_id").alias("ids")).first()
     if r.rows != r.ids:
         raise SystemExit(f"{r.rows} processed rows have {r.ids} ids")
     return r.asDict()
@@ -73,7 +73,7 @@ def main(argv: list[str] | None = None) -> int:
     need, number = {"required": True}, {"type": int}
     command("batch", batch, input=need, output=need, expected_rows=number)
     command("bounded", bounded, input=need, output=need, ranges=need, run_id=need, analysis_date=need, expected_rows=number)
-    command("stream", stream, input={}, servers={}, topic={"default": "events"}, dead_letter_topic={"default": "events-dead"}, output=need, checkpoint=need, starting_offsets={"default": "earliest"}, max_offsets=number, watermark={"default": "10 minutes"}, interval={})
+    command("stream", stream, input={}, servers={}, topic={"default": "events"}, dead_letter_topic={"default": "events-dead"}, output=need, checkpoint=need, starting_offsets={"default": "earliest"}, max_offsets=number, watermark={"default": "10 minutes"}, interval={}, name={"default": "consumer"})
     command("archive", archive, input=need, output=need, names=need)
     command("verify", verify, output=need)
     a = p.parse_args(argv)

@@ -31,7 +31,7 @@ def q_stream_routes(spark, d):
     Repeated ids have other texts here and any of them may stay, so the three routes of valid rows are summed.
     """
     root = consumed(spark, d)
-    ledger = spark.read.option("recursiveFileLookup", "true").schema("consumer_name string, batch_id long, row_count long, route_counts string").parquet(f"{root}/_ledger")
+    ledger = consumer.read_ledger(spark, root)
     counts = F.explode(F.from_json("route_counts", "map<string,long>")).alias("output_route", "n")
     return ledger.select(counts).groupBy((F.col("output_route") != "contract_rejected").alias("contract_valid")).agg(F.sum("n").alias("row_count"))
 

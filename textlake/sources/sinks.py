@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-INTERNAL = ("_raw_json", "_json_keys", "_corrupt_record", "_dedup_timestamp", "_dedup_key", "_late")
+#: Columns that steps hand on to each other and no sink stores.
+INTERNAL = ("_raw_json", "_json_keys", "_corrupt_record", "seen_at", "identity")
 
 
 def public(events: DataFrame) -> DataFrame:
@@ -30,10 +31,6 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", "true").csv(path)
 
 
-def batch_path(root: str, route: str, batch_id: int) -> str:
-    return f"{root.rstrip('/')}/{route}/batch_id={batch_id:020d}"
-
-
 def scrub_nuls(df: DataFrame) -> DataFrame:
     """U+FFFD for NUL in every text, list of texts and map of texts."""
     clean = lambda c: F.replace(c, F.lit("\x00"), F.lit("�"))

@@ -45,7 +45,7 @@ def test_against_brute_force(spark):
         rows += [(5, "same row", "a"), (5, "same row", "a"), (None, "no id \x0b here", "b"), (6, None, None), (7, "\t \n", "b"), (8, "x " * 50_000, "c")]
         rows += [(9, "one row many times", "d")] * 30  # the cut of this source is within rows that are alike
         df = spark.createDataFrame([(d, t, s, 0) for d, t, s in rows], "doc_id long, text string, source string, size int")
-        got = [(r.doc_id, r.mx_size, r.mx_source_size, round(r.mx_target, 6), r.mx_taken) for r in mix_sources(df, ["doc_id", "size"], range_rows=(1, 10, 1000)[case], broadcast_bytes=(1 << 20, 0, 1 << 20)[case]).collect()]
+        got = [(r.doc_id, r.mx_size, r.mx_source_size, round(r.mx_target, 6), r.mx_taken) for r in mix_sources(df, ["doc_id", "size"], range_digits=(1, None, 3)[case], broadcast_bytes=(1 << 20, 0, 1 << 20)[case]).collect()]
         assert sorted(got, key=repr) == brute(rows)
         by = {}
         for (d, n, total, target, taken) in got:

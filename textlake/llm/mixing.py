@@ -9,6 +9,8 @@ no document is dealt anew. A source is cut at its exact budget; budgets above it
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
@@ -73,15 +75,16 @@ def cut_points(base: DataFrame, digits: int, weights: tuple[int, ...], cap: int)
     return written(targets.drop("mx_rest").join(at, "mx_source", "left"), "mix-cuts", keep=True)
 
 
-def mix_sources(docs: DataFrame, carry: list[str], weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, range_rows: int = 50_000, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "", broadcast_bytes: int = 32 << 20) -> DataFrame:
+def mix_sources(docs: DataFrame, carry: list[str], weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, range_digits: int | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "", broadcast_bytes: int = 32 << 20) -> DataFrame:
     """One row a document: ``carry`` columns, then mx_size, mx_source_size, mx_target, mx_taken and mx_epochs.
 
     mx_taken counts the words that the mix takes of the document, repeats counted, and mx_epochs has
     them by epoch; a source's sum is its target's whole part exactly, since the last document is cut
     at the budget. A null source is a source of its own, after all others; a null or empty text has
     size 0 and nothing is taken of it. The order is by md5 of id and text, so reruns agree; rows alike
-    in both are interchangeable. An empty table gives no rows. The ranges are so many that one of them
-    has about ``range_rows`` rows at most, whatever source they are of. A carried column of a
+    in both are interchangeable. An empty table gives no rows. There are 16**``range_digits`` ranges,
+    else about as many as the root of the counted rows: no window has many more rows than that root,
+    whatever the share of a source. A carried column of a
     result's name gets an underscore behind it. Documents stay where they are:
     they meet their source's cut, broadcast where these take at most ``broadcast_bytes``, else by key.
     """
@@ -94,7 +97,7 @@ def mix_sources(docs: DataFrame, carry: list[str], weights: tuple[int, ...] = (5
         text.alias("mx_text"),
         key.alias("mx_key"),
     )
-    digits = next(d for d in range(1, 17) if docs.count() <= range_rows * 16**d)
+    digits = range_digits or max(1, round(math.log(max(1, docs.count()), 16) / 2))
     with scope(spark):
         cuts = cut_points(base.select("mx_source", "mx_text", "mx_key"), digits, weights, cap)
     rows = base.join(if_small(cuts, broadcast_bytes), "mx_source").withColumn("mx_size", word_count(F.col("mx_text")))

@@ -25,12 +25,12 @@ from .scratch import apart, table
 CACHED_WORDS, CACHED_CHARS = 600_000, 40
 
 
-def small_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Arrow batches of at most ``rows`` rows, as texts may be long. A session setting, which is never raised."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(name))
-    if now <= 0 or now > rows:
-        spark.conf.set(name, rows)
+def small_batches(spark: SparkSession, rows: int = 500, size: int = 4 << 20) -> None:
+    """Arrow batches of at most ``rows`` rows and about ``size`` bytes, as texts may be long. Session settings, which are never raised."""
+    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
+        now = int(spark.conf.get(name).rstrip("b"))
+        if now <= 0 or now > most:
+            spark.conf.set(name, most)
 
 
 def byte_chars() -> list[str]:

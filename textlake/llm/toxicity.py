@@ -185,8 +185,10 @@ class Network:
         self.forget()
 
     def forget(self) -> None:
+        """Starts the cache anew: places by word, and room for CACHED words' gate inputs and the padding's."""
         self.ids: dict[str, int] = {}
-        self.g = np.zeros((2, 0, 3 * HIDDEN), np.float32)
+        self.g = np.empty((2, CACHED + 1, 3 * HIDDEN), np.float32)
+        self.g[:, -1] = gates(self.p, np.zeros((0, CHARS + WORD_DIM), np.float32))[:, 0]
 
     def rows(self, words: list[str]) -> np.ndarray:
         """Places of words in ``self.g``, which gets those that it lacks."""
@@ -199,11 +201,7 @@ class Network:
             at = len(self.ids)
             self.ids.update(zip(new, range(at, at + len(new))))
             g = np.concatenate([gates(self.p, Inputs(new[i : i + 20_000]).vectors(self.p))[:, :-1] for i in range(0, len(new), 20_000)], axis=1)
-            if self.g.shape[1] < at + len(new) + 1:
-                old, self.g = self.g, np.empty((2, 2 * (at + len(new)) + 1, 3 * HIDDEN), np.float32)
-                self.g[:, :at] = old[:, :at]
             self.g[:, at : at + len(new)] = g
-            self.g[:, -1] = gates(self.p, np.zeros((0, CHARS + WORD_DIM), np.float32))[:, 0]
         return np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words))
 
     def logits(self, texts: list[list[str]]) -> np.ndarray:

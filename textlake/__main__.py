@@ -64,8 +64,8 @@ def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="textlake")
     sub = p.add_subparsers(required=True)
 
-    def command(name, run, **options):
-        s = sub.add_parser(name, help=(run.__doc__ or "").split("\n")[0])
+    def command(command_name, run, **options):
+        s = sub.add_parser(command_name, help=(run.__doc__ or "").split("\n")[0])
         for k, v in options.items():
             s.add_argument(f"--{k.replace('_', '-')}", **v)
         s.set_defaults(run=run)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Fixed values of the analysis contract.
@@ -9,6 +11,11 @@ POSITIVE_TONES = ("optimism", "hope", "satisfaction", "trust", "enthusiasm", "gr
 NEGATIVE_TONES = ("anger", "anxiety", "frustration", "distrust", "sadness", "cynicism", "disappointment")
 MOST_TONE_TOTAL = 1.25
 TOLERANCE = 0.01
+SENTIMENTS = ("positive", "neutral", "negative")
+POLARIZATIONS = ("low", "medium", "high")
+#: Most items and most characters of an item of the lists of texts; most characters of the summary; most tones and drivers.
+LISTS = {"topics": (5, 80), "keywords": (8, 60)}
+SUMMARY, TONES, DRIVERS = 400, 4, (4, 80)
 FIELDS_V3 = ("estimated_sentiment_distribution", "polarization", "polarization_score", "topics", "keywords", "summary", "positive_tones", "negative_tones")
 
 
@@ -75,22 +82,44 @@ def semantics_errors(df: DataFrame, distribution: str = "estimated_sentiment_dis
 
 
 def schema_errors(raw: Column) -> Column:
-    """Names of the version 3 schema rules that a JSON text breaks; parsing never raises."""
-    schema = "estimated_sentiment_distribution struct<positive:double,neutral:double,negative:double>, polarization string, polarization_score double, topics array<string>, keywords array<string>, summary string, positive_tones array<struct<tone:string,share:double,drivers:array<string>>>, negative_tones array<struct<tone:string,share:double,drivers:array<string>>>"
-    r, keys, want = F.from_json(raw, schema), F.coalesce(F.json_object_keys(raw), F.array().cast("array<string>")), F.array(*map(F.lit, FIELDS_V3))
-    within = lambda c, a, b: c.isNull() | ~c.between(a, b)
-    d = r["estimated_sentiment_distribution"]
-    tests = [
-        ("not_an_object", F.json_object_keys(raw).isNull()),
-        ("missing_fields", F.size(F.array_except(want, keys)) > 0),
-        ("unknown_fields", F.size(F.array_except(keys, want)) > 0),
-        ("distribution_bounds", within(d["positive"], 0, 1) | within(d["neutral"], 0, 1) | within(d["negative"], 0, 1)),
-        ("polarization", ~F.coalesce(r["polarization"].isin("low", "medium", "high"), F.lit(False))),
-        ("polarization_score", within(r["polarization_score"], 0, 1)),
-        ("summary", F.coalesce(F.length(r["summary"]) < 1, F.lit(True))),
-        ("tones", F.greatest(F.size(r["positive_tones"]), F.size(r["negative_tones"])) > 4),
-    ]
-    return F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in tests]))
+    """Names of the version 3 schema rules that a JSON text breaks, in the order of the fields; parsing never raises.
+
+    A field that is absent, null or of another type breaks its own rule too. Objects may have no other
+    fields than the schema's. Numbers within lists of texts pass as texts.
+    """
+    tone = "array<struct<tone:string,share:double,drivers:array<string>>>"
+    kinds = {"estimated_sentiment_distribution": "struct<positive:double,neutral:double,negative:double>", "polarization": "string", "polarization_score": "double", "topics": "array<string>", "keywords": "array<string>", "summary": "string", "positive_tones": tone, "negative_tones": tone}
+    parsed = F.from_json(raw, ", ".join(f"{name} {kind}" for name, kind in kinds.items()))
+    part, only = (lambda name: F.get_json_object(raw, f"$.{name}")), (lambda keys: F.array(*map(F.lit, sorted(keys))))
+    keys = F.coalesce(F.json_object_keys(raw), F.array().cast("array<string>"))
+    share = lambda x: x.between(0, 1)
+    texts = lambda x, most, chars, least=0: F.size(x).between(least, most) & F.forall(x, lambda t: F.length(t).between(1, chars))
+
+    def tones(name: str, labels: tuple[str, ...]) -> Column:
+        shaped = F.forall(F.from_json(part(name), "array<string>"), lambda x: F.array_sort(F.json_object_keys(x)) == only(("tone", "share", "drivers")))
+        one = lambda t: t["tone"].isin(*labels) & share(t["share"]) & texts(t["drivers"], *DRIVERS, least=1)
+        return (F.size(parsed[name]) <= TONES) & parsed[name].isNotNull() & shaped & F.forall(parsed[name], one)
+
+    spread = parsed["estimated_sentiment_distribution"]
+    good = {
+        "not_an_object": F.json_object_keys(raw).isNotNull(),
+        "missing_fields": F.size(F.array_except(only(FIELDS_V3), keys)) == 0,
+        "unknown_fields": F.size(F.array_except(keys, only(FIELDS_V3))) == 0,
+        "estimated_sentiment_distribution": (F.array_sort(F.json_object_keys(part("estimated_sentiment_distribution"))) == only(SENTIMENTS)) & functools.reduce(Column.__and__, [share(spread[k]) for k in SENTIMENTS]),
+        "polarization": parsed["polarization"].isin(*POLARIZATIONS),
+        "polarization_score": share(parsed["polarization_score"]),
+        **{name: texts(parsed[name], *bounds) for name, bounds in LISTS.items()},
+        "summary": F.length(parsed["summary"]).between(1, SUMMARY),
+        "positive_tones": tones("positive_tones", POSITIVE_TONES),
+        "negative_tones": tones("negative_tones", NEGATIVE_TONES),
+    }
+    return F.array_compact(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in good.items()]))
+
+
+def top_tones(tones: Column, n: int = 3) -> Column:
+    """The ``n`` tones of largest share, equal shares in the order given; null shares count as 0, null arrays are empty."""
+    ranked = F.transform(F.coalesce(tones, F.array().cast("array<struct<tone:string,share:double,drivers:array<string>>>")), lambda t, i: F.struct((-F.coalesce(t["share"], F.lit(0.0))).alias("s"), i.alias("i"), t.alias("t")))
+    return F.transform(F.slice(F.array_sort(ranked), 1, n), lambda x: x["t"])
 
 
 def upgrade(df: DataFrame) -> DataFrame:

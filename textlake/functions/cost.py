@@ -25,12 +25,15 @@ def cost(input_tokens: Column, output_tokens: Column, input_price: str, output_p
 
 
 def budget_status(spent: Column, budget: Column, policy: str = "ratio") -> Column:
-    """``ratio``: blocked from the budget on, critical from nine tenths, warning from seven. ``limit``: blocked above it."""
-    none = F.when(budget.isNull(), "not_configured")
-    if policy == "limit":
+    """``ratio``: blocked from the budget on, critical from nine tenths, warning from seven. ``limit``: blocked above it.
+
+    Without a budget both say not_configured; ``open`` is ``limit`` that says ok then.
+    """
+    none = F.when(budget.isNull(), "ok" if policy == "open" else "not_configured")
+    if policy in ("limit", "open"):
         return none.when(spent > budget, "blocked").otherwise("ok")
     if policy != "ratio":
-        raise ValueError("policy must be ratio or limit")
+        raise ValueError("policy must be ratio, limit or open")
     part = F.try_divide(spent, budget)
     return none.when((budget <= 0) | (part >= 1), "blocked").when(part >= 0.9, "critical").when(part >= 0.7, "warning").otherwise("ok")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, functions as F
 
 from . import kernels
@@ -31,7 +33,7 @@ def normalize_title(title: Column) -> Column:
     return F.trim(F.regexp_replace(kernels.nfc(kernels.html_unescape(title)), r"[\s\x1c-\x1f\x85\p{Z}]+", " "))
 
 
-def period_text(text: Column, length: int = 500) -> Column:
+def period_text(text: Column, length: int = 1000) -> Column:
     """NFKC, control and format characters as blanks, blanks single, at most ``length`` characters."""
     flat = F.regexp_replace(F.regexp_replace(kernels.nfkc(text), r"[\p{C}&&[^\t\n\r]]", " "), r"[\s\p{Z}]+", " ")
     return F.left(F.trim(flat), F.lit(length))
@@ -43,11 +45,17 @@ def keyword_hits(text: Column, keywords: tuple[str, ...]) -> Column:
     return F.filter(F.array(*map(F.lit, keywords)), lambda k: folded.contains(F.lower(k)))
 
 
+#: What secrets look like and the marks that replace them, in order (fixed values).
+SECRETS = {
+    r"(?i)https://hooks\.slack\.com/services/[^\s'\"<>]+": "[REDACTED_SLACK_WEBHOOK]",
+    r"(?i)(api[_-]?key|token|password|secret|authorization)\s*[:=]\s*([^\s,;]+)": "$1=[REDACTED]",
+    r"\bsk-[A-Za-z0-9_-]{8,}\b": "[REDACTED_OPENAI_KEY]",
+}
+
+
 def redact(text: Column) -> Column:
     """Web hooks, credentials after a name, and keys replaced by marks."""
-    t = F.regexp_replace(text, r"(?i)https://hooks\.slack\.com/services/[^\s'\"<>]+", "[REDACTED_SLACK_WEBHOOK]")
-    t = F.regexp_replace(t, r"(?i)(api[_-]?key|token|password|secret|authorization)\s*[:=]\s*([^\s,;]+)", "$1=[REDACTED]")
-    return F.regexp_replace(t, r"\bsk-[A-Za-z0-9_-]{8,}\b", "[REDACTED_OPENAI_KEY]")
+    return functools.reduce(lambda t, kv: F.regexp_replace(t, *kv), SECRETS.items(), text)
 
 
 def scrub_nul(text: Column) -> Column:

@@ -48,3 +48,12 @@ def frequency(df: DataFrame, items: str, name: str) -> DataFrame:
 
 def label_counts(df: DataFrame, *by: str) -> DataFrame:
     return df.groupBy(*by).agg(F.count("*").alias("row_count"))
+
+
+def finalization(events: DataFrame, sources: tuple[str, ...], key: str = "event_id", source: str = "source_name") -> DataFrame:
+    """One row: input_rows, stored_rows, duplicate_rows and a column of rows for each of ``sources``, in one pass."""
+    by_key = events.groupBy(key, source).agg(F.count("*").alias("n"))
+    per = by_key.groupBy(key).agg(F.sum("n").alias("n"), *[F.coalesce(F.sum(F.when(F.col(source) == s, F.col("n"))), F.lit(0)).alias(s) for s in sources])
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(f"{c}_rows")
+    sums = per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("input_rows"), F.count("*").alias("stored_rows"), *map(total, sources))
+    return sums.withColumn("duplicate_rows", F.col("input_rows") - F.col("stored_rows"))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.window import Window
 
-from ..functions.text import split_tags
+from ..functions.text import flat_line, split_tags
 
 TOMBSTONES = ("[deleted]", "[removed]")
 
@@ -66,22 +67,29 @@ def map_requests(daily: DataFrame, chunk_tokens: int) -> DataFrame:
 
 
 def cost_model(daily: DataFrame, news_tokens: Column, per_day: int = 5, prices: tuple[str, str] = ("0.10", "0.60")) -> DataFrame:
-    """One row of expected tokens and dollars of the two-stage model (map, daily and monthly reduce).
+    """One row of expected and most tokens and dollars of the two-stage model (map, daily and monthly reduce).
 
-    ``daily`` has a row a day and group with tokens and map_requests; overheads and outputs a request
-    are the model's fixed values: 500, 500 and 1,000 tokens of prompt, 250, 250 and 400 of output.
+    ``daily`` has a row a day and group with tokens, map_requests and most_map_requests; overheads and
+    outputs a request are the model's fixed values: 500, 500 and 1,000 tokens of prompt, 250, 250 and
+    400 of output, 500, 500 and 800 at most. At most there are a quarter more tokens of text and news.
     """
-    s = daily.agg(F.sum("tokens").alias("t"), F.sum("map_requests").alias("m"), F.count_distinct("day").alias("days"), F.coalesce(F.sum(news_tokens), F.lit(0)).alias("news"))
+    s = daily.agg(F.sum("tokens").alias("t"), F.sum("map_requests").alias("m"), F.sum("most_map_requests").alias("mm"), F.count_distinct("day").alias("days"), F.coalesce(F.sum(news_tokens), F.lit(0)).alias("news"))
     reduces = F.col("days") * per_day
     s = s.withColumns(
         {
             "input_tokens": F.col("t") + F.col("m") * 750 + reduces * 750 + F.col("news") * 2 + per_day * 1000,
             "output_tokens": F.col("m") * 250 + reduces * 250 + per_day * 400,
+            "most_input_tokens": F.ceil((F.col("t") + F.col("news") * 2) * 1.25 + F.col("mm") * 1000 + reduces * 1000 + per_day * 1000),
+            "most_output_tokens": F.col("mm") * 500 + reduces * 500 + per_day * 800,
         }
     )
     from ..functions.cost import cost
 
-    return s.select("input_tokens", "output_tokens", cost(F.col("input_tokens"), F.col("output_tokens"), *prices).alias("cost_usd"))
+    dollars = lambda a, b: cost(F.col(a), F.col(b), *prices)
+    return s.select(
+        *["input_tokens", "output_tokens", dollars("input_tokens", "output_tokens").alias("cost_usd")],
+        *["most_input_tokens", "most_output_tokens", dollars("most_input_tokens", "most_output_tokens").alias("most_cost_usd")],
+    )
 
 
 def source_weights(rows: DataFrame) -> DataFrame:
@@ -100,14 +108,18 @@ def period_coverage(events: DataFrame, text: str) -> DataFrame:
     return sets.agg(F.count("*").alias("total_rows"), F.count_if(F.col("_ok")).alias("eligible_rows"))
 
 
-def community_profile(events: DataFrame, label: str, text: str) -> DataFrame:
-    """By community without regard to case: commonest spelling (the least among equals), rows and bytes, rows by label as a map."""
+def community_profile(events: DataFrame, label: str, text: str, sampled_days: int = 1, period_days: int = 30) -> DataFrame:
+    """By community without regard to case: commonest spelling (the least among equals), rows and bytes, rows by label as a map.
+
+    Also the mean MiB of the ``sampled_days`` that the events are of, and the GiB that ``period_days`` would have.
+    """
     size = F.octet_length(text)
     per = events.where(F.col("community").isNotNull()).groupBy(F.lower("community").alias("key"), "community", label).agg(F.count("*").alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("b"))
     spelled = per.groupBy("key", "community").agg(F.sum("n").alias("n"), F.sum("b").alias("b"))
     names = spelled.groupBy("key").agg(F.min_by("community", F.struct((-F.col("n")).alias("m"), "community")).alias("community"), F.sum("n").alias("row_count"), F.sum("b").alias("bytes"))
     labels = per.groupBy("key", label).agg(F.sum("n").alias("n")).groupBy("key").agg(F.array_sort(F.collect_list(F.struct(F.col(label).alias("label"), "n"))).alias("labels"))
-    return names.join(labels, "key")
+    daily = F.col("bytes") / sampled_days
+    return names.join(labels, "key").withColumns({"average_daily_mib": F.round(daily / 2**20, 4), "projected_period_gib": F.round(daily * period_days / 2**30, 4)})
 
 
 def coverage_header(rows: DataFrame) -> DataFrame:
@@ -117,6 +129,33 @@ def coverage_header(rows: DataFrame) -> DataFrame:
 
 
 def merge_urls(rows: DataFrame, url: Column) -> DataFrame:
-    """By URL: the smallest id, rows, and the union of topic groups, sorted."""
-    tagged = rows.withColumn("_u", url).withColumn("_t", split_tags(F.col("topic_groups")))
-    return tagged.groupBy(F.col("_u").alias("url")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("row_count"), F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("_t")))), ",").alias("topic_groups"))
+    """By URL: the smallest id, rows, and the union of topic groups, sorted.
+
+    Rows are first counted by URL and tags, then by URL and tag, so a URL that many rows have brings
+    its distinct tags together and nothing else.
+    """
+    per = rows.groupBy(url.alias("url"), "topic_groups").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
+    tags = per.select("url", F.explode_outer(split_tags(F.col("topic_groups"))).alias("t")).distinct()
+    union = tags.groupBy("url").agg(F.array_join(F.array_sort(F.collect_list("t")), ",").alias("topic_groups"))
+    return per.groupBy("url").agg(F.min("doc_id").alias("doc_id"), F.sum("n").alias("row_count")).join(union, "url")
+
+
+def top_publishers(rows: DataFrame, url: Column, publisher: str, n: int = 30) -> DataFrame:
+    """Publishers of the most distinct URLs, a URL counted for the publisher of its smallest id."""
+    first = rows.groupBy(url.alias("_u")).agg(F.min_by(publisher, F.struct("doc_id", publisher)).alias(publisher))
+    return first.groupBy(publisher).agg(F.count("*").alias("url_count")).orderBy(F.desc("url_count"), publisher).limit(n)
+
+
+def prompt_lines(events: DataFrame, by: tuple[str, ...] = ("day",)) -> DataFrame:
+    """``events`` that a prompt takes, with their line and its place among the lines of its ``by`` and kind.
+
+    Comments (R) have community and text and are sorted by both, the community without regard to
+    case; news (N) has the title. Line ends become blanks and nothing is cut. The window sorts one
+    prompt's lines, which its requests' limits bound.
+    """
+    r = F.col("source_name") == "reddit"
+    text = F.when(r, F.col("text")).otherwise(F.col("title"))
+    line = F.concat_ws("\t", F.when(r, "R").otherwise("N"), F.when(r, F.lower("community")), flat_line(text))
+    rows = events.where(eligible(text)).withColumns({"kind": F.when(r, "R").otherwise("N"), "line": line})
+    order = Window.partitionBy(*by, "kind").orderBy(F.lower("community"), text, "doc_id")
+    return rows.withColumn("place", F.row_number().over(order))

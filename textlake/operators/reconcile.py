@@ -60,3 +60,52 @@ def reconcile_usage(generations: DataFrame, batches: DataFrame) -> DataFrame:
     j = batches.join(summed, "batch_id", "left").withColumns({"generation_count": F.coalesce("generation_count", F.lit(0)), "available": F.coalesce("available", F.lit(0))})
     same = (F.col("available") == F.col("expected_count")) & (F.col("sum_input") == F.col("input_tokens")) & (F.col("sum_output") == F.col("output_tokens"))
     return j.withColumn("reconciliation", F.when(F.col("input_tokens").isNull() | (F.col("available") == 0), "not_available").when(same, "matched").otherwise("mismatched"))
+
+
+def day_results(manifests: DataFrame, results: DataFrame) -> DataFrame:
+    """``results`` with the day of the manifest that asked for each; reading it fails if either side has a custom_id that the other lacks."""
+    asked, got = manifests.select("custom_id", "day", F.lit(True).alias("_asked")), results.withColumn("_got", F.lit(True))
+    both = asked.join(got, "custom_id", "full")
+    whole = F.assert_true(F.col("_asked").isNotNull(), F.concat(F.lit("result without a manifest: "), F.col("custom_id"))).isNull()
+    whole &= F.assert_true(F.col("_got").isNotNull(), F.concat(F.lit("no result for "), F.col("custom_id"))).isNull()
+    return both.where(whole).drop("_asked", "_got")
+
+
+#: Sums of the daily report.
+DAILY_SUMS = ("failed_rows", "input_tokens", "output_tokens", "cached_input_tokens", "reasoning_output_tokens")
+
+
+def daily_report(daily: DataFrame, first: str, last: str) -> DataFrame:
+    """One row over ``daily`` (day, status, validated_rows, cost_usd and DAILY_SUMS) of the days from ``first`` to ``last``.
+
+    Nulls count as 0; days without a row are pending, like those that aren't completed.
+    """
+    rows = daily.where(F.col("day").between(F.to_date(F.lit(first)), F.to_date(F.lit(last))))
+    done, days = F.col("status") == "completed", F.datediff(F.to_date(F.lit(last)), F.to_date(F.lit(first))) + 1
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
+    sums = rows.agg(F.count_if(done).alias("completed_days"), total("validated_rows"), *map(total, DAILY_SUMS), total("cost_usd"))
+    return sums.select(days.alias("requested_days"), (days - F.col("completed_days")).alias("pending_days"), "*")
+
+
+def batch_context(manifest: DataFrame, labels: dict[str, str]) -> DataFrame:
+    """By llm_batch_id: its periods from least to largest, blank ones left out, and its groups' labels in the order of their names.
+
+    ``labels`` is configuration; a group without a label is called by its name.
+    """
+    period = F.nullif(F.trim("period"), F.lit(""))
+    named = F.create_map(*[F.lit(x) for kv in labels.items() for x in kv]) if labels else F.create_map(F.lit(""), F.lit(""))
+    per = manifest.groupBy("llm_batch_id").agg(F.min(period).alias("a"), F.max(period).alias("z"), F.array_sort(F.collect_set("group_name")).alias("g"))
+    span = F.when(F.col("a") == F.col("z"), F.col("a")).otherwise(F.concat("a", F.lit(" ~ "), "z"))
+    return per.select("llm_batch_id", span.alias("period"), F.array_join(F.transform("g", lambda x: F.coalesce(F.try_element_at(named, x), x)), ", ").alias("groups"))
+
+
+def offset_span(starts: DataFrame, ends: DataFrame) -> DataFrame:
+    """By topic: messages between the offsets of ``starts`` and ``ends`` (topic, partition, offset).
+
+    Reading it fails if one side has a partition that the other lacks, or an end is before its start.
+    """
+    a, z = starts.withColumnRenamed("offset", "a"), ends.withColumnRenamed("offset", "z")
+    both = a.join(z, ["topic", "partition"], "full")
+    told = lambda what: F.concat(F.lit(what), F.col("topic"), F.lit("["), F.col("partition").cast("string"), F.lit("]"))
+    ok = F.assert_true(F.col("a").isNotNull() & F.col("z").isNotNull(), told("partitions differ: ")).isNull() & F.assert_true(F.col("z") >= F.col("a"), told("the end is before the start: ")).isNull()
+    return both.where(ok).groupBy("topic").agg(F.sum(F.col("z") - F.col("a")).alias("span"))

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 VERSIONS = ("v3", "v2", "v1", "all")
+#: Columns that the two listings serve (fixed values).
+BATCH = ("llm_batch_id", "status", "model", "requested_count", "completed_count", "failed_count", "input_tokens", "output_tokens", "total_cost_usd", "submitted_at", "completed_at")
+ANALYSIS = ("event_id", "sentiment", "sentiment_score", "sentiment_distribution", "polarization", "polarization_score", "positive_tones", "negative_tones", "topics", "keywords", "summary", "model", "analyzed_at", "llm_batch_id")
 
 
 def of_version(version: str, column: str = "prompt_version") -> Column:
@@ -45,13 +48,15 @@ def topics(analyses: DataFrame, version: str = "v3", limit: int = 15, fold: bool
 
 
 def batches(jobs: DataFrame, version: str = "v3", limit: int = 50) -> DataFrame:
+    """Columns of BATCH of the jobs that ended, were sent or were made last."""
     latest = F.coalesce("completed_at", "submitted_at", "created_at")
-    return jobs.where(of_version(version)).orderBy(F.desc(latest), "llm_batch_id").limit(positive(limit))
+    return jobs.where(of_version(version)).orderBy(F.desc(latest), "llm_batch_id").limit(positive(limit)).select(*BATCH)
 
 
 def analyses(rows: DataFrame, requests: DataFrame, version: str = "v3", limit: int = 50) -> DataFrame:
+    """Columns of ANALYSIS of the latest analyses whose request is known."""
     joined = rows.where(of_version(version)).join(requests.select("custom_id", "llm_batch_id"), "custom_id")
-    return joined.orderBy(F.desc("analyzed_at"), "event_id").limit(positive(limit))
+    return joined.orderBy(F.desc("analyzed_at"), "event_id").limit(positive(limit)).select(*ANALYSIS)
 
 
 def snapshot(run_id: str, accounts: DataFrame, summary_row: DataFrame, created_at: str) -> DataFrame:

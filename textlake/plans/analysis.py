@@ -51,14 +51,17 @@ def q_topic_topk_folded(spark, d):
     return serving.topics(views.analyses(spark, d), "all", 10, fold=True)
 
 
-@query(f"{JOB} SELECT llm_batch_id, status, requested_count, completed_at, submitted_at, created_at FROM job ORDER BY coalesce(completed_at, submitted_at, created_at) DESC, llm_batch_id LIMIT 12")
+@query(f"{JOB} SELECT llm_batch_id, status, model, requested_count, completed_count, failed_count, input_tokens, output_tokens, CAST(total_cost_usd AS VARCHAR) AS total_cost_usd, submitted_at, completed_at FROM job ORDER BY coalesce(completed_at, submitted_at, created_at) DESC, llm_batch_id LIMIT 12")
 def q_serving_batches(spark, d):
-    return serving.batches(views.jobs(spark, d), "all", 12).select("llm_batch_id", "status", "requested_count", "completed_at", "submitted_at", "created_at")
+    return serving.batches(views.jobs(spark, d), "all", 12).withColumn("total_cost_usd", F.col("total_cost_usd").cast("string"))
 
 
-@query(f"{AN}, {views.RESULTS_SQL} SELECT event_id, sentiment, sentiment_score, analyzed_at, llm_batch_id FROM an JOIN man USING (custom_id) WHERE {V3} ORDER BY analyzed_at DESC, event_id LIMIT 50")
+@query(f"{AN}, {views.RESULTS_SQL} SELECT event_id, sentiment, sentiment_score, p || '/' || u || '/' || n AS sentiment_distribution, polarization, polarization_score, array_to_string(list_transform(positive_tones, lambda x: x.tone), ',') AS positive_tones, array_to_string(list_transform(negative_tones, lambda x: x.tone), ',') AS negative_tones, array_to_string(topics, ',') AS topics, array_to_string(keywords, ',') AS keywords, 'Summary ' || an.doc_id AS summary, 'model-' || (an.doc_id % 3) AS model, analyzed_at, llm_batch_id FROM an JOIN man USING (custom_id) WHERE {V3} ORDER BY analyzed_at DESC, event_id LIMIT 50")
 def q_serving_analyses(spark, d):
-    return serving.analyses(views.analyses(spark, d), views.requests(spark, d)).select("event_id", "sentiment", "sentiment_score", "analyzed_at", "llm_batch_id")
+    an = views.analyses(spark, d).withColumnRenamed("dist", "sentiment_distribution").withColumns({"summary": F.concat(F.lit("Summary "), F.col("doc_id")), "model": F.concat(F.lit("model-"), F.col("doc_id") % 3)})
+    shares = F.concat_ws("/", *[F.col(f"sentiment_distribution.{k}").cast("string") for k in A.SENTIMENTS])
+    tones = {c: F.array_join(F.transform(c, lambda t: t["tone"]), ",") for c in ("positive_tones", "negative_tones")}
+    return serving.analyses(an, views.requests(spark, d)).withColumns({"sentiment_distribution": shares, "topics": F.array_join("topics", ","), "keywords": F.array_join("keywords", ","), **tones})
 
 
 @query(f"{RES} SELECT custom_id, llm_batch_id, CASE WHEN r.c IS NULL THEN 'failed' ELSE 'completed' END AS status, CASE WHEN r.c IS NULL THEN 'missing_result' ELSE 'validated' END AS validation_result, CASE WHEN r.c IS NULL THEN 'MISSING_RESULT' END AS error_code FROM man LEFT JOIN (SELECT DISTINCT custom_id AS c FROM res) AS r ON r.c = custom_id")
@@ -103,11 +106,11 @@ def q_total_cost(spark, d):
     return views.jobs(spark, d).agg(F.round(F.sum(c).cast("double"), 8).alias("total_cost_usd"))
 
 
-@query("SELECT i AS id, CASE WHEN i % 6 = 0 THEN 'not_configured' WHEN i >= 100 THEN 'blocked' WHEN i >= 90 THEN 'critical' WHEN i >= 70 THEN 'warning' ELSE 'ok' END AS ratio_status, CASE WHEN i % 6 = 0 THEN 'not_configured' WHEN i > 100 THEN 'blocked' ELSE 'ok' END AS limit_status FROM range(130) AS r(i)")
+@query("SELECT i AS id, CASE WHEN i % 6 = 0 THEN 'not_configured' WHEN i >= 100 THEN 'blocked' WHEN i >= 90 THEN 'critical' WHEN i >= 70 THEN 'warning' ELSE 'ok' END AS ratio_status, CASE WHEN i % 6 = 0 THEN 'not_configured' WHEN i > 100 THEN 'blocked' ELSE 'ok' END AS limit_status, CASE WHEN i % 6 > 0 AND i > 100 THEN 'blocked' ELSE 'ok' END AS open_status FROM range(130) AS r(i)")
 def q_budget(spark, d):
     df = spark.range(130)
     spent, budget = F.col("id").cast("decimal(18,2)"), F.when(F.col("id") % 6 != 0, F.lit("100").cast("decimal(18,2)"))
-    return df.select("id", cost.budget_status(spent, budget).alias("ratio_status"), cost.budget_status(spent, budget, "limit").alias("limit_status"))
+    return df.select("id", cost.budget_status(spent, budget).alias("ratio_status"), cost.budget_status(spent, budget, "limit").alias("limit_status"), cost.budget_status(spent, budget, "open").alias("open_status"))
 
 
 @query("SELECT doc_id, 'req-' || left(sha256('docs:' || source || ':' || doc_id), 24) AS request_id, greatest(1, (strlen(text) + 3) // 4) AS tokens FROM documents")
@@ -168,25 +171,68 @@ def q_tone_format(spark, d):
     return views.analyses(spark, d).select("doc_id", A.format_tones(F.col("positive_tones")).alias("tones"))
 
 
+#: Results with faults by doc_id % 31, as SQL over the sound JSON text ``j`` that both engines share.
+FAULTS = """CASE doc_id % 31 WHEN 1 THEN '{' WHEN 2 THEN '[]' WHEN 3 THEN '{"summary":""}' WHEN 4 THEN concat(left(j, length(j) - 1), ',"mood":1}')
+  WHEN 5 THEN replace(j, '"summary":"', concat('"summary":"', repeat('x', 401))) WHEN 6 THEN replace(j, '"topics":[', '"topics":["a","b","c",')
+  WHEN 7 THEN replace(j, '"keywords":[', concat('"keywords":["', repeat('k', 61), '",')) WHEN 8 THEN replace(j, '"neutral":', '"other":1,"neutral":')
+  WHEN 9 THEN replace(j, '"drivers":', '"mood":"x","drivers":') WHEN 10 THEN replace(j, '"share":', '"share":1') WHEN 11 THEN replace(j, '"drivers":["', '"drivers":["","')
+  WHEN 12 THEN replace(j, '"hope"', '"joy"') WHEN 13 THEN replace(j, '"polarization_score"', '"polarisation_score"') ELSE j END"""
+
+
 def _json(df):
     """Analyses as JSON texts, some broken."""
     names = ["polarization", "polarization_score", "topics", "keywords", "positive_tones", "negative_tones"]
     j = F.to_json(F.struct(F.col("dist").alias("estimated_sentiment_distribution"), *names, F.concat(F.lit("Summary "), F.col("doc_id")).alias("summary")), {"ignoreNullFields": "false"})
-    return df.select("doc_id", F.expr("CASE doc_id % 31 WHEN 1 THEN '{' WHEN 2 THEN '[]' WHEN 3 THEN '{\"summary\":\"\"}' END").alias("x"), j.alias("j")).select(
-        "doc_id", F.coalesce("x", F.when(F.col("doc_id") % 31 == 4, F.concat(F.expr("left(j, length(j) - 1)"), F.lit(',"mood":1}'))).otherwise(F.col("j"))).alias("raw")
-    )
-
-
-@query(
-    f"{AN}, b AS (SELECT doc_id % 31 AS k, p, u, n, polarization, polarization_score FROM an), e AS (SELECT unnest(list_filter(CASE k WHEN 1 THEN ['not_an_object', 'missing_fields', 'distribution_bounds', 'polarization', 'polarization_score', 'summary'] "
-    "WHEN 2 THEN ['not_an_object', 'missing_fields', 'distribution_bounds', 'polarization', 'polarization_score', 'summary'] WHEN 3 THEN ['missing_fields', 'distribution_bounds', 'polarization', 'polarization_score', 'summary'] ELSE "
-    "[CASE WHEN k = 4 THEN 'unknown_fields' END, CASE WHEN NOT (p BETWEEN 0 AND 1 AND u BETWEEN 0 AND 1 AND n BETWEEN 0 AND 1) THEN 'distribution_bounds' END, CASE WHEN NOT coalesce(polarization IN ('low', 'medium', 'high'), false) THEN 'polarization' END, "
-    "CASE WHEN NOT coalesce(polarization_score BETWEEN 0 AND 1, false) THEN 'polarization_score' END] END, lambda x: x IS NOT NULL)) AS error FROM b) SELECT error, count(*) AS row_count FROM e GROUP BY error"
-)
+    return df.select("doc_id", j.alias("j")).select("doc_id", F.expr(FAULTS).alias("raw"))
+
+
+def _schema_sql() -> str:
+    """A row a result with ``ok``: a struct of the rules, by DuckDB's own JSON parser."""
+    texts = lambda x, most, chars, least=0: f"json_type({x}) = 'ARRAY' AND json_array_length({x}) BETWEEN {least} AND {most} AND len(list_filter(CAST({x} AS VARCHAR[]), lambda e: NOT length(e) BETWEEN 1 AND {chars})) = 0"
+    number = lambda x: f"TRY_CAST({x} AS DOUBLE) BETWEEN 0 AND 1"
+
+    def tones(name, labels):
+        known = ", ".join(f"'{x}'" for x in labels)
+        good = f"list_sort(json_keys(e)) = ['drivers', 'share', 'tone'] AND (e->>'$.tone') IN ({known}) AND {number('e->>' + chr(39) + '$.share' + chr(39))} AND {texts('(e->' + chr(39) + '$.drivers' + chr(39) + ')', *A.DRIVERS, least=1)}"
+        at = f"(j->'$.{name}')"
+        return f"json_type({at}) = 'ARRAY' AND json_array_length({at}) <= {A.TONES} AND len(list_filter(CAST({at} AS JSON[]), lambda e: NOT coalesce({good}, false))) = 0"
+
+    fields = ", ".join(f"'{f}'" for f in sorted(A.FIELDS_V3))
+    spread = "(j->'$.estimated_sentiment_distribution')"
+    rules = {
+        "not_an_object": "json_type(j) = 'OBJECT'",
+        "missing_fields": f"json_type(j) = 'OBJECT' AND len(list_filter([{fields}], lambda f: NOT list_contains(json_keys(j), f))) = 0",
+        "unknown_fields": f"json_type(j) IS DISTINCT FROM 'OBJECT' OR len(list_filter(json_keys(j), lambda f: f NOT IN ({fields}))) = 0",
+        "estimated_sentiment_distribution": f"list_sort(json_keys({spread})) = ['negative', 'neutral', 'positive'] AND " + " AND ".join(number(f"({spread}->>'$.{k}')") for k in A.SENTIMENTS),
+        "polarization": "(j->>'$.polarization') IN ('low', 'medium', 'high')",
+        "polarization_score": number("(j->>'$.polarization_score')"),
+        **{name: texts(f"(j->'$.{name}')", *bounds) for name, bounds in A.LISTS.items()},
+        "summary": f"length(j->>'$.summary') BETWEEN 1 AND {A.SUMMARY}",
+        "positive_tones": tones("positive_tones", A.POSITIVE_TONES),
+        "negative_tones": tones("negative_tones", A.NEGATIVE_TONES),
+    }
+    sound = "to_json({'estimated_sentiment_distribution': {'positive': p, 'neutral': u, 'negative': n}, 'polarization': polarization, 'polarization_score': polarization_score, 'topics': topics, 'keywords': keywords, 'positive_tones': positive_tones, 'negative_tones': negative_tones, 'summary': 'Summary ' || doc_id})"
+    told = ", ".join(f"CASE WHEN NOT coalesce({ok}, false) THEN '{name}' END" for name, ok in rules.items())
+    return f"{AN}, j0 AS (SELECT doc_id, CAST({sound} AS VARCHAR) AS j FROM an), j1 AS (SELECT doc_id, {FAULTS} AS raw FROM j0), j2 AS (SELECT doc_id, CASE WHEN json_valid(raw) THEN CAST(raw AS JSON) END AS j FROM j1), er AS (SELECT doc_id, list_filter([{told}], lambda x: x IS NOT NULL) AS errors FROM j2)"
+
+
+@query(f"{_schema_sql()} SELECT error, count(*) AS row_count FROM (SELECT unnest(errors) AS error FROM er) GROUP BY error")
 def q_result_validation_counts(spark, d):
     return _json(views.analyses(spark, d)).select(F.explode(A.schema_errors(F.col("raw"))).alias("error")).groupBy("error").agg(F.count("*").alias("row_count"))
 
 
+@query(f"{_schema_sql()} SELECT doc_id, array_to_string(errors, ',') AS errors FROM er")
+def q_result_schema_errors(spark, d):
+    return _json(views.analyses(spark, d)).select("doc_id", F.array_join(A.schema_errors(F.col("raw")), ",").alias("errors"))
+
+
+@query(f"{AN} SELECT doc_id, array_to_string(list_transform(list_sort(list_transform(positive_tones, lambda x, i: {{'s': -x.share, 'i': i, 't': x.tone}}))[1:2], lambda y: y.t), ',') AS tones FROM an")
+def q_top_tones(spark, d):
+    """Two of the three tones, so that some are left out."""
+    top = A.top_tones(F.col("positive_tones"), 2)
+    return views.analyses(spark, d).select("doc_id", F.array_join(F.transform(top, lambda t: t["tone"]), ",").alias("tones"))
+
+
 @query(
     f"{AN} SELECT doc_id, array_to_string(list_filter([CASE WHEN polarization NOT IN ('low', 'medium', 'high') THEN 'polarization' END, CASE WHEN polarization_score > 1 THEN 'polarization_score' END], lambda x: x IS NOT NULL), ',') AS violations FROM an WHERE polarization = 'extreme' OR polarization_score > 1"
 )
@@ -222,9 +268,32 @@ def q_analysis_upsert(spark, d):
     return upsert(an, an.where("doc_id % 10 = 0").withColumn("sentiment", F.lit("neutral")), ["event_id", "prompt_version"], [F.col("doc_id")], [], ["sentiment"])
 
 
-@query(f"{JOB} SELECT min(created_at) AS first_created, max(created_at) AS last_created, string_agg(DISTINCT status, ',' ORDER BY status) AS statuses FROM job")
+@query("WITH m AS (SELECT 'b' || (doc_id % 7) AS llm_batch_id, CASE WHEN doc_id % 7 = 6 THEN ' ' ELSE '2024-01-' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') END AS period, CASE WHEN doc_id % 7 < 5 THEN source END AS g FROM documents) SELECT llm_batch_id, CASE WHEN min(nullif(trim(period), '')) = max(nullif(trim(period), '')) THEN min(period) ELSE min(nullif(trim(period), '')) || ' ~ ' || max(nullif(trim(period), '')) END AS period, coalesce(array_to_string(list_transform(list_sort(list(DISTINCT g) FILTER (g IS NOT NULL)), lambda x: CASE x WHEN 'src1' THEN 'One' ELSE x END), ', '), '') AS groups FROM m GROUP BY llm_batch_id")
 def q_batch_context(spark, d):
-    return views.jobs(spark, d).agg(F.min("created_at").alias("first_created"), F.max("created_at").alias("last_created"), F.array_join(F.array_sort(F.collect_set("status")), ",").alias("statuses"))
+    m = views.load(spark, d, "documents").selectExpr("concat('b', CAST(doc_id % 7 AS STRING)) AS llm_batch_id", "CASE WHEN doc_id % 7 = 6 THEN ' ' ELSE concat('2024-01-', lpad(CAST(doc_id % 28 + 1 AS STRING), 2, '0')) END AS period", "CASE WHEN doc_id % 7 < 5 THEN source END AS group_name")
+    return reconcile.batch_context(m, {"src1": "One"})
+
+
+DAILY = "dl AS (SELECT DATE '2024-01-01' + CAST(k AS INT) AS day, CASE WHEN k % 9 = 0 THEN 'pending' ELSE 'completed' END AS status, count(*) AS validated_rows, sum(doc_id % 3) AS failed_rows, sum(n_chars) AS input_tokens, sum(n_chars // 10) AS output_tokens, sum(doc_id % 5) AS cached_input_tokens, CASE WHEN k > 3 THEN sum(doc_id % 7) END AS reasoning_output_tokens, CAST(sum(doc_id % 11) * 0.0001 AS DECIMAL(18,6)) AS cost_usd FROM (SELECT *, doc_id % 40 AS k FROM documents) GROUP BY k)"
+
+
+@query(f"WITH {DAILY} SELECT 31 AS requested_days, CAST(count(*) FILTER (status = 'completed') AS BIGINT) AS completed_days, 31 - count(*) FILTER (status = 'completed') AS pending_days, {', '.join(f'CAST(coalesce(sum({c}), 0) AS BIGINT) AS {c}' for c in ('validated_rows', *reconcile.DAILY_SUMS))}, CAST(sum(cost_usd) AS DOUBLE) AS cost_usd FROM dl WHERE day BETWEEN DATE '2024-01-03' AND DATE '2024-02-02'")
+def q_daily_report(spark, d):
+    docs = views.load(spark, d, "documents").withColumn("k", (F.col("doc_id") % 40).cast("int"))
+    daily = docs.groupBy(F.date_add(F.to_date(F.lit("2024-01-01")), F.col("k")).alias("day"), F.when(F.col("k") % 9 == 0, "pending").otherwise("completed").alias("status")).agg(
+        F.count("*").alias("validated_rows"), F.sum(F.col("doc_id") % 3).alias("failed_rows"), F.sum("n_chars").alias("input_tokens"), F.sum(F.expr("n_chars div 10")).alias("output_tokens"), F.sum(F.col("doc_id") % 5).alias("cached_input_tokens"),
+        F.sum(F.when(F.col("k") > 3, F.col("doc_id") % 7)).alias("reasoning_output_tokens"), (F.sum(F.col("doc_id") % 11) * F.lit("0.0001").cast("decimal(8,4)")).cast("decimal(18,6)").alias("cost_usd"),
+    )
+    return reconcile.daily_report(daily, "2024-01-03", "2024-02-02").withColumn("cost_usd", F.col("cost_usd").cast("double"))
+
+
+@query(f"{RES} SELECT custom_id, CAST(DATE '2024-01-01' + CAST(man.doc_id % 31 AS INT) AS VARCHAR) AS day, coalesce(input_tokens, -1) AS input_tokens FROM man JOIN res USING (custom_id) WHERE turn = 0")
+def q_artifact_day_results(spark, d):
+    """Requests that have results, by the day of their manifest, and those requests' first results."""
+    got = views.results(spark, d).where("turn = 0")
+    asked = views.requests(spark, d).join(got.select("custom_id"), "custom_id", "left_semi").withColumn("day", F.date_add(F.to_date(F.lit("2024-01-01")), (F.col("doc_id") % 31).cast("int")).cast("string"))
+    known = got.join(views.requests(spark, d).select("custom_id"), "custom_id", "left_semi")
+    return reconcile.day_results(asked, known).select("custom_id", "day", F.coalesce("input_tokens", F.lit(-1).cast("long")).alias("input_tokens"))
 
 
 @query(f"{AN} SELECT 'run-1' AS run_id, count(*) AS input_rows, count(*) FILTER (sentiment = 'mixed') AS mixed_rows FROM an")

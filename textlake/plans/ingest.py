@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import contract, kernels, quality
-from ..operators import accounting, dedup, routing
+from ..operators import accounting, dedup, reconcile, routing
 from . import views
 
 QUERIES, SQL = {}, {}
@@ -186,9 +186,16 @@ def q_bounded_range(spark, d):
     return routing.bounded(views.messages(spark, d), ranges).select(F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"))
 
 
-@query("SELECT topic, CAST(sum(e - s) AS BIGINT) AS span FROM (VALUES ('events', 10, 200), ('events', 0, 50), ('events', 300, 300)) AS r(topic, s, e) GROUP BY topic")
+@query(f"{MSG}, o AS (SELECT topic, part, min(off) AS a, max(off) + 1 AS z FROM msg GROUP BY topic, part) SELECT topic, CAST(sum(z - a) AS BIGINT) AS span FROM o GROUP BY topic")
 def q_offset_span(spark, d):
-    return spark.createDataFrame(RANGES, "topic string, partition int, start_offset long, end_offset long").groupBy("topic").agg(F.sum(F.col("end_offset") - F.col("start_offset")).alias("span"))
+    """From the first to behind the last offset of each captured partition."""
+    at = views.messages(spark, d).groupBy("topic", "partition").agg(F.min("offset").alias("first"), (F.max("offset") + 1).alias("behind"))
+    return reconcile.offset_span(at.select("topic", "partition", F.col("first").alias("offset")), at.select("topic", "partition", F.col("behind").alias("offset")))
+
+
+@query(f"{EV} SELECT count(*) AS input_rows, count(DISTINCT event_id) AS stored_rows, count(*) - count(DISTINCT event_id) AS duplicate_rows, count(*) FILTER (source_name = 'web_news') AS web_news_rows, count(*) FILTER (source_name = 'reddit') AS reddit_rows FROM ev")
+def q_finalization(spark, d):
+    return accounting.finalization(views.events(spark, d), ("web_news", "reddit"))
 
 
 @query(f"{MSG} SELECT part AS kafka_partition, max(off) + 1 AS high_watermark FROM msg GROUP BY part")

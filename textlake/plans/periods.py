@@ -38,12 +38,12 @@ def grouped(spark, d):
     return G.by_community(views.events(spark, d).withColumn("day", F.left("event_time", F.lit(10))), dim(spark))
 
 
-DAILY = f"{GROUPED}, dy AS (SELECT day, group_name, count(*) FILTER ({OK}) AS row_count, CAST(coalesce(sum(greatest(1, (least(strlen(trim(text, ' ')), 4000) + 3) // 4)) FILTER ({OK}), 0) AS BIGINT) AS tokens, count(*) FILTER (NOT {OK}) AS rejected_rows, count(*) FILTER ({OK} AND strlen(trim(text, ' ')) > 4000) AS cut_rows FROM gr GROUP BY ALL)"
+DAILY = f"{GROUPED}, dy AS (SELECT day, group_name, count(*) FILTER ({OK}) AS row_count, CAST(coalesce(sum(greatest(1, (least(strlen(trim(text, ' ')), 16000) + 3) // 4)) FILTER ({OK}), 0) AS BIGINT) AS tokens, count(*) FILTER (NOT {OK}) AS rejected_rows, count(*) FILTER ({OK} AND strlen(trim(text, ' ')) > 16000) AS cut_rows FROM gr GROUP BY ALL)"
 
 
 @query(f"{DAILY} SELECT * FROM dy")
 def q_group_daily_counts(spark, d):
-    return G.daily_counts(grouped(spark, d), "text", 4000)
+    return G.daily_counts(grouped(spark, d), "text", 16_000)
 
 
 BALANCE = f"{DAILY}, k AS (SELECT count(DISTINCT group_name) AS g FROM dy WHERE group_name <> 'comparison'), b AS (SELECT day, coalesce(sum(row_count) FILTER (group_name <> 'comparison'), 0) AS t, coalesce(sum(row_count) FILTER (group_name = 'comparison'), 0) AS a, coalesce(sum(tokens) FILTER (group_name = 'comparison'), 0) AS avt FROM dy GROUP BY day), c AS (SELECT day, t, a, avt, least((t + g // 2) // g, a) AS target FROM b, k)"
@@ -51,13 +51,13 @@ BALANCE = f"{DAILY}, k AS (SELECT count(DISTINCT group_name) AS g FROM dy WHERE
 
 @query(f"{BALANCE} SELECT day, CAST(t AS BIGINT) AS topic_rows, CAST(a AS BIGINT) AS available, CAST(avt AS BIGINT) AS available_tokens, CAST(target AS BIGINT) AS target_rows, CAST(CASE WHEN a > 0 THEN (target * avt + a - 1) // a ELSE 0 END AS BIGINT) AS target_tokens FROM c")
 def q_comparison_balance(spark, d):
-    return G.comparison_target(G.daily_counts(grouped(spark, d), "text", 4000), "comparison")
+    return G.comparison_target(G.daily_counts(grouped(spark, d), "text", 16_000), "comparison")
 
 
 @query(f"{BALANCE} SELECT day, doc_id FROM (SELECT gr.day, doc_id, target, row_number() OVER (PARTITION BY gr.day ORDER BY sha256('balance:' || doc_id), doc_id) AS r FROM gr JOIN c ON c.day = gr.day WHERE group_name = 'comparison' AND {OK}) WHERE r <= target")
 def q_comparison_sample(spark, d):
     rows = grouped(spark, d)
-    target = G.comparison_target(G.daily_counts(rows, "text", 4000), "comparison").select("day", "target_rows")
+    target = G.comparison_target(G.daily_counts(rows, "text", 16_000), "comparison").select("day", "target_rows")
     pool = rows.where((F.col("group_name") == "comparison") & G.eligible(F.col("text"))).join(target, "day")
     return sampling.per_group(pool, ["day"], "doc_id", F.col("target_rows"), "balance").select("day", "doc_id")
 
@@ -69,13 +69,13 @@ def q_period_sample(spark, d):
 
 @query(f"{DAILY} SELECT day, group_name, (tokens + 999) // 1000 AS map_requests, (tokens * 5 + 3999) // 4000 AS most_map_requests FROM dy")
 def q_map_requests(spark, d):
-    return G.map_requests(G.daily_counts(grouped(spark, d), "text", 4000), 1000).select("day", "group_name", "map_requests", "most_map_requests")
+    return G.map_requests(G.daily_counts(grouped(spark, d), "text", 16_000), 1000).select("day", "group_name", "map_requests", "most_map_requests")
 
 
-@query(f"{DAILY}, s AS (SELECT sum(tokens) AS t, sum((tokens + 999) // 1000) AS m, count(DISTINCT day) AS n, sum(rejected_rows) AS w FROM dy), e AS (SELECT CAST(t + m * 750 + n * 5 * 750 + w * 2 + 5000 AS BIGINT) AS input_tokens, CAST(m * 250 + n * 5 * 250 + 2000 AS BIGINT) AS output_tokens FROM s) SELECT *, CAST((input_tokens * 0.10 + output_tokens * 0.60) / 1000000 AS DOUBLE) AS cost_usd FROM e")
+@query(f"{DAILY}, s AS (SELECT sum(tokens) AS t, sum((tokens + 999) // 1000) AS m, sum((tokens * 5 + 3999) // 4000) AS mm, count(DISTINCT day) AS n, sum(rejected_rows) AS w FROM dy), e AS (SELECT CAST(t + m * 750 + n * 5 * 750 + w * 2 + 5000 AS BIGINT) AS input_tokens, CAST(m * 250 + n * 5 * 250 + 2000 AS BIGINT) AS output_tokens, CAST(ceil((t + w * 2) * 1.25 + mm * 1000 + n * 5 * 1000 + 5000) AS BIGINT) AS most_input_tokens, CAST(mm * 500 + n * 5 * 500 + 4000 AS BIGINT) AS most_output_tokens FROM s) SELECT *, CAST((input_tokens * 0.10 + output_tokens * 0.60) / 1000000 AS DOUBLE) AS cost_usd, CAST((most_input_tokens * 0.10 + most_output_tokens * 0.60) / 1000000 AS DOUBLE) AS most_cost_usd FROM e")
 def q_grouped_cost_model(spark, d):
-    daily = G.map_requests(G.daily_counts(grouped(spark, d), "text", 4000), 1000)
-    return G.cost_model(daily, F.col("rejected_rows")).withColumn("cost_usd", F.col("cost_usd").cast("double"))
+    daily = G.map_requests(G.daily_counts(grouped(spark, d), "text", 16_000), 1000)
+    return G.cost_model(daily, F.col("rejected_rows")).withColumns({c: F.col(c).cast("double") for c in ("cost_usd", "most_cost_usd")})
 
 
 TAGGED = f"{EV}, tg AS (SELECT ev.*, g AS group_name FROM (SELECT *, unnest(list_distinct(list_transform(string_split(topic_groups, ','), lambda x: trim(x)))) AS g FROM ev WHERE source_name = 'web_news') AS ev WHERE g IN ('g0', 'g1', 'g2'))"
@@ -107,9 +107,9 @@ def q_community_top(spark, d):
     return ev.groupBy(F.lower("community").alias("community")).agg(F.count("*").alias("row_count")).orderBy(F.desc("row_count"), "community").limit(21)
 
 
-@query(f"{EV}, p AS (SELECT lower(community) AS key, community, language, count(*) AS n, sum(strlen(text)) AS b FROM ev WHERE community IS NOT NULL GROUP BY ALL), s AS (SELECT key, community, sum(n) AS n, sum(b) AS b FROM p GROUP BY ALL), c AS (SELECT key, first(community ORDER BY n DESC, community) AS community, CAST(sum(n) AS BIGINT) AS row_count, CAST(sum(b) AS BIGINT) AS bytes FROM s GROUP BY key), l AS (SELECT key, string_agg(language || '=' || n, ',' ORDER BY language) AS labels FROM (SELECT key, language, CAST(sum(n) AS BIGINT) AS n FROM p GROUP BY ALL) GROUP BY key) SELECT c.*, labels FROM c JOIN l USING (key)")
+@query(f"{EV}, p AS (SELECT lower(community) AS key, community, language, count(*) AS n, sum(strlen(text)) AS b FROM ev WHERE community IS NOT NULL GROUP BY ALL), s AS (SELECT key, community, sum(n) AS n, sum(b) AS b FROM p GROUP BY ALL), c AS (SELECT key, first(community ORDER BY n DESC, community) AS community, CAST(sum(n) AS BIGINT) AS row_count, CAST(sum(b) AS BIGINT) AS bytes FROM s GROUP BY key), l AS (SELECT key, string_agg(language || '=' || n, ',' ORDER BY language) AS labels FROM (SELECT key, language, CAST(sum(n) AS BIGINT) AS n FROM p GROUP BY ALL) GROUP BY key) SELECT c.*, labels, round(bytes / 7 / 1048576, 4) AS average_daily_mib, round(bytes / 7 * 30 / 1073741824, 4) AS projected_period_gib FROM c JOIN l USING (key)")
 def q_community_profile(spark, d):
-    p = G.community_profile(views.events(spark, d), "language", "text")
+    p = G.community_profile(views.events(spark, d), "language", "text", 7, 30)
     return p.withColumn("labels", F.array_join(F.transform("labels", lambda x: F.concat_ws("=", x["label"], x["n"].cast("string"))), ","))
 
 
@@ -126,21 +126,28 @@ def q_coverage_header(spark, d):
     return h.withColumn("communities", F.array_join(F.transform("communities", lambda x: F.concat_ws("=", x["community"], x["n"].cast("string"))), ","))
 
 
-@query(f"{EV} SELECT doc_id, 'R\t' || lower(community) || '\t' || replace(replace(left(text, 200), chr(10), ' '), chr(13), ' ') AS line FROM ev WHERE source_name = 'reddit' AND {OK}")
+FLAT = "replace(replace({}, chr(10), ' '), chr(13), ' ')"
+
+
+@query(
+    f"{EV}, pl AS (SELECT doc_id, left(event_time, 10) AS day, 'R' AS kind, lower(community) AS c, text AS t, concat_ws('\t', 'R', lower(community), {FLAT.format('text')}) AS line FROM ev WHERE source_name = 'reddit' AND {OK} "
+    f"UNION ALL SELECT doc_id, left(event_time, 10), 'N', NULL, title, 'N\t' || {FLAT.format('title')} FROM ev WHERE source_name <> 'reddit' AND {OK.replace('text', 'title')}) "
+    "SELECT doc_id, day, kind, line, CAST(row_number() OVER (PARTITION BY day, kind ORDER BY c NULLS FIRST, t, doc_id) AS INT) AS place FROM pl"
+)
 def q_prompt_lines(spark, d):
-    ev = views.events(spark, d).where((F.col("source_name") == "reddit") & G.eligible(F.col("text")))
-    return ev.select("doc_id", F.concat_ws("\t", F.lit("R"), F.lower("community"), X.flat_line(F.left("text", F.lit(200)))).alias("line"))
+    ev = views.events(spark, d).withColumn("day", F.left("event_time", F.lit(10)))
+    return G.prompt_lines(ev).select("doc_id", "day", "kind", "line", "place")
 
 
-@query(f"{EV}, e AS (SELECT * FROM ev WHERE {OK} AND strlen(trim(text, ' ')) <= 3000), f AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY doc_id) = 1) SELECT event_id, doc_id FROM f ORDER BY doc_id LIMIT 100")
+@query(f"{EV}, e AS (SELECT * FROM ev WHERE {OK} AND strlen(trim(text, ' ')) <= 16000), f AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY doc_id) = 1) SELECT event_id, doc_id FROM f ORDER BY doc_id LIMIT 100")
 def q_request_batch_limit(spark, d):
     ev = views.events(spark, d)
-    return sampling.first_eligible(ev, G.eligible(F.col("text"), 3000), ["event_id"], [F.col("doc_id")], 100).select("event_id", "doc_id")
+    return sampling.first_eligible(ev, G.eligible(F.col("text"), 16_000), ["event_id"], [F.col("doc_id")], 100).select("event_id", "doc_id")
 
 
-@query(f"{EV} SELECT doc_id, left(coalesce(nullif(title, ''), nullif(text, '')), 30) AS picked FROM ev")
+@query(f"{EV} SELECT doc_id, coalesce(nullif(title, ''), nullif(text, '')) AS picked FROM ev")
 def q_text_pick(spark, d):
-    return views.events(spark, d).select("doc_id", F.left(X.first_text(F.col("title"), F.col("text")), F.lit(30)).alias("picked"))
+    return views.events(spark, d).select("doc_id", X.first_text(F.col("title"), F.col("text")).alias("picked"))
 
 
 @query("SELECT conv_id, turn, strftime(to_timestamp(1451606400 + conv_id * 977 + turn) AT TIME ZONE 'UTC', '%Y-%m-%d') AS day, role AS community FROM conversations WHERE lower(role) IN ('user')")
@@ -185,7 +192,7 @@ def q_title_normalize(spark, d):
     return views.load(spark, d, "pages").select("page_id", X.normalize_title(F.regexp_extract("html", "<title>([^<]*)</title>", 1)).alias("title"))
 
 
-@query(r"SELECT doc_id, left(trim(regexp_replace(text, '\s+', ' ', 'g')), 500) AS clean FROM documents")
+@query(r"SELECT doc_id, left(trim(regexp_replace(text, '\s+', ' ', 'g')), 1000) AS clean FROM documents")
 def q_period_text_clean(spark, d):
     return views.load(spark, d, "documents").select("doc_id", X.period_text(F.col("text")).alias("clean"))
 
@@ -272,11 +279,24 @@ def q_cursor_effective_window(spark, d):
     return intervals.effective_window(requests, cursors).select("source", stamp("effective_start"), stamp("next_cursor"))
 
 
-@query("SELECT page_id, CASE WHEN url LIKE '%example.com%' THEN 'news-raw' WHEN url LIKE '%example.net%' THEN 'news-llm' END AS bucket, CASE WHEN url LIKE '%example.com%' THEN 'raw/' || page_id || '.html' WHEN url LIKE '%example.net%' THEN 'requests/' || page_id || '.html' END AS key FROM pages WHERE page_id % 10 <> 0")
+FOLDERS = [*S.ARTIFACTS, "other"]
+#: Ends of file names by page_id % 11; the first eight are left out.
+ENDS = (".part", ".tmp", ".prefix", ".footer", ".sparse.parquet", ".crc", "minio-data-migration-1.json", "minio-data-migration-2.jsonl", ".json", ".parquet", ".html")
+ARTIFACT = "af AS (SELECT page_id, strlen(html) AS b, [{}][page_id % {} + 1] AS folder, page_id % 11 AS k, CASE WHEN page_id % 11 IN (6, 7) THEN page_id || '/' ELSE page_id || '' END || [{}][page_id % 11 + 1] AS rest FROM pages), ro AS (SELECT * FROM (VALUES {}) AS t(folder, bucket, prefix)), ar AS (SELECT page_id, b, bucket, prefix || '/' || rest AS key FROM af LEFT JOIN ro USING (folder) WHERE k > 7)".format(
+    ", ".join(f"'{x}'" for x in FOLDERS), len(FOLDERS), ", ".join(f"'{x}'" for x in ENDS), ", ".join(f"('{f}', '{b}', '{k}')" for f, (b, k) in S.ARTIFACTS.items())
+)
+
+
+def artifacts(spark, d):
+    pick = lambda values, n: F.get(F.array(*map(F.lit, values)), (F.col("page_id") % n).cast("int"))
+    own = F.when((F.col("page_id") % 11).isin(6, 7), F.lit("/")).otherwise(F.lit(""))
+    name = F.concat(F.col("page_id").cast("string"), own, pick(ENDS, 11))
+    return views.load(spark, d, "pages").select("page_id", F.octet_length("html").alias("b"), F.concat_ws("/", F.lit("data"), pick(FOLDERS, len(FOLDERS)), name).alias("path"))
+
+
+@query(f"WITH {ARTIFACT} SELECT page_id, bucket, key FROM ar")
 def q_artifact_route(spark, d):
-    folder = F.when(F.col("url").contains("example.com"), "raw").when(F.col("url").contains("example.net"), "llm").otherwise("other")
-    paths = views.load(spark, d, "pages").select("page_id", F.concat_ws("/", F.lit("data"), folder, F.concat(F.col("page_id").cast("string"), F.when(F.col("page_id") % 10 == 0, ".tmp").otherwise(".html"))).alias("path"))
-    return S.artifact_routes(paths, "path").select("page_id", "bucket", "key")
+    return S.artifact_routes(artifacts(spark, d), "path").select("page_id", "bucket", "key")
 
 
 @query("SELECT page_id, left(regexp_replace(regexp_replace(url, '[^A-Za-z0-9._-]+', '-', 'g'), '^[-.]+|[-.]+$', '', 'g'), 120) AS component FROM pages")
@@ -298,11 +318,15 @@ def q_day_group_requests(spark, d):
     return pairs.select(F.col("day").cast("string").alias("day"), "group_name", F.dayofmonth(F.last_day("day")).alias("days_in_month"), F.date_format(start, "yyyy-MM-dd HH:mm:ss").alias("day_start_utc"))
 
 
-@query("WITH a AS (SELECT CASE WHEN url LIKE '%example.com%' THEN 'news-raw' WHEN url LIKE '%example.net%' THEN 'news-llm' END AS bucket, strlen(html) AS b FROM pages WHERE page_id % 10 <> 0) SELECT bucket, count(*) AS artifacts, CAST(sum(b) AS BIGINT) AS bytes FROM a WHERE bucket IS NOT NULL GROUP BY bucket")
+@query(f"WITH {ARTIFACT} SELECT bucket, count(*) AS artifacts, CAST(sum(b) AS BIGINT) AS bytes FROM ar WHERE bucket IS NOT NULL GROUP BY bucket")
 def q_storage_totals(spark, d):
-    folder = F.when(F.col("url").contains("example.com"), "raw").when(F.col("url").contains("example.net"), "llm").otherwise("other")
-    paths = views.load(spark, d, "pages").select(F.octet_length("html").alias("b"), F.concat_ws("/", F.lit("data"), folder, F.concat(F.col("page_id").cast("string"), F.when(F.col("page_id") % 10 == 0, ".tmp").otherwise(".html"))).alias("path"))
-    return S.artifact_routes(paths, "path").where("bucket IS NOT NULL").groupBy("bucket").agg(F.count("*").alias("artifacts"), F.sum("b").alias("bytes"))
+    return S.artifact_routes(artifacts(spark, d), "path").where("bucket IS NOT NULL").groupBy("bucket").agg(F.count("*").alias("artifacts"), F.sum("b").alias("bytes"))
+
+
+@query(f"WITH {CANON}, f AS (SELECT url, arg_min('p' || (page_id % 7), page_id) AS publisher FROM (SELECT page_id, regexp_replace(url, '/[0-9][^/?]*/?', '/', 'g') AS url FROM cu) GROUP BY url) SELECT publisher, count(*) AS url_count FROM f GROUP BY publisher ORDER BY url_count DESC, publisher LIMIT 5")
+def q_top_publishers(spark, d):
+    pages = views.load(spark, d, "pages").selectExpr("page_id AS doc_id", "url AS raw", "concat('p', CAST(page_id % 7 AS STRING)) AS publisher")
+    return G.top_publishers(pages, F.regexp_replace(X.canonical_url(F.col("raw")), "/[0-9][^/?]*/?", "/"), "publisher", 5)
 
 
 @query("SELECT month, bytes, round(bytes / 1073741824.0::DOUBLE, 4) AS gib, round(bytes / day(last_day(CAST(month || '-01' AS DATE))) / 1048576.0::DOUBLE, 4) AS average_daily_mib FROM (SELECT '2024-0' || (doc_id % 9 + 1) AS month, CAST(sum(n_chars) * 100000 AS BIGINT) AS bytes FROM documents GROUP BY ALL)")

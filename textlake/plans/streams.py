@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
 
+from ..session import delete, shared_folder
 from ..streaming import consumer
 from . import views
 
@@ -15,14 +14,13 @@ QUERIES, SQL = {}, {}
 
 
 def consumed(spark, d) -> str:
-    """Output folder of a consumer that has read the view of messages as one batch."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or "file://" + os.path.join(tempfile.gettempdir(), "textlake-streams")
-    root = f"{shared.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    """Folder in which a consumer has read the view of messages as one batch; its output is below out."""
+    root = f"{shared_folder(spark)}/textlake/stream-{uuid.uuid4().hex}"
     views.messages(spark, d).write.parquet(f"{root}/topic")
     c = consumer.ConsumerConfig("events", "dead", f"{root}/out", f"{root}/checkpoint", watermark="3650 days")
     query = consumer.start(consumer.file_messages(spark, f"{root}/topic"), c)
     query.awaitTermination()
-    return f"{root}/out"
+    return root
 
 
 def q_stream_routes(spark, d):
@@ -31,7 +29,9 @@ def q_stream_routes(spark, d):
     Repeated ids have other texts here and any of them may stay, so the three routes of valid rows are summed.
     """
     root = consumed(spark, d)
-    ledger = consumer.read_ledger(spark, root)
+    rows = consumer.read_ledger(spark, f"{root}/out").collect()  # one batch
+    delete(spark, root)
+    ledger = spark.createDataFrame(rows, consumer.LEDGER)
     counts = F.explode(F.from_json("route_counts", "map<string,long>")).alias("output_route", "n")
     return ledger.select(counts).groupBy((F.col("output_route") != "contract_rejected").alias("contract_valid")).agg(F.sum("n").alias("row_count"))
 

@@ -19,8 +19,8 @@ DEFECTS = """CASE doc_id % 100
   WHEN 15 THEN 'https://example.com/a/bbbbbbbbbbbbb https://example.com/b/ccccccccc'
   WHEN 20 THEN concat(text, ' mail a.b@example.com') WHEN 25 THEN concat('a', repeat({mark}, 10))
   WHEN 30 THEN repeat('abcdefghij ', 500) WHEN 35 THEN repeat('😀', 16385) WHEN 40 THEN '[removed]'
-  WHEN 45 THEN concat({bell}, text) WHEN 50 THEN concat('cafe', {mark}, ' ', left(text, 300))
-  WHEN 55 THEN concat({tab}, {newline}) WHEN 60 THEN ' [Deleted] ' WHEN 65 THEN concat(' ', left(text, 200), ' ')
+  WHEN 45 THEN concat({bell}, text) WHEN 50 THEN concat('cafe', {mark}, ' ', text)
+  WHEN 55 THEN concat({tab}, {newline}) WHEN 60 THEN ' [Deleted] ' WHEN 65 THEN concat(' ', text, ' ')
   ELSE text END"""
 _SPARK = {"zero": r"'​'", "mark": r"'́'", "bell": r"'\u0007'", "tab": r"'\t'", "newline": r"'\n'"}
 _DUCK = {"zero": "chr(8203)", "mark": "chr(769)", "bell": "chr(7)", "tab": "chr(9)", "newline": "chr(10)"}
@@ -34,8 +34,8 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"sha2(concat('reddit:', CAST({sid} AS STRING)), 256) AS event_id",
         "CASE WHEN doc_id % 2 = 0 THEN 'news' ELSE 'comment' END AS source_type",
         "CASE WHEN doc_id % 2 = 0 THEN 'web_news' ELSE 'reddit' END AS source_name",
-        "date_format(TIMESTAMP'2024-01-01 00:00:00' + make_dt_interval(0, 0, CAST(doc_id * 7 AS INT)), \"yyyy-MM-dd'T'HH:mm:ss'Z'\") AS event_time",
-        "date_format(TIMESTAMP'2024-01-01 01:00:00' + make_dt_interval(0, 0, CAST(doc_id * 7 AS INT)), \"yyyy-MM-dd'T'HH:mm:ss'Z'\") AS collected_at",
+        "date_format(timestamp_seconds(1704067200 + doc_id * 420), \"yyyy-MM-dd'T'HH:mm:ss'Z'\") AS event_time",
+        "date_format(timestamp_seconds(1704070800 + doc_id * 420), \"yyyy-MM-dd'T'HH:mm:ss'Z'\") AS collected_at",
         "lang AS language",
         "CASE WHEN doc_id % 2 = 0 THEN concat('Title ', left(text, 40)) END AS title",
         f"{DEFECTS.format(**_SPARK)} AS text",
@@ -218,6 +218,10 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN id % 4 > 0 THEN date_format(TIMESTAMP'2024-03-02 00:00:00' + make_dt_interval(0, CAST(id AS INT)), 'yyyy-MM-dd HH:mm:ss') END AS completed_at",
         "id * 100000 AS input_tokens",
         "id * 2000 AS output_tokens",
+        "concat('model-', CAST(id % 3 AS STRING)) AS model",
+        "id * 10 + 5 - id % 7 AS completed_count",
+        "id % 7 AS failed_count",
+        "CASE WHEN id % 6 > 0 THEN CAST(id * 0.0112 AS DECIMAL(18,8)) END AS total_cost_usd",
     )
 
 
@@ -227,4 +231,4 @@ res AS (SELECT doc_id, 'req-' || doc_id AS custom_id, unnest(range(0, CASE WHEN
 JOBS_SQL = """job AS (SELECT 'batch-' || i AS llm_batch_id, ['daily-v1', 'daily-v2', 'daily-v3'][i % 3 + 1] AS prompt_version, CASE WHEN i % 4 = 0 THEN 'submitted' ELSE 'completed' END AS status, i * 10 + 5 AS requested_count,
   strftime(TIMESTAMP '2024-03-01 00:00:00' + to_hours(i * 7 % 20), '%Y-%m-%d %H:%M:%S') AS created_at,
   CASE WHEN i % 5 > 0 THEN strftime(TIMESTAMP '2024-03-01 06:00:00' + to_hours(i * 3 % 20), '%Y-%m-%d %H:%M:%S') END AS submitted_at,
-  CASE WHEN i % 4 > 0 THEN strftime(TIMESTAMP '2024-03-02 00:00:00' + to_hours(i), '%Y-%m-%d %H:%M:%S') END AS completed_at, i * 100000 AS input_tokens, i * 2000 AS output_tokens FROM range(20) AS r(i))"""
+  CASE WHEN i % 4 > 0 THEN strftime(TIMESTAMP '2024-03-02 00:00:00' + to_hours(i), '%Y-%m-%d %H:%M:%S') END AS completed_at, i * 100000 AS input_tokens, i * 2000 AS output_tokens, 'model-' || (i % 3) AS model, i * 10 + 5 - i % 7 AS completed_count, i % 7 AS failed_count, CASE WHEN i % 6 > 0 THEN CAST(i * 0.0112 AS DECIMAL(18,8)) END AS total_cost_usd FROM range(20) AS r(i))"""

@@ -5,6 +5,7 @@ Network fetches are not part of the engine; what they return (XML, HTML, listing
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -22,13 +23,18 @@ ARTIFACTS = {
     "airflow-input": ("news-raw", "airflow-input"),
     "selected": ("news-processed", "selected"),
     "experiments": ("news-processed", "experiments"),
+    "airflow-output": ("news-processed", "airflow-output"),
+    "airflow-output-minio": ("news-processed", "airflow-output-minio"),
     "validation": ("news-processed", "validation"),
     "llm": ("news-llm", "requests"),
     "llm_response": ("news-llm", "responses"),
     "reports": ("news-reports", "reports"),
     "logs": ("news-reports", "logs"),
+    "minio-validation": ("news-reports", "minio-validation"),
+    "ingestion-guide": ("news-reports", "ingestion-guide"),
+    "system-diagrams": ("news-reports", "system-diagrams"),
 }
-EXCLUDED = (r"\.part$", r"\.tmp$", r"\.prefix$", r"\.footer$", r"\.sparse\.parquet$", r"\.crc$")
+EXCLUDED = (r"\.part$", r"\.tmp$", r"\.prefix$", r"\.footer$", r"\.sparse\.parquet$", r"\.crc$", r"(^|/)minio-data-migration[^/]*\.jsonl?$")
 
 
 def read_jsonl(spark: SparkSession, path: str) -> DataFrame:
@@ -124,6 +130,58 @@ def archive_days(archive: DataFrame, names: Sequence[str]) -> DataFrame:
     return archive_rows(archive, names).withColumns({"year": F.date_format(t, "yyyy"), "month": F.date_format(t, "MM"), "day": F.date_format(t, "dd")})
 
 
+def _event(**fields: Column) -> list[Column]:
+    """Columns of EVENT in its order; fields that aren't given are null."""
+    return [fields.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in EVENT.fields]
+
+
+def article_events(articles: DataFrame, query: str, collected_at: str, raw: str = "raw") -> DataFrame:
+    """Events of an article search's JSON objects, a row each; such without URL, title or time seen are left out."""
+    j = F.from_json(raw, "url string, title string, seendate string, language string, domain string, sourcecountry string")
+    a = articles.select(*[F.nullif(F.trim(j[c]), F.lit("")).alias(c) for c in ("url", "title", "seendate", "language", "domain", "sourcecountry")])
+    seen = F.try_to_timestamp("seendate", F.lit("yyyyMMdd'T'HHmmss'Z'"))
+    about = F.create_map(*[F.lit(x) if i % 2 == 0 else x for i, x in enumerate(("domain", F.col("domain"), "source_country", F.col("sourcecountry"), "query", F.lit(query), "text_scope", F.lit("title_only")))])
+    return a.where(F.col("url").isNotNull() & F.col("title").isNotNull() & seen.isNotNull()).select(
+        *_event(
+            event_id=F.sha2(F.concat(F.lit("gdelt:"), "url"), 256), source_type=F.lit("news"), source_name=F.lit("gdelt"), event_time=F.date_format(seen, "yyyy-MM-dd'T'HH:mm:ss'Z'"), collected_at=F.lit(collected_at),
+            language=F.lower(F.coalesce("language", F.lit("unknown"))), title=F.col("title"), text=F.col("title"), url=F.col("url"), schema_version=F.lit(1), metadata=about,
+        )
+    )
+
+
+def listing_events(pages: DataFrame, start: Column, end: Column, collected_at: str, raw: str = "raw") -> DataFrame:
+    """Events of listing pages (JSON, a row a page) within [start, end), each id once; blank and removed comments are left out.
+
+    Of several comments of one id the one with the earliest time, then the least text, stays.
+    """
+    child = "id: string, body: string, subreddit: string, created_utc: double, score: long, permalink: string, link_id: string, controversiality: int, edited: string"
+    body = pages.select(F.explode(F.from_json(raw, f"data struct<children: array<struct<data: struct<{child}>>>>")["data"]["children"]).alias("c")).select("c.data.*")
+    c = body.withColumns({"id": F.trim("id"), "body": F.trim("body"), "t": F.timestamp_seconds("created_utc")})
+    c = window_events(c.where("id <> '' AND body <> '' AND body NOT IN ('[deleted]', '[removed]')"), start, end, "t")
+    c = c.groupBy("id").agg(F.min_by(F.struct(*[x for x in c.columns if x != "id"]), F.struct("t", "body")).alias("v")).select("id", "v.*")
+    text = lambda x: F.coalesce(x.cast("string"), F.lit("0"))
+    about = F.create_map(*[F.lit(x) if i % 2 == 0 else x for i, x in enumerate(("link_id", F.col("link_id"), "controversiality", text(F.col("controversiality")), "edited", (F.coalesce("edited", F.lit("false")) != "false").cast("string"), "collection_scope", F.lit("current_reddit_comments")))])
+    return c.select(
+        *_event(
+            event_id=F.sha2(F.concat(F.lit("reddit:"), "id"), 256), source_type=F.lit("comment"), source_name=F.lit("reddit"), event_time=F.date_format("t", "yyyy-MM-dd'T'HH:mm:ss'Z'"), collected_at=F.lit(collected_at),
+            language=F.lit("unknown"), text=F.col("body"), url=F.when(F.trim("permalink") != "", F.concat(F.lit("https://www.reddit.com"), F.trim("permalink"))), community=F.nullif("subreddit", F.lit("")), engagement=F.coalesce("score", F.lit(0)), schema_version=F.lit(1), metadata=about,
+        )
+    )
+
+
+def analysis_groups(spark: SparkSession, path: str) -> DataFrame:
+    """(group_name, label, news_topic, communities) of a group configuration (JSON, or YAML where its parser is installed)."""
+    text = spark.read.text(path, wholetext=True).first().value  # a file written by people
+    if path.endswith(".json"):
+        groups = json.loads(text)["groups"]
+    else:
+        import yaml
+
+        groups = yaml.safe_load(text)["groups"]
+    rows = [(name, g.get("label"), str(g["news_topic"]), [str(c).lower() for c in g["subreddits"]]) for name, g in groups.items()]
+    return spark.createDataFrame(rows, "group_name string, label string, news_topic string, communities array<string>")
+
+
 _PERIOD = ("event_id", "source_type", "source_name", "event_timestamp", "collected_timestamp", "language", "title", "text", "url", "community", "engagement", "schema_version", "metadata_json")
 
 

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.contract import add_contract, require_valid
+from ..schemas import EVENT_FIELDS
+
 #: Columns that steps hand on to each other and no sink stores.
 INTERNAL = ("_raw_json", "_json_keys", "_corrupt_record", "seen_at", "identity")
 
@@ -27,6 +30,11 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def write_valid_json(events: DataFrame, path: str, strict: bool = True) -> None:
+    """JSON lines of raw events (as ``read_raw`` gives them); the write fails, and leaves nothing committed, at one that breaks the contract."""
+    write_json(require_valid(add_contract(events, strict)).select(*EVENT_FIELDS), path)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", "true").csv(path)
 

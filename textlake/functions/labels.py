@@ -28,11 +28,14 @@ def compatible(labels: Column) -> Column:
     return F.split(kernels.nfkc(F.array_join(F.transform(labels, lambda x: F.regexp_replace(F.coalesce(x, F.lit("")), UNIT, "")), UNIT)), UNIT)
 
 
-def verdicts(labels: Column, normal: Column, field: str) -> Column:
-    """For each label struct(value, clean, reason, changed); clean is null where reason says why it goes."""
+def verdicts(labels: Column, collapsed: Column, field: str) -> Column:
+    """For each label struct(value, clean, reason, changed); clean is null where reason says why it goes.
+
+    ``collapsed`` has the collapsed labels, a column of its own, so that none is made for each test.
+    """
 
     def judge(value: Column, i: Column) -> Column:
-        c = collapse(F.get(normal, i))
+        c = F.get(collapsed, i)
         reason = (
             F.when(c == "", "empty_after_normalization")
             .when(c.rlike(r"[^\x00-\x7f]"), "non_ascii_character")
@@ -55,7 +58,8 @@ def gate(df: DataFrame, fields: tuple[str, ...] = ("topics", "keywords")) -> Dat
     for f in fields:
         old = F.coalesce(F.col(f), F.array().cast("array<string>"))
         df = df.withColumn(f"_{f}_normal", compatible(old))
-        df = df.withColumn(f"_{f}", verdicts(old, F.col(f"_{f}_normal"), f))
+        df = df.withColumn(f"_{f}_flat", F.transform(f"_{f}_normal", collapse))
+        df = df.withColumn(f"_{f}", verdicts(old, F.col(f"_{f}_flat"), f))
         kept = F.filter(f"_{f}", lambda v: v["clean"].isNotNull())
         df = df.withColumn(f"_{f}_kept", kept)
         names = F.transform(f"_{f}_kept", lambda v: F.lower(v["clean"]))
@@ -70,4 +74,4 @@ def gate(df: DataFrame, fields: tuple[str, ...] = ("topics", "keywords")) -> Dat
         ]
     df = df.withColumns({"removed_labels": removed, "gate_reasons": F.concat(*reasons), "gate_status": F.when(modified, "modified").otherwise("passed")})
     df = df.withColumns({f: F.col(f"_{f}_first") for f in fields})
-    return df.drop(*[f"_{f}{x}" for f in fields for x in ("", "_normal", "_kept", "_first")])
+    return df.drop(*[f"_{f}{x}" for f in fields for x in ("", "_normal", "_flat", "_kept", "_first")])

@@ -13,16 +13,16 @@ TOMBSTONES = ("[deleted]", "[removed]")
 def by_community(events: DataFrame, groups: DataFrame) -> DataFrame:
     """``events`` of communities in ``groups`` (group_name, communities), case aside, with group_name.
 
-    ``groups`` is configuration, a few rows, and is broadcast.
+    ``groups`` is configuration; Spark broadcasts it while it is small.
     """
     dim = groups.select("group_name", F.explode("communities").alias("_c")).withColumn("_c", F.lower("_c"))
-    return events.join(F.broadcast(dim), F.lower(events["community"]) == F.col("_c")).drop("_c")
+    return events.join(dim, F.lower(events["community"]) == F.col("_c")).drop("_c")
 
 
 def by_tags(events: DataFrame, groups: DataFrame, tags: str) -> DataFrame:
     """A row for each event and selected group among its comma-separated ``tags``."""
     names = groups.select("group_name")
-    return events.withColumn("group_name", F.explode(split_tags(F.col(tags)))).join(F.broadcast(names), "group_name", "left_semi")
+    return events.withColumn("group_name", F.explode(split_tags(F.col(tags)))).join(names, "group_name", "left_semi")
 
 
 def eligible(text: Column, most_bytes: int | None = None) -> Column:

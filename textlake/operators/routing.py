@@ -59,9 +59,9 @@ def message_key() -> Column:
 
 def bounded(messages: DataFrame, ranges: DataFrame) -> DataFrame:
     """Messages within [start_offset, end_offset) of their topic and partition; ``ranges`` has a row a partition."""
-    r = F.broadcast(ranges)  # as many rows as the topic has partitions
-    inside = (messages["topic"] == r["topic"]) & (messages["partition"] == r["partition"]) & (messages["offset"] >= r["start_offset"]) & (messages["offset"] < r["end_offset"])
-    return messages.join(r, inside, "left_semi")
+    same = (messages["topic"] == ranges["topic"]) & (messages["partition"] == ranges["partition"])
+    within = (messages["offset"] >= ranges["start_offset"]) & (messages["offset"] < ranges["end_offset"])
+    return messages.join(ranges, same & within, "left_semi")
 
 
 def of_run(events: DataFrame, run_id: str, analysis_date: str) -> DataFrame:

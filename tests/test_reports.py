@@ -124,3 +124,18 @@ def test_prompt_lines(spark):
     df = spark.createDataFrame(rows, "doc_id long, day string, source_name string, community string, text string, title string")
     got = sorted((r.doc_id, r.kind, r.line, r.place) for r in groups.prompt_lines(df).collect())
     assert got == [(1, "R", "R\tb\tx  y", 2), (2, "R", "R\ta\tz", 1), (3, "N", "N\tT itle", 1), (5, "R", "R\ta\t" + "w" * 5000, 1)]
+
+
+def test_fallback_and_copy_states(spark, tmp_path):
+    (tmp_path / "file").write_text("not a folder")
+    df = spark.range(3)
+    assert sinks.write_or_fall_back(df, f"file://{tmp_path}/one", f"file://{tmp_path}/two").endswith("one")
+    assert sinks.write_or_fall_back(df, f"file://{tmp_path}/file/x", f"file://{tmp_path}/two").endswith("two")
+    assert spark.read.json(f"{tmp_path}/two").count() == 3
+    for at, text in (("a/x", "1"), ("a/s/y", "2"), ("b/x", "1"), ("b/s/y", "3")):
+        (tmp_path / at).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / at).write_text(text)
+    states = S.copy_states(S.file_digests(spark, f"file://{tmp_path}/a"), S.file_digests(spark, f"file://{tmp_path}/b"))
+    assert {(r.name, r.state) for r in states.collect()} == {("x", "same"), ("s/y", "changed")}
+    with pytest.raises(Exception, match="changed after the copy: s/y"):
+        S.verified(states).collect()

@@ -140,6 +140,11 @@ def merge_urls(rows: DataFrame, url: Column) -> DataFrame:
     return per.groupBy("url").agg(F.min("doc_id").alias("doc_id"), F.sum("n").alias("row_count")).join(union, "url")
 
 
+def capped_requests(items: DataFrame, by: tuple[str, ...], cap: int = 100) -> DataFrame:
+    """By request: its items, and whether they reach the ``cap`` of a search index, so that some may be missing."""
+    return items.groupBy(*by).agg(F.count("*").alias("row_count")).withColumn("hit_cap", F.col("row_count") >= cap)
+
+
 def top_publishers(rows: DataFrame, url: Column, publisher: str, n: int = 30) -> DataFrame:
     """Publishers of the most distinct URLs, a URL counted for the publisher of its smallest id."""
     first = rows.groupBy(url.alias("_u")).agg(F.min_by(publisher, F.struct("doc_id", publisher)).alias(publisher))

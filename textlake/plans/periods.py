@@ -323,6 +323,12 @@ def q_storage_totals(spark, d):
     return S.artifact_routes(artifacts(spark, d), "path").where("bucket IS NOT NULL").groupBy("bucket").agg(F.count("*").alias("artifacts"), F.sum("b").alias("bytes"))
 
 
+@query("SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS row_count, count(*) >= 8 AS hit_cap FROM events GROUP BY ALL")
+def q_capped_requests(spark, d):
+    items = views.load(spark, d, "events").select(F.to_date("ts").cast("string").alias("day"), "event_type")
+    return G.capped_requests(items, ("day", "event_type"), 8)
+
+
 @query(f"WITH {CANON}, f AS (SELECT url, arg_min('p' || (page_id % 7), page_id) AS publisher FROM (SELECT page_id, regexp_replace(url, '/[0-9][^/?]*/?', '/', 'g') AS url FROM cu) GROUP BY url) SELECT publisher, count(*) AS url_count FROM f GROUP BY publisher ORDER BY url_count DESC, publisher LIMIT 5")
 def q_top_publishers(spark, d):
     pages = views.load(spark, d, "pages").selectExpr("page_id AS doc_id", "url AS raw", "concat('p', CAST(page_id % 7 AS STRING)) AS publisher")

@@ -153,3 +153,14 @@ def q_trip_list_files(spark, d, folder):
     views.load(spark, d, "region").repartition(3, "r_regionkey").write.option("maxRecordsPerFile", 0).partitionBy("r_regionkey").parquet(f"{folder}/r")
     spark.read.parquet(f"{folder}/r").where("r_regionkey < 3").write.partitionBy("r_regionkey").parquet(f"{folder}/some")
     return S.list_files(spark, f"{folder}/some").select("files", (F.col("bytes") > 0).alias("some_bytes"))
+
+
+@query("SELECT CASE WHEN r_regionkey = 0 THEN 'extra' WHEN r_regionkey = 1 THEN 'new' WHEN r_regionkey = 2 THEN 'changed' ELSE 'same' END AS state, count(*) AS files FROM region GROUP BY ALL")
+def q_trip_copy_states(spark, d, folder):
+    """Two folders of a file a region: one file is only in the target, one only in the source, one differs."""
+    line = views.load(spark, d, "region").select("r_regionkey", F.col("r_name").cast("string").alias("value"))
+    put = lambda rows, at: rows.repartition(1).write.partitionBy("r_regionkey").text(f"{folder}/{at}")
+    put(line.where("r_regionkey <> 0"), "a")
+    put(line.where("r_regionkey <> 1").withColumn("value", F.expr("CASE WHEN r_regionkey = 2 THEN lower(value) ELSE value END")), "b")
+    named = lambda at: S.file_digests(spark, f"{folder}/{at}").withColumn("name", F.regexp_extract("name", r"r_regionkey=(\d+)/", 1))
+    return S.copy_states(named("a"), named("b")).groupBy("state").agg(F.count("*").alias("files"))

@@ -88,6 +88,27 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     return files.agg(F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
 
 
+def file_digests(spark: SparkSession, path: str) -> DataFrame:
+    """(name, length, sha256) of the files below ``path``; a file is held in memory while its digest is made."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    base = path.rstrip("/").split(":", 1)[-1].lstrip("/")
+    return files.select(F.regexp_replace("path", rf"^.*?\Q{base}/\E", "").alias("name"), "length", F.sha2("content", 256).alias("sha256"))
+
+
+def copy_states(source: DataFrame, target: DataFrame) -> DataFrame:
+    """(name, length, state) of the files of two digest tables: new, changed, same, or extra in the target; the first two are to be copied."""
+    s, t = source.withColumn("_s", F.lit(True)), target.select("name", F.col("length").alias("_l"), F.col("sha256").alias("_h"))
+    both = s.join(t, "name", "full")
+    same = (F.col("length") == F.col("_l")) & (F.col("sha256") == F.col("_h"))
+    state = F.when(F.col("_s").isNull(), "extra").when(F.col("_h").isNull(), "new").when(same, "same").otherwise("changed")
+    return both.select("name", F.coalesce("length", "_l").alias("length"), state.alias("state"))
+
+
+def verified(states: DataFrame) -> DataFrame:
+    """``states`` after a copy; reading it fails at the first file that isn't the same on both sides. Extra files are let be."""
+    return states.where(F.assert_true(F.col("state").isin("same", "extra"), F.concat(F.col("state"), F.lit(" after the copy: "), F.col("name"))).isNull())
+
+
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("run_id string, sequence long, event string, recorded_at timestamp, row_count long, seconds double").json(path)
 

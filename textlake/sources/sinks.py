@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.contract import add_contract, require_valid
 from ..schemas import EVENT_FIELDS
 
+log = logging.getLogger(__name__)
+
 #: Columns that steps hand on to each other and no sink stores.
 INTERNAL = ("_raw_json", "_json_keys", "_corrupt_record", "seen_at", "identity")
 
@@ -35,6 +39,20 @@ def write_valid_json(events: DataFrame, path: str, strict: bool = True) -> None:
     write_json(require_valid(add_contract(events, strict)).select(*EVENT_FIELDS), path)
 
 
+def write_or_fall_back(df: DataFrame, primary: str, fallback: str) -> str:
+    """Appends ``df`` as JSON to ``primary``, or to ``fallback`` where that fails; the path that took it.
+
+    For reports and logs that must not stop the job which they tell of. A failed write commits nothing.
+    """
+    try:
+        df.write.mode("append").json(primary)
+        return primary
+    except Exception as e:
+        log.warning("%s wasn't written (%s), falling back", primary, e)
+        df.write.mode("append").json(fallback)
+        return fallback
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", "true").csv(path)
 

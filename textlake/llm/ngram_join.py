@@ -8,10 +8,9 @@ left, among each other. Of the others, the prefix is the first shingles in one g
 last; two sets that are similar enough share a shingle of their prefixes. Classes with
 identical prefix and size are one group; groups that share a prefix shingle are filtered by size,
 place and parity sketch, expanded to classes, filtered by larger sketches, and verified on whole
-sets. Links that a first, linear round finds (neighbours in size
-among classes that share two of the least or two of the largest hashes of their sets) join classes
-before the main round, which then passes over pairs that are connected: a large group of near copies
-costs no pair of each two.
+sets. Where more than CROWD classes share a prefix shingle, a first, linear round over these links
+neighbours in size; the main round then passes over pairs that are connected already, so a large
+group of near copies costs no pair of each two.
 """
 
 from __future__ import annotations
@@ -36,8 +35,8 @@ from .token_counts import small_batches
 SEGMENT, LOCAL = 4096, 3
 #: Shingles in more than one of so many documents are ordered by frequency; at most so many of them.
 SHARE, HEAVY = 2000, 500_000
-#: Keys of the first round from either end of a set's hashes, and rows that it looks back.
-ENDS, BACK = 4, 32
+#: Classes that share a prefix shingle before the first round links neighbours among them, and rows that it looks back.
+CROWD, BACK = 64, 32
 #: Shingles looked up for ``lonely``, as a multiple of the prefix; of them each block and range has about so many.
 LOOKED_UP, BLOCK_ENTRIES, RANGE_ENTRIES = 1.6, 1 << 19, 1 << 20
 #: Bytes of the sketch that goes with each prefix shingle.
@@ -165,21 +164,14 @@ def prefix(s: np.ndarray, length: int, heavy: np.ndarray, rank: np.ndarray) -> n
     return np.concatenate((rare, common[np.argsort(rank[places], kind="stable")][: length - len(rare)]))
 
 
-def first_keys(s: np.ndarray) -> np.ndarray:
-    """Keys under which near copies meet in the first round: neighbours among the least and the largest hashes."""
-    ends = [s] if len(s) <= 2 * ENDS + 2 else [s[: ENDS + 1], s[-ENDS - 1 :]]
-    keys = [x[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ x[1:] if len(x) > 1 else x for x in ends]
-    return np.unique(np.concatenate(keys)).view(np.int64)
-
-
 def described(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc_id, tkey, n, sig, gid, ext, bits, first) of ``docs`` (doc_id, tkey, t); sig is null for empty sets.
+    """(doc_id, tkey, n, sig, gid, ext, bits) of ``docs`` (doc_id, tkey, t); sig is null for empty sets.
 
     ext is the prefix and what follows it in the order, LOOKED_UP times as long.
     """
     heavy, rank = frequent(docs, n)
     held = docs.sparkSession.sparkContext.broadcast((heavy, rank))
-    types = pa.schema([("doc_id", pa.int64()), ("tkey", pa.binary()), ("n", pa.int64()), ("sig", pa.binary()), ("gid", pa.binary()), ("ext", pa.list_(pa.int64())), ("bits", pa.binary()), ("first", pa.list_(pa.int64()))])
+    types = pa.schema([("doc_id", pa.int64()), ("tkey", pa.binary()), ("n", pa.int64()), ("sig", pa.binary()), ("gid", pa.binary()), ("ext", pa.list_(pa.int64())), ("bits", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -187,15 +179,15 @@ def described(docs: DataFrame, n: int, percent: int) -> DataFrame:
             for t in b["t"].to_pylist():
                 s = shingles(t, n)
                 if not len(s):
-                    rows.append((0, None, None, None, None, None))
+                    rows.append((0, None, None, None, None))
                     continue
                 k = prefix_length(len(s), percent)
                 p = prefix(s, int(looked_up(np.array(len(s)), percent)), *held.value)
-                rows.append((len(s), xxhash.xxh3_128_digest(s.tobytes()), xxhash.xxh3_128_digest(p[:k].tobytes() + len(s).to_bytes(8, "little")), p.view(np.int64), bitmap(s), first_keys(s)))
-            cols = list(zip(*rows)) or [[]] * 6
+                rows.append((len(s), xxhash.xxh3_128_digest(s.tobytes()), xxhash.xxh3_128_digest(p[:k].tobytes() + len(s).to_bytes(8, "little")), p.view(np.int64), bitmap(s)))
+            cols = list(zip(*rows)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([b["doc_id"], b["tkey"], *(pa.array(list(c), t) for c, t in zip(cols, types.types[2:]))], schema=types)
 
-    return docs.mapInArrow(run, "doc_id long, tkey binary, n long, sig binary, gid binary, ext array<long>, bits binary, first array<long>")
+    return docs.mapInArrow(run, "doc_id long, tkey binary, n long, sig binary, gid binary, ext array<long>, bits binary")
 
 
 def lonely(classes: DataFrame, percent: int) -> DataFrame:
@@ -346,16 +338,16 @@ def bucket_pairs(percent: int, first_round: bool):
     return linear if first_round else all_pairs
 
 
-def crowded(entries: DataFrame) -> DataFrame:
-    """(token, k, main, m) of buckets over CELL rows: their rows, the component that most of these have, and rows that have it."""
+def crowded(entries: DataFrame, over: int) -> DataFrame:
+    """(token, k, main, m) of buckets over ``over`` rows: their rows, the component that most of these have, and rows that have it."""
     counts = entries.groupBy("token", "root").agg(F.count("*").alias("c"))
     largest = F.max(F.when(F.col("root") != 0, F.struct("c", "root")))
-    sums = counts.groupBy("token").agg(F.sum("c").alias("k"), largest.alias("top")).where(F.col("k") > CELL)
+    sums = counts.groupBy("token").agg(F.sum("c").alias("k"), largest.alias("top")).where(F.col("k") > over)
     return sums.select("token", "k", F.coalesce("top.root", F.lit(0).cast("long")).alias("main"), F.coalesce("top.c", F.lit(0).cast("long")).alias("m"))
 
 
 #: Cells of a crowded bucket's row in the first round: its own, and one with other cells' rows for one row in DELEGATES ** level.
-LEVELS = f"""transform(filter(sequence(0, CAST(ceil(log({{d}}, k / {{c}})) AS INT)), l -> pmod(xxhash64(token, gid), CAST(power({{d}}, l) AS BIGINT)) = 0),
+LEVELS = f"""transform(filter(sequence(0, greatest(0, CAST(ceil(log({{d}}, k / {{c}})) AS INT))), l -> pmod(xxhash64(token, gid), CAST(power({{d}}, l) AS BIGINT)) = 0),
   l -> struct(xxhash64(token, l, pmod(xxhash64(gid, l), CAST(ceil(k / ({{c}} * power({{d}}, l))) AS BIGINT))) AS cell, {ALONE} AS side))"""
 #: In the main round: rows of the main component in blocks against the others in blocks, and these blocks against each other.
 GRID = f"""CASE WHEN root = main AND main <> 0 THEN CASE WHEN ko = 0 THEN array() ELSE transform(sequence(0, ko - 1), p -> struct(xxhash64(token, 0, p, pmod(h, km)) AS cell, {FACING[1]} AS side)) END
@@ -367,14 +359,14 @@ GRID = f"""CASE WHEN root = main AND main <> 0 THEN CASE WHEN ko = 0 THEN array(
 def dealt(entries: DataFrame, first_round: bool) -> DataFrame:
     """``entries`` (token, gid, n, pos, root, sk) in cells of bounded size: (cell, side, gid, n, pos, root, sk).
 
-    A bucket of up to CELL rows is a cell. In the first round a crowded one is dealt by hash, and ever
-    fewer delegates of its cells meet at further levels, so near copies of one bucket still connect.
-    In the main round every pair that isn't in the main component meets in one cell: of blocks of the
-    other rows with blocks of the main component's, and of the others among each other. Cells that
-    share a hash only make pairs that needn't be.
+    The first round has buckets over CROWD rows only. They are dealt by hash to cells of about CELL
+    rows, and ever fewer delegates of these meet at further levels, so near copies of one bucket
+    still connect. In the main round a bucket of up to CELL rows is a cell; of a larger one every
+    pair that isn't in the main component meets in one cell: blocks of the other rows meet blocks of
+    the main component's, and each other. Cells that share a hash only make pairs that needn't be.
     """
-    big = if_small(written(crowded(entries), "crowded"))
-    rows = entries.join(big, "token", "left").withColumn("h", F.xxhash64("gid"))
+    big = if_small(written(crowded(entries, CROWD if first_round else CELL), "crowded"))
+    rows = entries.join(big, "token", "inner" if first_round else "left").withColumn("h", F.xxhash64("gid"))
     if first_round:
         cells = F.expr(LEVELS.format(d=DELEGATES, c=CELL))
     else:
@@ -386,9 +378,8 @@ def dealt(entries: DataFrame, first_round: bool) -> DataFrame:
 
 
 def group_pairs(groups: DataFrame, percent: int, first_round: bool) -> DataFrame:
-    """Distinct candidate pairs (ga, gb) of ``groups`` (gid, n, root, and first or prefix and sk)."""
-    tokens = F.col("first" if first_round else "prefix")
-    entries = groups.select("gid", "n", "root", "sk", F.posexplode(tokens).alias("pos", "token")).select("token", "gid", "n", F.col("pos").cast("long").alias("pos"), "root", "sk")
+    """Distinct candidate pairs (ga, gb) of ``groups`` (gid, n, root, prefix, sk)."""
+    entries = groups.select("gid", "n", "root", "sk", F.posexplode("prefix").alias("pos", "token")).select("token", "gid", "n", F.col("pos").cast("long").alias("pos"), "root", "sk")
     rows = dealt(entries, first_round).repartition("cell").sortWithinPartitions("cell", "n", "gid")
     found = rows.mapInArrow(bucket_pairs(percent, first_round), "ga binary, gb binary")
     return found.select(F.least("ga", "gb").alias("ga"), F.greatest("ga", "gb").alias("gb")).distinct()
@@ -459,14 +450,14 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
 def linked_classes(every: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame:
     """(sig, component) of the classes of several rows or with a link; the others are their own component."""
     one = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("d"), F.col("tkey").alias("t")))
-    classes = every.where("sig IS NOT NULL").groupBy("sig").agg(one.alias("one"), F.count("*").alias("members"), *[F.first(c).alias(c) for c in ("n", "gid", "ext", "bits", "first")])
+    classes = every.where("sig IS NOT NULL").groupBy("sig").agg(one.alias("one"), F.count("*").alias("members"), *[F.first(c).alias(c) for c in ("n", "gid", "ext", "bits")])
     every_class = written(classes.withColumns({"least": F.col("one.d"), "tkey": F.col("one.t")}).drop("one"), "shingle-classes")
     left = written(every_class.join(lonely(every_class, percent), "sig", "left_anti"), "shingle-suspects")
     sets = whole_sets(left, rows, n)
     left = written(left.join(lonely(sets, percent), "sig", "left_anti").withColumn("sk", sketch(F.col("bits"))), "shingle-suspects")
     classes = left.withColumn("prefix", F.slice("ext", F.lit(1), (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))).drop("ext")
 
-    met = group_pairs(classes.select(F.col("sig").alias("gid"), "n", "first", "sk", F.lit(0).cast("long").alias("root")), percent, True)
+    met = group_pairs(classes.select(F.col("sig").alias("gid"), "n", "prefix", "sk", F.lit(0).cast("long").alias("root")), percent, True)
     groups = classes.groupBy("gid").agg(F.min("sig").alias("rep"))
     within = classes.join(groups, "gid").where("sig <> rep").select(F.col("rep").alias("a"), F.col("sig").alias("b"))
     first = verified(met.select(F.col("ga").alias("a"), F.col("gb").alias("b")).unionByName(within).distinct(), classes, sets, percent)
@@ -479,9 +470,9 @@ def linked_classes(every: DataFrame, rows: DataFrame, n: int, percent: int) -> D
     pairs = met.join(member("a"), "ga").join(member("b"), "gb").where("ra <> rb AND (ga <> gb OR a < b)").select("a", "b").distinct()
     second = verified(pairs, classes, sets, percent)
     roots = components(first.unionByName(second))
-    linked = every_class.select("sig", "least", "members").join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
-    smallest = linked.groupBy("root").agg(F.min("least").alias("component"), F.count("*").alias("k"))
-    return written(linked.join(smallest, "root").where("k > 1 OR members > 1").select("sig", "component"), "near-components")
+    linked = written(every_class.select("sig", "least", "members").join(roots.withColumnRenamed("node", "sig"), "sig", "left").where("root IS NOT NULL OR members > 1"), "near-linked")
+    smallest = written(linked.where("root IS NOT NULL").groupBy("root").agg(F.min("least").alias("component")), "near-smallest")
+    return written(linked.join(if_small(smallest), "root", "left").select("sig", F.coalesce("component", "least").alias("component")), "near-components")
 
 
 def query(spark, sf_dir) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from textlake.llm import decontaminate, mixing, ngram_join, quality_rules, toxicity
-from textlake.llm.scratch import written
+from textlake.llm.scratch import scope, written
 
 STAGES = [
     ("toxicity", toxicity.stage),
@@ -25,8 +25,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``, each result written to the shared folder and read by the next."""
+    """The stages over ``documents``, each result written to the shared folder and read by the next.
+
+    The last stage's input stays, as its rows are read from there; all other tables go.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+    with scope(spark):
+        for name, stage in STAGES[:-1]:
+            docs = written(stage(spark, docs, sf_dir), f"stage-{name}", keep=name == STAGES[-2][0])
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import kernels
@@ -54,19 +56,19 @@ def gate(df: DataFrame, fields: tuple[str, ...] = ("topics", "keywords")) -> Dat
 
     Labels equal without regard to case are one, the first stays. Null arrays count as empty ones.
     """
-    removed, reasons, modified = F.lit(0), [], F.lit(False)
+    old = {f: F.coalesce(F.col(f), F.array().cast("array<string>")) for f in fields}
+    step = lambda name, of: df.withColumns({f"_{f}{name}": of(f) for f in fields})
+    # a step of all fields at a time: one pass through the kernel, and nothing made twice
+    df = step("_normal", lambda f: compatible(old[f]))
+    df = step("_flat", lambda f: F.transform(f"_{f}_normal", collapse))
+    df = step("", lambda f: verdicts(old[f], F.col(f"_{f}_flat"), f))
+    df = step("_kept", lambda f: F.array_compact(F.transform(f"_{f}", lambda v: v["clean"])))
+    df = step("_names", lambda f: F.transform(f"_{f}_kept", lambda x: F.lower(x)))
+    df = step("_first", lambda f: F.filter(f"_{f}_kept", lambda x, i: F.array_position(F.col(f"_{f}_names"), F.lower(x)) == i + 1))
+    removed = sum((F.size(f"_{f}") - F.size(f"_{f}_first") for f in fields), F.lit(0))
+    modified = functools.reduce(Column.__or__, [~old[f].eqNullSafe(F.col(f"_{f}_first")) for f in fields])
+    reasons = []
     for f in fields:
-        old = F.coalesce(F.col(f), F.array().cast("array<string>"))
-        df = df.withColumn(f"_{f}_normal", compatible(old))
-        df = df.withColumn(f"_{f}_flat", F.transform(f"_{f}_normal", collapse))
-        df = df.withColumn(f"_{f}", verdicts(old, F.col(f"_{f}_flat"), f))
-        kept = F.filter(f"_{f}", lambda v: v["clean"].isNotNull())
-        df = df.withColumn(f"_{f}_kept", kept)
-        names = F.transform(f"_{f}_kept", lambda v: F.lower(v["clean"]))
-        df = df.withColumn(f"_{f}_first", F.filter(F.transform(f"_{f}_kept", lambda v, i: F.when(F.array_position(names, F.lower(v["clean"])) == i + 1, v["clean"])), lambda x: x.isNotNull()))
-        gone = F.size(f"_{f}") - F.size(f"_{f}_first")
-        removed += gone
-        modified |= ~old.eqNullSafe(F.col(f"_{f}_first"))
         reasons += [
             F.transform(F.filter(f"_{f}", lambda v: v["changed"]), lambda v: F.lit("unicode_or_whitespace_normalized")),
             F.transform(F.filter(f"_{f}", lambda v: v["reason"].isNotNull()), lambda v: v["reason"]),
@@ -74,4 +76,4 @@ def gate(df: DataFrame, fields: tuple[str, ...] = ("topics", "keywords")) -> Dat
         ]
     df = df.withColumns({"removed_labels": removed, "gate_reasons": F.concat(*reasons), "gate_status": F.when(modified, "modified").otherwise("passed")})
     df = df.withColumns({f: F.col(f"_{f}_first") for f in fields})
-    return df.drop(*[f"_{f}{x}" for f in fields for x in ("", "_normal", "_flat", "_kept", "_first")])
+    return df.drop(*[f"_{f}{x}" for f in fields for x in ("", "_normal", "_flat", "_kept", "_names", "_first")])

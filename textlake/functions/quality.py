@@ -82,7 +82,7 @@ def add_quality(events: DataFrame, text: str = "text", when: str | None = None)
     df = events.withColumn("_q", t)
     q, odd = F.col("_q"), F.col("_odd")
     # each step that several others read is a column of its own, so no pattern runs twice
-    df = df.withColumn("_odd", q.rlike(f"{CONTROL}|[{ZERO_WIDTH}]"))
+    df = df.withColumn("_odd", functools.reduce(Column.__or__, [q.contains(x) for x in ZERO_WIDTH]) | q.rlike(CONTROL))
     df = df.withColumn("_nfc", kernels.nfc(F.when(odd, F.regexp_replace(q, f"{CONTROL}|[{ZERO_WIDTH}]", "")).otherwise(q)))
     df = df.withColumn("text_clean", strip(F.col("_nfc")))
     clean, compact, urls = F.col("text_clean"), F.col("_compact"), F.col("_urls")

@@ -24,7 +24,7 @@ WORDS = re.compile(r"\w+")
 WINDOW, STRIDE = 64, 32
 HASHED, CHARS, WORD_DIM, HIDDEN, ATTEND = 1 << 14, 16, 8, 12, 12
 #: Words whose gate inputs one Python worker keeps, windows that run at once, most characters of a word.
-CACHED, BLOCK, WORD_CHARS = 150_000, 1024, 64
+CACHED, BLOCK, WORD_CHARS = 100_000, 1024, 64
 #: Words that are looked up together; with a part's last stride twice of it at most, so they always fit the cache.
 GROUP = 1 << 15
 
@@ -200,7 +200,7 @@ class Network:
             new = sorted(new)
             at = len(self.ids)
             self.ids.update(zip(new, range(at, at + len(new))))
-            g = np.concatenate([gates(self.p, Inputs(new[i : i + 20_000]).vectors(self.p))[:, :-1] for i in range(0, len(new), 20_000)], axis=1)
+            g = np.concatenate([gates(self.p, Inputs(new[i : i + 4000]).vectors(self.p))[:, :-1] for i in range(0, len(new), 4000)], axis=1)
             self.g[:, at : at + len(new)] = g
         return np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words))
 

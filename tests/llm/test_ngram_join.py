@@ -169,7 +169,8 @@ def test_empty_and_stage(spark):
         assert sorted((r.doc_id is None, r.doc_id or 0) for r in out) == [(False, 4), (False, 7), (False, 8), (False, 9), (True, 0)]
 
 
-def test_components_of_a_path_and_a_star(spark):
+@pytest.mark.parametrize("most", [100_000, 0])
+def test_components_of_a_path_and_a_star(spark, most):
     links = [(i, i + 1) for i in range(50)] + [(100, i) for i in range(101, 140)] + [(7, 7)]
-    got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long"), broadcast_links=most).collect()}
     assert got == {i: 0 for i in range(51)} | {i: 100 for i in range(100, 140)}

@@ -74,8 +74,8 @@ def read_turn(enc, ids: np.ndarray, mask: np.ndarray) -> tuple[str, str, str, in
 def format_turns(turns: DataFrame, path: str, pattern: str, trained_role: str = "assistant") -> DataFrame:
     """conv_id, turn, role, text of each row, with ids (little-endian uint32) and mask (a byte an id).
 
-    Null roles and texts are empty ones. Rows stay where they are: a conversation of any length needs
-    no more memory than a turn.
+    Null roles and texts are empty ones; other columns go. Repeated rows give a row each, and an empty
+    table none. Rows stay where they are: a conversation of any length needs no more memory than a turn.
     """
     small_batches(turns.sparkSession)
     rows = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
@@ -93,6 +93,8 @@ def format_turns(turns: DataFrame, path: str, pattern: str, trained_role: str =
 def digests(formatted: DataFrame, path: str, pattern: str) -> DataFrame:
     """One row a conversation, read back from ids and masks in order of turn, role and text, nulls first.
 
+    Rows with a null conv_id are a conversation of their own; repeated rows count each time.
+
     SHA-256 takes its input in order, so a conversation's rows pass through one task; they stream
     from Spark's sort, which spills, and only the running hash is held.
     """

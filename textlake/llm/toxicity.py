@@ -334,7 +334,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 3000, windows_e
 
 
 def score(text: Column, network: Network, spark) -> Column:
-    """Score of ``text``, whole: 0 to 1; 0 where it is null or has no word."""
+    """Score of ``text``, whole: 0 to 1; 0 where it is null or has no word. Each row has its own, repeated ones too."""
     small_batches(spark)
     held = spark.sparkContext.broadcast(network)
 

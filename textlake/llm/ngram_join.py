@@ -193,7 +193,7 @@ def described(docs: DataFrame, n: int, percent: int) -> DataFrame:
 def lonely(classes: DataFrame, percent: int) -> DataFrame:
     """sig of the ``classes`` (sig, n, ext or all: s) that have no link, as enough of these shingles are in no other class's.
 
-    Shingles go to ranges of their hashes as packed arrays, six bytes each: 32 bits of the hash and
+    Shingles go to ranges of their mixed hashes as packed arrays, six bytes each: 32 bits of the hash and
     the class's place in its block. What is equal in those bits counts as shared, so no class leaves
     wrongly. A range answers with the places of shingles that it saw once; a block adds them up. The
     number of ranges follows the number of shingles, so what a task holds doesn't.
@@ -209,7 +209,7 @@ def lonely(classes: DataFrame, percent: int) -> DataFrame:
         sigs, need, tokens, held = [], [], [], 0
 
         def block() -> pa.RecordBatch:
-            h = np.concatenate(tokens)
+            h = np.concatenate(tokens) * np.uint64(0x9E3779B97F4A7C15)  # ext has the least hashes; mixed, they are in all ranges alike
             place = np.repeat(np.arange(len(tokens), dtype=np.uint16), [len(t) for t in tokens])
             r = (h >> shift).astype(np.int64)
             order = np.argsort(r, kind="stable")

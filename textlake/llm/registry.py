@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, language_id, mixing, ngram_join, quality_rules, token_counts, toxicity, url_filter, warc
+from . import chat_format, decontaminate, language_id, mixing, ngram_join, quality_rules, sentence_pieces, token_counts, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_warc": warc.query,
     "op9_token_counts": token_counts.query,
     "op10_quality_rules": quality_rules.query,
+    "op12_sentence_pieces": sentence_pieces.query,
 }
 SQL = {
     "op1_mix_sources": mixing.SQL,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, language_id, mixing, ngram_join, quality_rules, sentence_pieces, token_counts, toxicity, url_filter, warc
+from . import chat_format, decontaminate, language_id, mixing, ngram_join, periodic_runs, quality_rules, sentence_pieces, token_counts, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_token_counts": token_counts.query,
     "op10_quality_rules": quality_rules.query,
     "op12_sentence_pieces": sentence_pieces.query,
+    "op13_periodic_runs": periodic_runs.query,
 }
 SQL = {
     "op1_mix_sources": mixing.SQL,

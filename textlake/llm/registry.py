@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, language_id, mixing, ngram_join, periodic_runs, quality_rules, sentence_pieces, token_counts, toxicity, url_filter, warc
+from . import chat_format, conversation_repair, decontaminate, language_id, mixing, ngram_join, periodic_runs, quality_rules, sentence_pieces, token_counts, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_warc": warc.query,
     "op9_token_counts": token_counts.query,
     "op10_quality_rules": quality_rules.query,
+    "op11_conversation_repair": conversation_repair.query,
     "op12_sentence_pieces": sentence_pieces.query,
     "op13_periodic_runs": periodic_runs.query,
 }
@@ -25,4 +26,5 @@ SQL = {
     "op7_ngram_join": ngram_join.SQL,
     "op8_warc": warc.SQL,
     "op10_quality_rules": quality_rules.SQL,
+    "op11_conversation_repair": conversation_repair.SQL,
 }

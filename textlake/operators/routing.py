@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.contract import add_contract, read_raw
@@ -21,11 +23,11 @@ LETTER = {
 }
 
 
-def parse_messages(messages: DataFrame) -> DataFrame:
-    """Messages (key, value, topic, partition, offset, timestamp) as raw events; the envelope's columns get the prefix kafka_."""
+def parse_messages(messages: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Messages (key, value, topic, partition, offset, timestamp) as raw events; the envelope's columns get the prefix kafka_, those of ``carry`` keep their names."""
     envelope = {c: f"kafka_{c}" for c in messages.columns if c in ("key", "topic", "partition", "offset", "timestamp")}
     texts = {c: F.col(c).cast("string") for c in ("key", "value")}
-    return read_raw(messages.withColumns(texts).select("value", *envelope).withColumnsRenamed(envelope), "value")
+    return read_raw(messages.withColumns(texts).select("value", *envelope, *carry).withColumnsRenamed(envelope), "value")
 
 
 def add_route(events: DataFrame) -> DataFrame:
@@ -34,9 +36,9 @@ def add_route(events: DataFrame) -> DataFrame:
     return events.withColumn("output_route", F.coalesce(*held, F.lit(ROUTES[-1])))
 
 
-def transform(raw: DataFrame, strict: bool = False) -> DataFrame:
+def transform(raw: DataFrame, strict: bool = False, when: str = "contract_valid") -> DataFrame:
     """Contract, then quality of the rows that keep it."""
-    return add_quality(add_contract(raw, strict), when="contract_valid")
+    return add_quality(add_contract(raw, strict), when=when)
 
 
 def split_valid(events: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -15,7 +15,7 @@ from . import views
 QUERIES, SQL = {}, {}
 
 
-def query(sql: str):
+def query(sql: str, queries: dict = QUERIES, sqls: dict = SQL):
     """Registers a query over (spark, d, folder), which writes below ``folder``; its result is read and kept before that goes."""
 
     def add(f):
@@ -29,7 +29,7 @@ def query(sql: str):
                 delete(spark, folder)
             return spark.createDataFrame(rows, out.schema)
 
-        QUERIES[f.__name__], SQL[f.__name__] = run, sql
+        queries[f.__name__], sqls[f.__name__] = run, sql
         return f
 
     return add

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.window import Window
+
+from .scans import same
 
 
 def _one(df: DataFrame, keys: Sequence[str], order: Sequence[Column], last: bool) -> DataFrame:
@@ -26,9 +27,16 @@ def latest_wins(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
 
 
 def duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """The rows that ``first_wins`` drops."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn > 1").drop("_rn")
+    """The rows that ``first_wins`` drops, by a total ``order``; rows that tie with the first are not among them.
+
+    The first place of each key is an aggregate, and rows behind it are found by a join, which Spark
+    can split where one key has most rows; no window sorts a key. Null keys are a key.
+    """
+    rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
+    names = {k: f"_k{i}" for i, k in enumerate(keys)}
+    least = df.groupBy(*[F.col(k).alias(n) for k, n in names.items()]).agg(F.min(rank).alias("_least"), F.count("*").alias("_n")).where("_n > 1")
+    ranked = df.withColumn("_rank", rank)
+    return ranked.join(least, same(ranked, least, names), "inner").where(F.col("_rank") > F.col("_least")).select(*df.columns)
 
 
 def merge(df: DataFrame, keys: Sequence[str], order: Sequence[Column], first: Sequence[str], latest: Sequence[str]) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.window import Window
+
+from .scans import with_previous
 
 
 def inside(t: Column, start: Column, end: Column) -> Column:
@@ -20,11 +21,10 @@ def overlaps(windows: DataFrame, days: DataFrame) -> DataFrame:
     return j.withColumns({"cut_start": F.greatest("window_start", "day_start"), "cut_end": F.least("window_end", "day_end")})
 
 
-def gaps(windows: DataFrame, keys: Sequence[str], start: str = "window_start", end: str = "window_end") -> DataFrame:
-    """Stretches between windows of the same keys that none covers."""
-    w = Window.partitionBy(*keys).orderBy(start, end).rowsBetween(Window.unboundedPreceding, -1)
-    g = windows.withColumn("gap_start", F.max(end).over(w)).where(F.col("gap_start") < F.col(start))
-    return g.select(*keys, "gap_start", F.col(start).alias("gap_end"))
+def gaps(windows: DataFrame, keys: Sequence[str], start: str = "window_start", end: str = "window_end", least_rows: int = 100_000) -> DataFrame:
+    """Stretches between windows of the same keys that none covers; a key with most windows is spread over tasks."""
+    g = with_previous(windows.select(*keys, start, end), keys, [start, end], most={"gap_start": F.col(end)}, least_rows=least_rows)
+    return g.where(F.col("gap_start") < F.col(start)).select(*keys, "gap_start", F.col(start).alias("gap_end"))
 
 
 def uncovered_days(windows: DataFrame, days: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import delete, shared_folder
 from ..sources import events as S
-from ..sources import sinks
+from ..sources import keyed_store, sinks
 from . import views
 
 QUERIES, SQL = {}, {}
@@ -164,3 +164,14 @@ def q_trip_copy_states(spark, d, folder):
     put(line.where("r_regionkey <> 1").withColumn("value", F.expr("CASE WHEN r_regionkey = 2 THEN lower(value) ELSE value END")), "b")
     named = lambda at: S.file_digests(spark, f"{folder}/{at}").withColumn("name", F.regexp_extract("name", r"r_regionkey=(\d+)/", 1))
     return S.copy_states(named("a"), named("b")).groupBy("state").agg(F.count("*").alias("files"))
+
+
+@query(f"{EV}, m AS (SELECT event_id, arg_min(coalesce(community, '-'), doc_id) AS community, arg_min(md5(text), doc_id) AS text_md5, arg_max(engagement, doc_id) AS engagement FROM ev GROUP BY event_id) SELECT community, count(*) AS row_count, {HASH.format("concat_ws('|', event_id, community, text_md5, engagement)")} AS digest FROM m GROUP BY community")
+def q_store_upsert(spark, d, folder):
+    """Three batches upserted into a keyed store, each committed with its ledger entry and delivered twice; then the table."""
+    ev = views.events(spark, d).selectExpr("event_id", "doc_id", "coalesce(community, '-') AS community", "md5(text) AS text_md5", "engagement")
+    store = keyed_store.KeyedStore(spark, folder, ["event_id"], 16)
+    for k, batch in enumerate(("doc_id % 50 NOT IN (0, 7)", "doc_id % 50 = 7", "doc_id % 50 = 0")):
+        for _ in range(2):
+            store.upsert(ev.where(batch), [F.col("doc_id")], ["community", "text_md5"], ["engagement"], "loader", k)
+    return store.read().groupBy("community").agg(*digest("event_id", "community", "text_md5", F.col("engagement").cast("string")))

@@ -1,4 +1,8 @@
+import base64
+import gzip
 import hashlib
+import itertools
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -32,9 +36,9 @@ def test_round_trip(spark, archive):
         r = by[f"<urn:page:{'none' if page is None else page}>"][0]
         revisit = html == LONG and page != 3
         assert r.record_type == ("revisit" if revisit else "response")
-        assert r.payload_digest == digest(html) and r.payload == ("" if revisit else html or "")
-        assert r.headers.get("WARC-Refers-To") == ("<urn:page:3>" if revisit else None)
-        assert int(r.headers["X-Payload-Bytes"]) == len((html or "").encode())
+        assert r.payload_digest == digest(html) and r.payload == ("" if revisit else html or "").encode()
+        assert r.headers.get("warc-refers-to") == ("<urn:page:3>" if revisit else None)
+        assert int(r.headers["x-payload-bytes"]) == len((html or "").encode())
     assert by["<urn:page:3>"][0].target_uri == "http://b/%0A%0AX: y" and by["<urn:page:9>"][0].target_uri is None
 
 
@@ -62,7 +66,7 @@ def test_damaged_archives_are_told(spark, tmp_path):
         with pytest.raises(Exception, match=f"{i}.warc"):
             load(spark, str(tmp_path / f"{i}.warc")).collect()
     (tmp_path / "good.warc").write_bytes(ok * 2)
-    assert [r.payload for r in load(spark, str(tmp_path / "good.warc")).collect()] == ["abc", "abc"]
+    assert [r.payload for r in load(spark, str(tmp_path / "good.warc")).collect()] == [b"abc", b"abc"]
 
 
 def test_no_rows(spark, tmp_path):
@@ -71,15 +75,68 @@ def test_no_rows(spark, tmp_path):
     assert load(spark, path).count() == 0
 
 
-def test_unread_payloads_are_not_decoded(spark, tmp_path):
-    """Payloads that aren't UTF-8 only hurt where they are asked for."""
-    one = lambda kind, ident, data: f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Record-ID: {ident}\r\nContent-Length: {len(data)}\r\n\r\n".encode() + data + b"\r\n\r\n"
-    (tmp_path / "a.warc").write_bytes(one("response", "a", b"good") + one("resource", "b", b"\xff\xfe") + one("response", "c", b""))
-    path, df = str(tmp_path / "a.warc"), load(spark, str(tmp_path / "a.warc"))
-    assert [(r.record_id, r.payload) for r in W.load_warc(spark, path, {"WARC-Type": ["response"]}).collect()] == [("a", "good"), ("c", "")]
-    assert W.load_warc(spark, path, pushdown="true").where("record_id IN ('a', 'c')").count() == 2
-    with pytest.raises(Exception, match="utf-8"):
-        df.collect()
+def record(kind, ident, data, *lines):
+    head = [b"WARC/1.0", b"WARC-Type: " + kind.encode(), b"WARC-Record-ID: " + ident.encode(), *lines, b"Content-Length: %d" % len(data)]
+    return b"\r\n".join(head) + b"\r\n\r\n" + data + b"\r\n\r\n"
+
+
+def test_payloads_are_bytes_and_headers_have_no_case(spark, tmp_path):
+    """Latin-1, compressed and binary payloads, names in any case, continued and repeated lines, odd bytes in headers."""
+    image, packed = bytes(range(256)) * 40, gzip.compress(b"page")
+    archive = record("warcinfo", "i", b"software: x") + record("response", "a", "café".encode("latin-1")) + record("response", "b", packed, b"warc-TARGET-uri:  http://x/\xff") + record("resource", "c", image, b"X-Note: one", b"\ttwo", b"x-note: three")
+    lower = record("response", "d", b"low").replace(b"Content-Length", b"content-length").replace(b"WARC-Type", b"warc-type")
+    (tmp_path / "a.warc").write_bytes(archive + lower)
+    got = {r.record_id: r for r in load(spark, str(tmp_path / "a.warc")).select("*", W.readable().alias("text")).collect()}
+    assert [got[k].payload for k in "abcd"] == ["café".encode("latin-1"), packed, image, b"low"]
+    assert got["a"].text == "caf\ufffd" and got["b"].target_uri == "http://x/\ufffd"
+    assert got["c"].headers["x-note"] == "one two, three" and got["d"].record_type == "response"
+    some = W.load_warc(spark, str(tmp_path / "a.warc"), {"warc-type": ["response"]})
+    assert sorted(r.record_id for r in some.collect()) == ["a", "b", "d"]
+    assert W.load_warc(spark, str(tmp_path / "a.warc"), pushdown="true").where("record_id IN ('a', 'c')").count() == 2
+
+
+def test_gzip_with_a_member_a_record(spark, tmp_path):
+    parts = [record("response", str(i), bytes([i]) * (i * 700)) for i in range(200)]
+    (tmp_path / "m.warc.gz").write_bytes(b"".join(map(gzip.compress, parts)))
+    got = load(spark, str(tmp_path / "m.warc.gz")).collect()
+    assert sorted((int(r.record_id), r.payload) for r in got) == [(i, bytes([i]) * (i * 700)) for i in range(200)]
+
+
+def test_digests_of_other_kinds(spark, tmp_path):
+    sha1 = base64.b32encode(hashlib.sha1(b"abc").digest())
+    good = record("response", "a", b"abc", b"WARC-Block-Digest: sha1:" + sha1, b"WARC-Payload-Digest: sha1:OFTHEBODY", b"Content-Type: application/http; msgtype=response")
+    for name, data, ok in (("good", good, True), ("bad", good.replace(b"abc\r\n", b"abd\r\n"), False)):
+        (tmp_path / f"{name}.warc").write_bytes(data)
+        if ok:
+            assert load(spark, str(tmp_path / f"{name}.warc"), verify="true").count() == 1
+        else:
+            with pytest.raises(Exception, match="warc-block-digest"):
+                load(spark, str(tmp_path / f"{name}.warc"), verify="true").collect()
+
+
+class Huge:
+    """A file of one record with a payload of a gigabyte, and one behind it, made while it is read."""
+
+    def __init__(self):
+        self.parts = itertools.chain([b"WARC/1.0\r\nWARC-Type: resource\r\nContent-Length: 1073741824\r\n\r\n"], (bytes(1 << 20) for _ in range(1024)), [b"\r\n\r\n" + record("response", "z", b"end")])
+
+    def read(self, n):
+        return next(self.parts, b"")
+
+
+def test_a_gigabyte_is_passed_over_in_little_memory():
+    reader = W.WarcReader({"path": "x", "where": '{"WARC-Type": ["response"]}'})
+    tracemalloc.start()
+    assert [r[6] for r in reader.records(Huge(), "x")] == [b"end"]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 << 20
+
+
+def test_a_record_without_length(spark, tmp_path):
+    (tmp_path / "n.warc").write_bytes(b"WARC/1.0\r\nWARC-Type: response\r\n\r\nabc\r\n\r\n")
+    with pytest.raises(Exception, match="Content-Length"):
+        load(spark, str(tmp_path / "n.warc")).collect()
 
 
 def test_stores_that_workers_cannot_open(spark, archive):

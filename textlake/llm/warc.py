@@ -1,30 +1,32 @@
 """WARC archives: a writer on Spark's text sink and a Python data source that reads them back.
 
-A record is a block of header lines, an empty line, the payload and two line ends. Headers and
-payload are UTF-8 here, so the text writer makes valid archives with ``\\r\\n\\r\\n`` between records,
-and Spark's committer keeps failed tasks' files out. The reader plans a partition a file, parses a
-record's headers first, tests the pushed predicates on them, and passes over payloads unread that
-are not wanted.
+A record is a block of header lines, an empty line, the payload and two line ends. The pages written
+are UTF-8, so the text writer makes valid archives with ``\\r\\n\\r\\n`` between records, and Spark's
+committer keeps failed tasks' files out. The reader takes any archive: payloads are bytes (``readable``
+makes text of them), header names have no case, gzip files may have a member a record. It plans a
+partition a file, parses a record's headers first, tests the pushed predicates on them, and passes
+over payloads unread that are not wanted.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import json
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
 
 from .scratch import delete, fresh, if_small, table, written
 
 END = b"\r\n\r\n"
-SCHEMA = "record_type string, record_id string, target_uri string, payload_digest string, content_length long, headers map<string,string>, payload string"
-#: Columns that a header gives, and so can be tested before the payload is touched.
-HEADERS = {"record_type": "WARC-Type", "record_id": "WARC-Record-ID", "target_uri": "WARC-Target-URI", "payload_digest": "WARC-Payload-Digest"}
-ARROW = pa.schema([("record_type", pa.string()), ("record_id", pa.string()), ("target_uri", pa.string()), ("payload_digest", pa.string()), ("content_length", pa.int64()), ("headers", pa.map_(pa.string(), pa.string())), ("payload", pa.string())])
+SCHEMA = "record_type string, record_id string, target_uri string, payload_digest string, content_length long, headers map<string,string>, payload binary"
+#: Columns that a header gives, and so can be tested before the payload is touched. Names of headers are in lower case.
+HEADERS = {"record_type": "warc-type", "record_id": "warc-record-id", "target_uri": "warc-target-uri", "payload_digest": "warc-payload-digest"}
+ARROW = pa.schema([("record_type", pa.string()), ("record_id", pa.string()), ("target_uri", pa.string()), ("payload_digest", pa.string()), ("content_length", pa.int64()), ("headers", pa.map_(pa.string(), pa.string())), ("payload", pa.binary())])
 CHUNK = 1 << 20
 
 
@@ -99,7 +101,7 @@ class Stream:
 class WarcReader(DataSourceReader):
     def __init__(self, options):
         self.path, self.payload, self.verify = options["path"], options.get("payload", "true") == "true", options.get("verify", "false") == "true"
-        self.tests: dict[str, set] = {h: set(v) for h, v in json.loads(options.get("where", "{}")).items()}
+        self.tests: dict[str, set] = {h.lower(): set(v) for h, v in json.loads(options.get("where", "{}")).items()}
 
     def partitions(self):
         system, at = opened(self.path)
@@ -114,7 +116,7 @@ class WarcReader(DataSourceReader):
             with opened(self.path)[0].open_input_stream(partition.path, compression="gzip" if partition.path.endswith(".gz") else None) as source:
                 for row in self.records(source, partition.path):
                     rows.append(row)
-                    held += len(row[6] or "") + 200
+                    held += len(row[6] or b"") + 200
                     if held > 4 << 20:
                         yield self.pack(rows)
                         rows, held = [], 0
@@ -125,21 +127,23 @@ class WarcReader(DataSourceReader):
         return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, ARROW.types)], schema=ARROW)
 
     def records(self, source, path: str) -> Iterator[tuple]:
-        """Wanted records of the open file ``source``, in the order of ARROW; a payload that isn't wanted is passed over undecoded."""
+        """Wanted records of the open file ``source``, in the order of ARROW; a payload that isn't wanted is passed over, a chunk at a time.
+
+        A wanted payload is held whole, so one of a gigabyte needs two while its row is made.
+        """
         stream = Stream(source, path)
         while (block := stream.block()) is not None:
-            lines = block.decode("utf-8").split("\r\n")
-            if not lines[0].startswith("WARC/"):
-                raise ValueError(f"{path}: a record begins with {lines[0][:20]!r}")
-            headers = {k: v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-            size = int(headers["Content-Length"])
+            headers = parsed(block, path)
+            if not headers.get("content-length", "").isdecimal():
+                raise ValueError(f"{path}: a record has no Content-Length")
+            size = int(headers["content-length"])
             wanted = all(headers.get(h) in values for h, values in self.tests.items())
-            check = hashlib.sha256() if wanted and self.verify and headers.get("WARC-Type") == "response" else None
+            checks = digests(headers) if wanted and self.verify else {}
             keep: list[bytes] | None = [] if wanted and self.payload else None
 
-            def each(part: bytes, check=check, keep=keep) -> None:
-                if check:
-                    check.update(part)
+            def each(part: bytes, checks=checks, keep=keep) -> None:
+                for h, _ in checks.values():
+                    h.update(part)
                 if keep is not None:
                     keep.append(part)
 
@@ -147,9 +151,43 @@ class WarcReader(DataSourceReader):
             stream.ends()
             if not wanted:
                 continue
-            if check and headers.get("WARC-Payload-Digest") != f"sha256:{check.hexdigest()}":
-                raise ValueError(f"{path}: {headers.get('WARC-Record-ID')}: the payload isn't what its digest says")
-            yield (*(headers.get(h) for h in HEADERS.values()), size, list(headers.items()), b"".join(keep).decode("utf-8") if keep is not None else None)
+            for name, (h, said) in checks.items():
+                if said not in (h.hexdigest(), base64.b32encode(h.digest()).decode().lower()):
+                    raise ValueError(f"{path}: {headers.get('warc-record-id')}: the payload isn't what {name} says")
+            yield (*(headers.get(h) for h in HEADERS.values()), size, list(headers.items()), b"".join(keep) if keep is not None else None)
+
+
+def parsed(block: bytes, path: str) -> dict[str, str]:
+    """Headers of a record by lower-case name. Bytes that aren't UTF-8 read as U+FFFD, continued lines are joined, and so are values of a repeated name, with a comma."""
+    first, *lines = block.decode("utf-8", "replace").lstrip("\r\n").split("\r\n")
+    if not first.startswith("WARC/"):
+        raise ValueError(f"{path}: a record begins with {first[:20]!r}")
+    out: dict[str, str] = {}
+    last = ""
+    for line in lines:
+        if line[:1] in (" ", "\t") and last:
+            out[last] += " " + line.strip()
+            continue
+        name, _, value = line.partition(":")
+        last = name.strip().lower()
+        out[last] = f"{out[last]}, {value.strip()}" if last in out else value.strip()
+    return out
+
+
+def digests(headers: dict[str, str]) -> dict:
+    """Running digests to check, with what they should be: the block's, and the payload's where that is the block."""
+    whole = headers.get("warc-type") == "response" and not headers.get("content-type", "").startswith("application/http")
+    out = {}
+    for name in ("warc-block-digest", *["warc-payload-digest"] * whole):
+        kind, _, said = headers.get(name, "").lower().partition(":")
+        if kind.replace("-", "") in ("sha1", "sha256", "sha512", "md5"):
+            out[name] = hashlib.new(kind.replace("-", "")), said.strip()
+    return out
+
+
+def readable(payload: str = "payload") -> Column:
+    """A payload as text; bytes that aren't UTF-8 read as U+FFFD."""
+    return F.make_valid_utf8(F.col(payload).cast("string"))
 
 
 class PushingReader(WarcReader):
@@ -197,7 +235,8 @@ def register(spark: SparkSession, pushdown: bool = False) -> None:
 def load_warc(spark: SparkSession, path: str, where: dict[str, list[str]] | None = None, **options: str) -> DataFrame:
     """Records below ``path``, with the data source's columns and options, from any store that Spark reads.
 
-    ``where`` has header names and their allowed values, such as {"WARC-Type": ["response"]}.
+    ``where`` has header names (in any case) and their allowed values, such as {"WARC-Type": ["response"]}.
+    Names in ``headers`` are in lower case.
 
     Where Python workers can't open the store, files come as binary rows from Spark's own file
     systems and are parsed on the executors: a file is then held in memory, and only ``where`` is
@@ -266,14 +305,14 @@ def query(spark, sf_dir) -> DataFrame:
     """The archive is read back once, its small result is kept, and the archive goes."""
     path = fresh(spark, "warc")
     write(table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
-    read = load_warc(spark, path, payload="false", verify="true")
+    read = load_warc(spark, path, {"WARC-Type": ["response", "revisit"]}, payload="false", verify="true")
     number = lambda c: F.expr(f"try_cast(regexp_extract({c}, 'page:(-?[0-9]+)>', 1) AS BIGINT)")
     out = read.select(
         number("record_id").alias("page_id"),
-        F.element_at("headers", "X-Payload-Bytes").cast("long").alias("payload_bytes"),
+        F.element_at("headers", "x-payload-bytes").cast("long").alias("payload_bytes"),
         F.substring_index("payload_digest", ":", -1).alias("payload_digest"),
         "record_type",
-        number("headers['WARC-Refers-To']").alias("refers_to"),
+        number("headers['warc-refers-to']").alias("refers_to"),
     )
     out = written(out, "warc-pages")
     delete(spark, path)

@@ -79,3 +79,56 @@ def test_query_with_mined_rules_equals_sql(spark, tmp_path):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
     assert got == sorted(map(repr, c.sql(U.SQL).fetchall()))
     assert "'http" not in got[0] and sum(r.endswith("None, 'block')") for r in got) > 20 and any(r.startswith("(602,") and r.endswith("'block')") for r in got)
+
+
+def deep(k):
+    """Bad URLs of k path parts, each without another part, and good ones with two of the parts."""
+    parts = [f"part{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(k)]
+    bad = [("http://d.org/" + "/".join(p for j, p in enumerate(parts) if j != i % k), True) for i in range(60)]
+    return bad + [(f"http://d.org/{parts[i % 2]}/other/page{chr(97 + i % 26)}", False) for i in range(80)]
+
+
+def brute(labelled, confidence=0.8, lift=1.5, least=20):
+    """Minimal rules by trying every set of reps, from the definition."""
+    from itertools import combinations
+
+    n, bad = len(labelled), sum(b for _, b in labelled)
+    where = {}
+    for i, (tokens, _) in enumerate(labelled):
+        for t in tokens:
+            where.setdefault(t, set()).add(i)
+    reps = {}
+    for t in sorted(where):
+        if len(where[t]) >= least:
+            reps.setdefault(frozenset(where[t]), t)
+    rows, rules = {t: r for r, t in reps.items()}, []
+    for size in range(1, len(rows) + 1):
+        for c in combinations(sorted(rows), size):
+            if any(set(r) <= set(c) for r in rules):
+                continue
+            both = frozenset.intersection(*(rows[t] for t in c))
+            hits = sum(labelled[i][1] for i in both)
+            if hits >= least and hits / len(both) >= confidence and hits / len(both) / (bad / n) >= lift:
+                rules.append(c)
+    return sorted(rules)
+
+
+def test_deep_paths_are_mined_in_seconds_and_as_by_brute_force(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    from textlake.llm import url_filter as U
+    from textlake.llm.scratch import scope
+
+    def mined(urls):
+        host, path = U.host_and_path(F.col("url"))
+        labelled = spark.createDataFrame(urls, "url string, bad boolean").select(U.tokens(host, path, F.col("url")).alias("tokens"), "bad")
+        with scope(spark):
+            return labelled.collect(), sorted(tuple(r.antecedent) for r in U.mine(labelled)[0].collect())
+
+    rows, rules = mined(deep(10))
+    assert rules == brute([(r.tokens, r.bad) for r in rows]) and any(len(r) == 2 for r in rules) and any(len(r) == 1 for r in rules)
+    began = time.time()
+    assert len(mined(deep(30))[1]) >= 28
+    assert time.time() - began < 60

@@ -2,13 +2,17 @@
 
 A URL becomes a set of tokens. FP-growth over labelled URLs finds token sets that come with the bad
 label; those with enough support, confidence and lift are rules, less the ones that a shorter rule
-covers. Tokens that are in the same labelled URLs are mined as one, so that deep paths of which many
-are alike don't make a rule of each subset. A rule is filed under its rarest token, so a URL meets only rules that share it, and
-distinct token sets meet them, not URLs. Listed host and path rules come first.
+covers. Tokens that are in the same labelled URLs are mined as one, and tokens that are rules by
+themselves are taken out before the mining, as no longer rule with one of them is kept; so deep paths of
+which many are alike don't make a rule of each subset. A rule is filed under its rarest token, so a URL
+meets only rules that share it, and distinct token sets meet them, not URLs. Listed host and path rules
+come first.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -64,8 +68,9 @@ def mine(labelled: DataFrame, support: float = 0.002, confidence: float = 0.8, l
     stands for it, as each would make the same rule. Tokens without a rep are in no rule.
 
     FP-growth spreads its conditional trees over partitions; an item set needs ``support`` of all
-    labelled rows and ``least_rows`` of them, so their number doesn't follow the input. No labelled
-    rows give no rules.
+    labelled rows and ``least_rows`` of them, so their number doesn't follow the input. It does list every
+    frequent set of tokens of which none is a rule by itself: n such tokens that are together in most
+    ways, in URLs of both labels, are 2 ** n sets. No labelled rows give no rules.
     """
     spark = labelled.sparkSession
     empty = "antecedent array<string>, rare string, confidence double, support double"
@@ -77,14 +82,21 @@ def mine(labelled: DataFrame, support: float = 0.002, confidence: float = 0.8, l
     where = each.where("token IS NOT NULL").groupBy("token").agg(F.count("*").alias("k"), F.sum(F.xxhash64("row").cast("decimal(38,0)")).alias("h"), F.min("row").alias("r"))
     alike = where.where(F.col("k") >= max(support * n, least_rows - 0.5)).groupBy("k", "h", "r").agg(F.min("token").alias("rep"), F.collect_list("token").alias("tokens"))
     same = written(alike.select(F.explode("tokens").alias("token"), "rep"), "url-tokens")  # as many as tokens can have the support
+    least, share = max(support, (least_rows - 0.5) / n), rows.agg(F.sum(F.col("bad").cast("int"))).first()[0] / n
+    placed = each.join(F.broadcast(same), "token", "left").select("row", "bad", "rep").distinct()
+    good_rule = (F.col("bad_rows") >= math.ceil(least * n)) & (F.col("confidence") >= confidence) & (F.col("confidence") / F.lit(share) >= lift)
+    alone = placed.where("rep IS NOT NULL").groupBy("rep").agg(F.sum(F.col("bad").cast("int")).alias("bad_rows"), F.count("*").alias("k"))
+    alone = written(alone.withColumn("confidence", F.col("bad_rows") / F.col("k")).withColumn("rule", good_rule), "url-alone")  # a row a rep, as few as those
+    left = placed.join(F.broadcast(alone.where("rule").select("rep", "rule")), "rep", "left").withColumn("rep", F.when(F.col("rule").isNull(), F.col("rep")))
     items = F.array_append(F.collect_set("rep"), F.when(F.col("bad"), F.lit(BAD)).otherwise(F.lit(GOOD)))
-    rows = written(each.join(F.broadcast(same), "token", "left").groupBy("row", "bad").agg(items.alias("items")), "url-items")
-    model = FPGrowth(itemsCol="items", minSupport=max(support, (least_rows - 0.5) / n), minConfidence=confidence).fit(rows)
+    rows = written(left.groupBy("row", "bad").agg(items.alias("items")), "url-items")
+    model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=confidence).fit(rows)
     frequent = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
-    found = model.associationRules.where((F.col("consequent")[0] == BAD) & (F.col("lift") >= lift) & ~F.array_contains("antecedent", GOOD))
+    found = model.associationRules.where((F.col("consequent")[0] == BAD) & (F.col("lift") >= lift) & ~F.array_contains("antecedent", GOOD) & (F.size("antecedent") > 1))
     found = found.select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support")
     rare = found.select("*", F.explode("antecedent").alias("token")).join(frequent, "token").groupBy("antecedent", "confidence", "support").agg(F.min_by("token", F.struct("freq", "token")).alias("rare"))
-    rare = written(rare, "url-rules")
+    single = alone.where("rule").select(F.array("rep").alias("antecedent"), "confidence", (F.col("bad_rows") / n).alias("support"), F.col("rep").alias("rare"))
+    rare = written(rare.unionByName(single), "url-rules")
     # a rule with a part of its tokens removed that is a rule too adds nothing; the shorter's rarest token is in the longer
     shorter = rare.select(F.col("antecedent").alias("s"), F.col("rare").alias("token"))
     covered = rare.select("antecedent", F.explode("antecedent").alias("token")).join(shorter, "token").where((F.size("s") < F.size("antecedent")) & (F.size(F.array_except("s", "antecedent")) == 0))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import Column, DataFrame, functions as F
 
+from . import json_schema
+
 # Fixed values of the analysis contract.
 POSITIVE_TONES = ("optimism", "hope", "satisfaction", "trust", "enthusiasm", "gratitude", "relief")
 NEGATIVE_TONES = ("anger", "anxiety", "frustration", "distrust", "sadness", "cynicism", "disappointment")
@@ -81,39 +81,47 @@ def semantics_errors(df: DataFrame, distribution: str = "estimated_sentiment_dis
     return F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in tests]))
 
 
-def schema_errors(raw: Column) -> Column:
-    """Names of the version 3 schema rules that a JSON text breaks, in the order of the fields; parsing never raises.
+def _closed(**fields: dict) -> dict:
+    """The schema of an object with exactly these fields."""
+    return {"type": "object", "additionalProperties": False, "properties": fields, "required": list(fields)}
+
+
+def _number(low: float, high: float) -> dict:
+    return {"type": "number", "minimum": low, "maximum": high}
+
+
+def _choice(*labels: str) -> dict:
+    return {"type": "string", "enum": list(labels)}
+
+
+def _texts(most: int, chars: int, least: int = 0) -> dict:
+    return {"type": "array", "minItems": least, "maxItems": most, "items": {"type": "string", "minLength": 1, "maxLength": chars}}
+
+
+def _tones(labels: tuple[str, ...]) -> dict:
+    one = _closed(tone=_choice(*labels), share=_number(0, 1), drivers=_texts(*DRIVERS, least=1))
+    return {"type": "array", "maxItems": TONES, "items": one}
+
+
+def schema_document(version: int = 3) -> dict:
+    """The JSON Schema of a model's answer in one of the three versions of the contract."""
+    told = {name: _texts(*bounds) for name, bounds in LISTS.items()} | {"summary": {"type": "string", "minLength": 1, "maxLength": SUMMARY}}
+    spread = {"estimated_sentiment_distribution": _closed(**{k: _number(0, 1) for k in SENTIMENTS}), "polarization": _choice(*POLARIZATIONS), "polarization_score": _number(0, 1)}
+    fields = {
+        1: {"sentiment": _choice(*SENTIMENTS, "mixed"), "sentiment_score": _number(-1, 1), **told},
+        2: {"dominant_sentiment": _choice(*SENTIMENTS), "sentiment_score": _number(-1, 1), **spread, **told},
+        3: {**spread, **told, "positive_tones": _tones(POSITIVE_TONES), "negative_tones": _tones(NEGATIVE_TONES)},
+    }
+    return _closed(**fields[version])
+
+
+def schema_errors(raw: Column, version: int = 3) -> Column:
+    """Names of the schema rules of a version that a JSON text breaks, in the order of the fields; parsing never raises.
 
     A field that is absent, null or of another type breaks its own rule too. Objects may have no other
-    fields than the schema's. Numbers within lists of texts pass as texts.
+    fields than the schema's. Types are strict everywhere: a number in a list of texts is no text.
     """
-    tone = "array<struct<tone:string,share:double,drivers:array<string>>>"
-    kinds = {"estimated_sentiment_distribution": "struct<positive:double,neutral:double,negative:double>", "polarization": "string", "polarization_score": "double", "topics": "array<string>", "keywords": "array<string>", "summary": "string", "positive_tones": tone, "negative_tones": tone}
-    parsed = F.from_json(raw, ", ".join(f"{name} {kind}" for name, kind in kinds.items()))
-    part, only = (lambda name: F.get_json_object(raw, f"$.{name}")), (lambda keys: F.array(*map(F.lit, sorted(keys))))
-    keys = F.coalesce(F.json_object_keys(raw), F.array().cast("array<string>"))
-    share = lambda x: x.between(0, 1)
-    texts = lambda x, most, chars, least=0: F.size(x).between(least, most) & F.forall(x, lambda t: F.length(t).between(1, chars))
-
-    def tones(name: str, labels: tuple[str, ...]) -> Column:
-        shaped = F.forall(F.from_json(part(name), "array<string>"), lambda x: F.array_sort(F.json_object_keys(x)) == only(("tone", "share", "drivers")))
-        one = lambda t: t["tone"].isin(*labels) & share(t["share"]) & texts(t["drivers"], *DRIVERS, least=1)
-        return (F.size(parsed[name]) <= TONES) & parsed[name].isNotNull() & shaped & F.forall(parsed[name], one)
-
-    spread = parsed["estimated_sentiment_distribution"]
-    good = {
-        "not_an_object": F.json_object_keys(raw).isNotNull(),
-        "missing_fields": F.size(F.array_except(only(FIELDS_V3), keys)) == 0,
-        "unknown_fields": F.size(F.array_except(keys, only(FIELDS_V3))) == 0,
-        "estimated_sentiment_distribution": (F.array_sort(F.json_object_keys(part("estimated_sentiment_distribution"))) == only(SENTIMENTS)) & functools.reduce(Column.__and__, [share(spread[k]) for k in SENTIMENTS]),
-        "polarization": parsed["polarization"].isin(*POLARIZATIONS),
-        "polarization_score": share(parsed["polarization_score"]),
-        **{name: texts(parsed[name], *bounds) for name, bounds in LISTS.items()},
-        "summary": F.length(parsed["summary"]).between(1, SUMMARY),
-        "positive_tones": tones("positive_tones", POSITIVE_TONES),
-        "negative_tones": tones("negative_tones", NEGATIVE_TONES),
-    }
-    return F.array_compact(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in good.items()]))
+    return json_schema.errors(raw, schema_document(version))
 
 
 def top_tones(tones: Column, n: int = 3) -> Column:

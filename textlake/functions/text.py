@@ -12,19 +12,35 @@ from . import kernels
 TRACKING = ("fbclid", "gclid", "mc_cid", "mc_eid")
 
 
+def form_decoded(text: Column) -> Column:
+    """Plus signs as blanks and percent codes as the bytes of UTF-8; what is no code stays, bytes that are no UTF-8 read as U+FFFD."""
+    return F.url_decode(F.regexp_replace(text, "%(?![0-9A-Fa-f]{2})", "%25"))
+
+
+def form_encoded(text: Column) -> Column:
+    """Blanks as plus signs and all bytes of UTF-8 but letters, digits and ``_.-~`` as percent codes in capitals."""
+    return F.replace(F.replace(F.url_encode(text), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+
+
 def canonical_url(url: Column) -> Column:
-    """Scheme and host in lower case, no default port, fragment or tracking parameters, sorted query, ``/`` for no path.
+    """Scheme and host in lower case, no user, default port, fragment or tracking parameters, ``/`` for no path.
 
-    Percent encoding is left as it is. Null and texts without a scheme are null.
+    The query's names and values are decoded, sorted and encoded again, so that any two ways to write
+    them give one URL. Null and texts without a scheme are null.
     """
-    u = F.trim(url)
+    u = F.regexp_replace(F.regexp_replace(url, r"(?U)^[\s\x00-\x1f]+|\s+$", ""), r"[\t\r\n]", "")
     scheme = F.lower(F.regexp_extract(u, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1))
-    host = F.lower(F.regexp_replace(F.regexp_extract(u, r"^[^:/?#]+://([^/?#]*)", 1), "^.*@", ""))
-    host = F.when(scheme == "http", F.regexp_replace(host, ":80$", "")).when(scheme == "https", F.regexp_replace(host, ":443$", "")).otherwise(host)
+    place = F.lower(F.regexp_replace(F.regexp_extract(u, r"^[^:/?#]+://([^/?#]*)", 1), "^.*@", ""))
+    port = F.regexp_replace(F.regexp_extract(place, r":([0-9]*)$", 1), "^0+", "")
+    host = F.regexp_replace(place, ":[0-9]*$", "")
+    usual = ((scheme == "http") & (port == "80")) | ((scheme == "https") & (port == "443")) | (port == "")
+    host = F.when(usual, host).otherwise(F.concat(host, F.lit(":"), port))
     path = F.regexp_extract(u, r"^[^:/?#]+://[^/?#]*([^?#]*)", 1)
-    name = lambda p: F.lower(F.substring_index(p, "=", 1))
-    kept = F.filter(F.split(F.regexp_extract(u, r"[?]([^#]*)", 1), "&"), lambda p: (p != "") & ~name(p).isin(*TRACKING) & ~name(p).startswith("utm_"))
-    query = F.array_join(F.array_sort(F.transform(kept, lambda p: F.when(p.contains("="), p).otherwise(F.concat(p, F.lit("="))))), "&")
+    pairs = F.filter(F.split(F.regexp_extract(u, r"^[^?#]*[?]([^#]*)", 1), "&"), lambda p: p != "")
+    at = lambda p: F.instr(p, "=")
+    decoded = F.transform(pairs, lambda p: F.struct(form_decoded(F.when(at(p) > 0, F.left(p, at(p) - 1)).otherwise(p)).alias("name"), form_decoded(F.when(at(p) > 0, F.substr(p, at(p) + 1)).otherwise("")).alias("value")))
+    kept = F.filter(decoded, lambda d: ~F.lower(d["name"]).isin(*TRACKING) & ~F.lower(d["name"]).startswith("utm_"))
+    query = F.array_join(F.transform(F.array_sort(kept), lambda d: F.concat(form_encoded(d["name"]), F.lit("="), form_encoded(d["value"]))), "&")
     return F.when(scheme != "", F.concat(scheme, F.lit("://"), host, F.when(path == "", "/").otherwise(path), F.when(query == "", "").otherwise(F.concat(F.lit("?"), query))))
 
 

@@ -226,6 +226,53 @@ def q_result_schema_errors(spark, d):
     return _json(views.analyses(spark, d)).select("doc_id", F.array_join(A.schema_errors(F.col("raw")), ",").alias("errors"))
 
 
+#: Answers of the three versions made of ``documents``, with faults by doc_id, as SQL that both engines share.
+_SAID = """concat('"topics":[', CASE doc_id % 11 WHEN 0 THEN '' WHEN 1 THEN '"a","b","c","d","e","f"' WHEN 2 THEN '"a",7' ELSE concat('"', coalesce(lang, 'x'), '"') END, '],"keywords":', CASE doc_id % 13 WHEN 0 THEN '"one"' WHEN 1 THEN '[""]' ELSE concat('["', coalesce(source, 'x'), '"]') END,
+  ',"summary":', CASE doc_id % 17 WHEN 0 THEN '""' WHEN 1 THEN 'null' WHEN 2 THEN concat('"', repeat('s', 401), '"') ELSE concat('"', w, '"') END)"""
+_SPREAD = """concat('"estimated_sentiment_distribution":{"positive":', CASE doc_id % 19 WHEN 0 THEN '1.5' WHEN 1 THEN '"0"' ELSE '0.5' END, ',"neutral":0.25,"negative":0', CASE doc_id % 23 WHEN 0 THEN ',"more":1' ELSE '' END, '},"polarization":"', CASE doc_id % 7 WHEN 0 THEN 'extreme' ELSE 'low' END, '","polarization_score":', CASE doc_id % 29 WHEN 0 THEN 'true' ELSE '1' END)"""
+_TONED = """concat('"positive_tones":[', CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN '{"tone":"anger","share":1,"drivers":["x"]}' WHEN 2 THEN '{"tone":"hope","share":1,"drivers":[]}' WHEN 3 THEN '{"tone":"hope","share":1}' ELSE '{"tone":"hope","share":0.5,"drivers":["x","y"]},{"tone":"trust","share":0.5,"drivers":["z"]}' END, '],"negative_tones":', CASE doc_id % 31 WHEN 0 THEN '{}' ELSE '[]' END)"""
+ANSWERS = f"""CASE doc_id % 3
+  WHEN 0 THEN concat('{{"sentiment":"', CASE doc_id % 4 WHEN 0 THEN 'mixed' WHEN 1 THEN 'odd' ELSE 'neutral' END, '","sentiment_score":', CASE doc_id % 5 WHEN 0 THEN '-1.01' ELSE '-1' END, ',', {_SAID}, CASE doc_id % 37 WHEN 0 THEN ',"more":1' ELSE '' END, '}}')
+  WHEN 1 THEN concat('{{"dominant_sentiment":"', CASE doc_id % 4 WHEN 0 THEN 'mixed' ELSE 'neutral' END, '"', CASE doc_id % 5 WHEN 0 THEN '' ELSE ',"sentiment_score":0' END, ',', {_SPREAD}, ',', {_SAID}, CASE doc_id % 37 WHEN 0 THEN '' ELSE '}}' END)
+  ELSE concat('{{', {_SPREAD}, ',', {_SAID}, ',', {_TONED}, '}}') END"""
+
+
+def _versions_sql() -> str:
+    """The rules of the versions over DuckDB's own JSON types."""
+    quoted = lambda names: ", ".join(f"'{n}'" for n in names)
+    number = lambda p, low, high: f"coalesce(json_type({p}) IN ('UBIGINT', 'BIGINT', 'DOUBLE') AND CAST({p} AS DOUBLE) BETWEEN {low} AND {high}, false)"
+    choice = lambda p, labels: f"coalesce(json_type({p}) = 'VARCHAR' AND {p}->>'$' IN ({quoted(labels)}), false)"
+    word = lambda p, chars: f"coalesce(json_type({p}) = 'VARCHAR' AND length({p}->>'$') BETWEEN 1 AND {chars}, false)"
+    items = lambda p, most, least, test: f"coalesce(json_type({p}) = 'ARRAY' AND json_array_length({p}) BETWEEN {least} AND {most} AND len(list_filter(json_extract({p}, '$[*]'), lambda e: NOT ({test}))) = 0, false)"
+    only = lambda p, names: f"coalesce(json_type({p}) = 'OBJECT' AND list_sort(json_keys({p})) = list_sort([{quoted(names)}]), false)"
+    at = lambda name: f"(j->'$.{name}')"
+    texts = {n: items(at(n), most, 0, word("e", chars)) for n, (most, chars) in A.LISTS.items()} | {"summary": word(at("summary"), A.SUMMARY)}
+    shares = " AND ".join(number(f"({at('estimated_sentiment_distribution')}->'$.{k}')", 0, 1) for k in A.SENTIMENTS)
+    spread = {"estimated_sentiment_distribution": f"{only(at('estimated_sentiment_distribution'), A.SENTIMENTS)} AND {shares}", "polarization": choice(at("polarization"), A.POLARIZATIONS), "polarization_score": number(at("polarization_score"), 0, 1)}
+    drivers = f"coalesce(json_type(e->'$.drivers') = 'ARRAY' AND json_array_length(e->'$.drivers') BETWEEN 1 AND {A.DRIVERS[0]}, false)"  # all are texts here
+    tones = lambda n, labels: items(at(n), A.TONES, 0, f"{only('e', ('tone', 'share', 'drivers'))} AND {choice('(e->' + repr('$.tone') + ')', labels)} AND {number('(e->' + repr('$.share') + ')', 0, 1)} AND {drivers}")
+    versions = [
+        {"sentiment": choice(at("sentiment"), (*A.SENTIMENTS, "mixed")), "sentiment_score": number(at("sentiment_score"), -1, 1), **texts},
+        {"dominant_sentiment": choice(at("dominant_sentiment"), A.SENTIMENTS), "sentiment_score": number(at("sentiment_score"), -1, 1), **spread, **texts},
+        {**spread, **texts, "positive_tones": tones("positive_tones", A.POSITIVE_TONES), "negative_tones": tones("negative_tones", A.NEGATIVE_TONES)},
+    ]
+    parts = []
+    for k, rules in enumerate(versions):
+        tests = {"not_an_object": "ok", "missing_fields": f"len(list_filter([{quoted(rules)}], lambda x: NOT list_contains(json_keys(j), x))) = 0", "unknown_fields": f"len(list_filter(json_keys(j), lambda x: x NOT IN ({quoted(rules)}))) = 0", **rules}
+        cases = ", ".join(f"CASE WHEN NOT ({t}) THEN '{n}' END" for n, t in tests.items())
+        parts.append(f"SELECT doc_id, {k + 1} AS version, array_to_string(list_filter([{cases}], lambda x: x IS NOT NULL), ',') AS errors FROM o WHERE doc_id % 3 = {k}")
+    return f"WITH d AS (SELECT doc_id, lang, source, left(regexp_replace(text, '[^A-Za-z ]', '', 'g') || 'x', 300) AS w FROM documents), r AS (SELECT doc_id, {ANSWERS} AS raw FROM d), o AS (SELECT doc_id, json_valid(raw) AS ok, CASE WHEN json_valid(raw) THEN raw ELSE '{{}}' END::JSON AS j FROM r) " + " UNION ALL ".join(parts)
+
+
+@query(_versions_sql())
+def q_schema_versions(spark, d):
+    """Answers of all three versions of the contract, made of documents, against schemas compiled from their documents."""
+    rows = views.load(spark, d, "documents").selectExpr("doc_id", "lang", "source", "left(concat(regexp_replace(text, '[^A-Za-z ]', ''), 'x'), 300) AS w").select("doc_id", F.expr(ANSWERS).alias("raw"))
+    version = (F.col("doc_id") % 3 + 1).cast("int")
+    found = [A.schema_errors(F.col("raw"), v) for v in (1, 2, 3)]
+    return rows.select("doc_id", version.alias("version"), F.array_join(F.when(version == 1, found[0]).when(version == 2, found[1]).otherwise(found[2]), ",").alias("errors"))
+
+
 @query(f"{AN} SELECT doc_id, array_to_string(list_transform(list_sort(list_transform(positive_tones, lambda x, i: {{'s': -x.share, 'i': i, 't': x.tone}}))[1:2], lambda y: y.t), ',') AS tones FROM an")
 def q_top_tones(spark, d):
     """Two of the three tones, so that some are left out."""

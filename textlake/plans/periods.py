@@ -175,6 +175,14 @@ def q_url_canonical(spark, d):
     return views.load(spark, d, "pages").select("page_id", X.canonical_url(F.col("url")).alias("url"))
 
 
+@query(f"SELECT doc_id, 'https://example.com/p?a=' || coalesce(lang, 'x') || '&a=%C3%A9%25zz%FF'.replace('%FF', '%EF%BF%BD') || '&b=' || replace(url_encode(regexp_replace(left(text, 60), '[^\\p{{L}} ]', '', 'g')), '%20', '+') || '&b~=%2A' AS url FROM documents")
+def q_url_recode(spark, d):
+    """Queries made of documents' words, whose names and values are written in several ways, have one form."""
+    words = F.replace(F.regexp_replace(F.left("text", F.lit(60)), r"[^\p{L} ]", ""), F.lit(" "), F.lit("+"))
+    raw = F.concat(F.lit(" HTTPS://me@Example.COM:0443/p?b%7e=*&utm_source=x&b="), words, F.lit("&&a=%c3%a9%zz%ff&FBCLID&a="), F.coalesce("lang", F.lit("x")), F.lit("#top"))
+    return views.load(spark, d, "documents").select("doc_id", X.canonical_url(raw).alias("url"))
+
+
 @query(f"WITH {CANON}, e AS (SELECT page_id, regexp_replace(url, '/[0-9][^/?]*/?', '/', 'g') AS url, page_id % 3 AS a, page_id % 5 AS b FROM cu), t AS (SELECT url, page_id, unnest(['t' || a, 't' || b]) AS g FROM e) SELECT url, min(page_id) AS doc_id, count(DISTINCT page_id) AS row_count, string_agg(DISTINCT g, ',' ORDER BY g) AS topic_groups FROM t GROUP BY url")
 def q_url_merge(spark, d):
     pages = views.load(spark, d, "pages").selectExpr("page_id AS doc_id", "url AS raw", "concat('t', CAST(page_id % 3 AS STRING), ',t', CAST(page_id % 5 AS STRING)) AS topic_groups")

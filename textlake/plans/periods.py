@@ -211,6 +211,17 @@ def q_html_cards(spark, d):
     return cards.groupBy("page_id").agg(F.count("*").alias("links"), F.min("href").alias("first_link"))
 
 
+@query(r"""WITH a AS (SELECT page_id, regexp_extract_all(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<p>[^<]*') AS p, regexp_extract_all(html, '<li><a href="([^"]*)"', 1) AS h FROM pages)
+SELECT page_id, len(p) AS paragraphs, len(list_filter(p, lambda x: trim(x[4:]) <> '')) AS with_text, len(h) AS links, CASE WHEN len(h) > 0 THEN list_min(h) END AS first_link FROM a WHERE len(p) + len(h) > 0""")
+def q_card_selectors(spark, d):
+    """Paragraphs of articles, many of which are never closed, and links of navigations, by selectors."""
+    pages = views.load(spark, d, "pages").select("page_id", "html")
+    paragraphs = S.select_cards(pages, "html", "article > p", text="p::text").groupBy("page_id").agg(F.count("*").alias("paragraphs"), F.count("text").alias("with_text"))
+    links = S.select_cards(pages, "html", "nav > ul li", href="a[href]::attr(href)").groupBy("page_id").agg(F.count("*").alias("links"), F.min("href").alias("first_link"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return paragraphs.join(links, "page_id", "full").select("page_id", zero("paragraphs"), zero("with_text"), zero("links"), "first_link")
+
+
 @query("SELECT event_id, 'token=[REDACTED] [REDACTED_OPENAI_KEY] password=[REDACTED], at ' || event_type AS message FROM events")
 def q_redact(spark, d):
     raw = F.concat(F.lit("token: "), F.col("user_id"), F.lit("abc sk-abcdefgh"), F.col("event_id"), F.lit(" password=x"), F.col("event_type"), F.lit(", at "), F.col("event_type"))

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions import kernels
+from ..functions import cards, kernels
 from ..functions.contract import add_contract, read_raw, require_valid
 from ..functions.text import canonical_url
 from ..schemas import ARCHIVE_COLUMNS, EVENT, EVENT_FIELDS
@@ -278,6 +278,16 @@ def html_cards(pages: DataFrame, html: str, card: str, **fields: str) -> DataFra
     return df.withColumns({k: F.trim(F.regexp_extract("_c", p, 1)) for k, p in fields.items()}).withColumns({k: kernels.html_unescape(F.col(k)) for k in fields}).drop("_c")
 
 
+def select_cards(pages: DataFrame, html: str, card: str, **fields: str) -> DataFrame:
+    """``pages`` with a row a card: ``card`` selects them, each of ``fields`` is a selector within it that ends in ::text or ::attr(name).
+
+    Cards may be nested, tags left open and attributes in any order; entities are decoded. A field
+    without a match is null. ``html_cards`` does the same by patterns, in the JVM, for pages of one known form.
+    """
+    df = pages.withColumn("_c", F.explode(cards.cards(F.col(html), card, tuple(fields.values())))).drop(html)
+    return df.withColumns({k: F.col("_c")[i] for i, k in enumerate(fields)}).drop("_c")
+
+
 def window_events(events: DataFrame, start: Column, end: Column, time: str = "event_timestamp") -> DataFrame:
     return events.where((F.col(time) >= start) & (F.col(time) < end))
 

@@ -154,3 +154,22 @@ def test_concurrent_publishers_share_no_offset(tmp_path):
         assert all(pool.map(one, range(30)))
     placed = sorted((s["base"], s["rows"]) for n in range(30) for s in CommitLog(f"{tmp_path}/ev").read(n)["segments"])
     assert [b for b, _ in placed] == [sum(r for _, r in placed[:i]) for i in range(30)]
+
+
+def test_counts_come_from_the_writing_pass(spark, tmp_path):
+    """Counts equal what lies in the files, and the write is one job over one scan."""
+    from textlake.sources import sinks
+
+    spark.range(0, 5000, 1, 7).selectExpr("id", "id % 3 AS g", "repeat('x', 10) AS t").write.parquet(f"file://{tmp_path}/in")
+    df = spark.read.parquet(f"file://{tmp_path}/in")
+    counts = {"rows": F.count("*"), "first": F.count_if(F.col("g") == 0), "bytes": F.sum(F.octet_length("t")), "least": F.min("id")}
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("counted", "one write")
+    told = sinks.write_counted(df, f"file://{tmp_path}/out", ["g"], counts)
+    jobs = tracker.getJobIdsForGroup("counted")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert told == {"rows": 5000, "first": 1667, "bytes": 50_000, "least": 0}
+    assert spark.read.parquet(f"file://{tmp_path}/out").count() == 5000
+    assert len(jobs) <= 2  # the shuffle's map side and the write, as AQE submits them
+    again = sinks.write_counted(df.limit(0), f"file://{tmp_path}/none", ["g"], {"rows": F.count("*")})
+    assert again == {"rows": 0}

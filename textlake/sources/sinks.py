@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ..functions.contract import add_contract, require_valid
 from ..schemas import EVENT_FIELDS
@@ -25,6 +26,18 @@ def write_partitioned(df: DataFrame, path: str, by: list[str], mode: str = "over
     whole.write.mode(mode).option("compression", compression).option("partitionOverwriteMode", "static").partitionBy(*by).parquet(path)
 
 
+def write_counted(df: DataFrame, path: str, by: list[str], counts: Mapping[str, Column], mode: str = "overwrite", compression: str = "zstd") -> dict:
+    """``write_partitioned`` that also tells ``counts`` (aggregates) of what it wrote, observed in the pass that writes.
+
+    They are observed behind the shuffle, in the tasks whose output is committed, so a task that runs
+    again for a lost executor counts once. Nothing is read back.
+    """
+    seen = Observation()
+    whole = df.hint("rebalance", *by).observe(seen, *[c.alias(n) for n, c in counts.items()])
+    whole.write.mode(mode).option("compression", compression).option("partitionOverwriteMode", "static").partitionBy(*by).parquet(path)
+    return seen.get
+
+
 def write_days(df: DataFrame, path: str, by: tuple[str, ...] = ("year", "month", "day")) -> None:
     """Replaces the days that ``df`` has rows of and no others."""
     df.hint("rebalance", *by).write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)

@@ -94,7 +94,7 @@ def q_usage_reconcile(spark, d):
     return reconcile.reconcile_usage(res, reported).select("batch_id", "generation_count", "sum_input", "reconciliation")
 
 
-@query(f"{JOB}, c AS (SELECT *, input_tokens > 272000 AS l FROM job) SELECT llm_batch_id, CAST((input_tokens * (CASE WHEN l THEN 0.20 ELSE 0.10 END) + output_tokens * (CASE WHEN l THEN 0.90 ELSE 0.60 END)) / 1000000 AS DOUBLE) AS cost_usd FROM c")
+@query(f"{JOB}, c AS (SELECT *, input_tokens > 272000 AS l FROM job) SELECT llm_batch_id, CAST(CAST((input_tokens * (CASE WHEN l THEN 0.20 ELSE 0.10 END) + output_tokens * (CASE WHEN l THEN 0.90 ELSE 0.60 END)) / 1000000 AS DECIMAL(18,8)) AS DOUBLE) AS cost_usd FROM c")
 def q_token_cost(spark, d):
     c = cost.cost(F.col("input_tokens"), F.col("output_tokens"), "0.10", "0.60", long_context=True)
     return views.jobs(spark, d).select("llm_batch_id", c.cast("double").alias("cost_usd"))
@@ -106,10 +106,11 @@ def q_total_cost(spark, d):
     return views.jobs(spark, d).agg(F.round(F.sum(c).cast("double"), 8).alias("total_cost_usd"))
 
 
-@query("SELECT i AS id, CASE WHEN i % 6 = 0 THEN 'not_configured' WHEN i >= 100 THEN 'blocked' WHEN i >= 90 THEN 'critical' WHEN i >= 70 THEN 'warning' ELSE 'ok' END AS ratio_status, CASE WHEN i % 6 = 0 THEN 'not_configured' WHEN i > 100 THEN 'blocked' ELSE 'ok' END AS limit_status, CASE WHEN i % 6 > 0 AND i > 100 THEN 'blocked' ELSE 'ok' END AS open_status FROM range(130) AS r(i)")
+@query("WITH o AS (SELECT o_orderkey AS id, CAST(o_totalprice AS DECIMAL(18,2)) AS s, CASE WHEN o_orderkey % 6 <> 0 THEN CAST(150000 AS DECIMAL(18,2)) END AS b FROM orders) SELECT id, CASE WHEN b IS NULL THEN 'not_configured' WHEN s >= b THEN 'blocked' WHEN s >= 0.9 * b THEN 'critical' WHEN s >= 0.7 * b THEN 'warning' ELSE 'ok' END AS ratio_status, CASE WHEN b IS NULL THEN 'not_configured' WHEN s > b THEN 'blocked' ELSE 'ok' END AS limit_status, CASE WHEN s > b THEN 'blocked' ELSE 'ok' END AS open_status FROM o")
 def q_budget(spark, d):
-    df = spark.range(130)
-    spent, budget = F.col("id").cast("decimal(18,2)"), F.when(F.col("id") % 6 != 0, F.lit("100").cast("decimal(18,2)"))
+    """What orders cost against a budget that some of them have."""
+    df = views.load(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").cast("decimal(18,2)").alias("spent"))
+    spent, budget = F.col("spent"), F.when(F.col("id") % 6 != 0, F.lit("150000").cast("decimal(18,2)"))
     return df.select("id", cost.budget_status(spent, budget).alias("ratio_status"), cost.budget_status(spent, budget, "limit").alias("limit_status"), cost.budget_status(spent, budget, "open").alias("open_status"))
 
 

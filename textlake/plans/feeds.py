@@ -70,10 +70,10 @@ def q_half_open_window(spark, d):
     return views.load(spark, d, "events").groupBy((F.col("user_id") % 5).alias("k")).agg(F.count("*").alias("row_count"), F.count_if(intervals.inside(F.col("ts").cast("timestamp"), at("2024-01-05"), at("2024-01-09"))).alias("inside_rows"))
 
 
-@query("WITH g AS (SELECT i, i - CASE WHEN i > 0 AND i % 50 = 0 THEN 1 ELSE 0 END AS j FROM range(3000) AS r(i)) SELECT sha256(CASE WHEN j % 2 = 0 THEN 'gdelt' ELSE 'reddit' END || ':synthetic-' || j) AS event_id, CASE WHEN j % 2 = 0 THEN 'news' ELSE 'comment' END AS source_type, strftime(TIMESTAMP '2026-01-01 00:00:00' + to_seconds(j), '%Y-%m-%dT%H:%M:%SZ') AS event_time, CASE WHEN j % 2 = 1 THEN j % 41 - 10 ELSE -99 END AS engagement, count(*) AS row_count FROM g GROUP BY ALL")
+@query("WITH g AS (SELECT i, i - CASE WHEN i > 0 AND i % 50 = 0 THEN 1 ELSE 0 END AS j FROM (SELECT doc_id AS i FROM documents)) SELECT sha256(CASE WHEN j % 2 = 0 THEN 'gdelt' ELSE 'reddit' END || ':synthetic-' || j) AS event_id, CASE WHEN j % 2 = 0 THEN 'news' ELSE 'comment' END AS source_type, strftime(TIMESTAMP '2026-01-01 00:00:00' + to_seconds(j), '%Y-%m-%dT%H:%M:%SZ') AS event_time, CASE WHEN j % 2 = 1 THEN j % 41 - 10 ELSE -99 END AS engagement, count(*) AS row_count FROM g GROUP BY ALL")
 def q_generator(spark, d):
-    """Synthetic events; every fiftieth repeats the one before."""
-    return S.generate(spark, 3000, 7).groupBy("event_id", "source_type", "event_time", F.coalesce("engagement", F.lit(-99).cast("long")).alias("engagement")).agg(F.count("*").alias("row_count"))
+    """Synthetic events, one for each document; every fiftieth repeats the one before."""
+    return S.synthetic(views.load(spark, d, "documents").select(F.col("doc_id").alias("id"))).groupBy("event_id", "source_type", "event_time", F.coalesce("engagement", F.lit(-99).cast("long")).alias("engagement")).agg(F.count("*").alias("row_count"))
 
 
 STRICT = "regexp_matches({}, '(?i)[T ][0-9][0-9](:?[0-9][0-9]){{0,2}}([.,][0-9]+)?(Z|[+-][0-9][0-9](:?[0-9][0-9]){{0,2}})$')"

@@ -323,9 +323,10 @@ def q_safe_component(spark, d):
     return views.load(spark, d, "pages").select("page_id", X.safe_component(F.col("url")).alias("component"))
 
 
-@query("SELECT i AS id, CASE WHEN i >= 3600 THEN printf('%dh %02dm %02ds', i // 3600, i % 3600 // 60, i % 60) WHEN i >= 60 THEN printf('%dm %02ds', i // 60, i % 60) ELSE printf('%ds', i) END AS duration FROM range(0, 90000, 977) AS r(i)")
+@query("SELECT event_id AS id, CASE WHEN i >= 3600 THEN printf('%dh %02dm %02ds', i // 3600, i % 3600 // 60, i % 60) WHEN i >= 60 THEN printf('%dm %02ds', i // 60, i % 60) ELSE printf('%ds', i) END AS duration FROM (SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) * 7 % 90000 AS i FROM events)")
 def q_duration_format(spark, d):
-    return spark.range(0, 90000, 977).select("id", X.duration(F.col("id")).alias("duration"))
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp")) * 7 % 90000
+    return views.load(spark, d, "events").select(F.col("event_id").alias("id"), X.duration(seconds).alias("duration"))
 
 
 @query("WITH d AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events), g AS (SELECT unnest(['g0', 'g1', 'g2']) AS group_name) SELECT CAST(day AS VARCHAR) AS day, group_name, CAST(day(last_day(day)) AS INT) AS days_in_month, CAST(day - INTERVAL 9 HOUR AS VARCHAR) AS day_start_utc FROM d, g")

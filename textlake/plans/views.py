@@ -37,7 +37,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "date_format(timestamp_seconds(1704067200 + doc_id * 420), \"yyyy-MM-dd'T'HH:mm:ss'Z'\") AS event_time",
         "date_format(timestamp_seconds(1704070800 + doc_id * 420), \"yyyy-MM-dd'T'HH:mm:ss'Z'\") AS collected_at",
         "lang AS language",
-        "CASE WHEN doc_id % 2 = 0 THEN concat('Title ', left(text, 40)) END AS title",
+        "CASE WHEN doc_id % 2 = 0 THEN concat('Title ', text) END AS title",
         f"{DEFECTS.format(**_SPARK)} AS text",
         "CASE WHEN doc_id % 2 = 0 THEN concat('https://www.example.com/n/', CAST(doc_id AS STRING)) END AS url",
         "CASE WHEN doc_id % 2 = 1 THEN CASE WHEN doc_id % 3 = 0 THEN upper(source) ELSE source END END AS community",
@@ -55,7 +55,7 @@ EVENTS_SQL = f"""ev AS (SELECT doc_id,
   strftime(TIMESTAMP '2024-01-01 00:00:00' + to_minutes(doc_id * 7), '%Y-%m-%dT%H:%M:%SZ') AS event_time,
   strftime(TIMESTAMP '2024-01-01 01:00:00' + to_minutes(doc_id * 7), '%Y-%m-%dT%H:%M:%SZ') AS collected_at,
   lang AS language,
-  CASE WHEN doc_id % 2 = 0 THEN 'Title ' || left(text, 40) END AS title,
+  CASE WHEN doc_id % 2 = 0 THEN 'Title ' || text END AS title,
   {DEFECTS.format(**_DUCK)} AS text,
   CASE WHEN doc_id % 2 = 0 THEN 'https://www.example.com/n/' || doc_id END AS url,
   CASE WHEN doc_id % 2 = 1 THEN CASE WHEN doc_id % 3 = 0 THEN upper(source) ELSE source END END AS community,
@@ -207,28 +207,29 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Twenty batch jobs."""
-    return spark.range(20).selectExpr(
+    """A batch job for every fifty documents."""
+    batches = load(spark, sf_dir, "documents").groupBy(F.expr("doc_id div 50").alias("id")).agg(F.count("*").alias("n"), F.sum(F.expr("greatest(1, (octet_length(text) + 3) div 4)")).alias("t"))
+    return batches.selectExpr(
         "concat('batch-', CAST(id AS STRING)) AS llm_batch_id",
         "element_at(array('daily-v1', 'daily-v2', 'daily-v3'), CAST(id % 3 + 1 AS INT)) AS prompt_version",
         "CASE WHEN id % 4 = 0 THEN 'submitted' ELSE 'completed' END AS status",
-        "id * 10 + 5 AS requested_count",
-        "date_format(TIMESTAMP'2024-03-01 00:00:00' + make_dt_interval(0, CAST(id * 7 % 20 AS INT)), 'yyyy-MM-dd HH:mm:ss') AS created_at",
-        "CASE WHEN id % 5 > 0 THEN date_format(TIMESTAMP'2024-03-01 06:00:00' + make_dt_interval(0, CAST(id * 3 % 20 AS INT)), 'yyyy-MM-dd HH:mm:ss') END AS submitted_at",
-        "CASE WHEN id % 4 > 0 THEN date_format(TIMESTAMP'2024-03-02 00:00:00' + make_dt_interval(0, CAST(id AS INT)), 'yyyy-MM-dd HH:mm:ss') END AS completed_at",
-        "id * 100000 AS input_tokens",
-        "id * 2000 AS output_tokens",
+        "n AS requested_count",
+        "date_format(TIMESTAMP'2024-03-01 00:00:00' + make_dt_interval(0, CAST(id * 7 % 100003 AS INT)), 'yyyy-MM-dd HH:mm:ss') AS created_at",
+        "CASE WHEN id % 5 > 0 THEN date_format(TIMESTAMP'2024-03-01 06:00:00' + make_dt_interval(0, CAST(id * 3 % 1000 AS INT)), 'yyyy-MM-dd HH:mm:ss') END AS submitted_at",
+        "CASE WHEN id % 4 > 0 THEN date_format(TIMESTAMP'2024-03-02 00:00:00' + make_dt_interval(0, CAST(id % 1000 AS INT)), 'yyyy-MM-dd HH:mm:ss') END AS completed_at",
+        "t * (id % 20) AS input_tokens",
+        "n * 40 * (id % 20) AS output_tokens",
         "concat('model-', CAST(id % 3 AS STRING)) AS model",
-        "id * 10 + 5 - id % 7 AS completed_count",
+        "n - id % 7 AS completed_count",
         "id % 7 AS failed_count",
-        "CASE WHEN id % 6 > 0 THEN CAST(id * 0.0112 AS DECIMAL(18,8)) END AS total_cost_usd",
+        "CASE WHEN id % 6 > 0 THEN CAST(t * 0.0112 AS DECIMAL(18,8)) END AS total_cost_usd",
     )
 
 
 RESULTS_SQL = """man AS (SELECT doc_id, 'req-' || doc_id AS custom_id, 'batch-' || (doc_id % 20) AS llm_batch_id FROM documents WHERE doc_id % 13 <> 0),
 res AS (SELECT doc_id, 'req-' || doc_id AS custom_id, unnest(range(0, CASE WHEN doc_id % 17 = 0 THEN 2 ELSE 1 END)) AS turn, CASE WHEN doc_id % 19 > 0 THEN doc_id % 500 + 100 END AS input_tokens,
   CASE WHEN doc_id % 19 > 0 THEN doc_id % 50 + 10 END AS output_tokens, 'batch-' || (doc_id % 20) AS batch_id FROM documents WHERE doc_id % 11 <> 0)"""
-JOBS_SQL = """job AS (SELECT 'batch-' || i AS llm_batch_id, ['daily-v1', 'daily-v2', 'daily-v3'][i % 3 + 1] AS prompt_version, CASE WHEN i % 4 = 0 THEN 'submitted' ELSE 'completed' END AS status, i * 10 + 5 AS requested_count,
-  strftime(TIMESTAMP '2024-03-01 00:00:00' + to_hours(i * 7 % 20), '%Y-%m-%d %H:%M:%S') AS created_at,
-  CASE WHEN i % 5 > 0 THEN strftime(TIMESTAMP '2024-03-01 06:00:00' + to_hours(i * 3 % 20), '%Y-%m-%d %H:%M:%S') END AS submitted_at,
-  CASE WHEN i % 4 > 0 THEN strftime(TIMESTAMP '2024-03-02 00:00:00' + to_hours(i), '%Y-%m-%d %H:%M:%S') END AS completed_at, i * 100000 AS input_tokens, i * 2000 AS output_tokens, 'model-' || (i % 3) AS model, i * 10 + 5 - i % 7 AS completed_count, i % 7 AS failed_count, CASE WHEN i % 6 > 0 THEN CAST(i * 0.0112 AS DECIMAL(18,8)) END AS total_cost_usd FROM range(20) AS r(i))"""
+JOBS_SQL = """job AS (SELECT 'batch-' || i AS llm_batch_id, ['daily-v1', 'daily-v2', 'daily-v3'][i % 3 + 1] AS prompt_version, CASE WHEN i % 4 = 0 THEN 'submitted' ELSE 'completed' END AS status, n AS requested_count,
+  strftime(TIMESTAMP '2024-03-01 00:00:00' + to_hours(i * 7 % 100003), '%Y-%m-%d %H:%M:%S') AS created_at,
+  CASE WHEN i % 5 > 0 THEN strftime(TIMESTAMP '2024-03-01 06:00:00' + to_hours(i * 3 % 1000), '%Y-%m-%d %H:%M:%S') END AS submitted_at,
+  CASE WHEN i % 4 > 0 THEN strftime(TIMESTAMP '2024-03-02 00:00:00' + to_hours(i % 1000), '%Y-%m-%d %H:%M:%S') END AS completed_at, t * (i % 20) AS input_tokens, n * 40 * (i % 20) AS output_tokens, 'model-' || (i % 3) AS model, n - i % 7 AS completed_count, i % 7 AS failed_count, CASE WHEN i % 6 > 0 THEN CAST(t * 0.0112 AS DECIMAL(18,8)) END AS total_cost_usd FROM (SELECT doc_id // 50 AS i, count(*) AS n, CAST(sum(greatest(1, (strlen(text) + 3) // 4)) AS BIGINT) AS t FROM documents GROUP BY 1))"""

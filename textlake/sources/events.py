@@ -310,8 +310,12 @@ GENERATED = """CASE i % 100 WHEN 5 THEN 'visible\\u200bhidden' WHEN 10 THEN repe
 
 def generate(spark: SparkSession, rows: int, partitions: int | None = None) -> DataFrame:
     """Synthetic events; every fiftieth repeats the one before. Made on the executors, the same in any partitioning."""
-    df = spark.range(0, rows, 1, partitions) if partitions else spark.range(rows)
-    df = df.selectExpr("id", "id - CASE WHEN id > 0 AND id % 50 = 0 THEN 1 ELSE 0 END AS i")
+    return synthetic(spark.range(0, rows, 1, partitions) if partitions else spark.range(rows))
+
+
+def synthetic(numbers: DataFrame) -> DataFrame:
+    """A synthetic event for each ``id`` of ``numbers``."""
+    df = numbers.selectExpr("id", "id - CASE WHEN id > 0 AND id % 50 = 0 THEN 1 ELSE 0 END AS i")
     news, iso = F.col("i") % 2 == 0, "yyyy-MM-dd'T'HH:mm:ss'Z'"
     time = F.timestamp_seconds(F.lit(1_767_225_600) + F.col("i"))
     name = F.when(news, "gdelt").otherwise("reddit")

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..session import delete, shared_folder
+from ..sources import copies
 from ..sources import events as S
 from ..sources import keyed_store, sinks
 from . import views
@@ -147,11 +148,10 @@ def q_trip_allowlist(spark, d, folder):
     return S.allowlist(spark, f"{folder}/a").agg(F.count("*").alias("names"))
 
 
-@query("SELECT 3 AS files, true AS some_bytes")
+@query("SELECT count(DISTINCT n_regionkey) AS files, true AS some_bytes FROM nation")
 def q_trip_list_files(spark, d, folder):
     """Files and bytes below a folder, from the listing."""
-    views.load(spark, d, "region").repartition(3, "r_regionkey").write.option("maxRecordsPerFile", 0).partitionBy("r_regionkey").parquet(f"{folder}/r")
-    spark.read.parquet(f"{folder}/r").where("r_regionkey < 3").write.partitionBy("r_regionkey").parquet(f"{folder}/some")
+    views.load(spark, d, "nation").repartition("n_regionkey").write.partitionBy("n_regionkey").parquet(f"{folder}/some")
     return S.list_files(spark, f"{folder}/some").select("files", (F.col("bytes") > 0).alias("some_bytes"))
 
 
@@ -175,3 +175,14 @@ def q_store_upsert(spark, d, folder):
         for _ in range(2):
             store.upsert(ev.where(batch), [F.col("doc_id")], ["community", "text_md5"], ["engagement"], "loader", k)
     return store.read().groupBy("community").agg(*digest("event_id", "community", "text_md5", F.col("engagement").cast("string")))
+
+
+@query(f"SELECT source, count(*) AS row_count, {HASH.format("concat_ws('|', doc_id, text)")} AS digest, 'same' AS states FROM documents GROUP BY source")
+def q_trip_verified_copy(spark, d, folder):
+    """All documents in files by source, copied with verification, copied again, and read from the copy."""
+    views.load(spark, d, "documents").select("doc_id", "text", "source").write.partitionBy("source").parquet(f"{folder}/a")
+    statuses = [[r.status for r in copies.copy_verified(spark, f"{folder}/a", f"{folder}/b").collect()] for _ in range(2)]  # a row a file
+    if set(statuses[0]) != {"copied"} or set(statuses[1]) != {"same"}:
+        raise ValueError(f"copied, then the same: {statuses}")
+    states = S.verified(S.copy_states(S.file_digests(spark, f"{folder}/a"), S.file_digests(spark, f"{folder}/b"))).agg(F.max("state").alias("states"))
+    return spark.read.parquet(f"{folder}/b").groupBy("source").agg(*digest(F.col("doc_id").cast("string"), "text")).join(F.broadcast(states), F.lit(True))

@@ -15,6 +15,7 @@ from ..functions import cards, kernels
 from ..functions.contract import add_contract, read_raw, require_valid
 from ..functions.text import canonical_url
 from ..schemas import ARCHIVE_COLUMNS, EVENT, EVENT_FIELDS
+from . import copies
 
 #: Artifact folders and the bucket and prefix that each goes to (fixed values).
 ARTIFACTS = {
@@ -42,9 +43,29 @@ def read_jsonl(spark: SparkSession, path: str) -> DataFrame:
     return read_raw(spark.read.text(path).where(F.trim("value") != ""), "value")
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line, value) of text files, lines from 1 in each file.
+
+    Files are read in splits; a first pass counts each split's lines, and only these counts, a row a
+    split, come to the driver.
+    """
+    split = ["file", "start"]
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("_at"), "value")
+    found = lines.groupBy(*split).agg(F.min("_at").alias("_first"), F.count("*").alias("n")).collect()
+    before: dict[str, int] = {}
+    rows = []
+    for r in sorted(found, key=lambda r: (r.file, r.start)):
+        rows.append((r.file, r.start, r._first - before.get(r.file, 0) - 1))
+        before[r.file] = before.get(r.file, 0) + r.n
+    shift = spark.createDataFrame(rows, "file string, start long, _shift long")
+    return lines.join(F.broadcast(shift), split).select("file", (F.col("_at") - F.col("_shift")).alias("line"), "value")
+
+
 def read_jsonl_strict(spark: SparkSession, path: str) -> DataFrame:
-    """Events of JSON lines; the query fails at the first that breaks the strict contract."""
-    return require_valid(add_contract(read_jsonl(spark, path), strict=True)).select(*EVENT_FIELDS)
+    """Events of JSON lines; the query fails at one that breaks the strict contract, and tells its file and line."""
+    lines = numbered_lines(spark, path).where(F.trim("value") != "")
+    events = add_contract(read_raw(lines, "value"), strict=True)
+    return require_valid(events, F.concat_ws(":", "file", "line")).select(*EVENT_FIELDS)
 
 
 def read_json_glob(spark: SparkSession, path: str) -> DataFrame:
@@ -89,7 +110,13 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
-    """(name, length, sha256) of the files below ``path``; a file is held in memory while its digest is made."""
+    """(name, length, sha256) of the files below ``path``.
+
+    Files are read in parts; only in stores that Python workers can't open is a file held in memory
+    while its digest is made, through Spark's own file systems.
+    """
+    if copies.reachable(path):
+        return copies.file_digests(spark, path)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     base = path.rstrip("/").split(":", 1)[-1].lstrip("/")
     return files.select(F.regexp_replace("path", rf"^.*?\Q{base}/\E", "").alias("name"), "length", F.sha2("content", 256).alias("sha256"))

@@ -238,6 +238,16 @@ def test_command_line(spark, sf, tmp_path, capsys):
     main(["bounded", "--input", f"file://{tmp_path}/topic", "--output", f"file://{tmp_path}/run", "--ranges", '[["events", 0, 0, 40]]', "--run-id", "run-0", "--analysis-date", "2024-01-01"])
     last = json.loads(capsys.readouterr().out.splitlines()[-1])
     assert last["read_rows"] == 40 and last["run_rows"] + last["foreign_rows"] == 40
+    for _ in range(2):
+        main(["publish", "--input", f"{tmp_path}/in.jsonl", "--log", f"file://{tmp_path}/log", "--partitions", "2", "--writer", "once"])
+    main(["stream", "--log", f"file://{tmp_path}/log", "--account-all", "--output", f"file://{tmp_path}/all", "--checkpoint", f"file://{tmp_path}/check2"])
+    counts = {}
+    for r in consumer.read_ledger(spark, f"file://{tmp_path}/all").collect():
+        for k, n in json.loads(r.route_counts).items():
+            counts[k] = counts.get(k, 0) + n
+    assert sum(counts.values()) == 61 and counts["duplicate"] == 1 and counts["contract_rejected"] == 1
+    main(["copy", "--input", f"file://{tmp_path}/batch", "--output", f"file://{tmp_path}/copied"])
+    assert json.loads(capsys.readouterr().out.splitlines()[-1]).keys() == {"copied"}
 
 
 def test_dates(spark):

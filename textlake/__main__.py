@@ -1,4 +1,4 @@
-"""Command line: batch files, bounded and streaming messages, archive days, output checks."""
+"""Command line: batch files, bounded and streaming messages, a message log, copies, archive days, output checks."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession, functions as F
 
 from .operators import accounting, dedup, routing
 from .session import build_session
-from .sources import events, sinks
+from .sources import copies, events, message_log, sinks
 from .streaming import consumer
 
 
@@ -38,13 +38,26 @@ def bounded(spark: SparkSession, a: argparse.Namespace) -> dict:
 
 
 def stream(spark: SparkSession, a: argparse.Namespace) -> dict:
-    c = consumer.ConsumerConfig(a.topic, a.dead_letter_topic, a.output, a.checkpoint, a.starting_offsets, a.max_offsets, a.watermark, a.interval, a.name)
-    source = consumer.kafka_messages(spark, a.servers, c) if a.servers else consumer.file_messages(spark, a.input)
+    c = consumer.ConsumerConfig(a.topic, a.dead_letter_topic, a.output, a.checkpoint, a.starting_offsets, a.max_offsets, a.watermark, a.interval, a.name, a.account_all)
+    source = consumer.kafka_messages(spark, a.servers, c) if a.servers else consumer.log_messages(spark, a.log, c) if a.log else consumer.file_messages(spark, a.input)
     query = consumer.start(source, c)
     query.awaitTermination()
     return {"batches": (query.lastProgress or {}).get("batchId", -1) + 1}
 
 
+def publish(spark: SparkSession, a: argparse.Namespace) -> dict:
+    """JSON lines of events to a message log, keyed by event id, in one commit; a named writer publishes once."""
+    lines = spark.read.text(a.input).where(F.trim("value") != "")
+    rows = message_log.rows_to_publish(lines, a.partitions, F.get_json_object("value", "$.event_id"), F.col("value"))
+    message_log.publish(rows, a.log, a.topic, a.writer)
+    return {"offsets": message_log.Topic(a.log, a.topic).range()[1]}
+
+
+def copy(spark: SparkSession, a: argparse.Namespace) -> dict:
+    """Files to another store, each verified."""
+    return {r.status: r["count"] for r in copies.copy_verified(spark, a.input, a.output).groupBy("status").count().collect()}
+
+
 def archive(spark: SparkSession, a: argparse.Namespace) -> dict:
     names = [r.name for r in events.allowlist(spark, a.names).collect()]  # a file written by people
     rows = events.archive_days(events.require_columns(spark.read.parquet(a.input)), names)
@@ -73,7 +86,9 @@ def main(argv: list[str] | None = None) -> int:
     need, number = {"required": True}, {"type": int}
     command("batch", batch, input=need, output=need, expected_rows=number)
     command("bounded", bounded, input=need, output=need, ranges=need, run_id=need, analysis_date=need, expected_rows=number)
-    command("stream", stream, input={}, servers={}, topic={"default": "events"}, dead_letter_topic={"default": "events-dead"}, output=need, checkpoint=need, starting_offsets={"default": "earliest"}, max_offsets=number, watermark={"default": "10 minutes"}, interval={}, name={"default": "consumer"})
+    command("stream", stream, input={}, servers={}, log={}, account_all={"action": "store_true"}, topic={"default": "events"}, dead_letter_topic={"default": "events-dead"}, output=need, checkpoint=need, starting_offsets={"default": "earliest"}, max_offsets=number, watermark={"default": "10 minutes"}, interval={}, name={"default": "consumer"})
+    command("publish", publish, input=need, log=need, topic={"default": "events"}, partitions=number | {"default": 8}, writer={})
+    command("copy", copy, input=need, output=need)
     command("archive", archive, input=need, output=need, names=need)
     command("verify", verify, output=need)
     a = p.parse_args(argv)

@@ -173,3 +173,16 @@ def test_counts_come_from_the_writing_pass(spark, tmp_path):
     assert len(jobs) <= 2  # the shuffle's map side and the write, as AQE submits them
     again = sinks.write_counted(df.limit(0), f"file://{tmp_path}/none", ["g"], {"rows": F.count("*")})
     assert again == {"rows": 0}
+
+
+def test_a_consumer_on_an_interval_takes_the_log_in_steps(spark, tmp_path):
+    """processingTime with a limit of messages a batch: several batches, all messages, then a restart that has nothing to do."""
+    root = f"file://{tmp_path}"
+    c = C.ConsumerConfig("ev", "dead", f"{root}/out", f"{root}/check", interval="1 second", max_offsets_per_trigger=10)
+    put(spark, f"{root}/log", [event(i, f"2024-01-01T00:{i:02d}:00Z") for i in range(25)])
+    for _ in range(2):
+        query = C.start(C.log_messages(spark, f"{root}/log", c), c)
+        query.processAllAvailable()
+        query.stop()
+        ledger = C.read_ledger(spark, f"{root}/out").collect()
+        assert sum(r.row_count for r in ledger) == 25 and sum(r.row_count > 0 for r in ledger) >= 3

@@ -36,6 +36,16 @@ def test_query_equals_sql(spark, sf, name):
     assert key(a) == key(b)
 
 
+def test_titles_cut_within_a_reference_equal_sql(spark, tmp_path):
+    titles = ["a&amp;&amp", "a &lt;b&gt &quot;c&quo", "x &amp;lt; &amp;amp; &copy; &#39;y&#39;", "no title", ""]
+    rows = [(i, f"<html><title>{t}</title></html>" if t != "no title" else "<html></html>") for i, t in enumerate(titles)]
+    spark.createDataFrame(rows, "page_id long, html string").write.parquet(f"file://{tmp_path}/pages.parquet")
+    got = {r.page_id: r.title for r in registry.QUERIES["q_title_normalize"](spark, f"file://{tmp_path}").collect()}
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    assert got == dict(c.sql(registry.SQL["q_title_normalize"]).fetchall()) and got[0] == "a&&amp"
+
+
 def test_stream_restart_and_ledger(spark, sf, tmp_path):
     msgs = views.messages(spark, sf)
     c = consumer.ConsumerConfig("t", "dead", f"file://{tmp_path}/out", f"file://{tmp_path}/check", watermark="3650 days")

@@ -44,9 +44,18 @@ def canonical_url(url: Column) -> Column:
     return F.when(scheme != "", F.concat(scheme, F.lit("://"), host, F.when(path == "", "/").otherwise(path), F.when(query == "", "").otherwise(F.concat(F.lit("?"), query))))
 
 
-def normalize_title(title: Column) -> Column:
-    """HTML entities decoded, NFC, blanks single."""
-    return F.trim(F.regexp_replace(kernels.nfc(kernels.html_unescape(title)), r"[\s\x1c-\x1f\x85\p{Z}]+", " "))
+#: References that every writer of markup escapes with; the ampersand's is last, so none is decoded twice.
+MARKUP = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&amp;": "&"}
+
+
+def normalize_title(title: Column, references: dict[str, str] | None = None) -> Column:
+    """HTML entities decoded, NFC, blanks single.
+
+    All of HTML's are decoded, as browsers do also without their semicolon (``&amp`` where a title was
+    cut); with ``references`` only those, as they are written.
+    """
+    decoded = kernels.html_unescape(title) if references is None else functools.reduce(lambda t, kv: F.replace(t, *map(F.lit, kv)), references.items(), title)
+    return F.trim(F.regexp_replace(kernels.nfc(decoded), r"[\s\x1c-\x1f\x85\p{Z}]+", " "))
 
 
 def period_text(text: Column, length: int = 1000) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from textlake.functions import quality
 from textlake.functions.contract import add_contract, read_raw, require_valid, rules
 from textlake.operators import accounting, dedup, routing
+from textlake.plans import registry, views
 from textlake.sources import events as S
 
 GOOD = {"event_id": "a" * 64, "source_type": "news", "source_name": "gdelt", "event_time": "2024-01-01T00:00:00Z", "collected_at": "2024-01-01T01:00:00+09:00", "language": "en", "title": None, "text": "hello", "url": None, "community": None, "engagement": 3, "schema_version": 1, "metadata": {"a": "b"}}
@@ -109,6 +110,14 @@ def test_policy_cases(spark, text, status, flags, reason):
     assert (r.quality_status, r.quality_flags, r.exclusion_reason) == (status, flags, reason)
 
 
+def test_filters_on_flags_stay_above_what_leads_to_them(spark, sf):
+    df = registry.QUERIES["q_repetition_zlib"](spark, sf)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 200_000 and plan.count("ArrowEvalPython") == 2  # NFC and the repetition figures once each
+    ratios = {r.doc_id: round(plain(r.text)[-1], 4) for r in views.events(spark, sf).select("doc_id", "text").collect()}
+    assert {r.doc_id: r.repetition_ratio for r in df.collect()} == {i: x for i, x in ratios.items() if x >= quality.REPETITION_RATIO}
+
+
 def test_limits_are_exact(spark):
     texts = ["".join(chr(97 + i * 7 % 26) + str(i) for i in range(3000))[:n] for n in (5000, 5001)] + ["ab" * 10000, "ab" * 10000 + "c"]
     got = quality.add_quality(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")).orderBy("i").collect()

@@ -60,6 +60,14 @@ def _repetition(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([of(t) for t in texts], columns=["dominant", "savings"])
 
 
+_repetition = _repetition.asNondeterministic()
+
+
 def repetition(compact: Column) -> Column:
-    """struct(dominant: share of the commonest character, savings: what zlib saves) of a text without blanks."""
+    """struct(dominant: share of the commonest character, savings: what zlib saves) of a text without blanks.
+
+    Spark is told that it isn't deterministic, so that it runs in one place: a filter on what follows
+    from it would else be pushed below it, with all expressions that lead to it written out again for
+    each use, and Python would run twice.
+    """
     return _repetition(compact)

@@ -118,6 +118,15 @@ def test_filters_on_flags_stay_above_what_leads_to_them(spark, sf):
     assert {r.doc_id: r.repetition_ratio for r in df.collect()} == {i: x for i, x in ratios.items() if x >= quality.REPETITION_RATIO}
 
 
+def test_runs_of_marks_are_those_of_the_unicode_data(spark):
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    parts = ["a" + "a".join(points[i : i + 10_000]) for i in range(0, len(points), 10_000)]
+    got = spark.createDataFrame([(t,) for t in parts], "t string").select(F.explode(quality.marks_in(F.col("t"))).alias("m")).collect()
+    assert sorted(r.m for r in got) == sorted(c for c in points if unicodedata.combining(c))
+    text = spark.createDataFrame([("한국어 텍스트 そして 漢字 ру é 😀",), ("e\u0301\u0316 x\u0327",)], "t string")
+    assert [r.m for r in text.select(quality.marks_in(F.col("t")).alias("m")).collect()] == [None, ["\u0301\u0316", "\u0327"]]
+
+
 def test_limits_are_exact(spark):
     texts = ["".join(chr(97 + i * 7 % 26) + str(i) for i in range(3000))[:n] for n in (5000, 5001)] + ["ab" * 10000, "ab" * 10000 + "c"]
     got = quality.add_quality(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")).orderBy("i").collect()

@@ -27,6 +27,7 @@ FLAGS = ("SOURCE_TOMBSTONE", "EMPTY_AFTER_NORMALIZATION", "EXCESSIVE_LENGTH", "E
 CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f]"
 WHITE = r"[\s\x1c-\x1f\x85\p{Z}]"
 # Patterns of the policy, fixed values too.
+MARK = r"[\p{M}\p{Cn}]"
 URL = r"(?iU)(?:https?://|www\.)[^\s]+"
 EMAIL = r"(?iU)(?<![\w.+-])[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}(?![\w.-])"
 PHONE = r"(?U)(?<!\d)(?:\+?\d[\d ()-]{7,}\d)(?!\d)"
@@ -70,6 +71,15 @@ def urls_in(text: Column) -> Column:
     return F.when(can, matches(text, URL)).when(text.isNotNull(), F.array().cast("array<string>"))
 
 
+def marks_in(text: Column) -> Column:
+    """All runs of characters that combine; null for most texts that have none.
+
+    Such a character is a mark, or one that the JVM doesn't know yet. That is a look-up in a table, while
+    the class has hundreds of ranges, which are only tried on these characters.
+    """
+    return F.when(text.rlike(MARK), matches(text, f"[{MARK}&&{combining_class()}]+"))
+
+
 def add_quality(events: DataFrame, text: str = "text", when: str | None = None) -> DataFrame:
     """``events`` with the policy's 15 columns; all are null where ``when`` is false or the text null.
 
@@ -89,8 +99,7 @@ def add_quality(events: DataFrame, text: str = "text", when: str | None = None)
     df = df.withColumns({"_compact": F.regexp_replace(clean, WHITE + "+", ""), "_urls": urls_in(clean)})
     df = df.withColumn("_r", kernels.repetition(F.when(F.length(compact) >= REPETITION_CHARACTERS, compact)))
     covered = F.aggregate(urls, F.lit(0), lambda a, u: a + F.length(u))
-    # no character under U+0300 combines, so most texts need only one cheap test
-    marks = F.when(clean.rlike(r"[\x{300}-\x{10ffff}]"), matches(clean, f"{combining_class()}+"))
+    marks = marks_in(clean)
     four = lambda x: F.round(x, 4)
     some = lambda c: F.when(q.isNotNull(), c)
     df = df.withColumns(

@@ -1,8 +1,10 @@
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from textlake.llm import sentence_pieces as S
@@ -40,6 +42,38 @@ def test_long_chunks_and_ties(lib):
         assert np.frombuffer(p.encode(t), np.int32).tolist() == lib.encode(t)
 
 
+def test_equal_scores_merge_leftmost_in_chunks_of_both_kinds(monkeypatch):
+    p, rng = S.Pieces(PATH), random.Random(10)
+    rank = {w: (r >> S.PLACE_BITS[0]) // 3000 for w, r in p.ranks[0].items()}
+    monkeypatch.setattr(p, "ranks", [{w: r << bits for w, r in rank.items()} for bits in S.PLACE_BITS])
+    chunks = [" " + "".join(rng.choice("etaoins漢é") for _ in range(rng.randint(0, 14))) for _ in range(400)]
+    want = []
+    for c in chunks:
+        symbols = list(c)
+        while best := min(((rank[x + y], k) for k, (x, y) in enumerate(zip(symbols, symbols[1:])) if x + y in rank), default=None):
+            symbols[best[1] : best[1] + 2] = ["".join(symbols[best[1] : best[1] + 2])]
+        want.append(b"".join(p.packed.get(x) or np.array([p.byte[b] for b in x.encode()], np.int32).tobytes() for x in symbols))
+    assert [p.agenda(c) for c in chunks] == want
+    monkeypatch.setattr(S, "PLACE_BITS", (0, S.PLACE_BITS[1]))
+    assert [p.agenda(c) for c in chunks] == want
+
+
+def test_ids_leave_arrow_a_row_at_a_time():
+    rows = pa.array([None, [], [1, 2, 3], None, [4], []], pa.list_(pa.int32()))
+    assert list(S.lists(rows)) == rows.to_pylist() and list(S.lists(rows[2:5])) == rows[2:5].to_pylist() and list(S.lists(rows[:0])) == []
+    long = pa.array([list(range(32_000))] * 10, pa.list_(pa.int32()))
+
+    def least(run):
+        took = []
+        for _ in range(5):
+            began = time.process_time()
+            run()
+            took.append(time.process_time() - began)
+        return min(took)
+
+    assert least(lambda: list(S.lists(long))) < least(long.to_pylist) / 2
+
+
 def test_a_difference_is_an_error():
     p = S.Pieces(PATH)
     p.encode("some words")

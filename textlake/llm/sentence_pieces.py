@@ -3,7 +3,8 @@
 A text gets a space in front and splits where no piece can cross: before a space that follows another
 character, after Latin letters and around line ends (the file is checked for that). Each chunk starts as one symbol a character. The agenda is a heap of
 the adjacent pairs that join to a piece; the best score (ties: the leftmost) is popped again and
-again, stale pairs are passed over, and each merge pushes the two pairs that it makes. Characters that
+again, stale pairs are passed over, and each merge pushes the two pairs that it makes. A symbol is its
+place and end in the chunk, so that what a pair joins to is one slice to look up. Characters that
 no piece has are encoded by their bytes. Every chunk that a worker meets for the first time is encoded
 by the sentencepiece library too, an Arrow batch's new chunks at a time, and any difference is an error.
 """
@@ -16,8 +17,9 @@ import heapq
 import itertools
 import re
 import struct
-from array import array
+import sys
 from collections.abc import Iterator
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -27,15 +29,15 @@ from .scratch import apart, table
 from .token_counts import small_batches
 
 #: Chunks kept with their ids by one Python worker, in two generations, and the longest of them in characters.
-CACHED_CHUNKS, CACHED_CHARS = 500_000, 40
+CACHED_CHUNKS, CACHED_CHARS = 1_000_000, 40
 #: The vocabulary's sign for a space (a fixed value of the format).
 SPACE = "▁"
 #: Kinds of pieces and fields of the model file's messages (fixed values of the format).
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 BPE = 2
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
-#: Places in a chunk, as the agenda's entries have room for.
-PLACES = (1 << 30) - 1
+#: Bits of an agenda entry that hold the place, in chunks that fit the first and in longer ones. Entries of the first kind are small integers.
+PLACE_BITS = (14, 30)
 
 codecs.register_error("each-byte", lambda e: ("�" * (e.end - e.start), e.end))
 
@@ -85,11 +87,12 @@ class Pieces(dict):
         names = [p[1].decode() for p in pieces]
         words = {n.replace(SPACE, " "): i for i, (n, p) in enumerate(zip(names, pieces)) if p[3] == NORMAL}
         self.alone = {w: i for w, i in words.items() if len(w) == 1}
-        #: By two ids (16 bits each): the rank of their joint piece's score and, below room for a place, its id.
-        ranks = {score: k for k, score in enumerate(sorted({p[2] for p in pieces}, reverse=True))}
-        self.pairs = {words[a] << 16 | words[b]: ranks[pieces[i][2]] << 46 | i for w, i in words.items() for k in range(1, len(w)) if (a := w[:k]) in words and (b := w[k:]) in words}
+        #: By kind of chunk: the rank of each longer piece's score, above the bits of a place.
+        order = {score: k for k, score in enumerate(sorted({p[2] for p in pieces}, reverse=True))}
+        self.ranks = [{w: order[pieces[i][2]] << bits for w, i in words.items() if len(w) > 1} for bits in PLACE_BITS]
+        self.packed = {w: i.to_bytes(4, sys.byteorder) for w, i in words.items()}
         self.byte = {int(n[3:-1], 16): i for i, (n, p) in enumerate(zip(names, pieces)) if p[3] == BYTE}
-        if len(names) > 1 << 16 or " " not in words or any(len(w) > 1 and (" " in w.lstrip(" ") or "\n" in w or re.search(f"[{LETTERS}][^{LETTERS}]", w)) for w in words):
+        if " " not in words or any(len(w) > 1 and (" " in w.lstrip(" ") or "\n" in w or re.search(f"[{LETTERS}][^{LETTERS}]", w)) for w in words):
             raise ValueError(f"{path}: has pieces across the places where texts split")
         #: What each id reads as. A byte over 127 is a lone surrogate until its neighbours are known.
         self.reads = [n.replace(SPACE, " ") for n in names]
@@ -105,7 +108,7 @@ class Pieces(dict):
 
     def __missing__(self, chunk: str) -> bytes:
         if (ids := self.older.get(chunk)) is None:
-            ids = array("i", self.agenda(chunk)).tobytes()
+            ids = self.agenda(chunk)
             self.fresh.append((chunk, ids))
         if len(chunk) <= CACHED_CHARS:
             if len(self) >= CACHED_CHUNKS // 2:
@@ -114,34 +117,45 @@ class Pieces(dict):
             self[chunk] = ids
         return ids
 
-    def agenda(self, chunk: str) -> list[int]:
-        """Ids of a chunk. The heap's entries are integers: rank, place of the left symbol and the id that the pair joins to, from high bits to low."""
-        alone, pairs = self.alone, self.pairs
-        symbols, n = [alone.get(c, -1) for c in chunk], len(chunk)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [e + (i << 16) for i, (a, b) in enumerate(zip(symbols, symbols[1:])) if (e := pairs.get(a << 16 | b)) is not None]
-        heapq.heapify(heap)
+    def agenda(self, chunk: str) -> bytes:
+        """Ids of a chunk. The heap's entries are integers: rank and place of the left symbol, from high bits to low."""
+        n = len(chunk)
+        long = n >> PLACE_BITS[0] > 0
+        rank, places = self.ranks[long].get, (1 << PLACE_BITS[long]) - 1
+        #: The entry that holds for the pair at each place, -1 for none; others in the heap are stale.
+        due = [-1 if (r := rank(c)) is None else r + i for i, c in enumerate(map(add, chunk, chunk[1:]))]
+        heap = [e for e in due if e >= 0]
+        heap.sort()
+        due.append(-1)
+        after, before = list(range(1, n + 1)), list(range(-1, n))
         while heap:
             top = heapq.heappop(heap)
-            i, both = top >> 16 & PLACES, top & 0xFFFF
-            j = after[i]
-            if j >= n or (e := pairs.get(symbols[i] << 16 | symbols[j])) is None or e & 0xFFFF != both:
+            i = top & places
+            if due[i] != top:
                 continue  # one of the two was merged meanwhile
-            symbols[i], symbols[j] = both, -2
+            j = after[i]
             after[i] = k = after[j]
-            if k < n:
-                before[k] = i
-                if (e := pairs.get(both << 16 | symbols[k])) is not None:
-                    heapq.heappush(heap, e + (i << 16))
-            if (h := before[i]) >= 0 and (e := pairs.get(symbols[h] << 16 | both)) is not None:
-                heapq.heappush(heap, e + (h << 16))
-        out: list[int] = []
-        for c, s in zip(chunk, symbols):
-            if s >= 0:
-                out.append(s)
-            elif s == -1:
-                out += [self.byte[b] for b in c.encode()]
-        return out
+            before[k] = i
+            due[i] = due[j] = -1
+            if k < n and (r := rank(chunk[i : after[k]])) is not None:
+                due[i] = e = r + i
+                heapq.heappush(heap, e)
+            if i:
+                h = before[i]
+                if (r := rank(chunk[h:k])) is not None:
+                    due[h] = e = r + h
+                    heapq.heappush(heap, e)
+                else:
+                    due[h] = -1
+        out, i = [], 0
+        while i < n:
+            j = after[i]
+            if (ids := self.packed.get(chunk[i:j])) is not None:
+                out.append(ids)
+            else:
+                out += [self.byte[b].to_bytes(4, sys.byteorder) for b in chunk[i:j].encode()]
+            i = j
+        return b"".join(out)
 
     #: Where a text splits: after letters, before spaces and around line ends.
     chunks = staticmethod(re.compile(rf" *[^ \n{LETTERS}]*[{LETTERS}]+| +[^ \n{LETTERS}]*|[^ \n{LETTERS}]+|\n").findall)
@@ -167,9 +181,10 @@ class Pieces(dict):
         # after a line end a chunk reads as it is, without the library's space in front
         front = np.array([self.alone[" "], self.byte[10]], np.int32).tobytes()
         theirs = library(self.path).encode([f"\n{c}" for c, _ in fresh], num_threads=1)
-        for (chunk, ours), ids in zip(fresh, theirs):
-            if np.array(ids, np.int32).tobytes() != front + ours:
-                raise ValueError(f"the agenda and the library differ on {chunk[:200]!r}")
+        ours = [front + ids for _, ids in fresh]
+        if [4 * len(x) for x in theirs] != [*map(len, ours)] or np.fromiter(itertools.chain.from_iterable(theirs), np.int32).tobytes() != b"".join(ours):
+            chunk = next(c for (c, _), x, y in zip(fresh, theirs, ours) if np.array(x, np.int32).tobytes() != y)
+            raise ValueError(f"the agenda and the library differ on {chunk[:200]!r}")
 
 
 @functools.lru_cache(maxsize=2)
@@ -184,6 +199,13 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
+def lists(column: pa.ListArray) -> Iterator[list[int] | None]:
+    """Each row's integers, None for null; a row becomes plain integers at once, without an Arrow scalar for each."""
+    values, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_pylist()
+    for a, b, there in zip(ends, ends[1:], column.is_valid().to_pylist()):
+        yield values[a:b].tolist() if there else None
+
+
 def encode(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     """``docs`` with ids (array of int) and n_tokens under the model file at ``path``, which every executor can open.
 
@@ -221,7 +243,7 @@ def decode(rows: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(path)
         for b in batches:
-            texts = [None if x is None else p.decode(x) for x in b[ids].to_pylist()]
+            texts = [None if x is None else p.decode(x) for x in lists(b[ids])]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*kept, "decoded"])
 
     return rows.mapInArrow(run, schema)
